@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over the cores: one small file is one task, and JSON work would run on one core.
+
+    Large tables come in many splits and need no such step.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Core reservations; zero-night, null-status and deleted ones included."""
     return table(spark, sf_dir, "orders").selectExpr(
@@ -130,7 +138,7 @@ def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         " case when event_id % 4 = 0 then cast(user_id as string) else '' end, '\",\"newValue\":\"',"
         " case when event_id % 31 = 0 then '' else concat('resv-', cast(user_id as string)) end, '\"}]}') as body"
     )
-    return table(spark, sf_dir, "events").selectExpr(
+    return spread(table(spark, sf_dir, "events")).selectExpr(
         "event_id", "event_id as seq", "cast(ts as timestamp) as ts", "user_id", "event_type", body
     )
 
@@ -156,7 +164,7 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         " case when event_id % 2 = 0 then cast(unix_seconds(ts) as string)"
         " else concat('\"', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'+00:00'\"), '\"') end, '}') as body"
     )
-    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).selectExpr(
+    return spread(table(spark, sf_dir, "events")).withColumn("ts", F.col("ts").cast("timestamp")).selectExpr(
         "event_id", "event_id as seq", "ts", "user_id", "event_type", body
     )
 
@@ -224,7 +232,7 @@ _RESPONSE_BODIES = {
 
 def resource_payloads(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """One response of the given resource type per event."""
-    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = spread(table(spark, sf_dir, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
     return events.selectExpr(
         "event_id",
         "concat('H', cast(user_id % 7 as string)) as hotel_id",

@@ -16,225 +16,226 @@ VARIANT keeps them in and the order canonical JSON writes them in.
 
 Found values are ``struct<text string, literal boolean>``: ``literal`` tells a
 JSON number or boolean from a JSON string.
+
+Except for ``search_fields``, the functions take and return SQL expression
+text, for use with ``selectExpr`` and ``F.expr``: the expressions bind many
+small lambdas, which are far quicker to state than to assemble.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from stayflow.functions.scalars import bind, keep
 
 FOUND = "struct<text:string,literal:boolean>"
-_AS_MAP = "map<string,variant>"
-_AS_LIST = "array<variant>"
+# JSON numbers equal to zero, false and empty containers.
+_FALSY = r"^(false|\{\}|\[\]|-?0(\.0*)?([eE].*)?)$"
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def name_list(names: Sequence[str]) -> str:
+    return ", ".join(quoted(n) for n in sorted(set(names)))
 
-def parse(text: Column) -> Column:
-    return F.try_parse_json(text)
 
+def bind(value: str, use) -> str:
+    """``use(name)`` with ``value`` evaluated once, however often the name is used."""
+    return f"get(transform(array({value}), b -> {use('b')}), 0)"
 
-def canonical_json(text: Column) -> Column:
+
+def parse(text: str) -> str:
+    return f"try_parse_json({text})"
+
+
+def canonical_json(text: str) -> str:
     """Sorted keys, no blanks, non-ASCII kept; null when the text is not JSON."""
-    return F.to_json(parse(text))
+    return f"to_json(try_parse_json({text}))"
+
 
+def member(doc: str, path: str) -> str:
+    """The VARIANT at a path, null where there is none."""
+    return f"try_variant_get({doc}, {quoted(path)}, 'variant')"
 
-def entries(doc: Column) -> Column:
+
+def entries(doc: str) -> str:
     """Top-level members of an object as a map; null for anything else."""
-    return F.try_variant_get(doc, "$", _AS_MAP)
+    return f"try_variant_get({doc}, '$', 'map<string,variant>')"
 
 
-def items(doc: Column) -> Column:
+def items(doc: str) -> str:
     """Elements of a list; null for anything else."""
-    return F.try_variant_get(doc, "$", _AS_LIST)
+    return f"try_variant_get({doc}, '$', 'array<variant>')"
 
 
-def is_object(doc: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+def is_object(doc: str) -> str:
+    return f"coalesce(startswith(schema_of_variant({doc}), 'OBJECT'), false)"
 
 
-def is_list(doc: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(doc).startswith("ARRAY"), F.lit(False))
+def is_list(doc: str) -> str:
+    return f"coalesce(startswith(schema_of_variant({doc}), 'ARRAY'), false)"
 
 
-def text_at(doc: Column, path: str) -> Column:
+def text_at(doc: str, path: str = "$") -> str:
     """Text at a path: scalars as written, containers as JSON, JSON null as null."""
-    return F.try_variant_get(doc, path, "string")
+    return f"try_variant_get({doc}, {quoted(path)}, 'string')"
 
 
-def found_value(value: Column) -> Column:
+def found_value(value: str) -> str:
     """Found-value struct of a VARIANT; null for JSON null."""
-    both = bind(
-        value,
-        lambda v: F.struct(text_at(v, "$").alias("text"), (F.schema_of_variant(v) != "STRING").alias("literal")),
+    both = (
+        f"transform(array({value}), v -> named_struct('text', {text_at('v')},"
+        " 'literal', schema_of_variant(v) <> 'STRING'))"
     )
-    return keep(both, lambda f: f["text"].isNotNull())
+    return f"get(filter({both}, f -> f.text is not null), 0)"
 
 
-def value_at(doc: Column, path: str) -> Column:
-    """Found-value struct at a path; null where the path is missing or JSON null."""
-    return found_value(F.try_variant_get(doc, path, "variant"))
+def value_at(doc: str, path: str) -> str:
+    return found_value(member(doc, path))
 
 
-def _children(node: Column) -> Column:
-    members = F.transform(
-        F.map_entries(entries(node["v"])),
-        lambda e, i: F.struct(
-            F.concat(node["at"], F.array(i)).alias("at"),
-            node["at"].alias("parent"),
-            i.alias("pos"),
-            e["key"].alias("name"),
-            e["value"].alias("v"),
-        ),
-    )
-    elements = F.transform(
-        items(node["v"]),
-        lambda x, i: F.struct(
-            F.concat(node["at"], F.array(i)).alias("at"),
-            node["at"].alias("parent"),
-            i.alias("pos"),
-            F.lit(None).cast("string").alias("name"),
-            x.alias("v"),
-        ),
-    )
-    return F.coalesce(members, elements, F.array())
+def truthy(found: str) -> str:
+    """Text of a found value unless it is empty, zero, false or an empty container."""
+    test = f"f.text <> '' and not (f.literal and f.text rlike {quoted(_FALSY)})"
+    return f"get(filter(array({found}), f -> {test}), 0).text"
+
+
+def truthy_at(doc: str, *paths: str) -> str:
+    """Text of the first path holding a truthy value."""
+    return "coalesce(" + ", ".join(truthy(value_at(doc, p)) for p in paths) + ")"
+
+
+def filled(value: str) -> str:
+    """A VARIANT, or null when it is missing, empty, zero or false."""
+    return f"get(filter(array({value}), c -> {truthy(found_value('c'))} is not null), 0)"
 
 
 _NODE = "struct<at:array<int>,parent:array<int>,pos:int,name:string,v:variant>"
 _HIT = "struct<parent:array<int>,pos:int,name:string,text:string,literal:boolean>"
 
 
-def tree_hits(doc: Column, text: Column, names: Sequence[str]) -> Column:
+def tree_hits(doc: str, text: str, names: Sequence[str]) -> str:
     """Every non-empty value stored under one of ``names``, with its place in the tree.
 
-    Level by level; a document cannot be deeper than its number of opening
+    Level by level; a document cannot be deeper than its text has opening
     brackets, so that many steps always reach the bottom.
     """
-    wanted = sorted(set(names))
-
-    def hits(nodes: Column) -> Column:
-        kept = F.filter(nodes, lambda n: n["name"].isin(wanted))
-        found = F.transform(
-            kept,
-            lambda n: F.struct(
-                n["parent"].alias("parent"),
-                n["pos"].alias("pos"),
-                n["name"].alias("name"),
-                text_at(n["v"], "$").alias("text"),
-                (F.schema_of_variant(n["v"]) != "STRING").alias("literal"),
-            ),
+
+    def hits(nodes: str) -> str:
+        picked = f"filter({nodes}, n -> n.name in ({name_list(names)}))"
+        shaped = (
+            f"transform({picked}, n -> named_struct('parent', n.parent, 'pos', n.pos, 'name', n.name,"
+            f" 'text', {text_at('n.v')}, 'literal', schema_of_variant(n.v) <> 'STRING'))"
         )
-        return F.filter(found, lambda h: F.coalesce(h["text"] != "", F.lit(False)))
-
-    no_path = F.array().cast("array<int>")
-    root = F.array(
-        F.struct(
-            no_path.alias("at"),
-            no_path.alias("parent"),
-            F.lit(0).alias("pos"),
-            F.lit(None).cast("string").alias("name"),
-            doc.alias("v"),
+        return f"filter({shaped}, h -> coalesce(h.text <> '', false))"
+
+    def node(name: str, value: str) -> str:
+        return (
+            "named_struct('at', concat(n.at, array(i)), 'parent', n.at, 'pos', i,"
+            f" 'name', {name}, 'v', {value})"
         )
-    ).cast(f"array<{_NODE}>")
-    start = F.struct(root.alias("nodes"), F.array().cast(f"array<{_HIT}>").alias("hits"))
-    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - F.length(F.translate(text, "[{", ""))))
-    return F.aggregate(
-        steps,
-        start,
-        lambda acc, _: F.struct(
-            F.flatten(F.transform(acc["nodes"], _children)).cast(f"array<{_NODE}>").alias("nodes"),
-            F.concat(acc["hits"], hits(acc["nodes"])).cast(f"array<{_HIT}>").alias("hits"),
-        ),
-        lambda acc: F.concat(acc["hits"], hits(acc["nodes"])),
+
+    members = f"transform(map_entries({entries('n.v')}), (e, i) -> {node('e.key', 'e.value')})"
+    elements = f"transform({items('n.v')}, (x, i) -> {node('cast(null as string)', 'x')})"
+    below = f"flatten(transform(acc.nodes, n -> coalesce({members}, {elements}, array())))"
+    empty = "cast(array() as array<int>)"
+    root = f"array(named_struct('at', {empty}, 'parent', {empty}, 'pos', 0, 'name', cast(null as string), 'v', {doc}))"
+    start = f"named_struct('nodes', cast({root} as array<{_NODE}>), 'hits', cast(array() as array<{_HIT}>))"
+    step = (
+        f"named_struct('nodes', cast({below} as array<{_NODE}>),"
+        f" 'hits', cast(concat(acc.hits, {hits('acc.nodes')}) as array<{_HIT}>))"
     )
+    depth = f"greatest(1, length({text}) - length(translate({text}, '[{{', '')))"
+    return f"aggregate(sequence(1, {depth}), {start}, (acc, k) -> {step}, acc -> concat(acc.hits, {hits('acc.nodes')}))"
 
 
-def first_of(hits: Column, names: Sequence[str]) -> Column:
+def first_of(hits: str, names: Sequence[str]) -> str:
     """The first hit, in search order, whose key is one of ``names``.
 
     Paths compare like words in a dictionary with a prefix first, which is
     exactly own keys before nested ones and siblings in order.
     """
-    mine = F.filter(hits, lambda h: h["name"].isin(sorted(set(names))))
-    named = bind(
-        F.array_min(mine), lambda h: F.struct(h["text"].alias("text"), h["literal"].alias("literal"))
-    )
-    return keep(named, lambda f: f["text"].isNotNull())
+    best = f"array_min(filter({hits}, h -> h.name in ({name_list(names)})))"
+    named = f"transform(array({best}), h -> named_struct('text', h.text, 'literal', h.literal))"
+    return f"get(filter({named}, f -> f.text is not null), 0)"
 
 
-def find_first(doc: Column, text: Column, names: Sequence[str]) -> Column:
-    """Text of the first value found under one of ``names`` (full walk, one expression)."""
-    return first_of(tree_hits(doc, text, names), names)["text"]
+def find_first(doc: str, text: str, names: Sequence[str]) -> str:
+    """Text of the first value found under one of ``names`` (full walk)."""
+    return f"{first_of(tree_hits(doc, text, names), names)}.text"
 
 
-def _own_key(doc: Column, names: Sequence[str]) -> Column:
+def own_key(doc: str, names: Sequence[str]) -> str:
     """The value of the first of ``names``, alphabetically, among the document's own keys."""
-    return F.coalesce(
-        *[keep(value_at(doc, f"$['{name}']"), lambda f: f["text"] != "") for name in sorted(set(names))]
-    )
+    bracketed = [f'$["{n}"]' for n in sorted(set(names))]
+    parts = [f"get(filter(array({value_at(doc, p)}), f -> f.text <> ''), 0)" for p in bracketed]
+    return f"coalesce({', '.join(parts)})"
 
 
 def _key_pattern(names: Sequence[str]) -> str:
     return r'[{,]\s*"(?:' + "|".join(sorted(re.escape(n) for n in set(names))) + r')"\s*:'
 
 
-def mentions(text: Column, names: Sequence[str]) -> Column:
+def mentions(text: str, names: Sequence[str]) -> str:
     """How often any of ``names`` is a key in a JSON text.
 
     A quote inside a JSON string is always escaped, so a quoted name right
     after an opening brace or comma and before a colon can only be a key.
     """
-    return F.coalesce(F.regexp_count(text, F.lit(_key_pattern(names))), F.lit(0))
+    return f"coalesce(regexp_count({text}, {quoted(_key_pattern(names))}), 0)"
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """Let no filter on the columns worked out so far slip below the work.
+
+    Pushed down, it would repeat the whole computation of its column, at every
+    projection it passes. The always-true test is one Spark cannot move or
+    drop; unused columns are still pruned below it.
+    """
+    return df.where("monotonically_increasing_id() >= 0")
 
 
 def search_fields(df: DataFrame, doc: str, text: str, fields: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Add one found-value column per field, searching the documents in ``doc``.
+    """Add one found-value column per field, searching the documents in column ``doc``.
 
-    ``text`` is a JSON text of the same document. Each step runs only for the
-    rows the step before left open, and the columns of a step are plain columns
-    of the next, so nothing is worked out twice.
+    ``text`` is a column with a JSON text of the same document. Each step runs
+    only for the rows the step before left open, and the columns of a step are
+    plain columns of the next, so nothing is worked out twice.
     """
+    kept = [f"`{c}`" for c in df.columns]
     # Every place a name is a key, with its value if that is a plain scalar and '' if not.
     plain_value = r'\s*("[^"\\]*"|[^\s",}\]\[{]*)'
     places = [
-        F.regexp_extract_all(F.col(text), F.lit(_key_pattern(names) + plain_value), F.lit(1)).alias(f"_a_{f}")
-        for f, names in fields.items()
+        f"regexp_extract_all({text}, {quoted(_key_pattern(names) + plain_value)}, 1) as _a_{f}" for f, names in fields.items()
     ]
-    # A key spelled with \\u escapes is not seen by the pattern.
-    escaped = F.contains(F.col(text), F.lit("\\u")).alias("_escaped")
-    listed = df.select("*", escaped, *places)
-
-    def place(f: str) -> Column:
-        return F.get(F.col(f"_a_{f}"), F.lit(0))
-
-    only = [F.when(F.size(f"_a_{f}") == 1, place(f)).alias(f"_o_{f}") for f in fields]
+    # A key spelled with \u escapes is not seen by the pattern.
+    listed = df.selectExpr("*", f"contains({text}, {quoted(chr(92) + 'u')}) as _escaped", *places)
+    only = [f"case when size(_a_{f}) = 1 then get(_a_{f}, 0) end as _o_{f}" for f in fields]
     many = [
-        (F.col("_escaped") | (F.size(f"_a_{f}") > 1) | ((F.size(f"_a_{f}") == 1) & (place(f) == ""))).alias(f"_m_{f}")
-        for f in fields
+        f"_escaped or size(_a_{f}) > 1 or (size(_a_{f}) = 1 and get(_a_{f}, 0) = '') as _m_{f}" for f in fields
     ]
-    judged = listed.select(*df.columns, *only, *many)
-    own = [F.when(F.col(f"_m_{f}"), _own_key(F.col(doc), names)).alias(f"_w_{f}") for f, names in fields.items()]
-    owned = judged.select("*", *own)
-    still = [F.col(f"_m_{f}") & F.col(f"_w_{f}").isNull() for f in fields]
+    judged = listed.selectExpr(*kept, *only, *many)
+    own = [f"case when _m_{f} then {own_key(doc, names)} end as _w_{f}" for f, names in fields.items()]
+    owned = judged.selectExpr("*", *own)
+    still = " or ".join(f"(_m_{f} and _w_{f} is null)" for f in fields)
     every = sorted({n for names in fields.values() for n in names})
-    walked = owned.withColumn(
-        "_hits", F.when(reduce(or_, still), tree_hits(F.col(doc), F.col(text), every))
-    )
-
-    def answer(f: str, names: Sequence[str]) -> Column:
-        raw = F.col(f"_o_{f}")
-        quoted = raw.startswith('"')
-        body = F.when(quoted, F.substr(raw, F.lit(2), F.length(raw) - F.lit(2))).otherwise(raw)
-        single = F.when(
-            ~F.col(f"_m_{f}") & (raw != '""') & (raw != "null"),
-            F.struct(body.alias("text"), (~quoted).alias("literal")),
+    walked = owned.selectExpr("*", f"case when {still} then {tree_hits(doc, text, every)} end as _hits")
+
+    def answer(f: str, names: Sequence[str]) -> str:
+        raw = f"_o_{f}"
+        body = f"if(startswith({raw}, '\"'), substr({raw}, 2, length({raw}) - 2), {raw})"
+        single = (
+            f"case when not _m_{f} and {raw} <> '\"\"' and {raw} <> 'null'"
+            f" then named_struct('text', {body}, 'literal', not startswith({raw}, '\"')) end"
         )
-        deep = F.when(F.col(f"_m_{f}"), first_of(F.col("_hits"), names))
-        return F.coalesce(F.col(f"_w_{f}"), single, deep).cast(FOUND).alias(f)
+        deep = f"case when _m_{f} then {first_of('_hits', names)} end"
+        return f"cast(coalesce(_w_{f}, {single}, {deep}) as {FOUND}) as {f}"
+
+    return fence(walked.selectExpr(*kept, *[answer(f, names) for f, names in fields.items()]))
+
 
-    return walked.select(*df.columns, *[answer(f, names) for f, names in fields.items()])

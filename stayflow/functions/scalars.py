@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stayflow.functions.jsontree import bind, quoted
+
 MONEY = "decimal(18,4)"
 # Wide enough to hold an unrounded amount before it is stored at four decimals.
 WIDE = "decimal(28,10)"
@@ -24,61 +25,38 @@ _TIDY = [
 ]
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` written and evaluated once, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def keep(value: Column, test: Callable[[Column], Column]) -> Column:
-    """``value`` where it passes ``test``, else null."""
-    return F.get(F.filter(F.array(value), test), F.lit(0))
-
+def iso_timestamp(text: str) -> str:
+    """ISO-8601 text to an instant; a text without zone is UTC; anything else is null.
 
-def iso_timestamp(text: Column) -> Column:
-    """ISO-8601 text to an instant; a text without zone is UTC; anything else is null."""
-    tidy = F.translate(text, ",", ".")
+    Takes and returns SQL expression text, like ``functions.jsontree``.
+    """
+    tidy = f"translate({text}, ',', '.')"
     for pattern, replacement in _TIDY:
-        tidy = F.regexp_replace(tidy, pattern, replacement)
-    return F.when(text.rlike(_ISO), tidy.try_cast("timestamp"))
+        tidy = f"regexp_replace({tidy}, {quoted(pattern)}, {quoted(replacement)})"
+    return f"case when {text} rlike {quoted(_ISO)} then try_cast({tidy} as timestamp) end"
 
 
-def iso_date(text: Column) -> Column:
+def iso_date(text: str) -> str:
     """Calendar date written in an ISO date or datetime (its offset is not applied)."""
-    return F.when(iso_timestamp(text).isNotNull(), F.substring(text, 1, 10).try_cast("date"))
+    return bind(text, lambda t: f"if({iso_timestamp(t)} is not null, try_cast(substr({t}, 1, 10) as date), null)")
 
 
-def event_time(found: Column, default: Column) -> Column:
+def event_time(found: str, default: str) -> str:
     """Event time from a found JSON value: number = epoch seconds, text = ISO, else default."""
-    text = found["text"]
-    epoch = F.when(found["literal"] & ~is_falsy(found), text.try_cast("double"))
-    as_text = F.when(~found["literal"], iso_timestamp(text))
-    return F.coalesce(F.timestamp_seconds(epoch), as_text, default)
-
-
-# JSON numbers equal to zero, false and empty containers.
-_FALSY = r"^(false|\{\}|\[\]|-?0(\.0*)?([eE].*)?)$"
+    epoch = f"case when {found}.literal then nullif(try_cast({found}.text as double), 0.0) end"
+    as_text = f"case when not {found}.literal then {iso_timestamp(found + '.text')} end"
+    return f"coalesce(timestamp_seconds({epoch}), {as_text}, {default})"
 
 
-def is_falsy(found: Column) -> Column:
-    """Whether a found JSON value is zero, false or an empty container."""
-    return found["literal"] & found["text"].rlike(_FALSY)
-
-
-def truthy(found: Column) -> Column:
-    """Text of a found JSON value unless the value is empty or falsy."""
-    return keep(found, lambda f: (f["text"] != "") & ~is_falsy(f))["text"]
+def to_decimal(text: str, kind: str = WIDE) -> str:
+    """Decimal of a text; missing or empty is 0; unreadable is null (callers reject it)."""
+    return f"case when {text} is null or {text} = '' then cast(0 as {kind}) else try_cast(trim({text}) as {kind}) end"
 
 
 def to_text(value: Column) -> Column:
     return F.nullif(value.cast("string"), F.lit(""))
 
 
-def to_decimal(text: Column, kind: str = WIDE) -> Column:
-    """Decimal of a text; missing or empty is 0; unreadable is null (callers reject it)."""
-    missing = text.isNull() | (text == "")
-    return F.when(missing, F.lit(0).cast(kind)).otherwise(F.trim(text).try_cast(kind))
-
-
 def adr(revenue: Column, rooms: Column) -> Column:
     """Average daily rate; null when there are no rooms."""
     return revenue / F.nullif(rooms, F.lit(0).cast("decimal(1,0)"))

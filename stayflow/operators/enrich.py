@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions import scalars as S
+from stayflow.functions.jsontree import fence
 
 OPERATIONS = ["getReservation", "getProfile", "getFolio", "getFolioTransactionDetails"]
 
@@ -114,4 +115,4 @@ def process_outcome(df: DataFrame) -> DataFrame:
     )
     shown = decided.withColumn("outcome", outcome).withColumn("error", error)
     delay = F.when(F.col("outcome") == "RETRY", F.coalesce("visible_in", S.retry_visibility(F.lit(None).cast("int"))))
-    return shown.withColumn("visible_in", delay)
+    return fence(shown.withColumn("visible_in", delay))

@@ -43,14 +43,18 @@ _DETAIL_TEXT = [
 _NOT_METADATA = ["payload", "detail", "details"]
 
 
-def _opens_object(text: Column) -> Column:
-    return F.ltrim(text).startswith("{")
+def _opens_object(text: str) -> str:
+    return f"startswith(ltrim({text}), '{{')"
 
 
 def malformed(df: DataFrame, json_col: str) -> DataFrame:
     """Rows whose text is not a JSON object; no parser takes them."""
-    text = F.col(json_col)
-    return df.where(~F.coalesce(_opens_object(text) & J.parse(text).isNotNull(), F.lit(False)))
+    return df.where(f"not coalesce({_opens_object(json_col)} and {J.parse(json_col)} is not null, false)")
+
+
+def _parsed(df: DataFrame, json_col: str, out: str) -> DataFrame:
+    doc = df.where(_opens_object(json_col)).selectExpr("*", f"{J.parse(json_col)} as {out}")
+    return doc.where(f"{out} is not null")
 
 
 def _with_doc(df: DataFrame, json_col: str) -> DataFrame:
@@ -60,133 +64,116 @@ def _with_doc(df: DataFrame, json_col: str) -> DataFrame:
     members overlaid with its own. An event without envelope is its own payload
     and keeps its text as landed.
     """
-    text = F.col(json_col)
-    body = df.where(_opens_object(text)).withColumn("_body", J.parse(text)).where(F.col("_body").isNotNull())
-    wrapped = body.withColumn("_outer", F.when(J.mentions(text, ["payload"]) > 0, J.entries(F.col("_body"))))
-    wrapped = wrapped.withColumn("_has", F.coalesce(F.map_contains_key("_outer", "payload"), F.lit(False)))
-    inner = F.when(F.col("_has"), F.try_element_at("_outer", F.lit("payload")))
-    opened = wrapped.withColumn("_inner", J.entries(inner))
-    own_keys = F.map_keys("_outer")
-    overlay = F.to_variant_object(
-        F.map_concat(F.map_filter("_inner", lambda k, _: ~F.array_contains(own_keys, k)), F.col("_outer"))
+    outer = f"case when {J.mentions(json_col, ['payload'])} > 0 then {J.entries('_body')} end as _outer"
+    wrapped = _parsed(df, json_col, "_body").selectExpr("*", outer)
+    inner = "try_element_at(_outer, 'payload')"
+    has = "coalesce(map_contains_key(_outer, 'payload'), false)"
+    opened = wrapped.selectExpr(
+        "*", f"{has} as _has", f"case when {has} then {J.entries(inner)} end as _inner"
     )
-    kept_alone = F.to_variant_object(F.map_filter("_outer", lambda k, _: k == "payload"))
-    payload = (
-        F.when(F.col("_inner").isNotNull(), F.to_json(F.to_variant_object("_inner")))
-        .when(F.col("_has"), F.to_json(kept_alone))
-        .otherwise(text)
+    overlay = (
+        "to_variant_object(map_concat(map_filter(_inner, (k, v) -> not map_contains_key(_outer, k)), _outer))"
+    )
+    alone = "to_variant_object(map_filter(_outer, (k, v) -> k = 'payload'))"
+    return opened.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"case when _inner is not null then {overlay} else _body end as _doc",
+        "case when _inner is not null then to_json(to_variant_object(_inner))"
+        f" when _has then to_json({alone}) else {json_col} end as _payload",
     )
-    doc = F.when(F.col("_inner").isNotNull(), overlay).otherwise(F.col("_body"))
-    return opened.select(*df.columns, doc.alias("_doc"), payload.alias("_payload"))
 
 
-def _payload_id(payload: Column) -> Column:
+def _payload_id(payload: str) -> str:
     """Stand-in id: the hash of the canonical payload, whatever its key order or spacing."""
-    return S.sha256_hex(J.canonical_json(payload))
+    return f"sha2({J.canonical_json(payload)}, 256)"
 
 
 def parse_event_v1(df: DataFrame, json_col: str, received_at: Column) -> DataFrame:
     """Identity fields of a flat event, found by name anywhere in it."""
-    text = F.col(json_col)
-    doc = df.where(_opens_object(text)).withColumn("_doc", J.parse(text)).where(F.col("_doc").isNotNull())
+    doc = _parsed(df.withColumn("_received", received_at), json_col, "_doc")
     found = J.search_fields(doc, "_doc", json_col, {f"_{k}": v for k, v in V1_NAMES.items()})
-    f = {k: F.col(f"_{k}") for k in V1_NAMES}
-    return found.select(
-        *df.columns,
-        F.coalesce(S.truthy(f["id"]), _payload_id(text)).alias("unique_event_id"),
-        F.coalesce(S.truthy(f["hotel"]), F.lit("UNKNOWN")).alias("hotel_id"),
-        S.truthy(f["module"]).alias("module"),
-        S.truthy(f["action"]).alias("action_type"),
-        S.event_time(f["time"], received_at).alias("occurred_at"),
-        S.truthy(f["offset"]).alias("stream_offset"),
-        text.alias("payload"),
+    parsed = found.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"coalesce({J.truthy('_id')}, {_payload_id(json_col)}) as unique_event_id",
+        f"coalesce({J.truthy('_hotel')}, 'UNKNOWN') as hotel_id",
+        f"{J.truthy('_module')} as module",
+        f"{J.truthy('_action')} as action_type",
+        f"{S.event_time('_time', '_received')} as occurred_at",
+        f"{J.truthy('_offset')} as stream_offset",
+        f"{json_col} as payload",
     )
+    return J.fence(parsed)
 
 
-def _detail_struct(item: Column) -> Column:
-    parts = []
-    for name in _DETAIL_TEXT:
-        text = J.text_at(item, f"$.{name}")
-        parts.append((text.try_cast("int") if name == "elementSequence" else text).alias(name))
-    return F.struct(*parts)
+def event_details(doc: str, text: str) -> str:
+    """Change list of an event: ``detail``, else ``details``, else the first one found deeper."""
 
+    def top(name: str) -> str:
+        some = f"coalesce(size({J.items('c')}) > 0, false) or {J.truthy(J.found_value('c'))} is not null"
+        return f"get(filter(array({J.member(doc, '$.' + name)}), c -> {some}), 0)"
 
-def event_details(doc: Column, text: Column) -> Column:
-    """Change list of an event: ``detail``, else ``details``, else the first one found deeper."""
-    top = [F.try_variant_get(doc, f"$.{n}", "variant") for n in ("detail", "details")]
-
-    def filled(value: Column) -> Column:
-        return S.keep(
-            value,
-            lambda v: F.coalesce(F.size(J.items(v)) > 0, F.lit(False)) | S.truthy(J.found_value(v)).isNotNull(),
-        )
-
-    mentioned = J.mentions(text, ["detail", "details"]) > 0
-    deeper = F.when(mentioned, J.parse(J.find_first(doc, text, ["detail", "details"])))
-    chosen = F.coalesce(filled(top[0]), filled(top[1]), deeper)
-    objects = S.bind(
+    names = ["detail", "details"]
+    deeper = f"case when {J.mentions(text, names)} > 0 then {J.parse(J.find_first(doc, text, names))} end"
+    chosen = f"coalesce({top('detail')}, {top('details')}, {deeper})"
+    objects = J.bind(
         chosen,
-        lambda raw: F.coalesce(
-            F.filter(J.items(raw), J.is_object), F.when(J.is_object(raw), F.array(raw)), F.array()
-        ),
+        lambda b: f"coalesce(filter({J.items(b)}, x -> {J.is_object('x')}), case when {J.is_object(b)} then array({b}) end)",
     )
-    return F.transform(objects, _detail_struct)
+    parts = []
+    for name in _DETAIL_TEXT:
+        value = J.text_at("d", f"$.{name}")
+        parts.append(f"'{name}', " + (f"try_cast({value} as int)" if name == "elementSequence" else value))
+    return f"transform(coalesce({objects}, array()), d -> named_struct({', '.join(parts)}))"
 
 
-def event_metadata(doc: Column) -> Column:
+def event_metadata(doc: str) -> str:
     """Top-level scalar members of an event as text."""
-    scalar = F.map_filter(
-        J.entries(doc),
-        lambda k, v: ~k.isin(_NOT_METADATA) & ~F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False)),
-    )
-    return F.transform_values(scalar, lambda _, v: J.text_at(v, "$"))
+    plain = "not coalesce(schema_of_variant(v) rlike '^(OBJECT|ARRAY)', false)"
+    scalar = f"map_filter({J.entries(doc)}, (k, v) -> k not in ({J.name_list(_NOT_METADATA)}) and {plain})"
+    return f"transform_values({scalar}, (k, v) -> {J.text_at('v')})"
 
 
-def detail_lookup(details: Column, names: list[str], skip_empty: bool = False) -> Column:
+def detail_lookup(details: str, names: list[str], skip_empty: bool = False) -> str:
     """Value of the first change whose element name is one of ``names`` (case ignored).
 
     New value, else old value, else plain value. The first match decides even
     when it is empty, unless ``skip_empty``.
     """
-    wanted = sorted({n.lower() for n in names})
-
-    def value(d: Column) -> Column:
-        return F.coalesce(F.nullif(d["newValue"], F.lit("")), F.nullif(d["oldValue"], F.lit("")), d["value"])
-
-    def matches(d: Column) -> Column:
-        element = F.lower(F.coalesce(F.nullif(d["elementName"], F.lit("")), d["name"], F.lit("")))
-        hit = element.isin(wanted)
-        return hit & (F.coalesce(value(d), F.lit("")) != "") if skip_empty else hit
-
-    return S.keep(S.bind(F.get(F.filter(details, matches), F.lit(0)), value), lambda v: v != "")
+    value = "coalesce(nullif({0}.newValue, ''), nullif({0}.oldValue, ''), {0}.value)"
+    element = "lower(coalesce(nullif(d.elementName, ''), d.name, ''))"
+    test = f"{element} in ({J.name_list([n.lower() for n in names])})"
+    if skip_empty:
+        test += f" and coalesce({value.format('d')}, '') <> ''"
+    first = f"get(filter({details}, d -> {test}), 0)"
+    return f"nullif({J.bind(first, value.format)}, '')"
 
 
 def parse_business_event(df: DataFrame, json_col: str, received_at: Column) -> DataFrame:
     """Enveloped event to typed columns (``schemas.BUSINESS_EVENT``); other columns pass through."""
-    doc = _with_doc(df, json_col)
+    doc = _with_doc(df.withColumn("_received", received_at), json_col)
     found = J.search_fields(doc, "_doc", json_col, {f"_{k}": v for k, v in V2_NAMES.items()})
-    found = found.withColumn("_details", event_details(F.col("_doc"), F.col(json_col)))
-
-    def field(key: str, only_truthy: bool = False) -> Column:
-        hit = F.col(f"_{key}")
-        text = S.truthy(hit) if only_truthy else hit["text"]
-        return F.when(hit.isNotNull(), text).otherwise(detail_lookup(F.col("_details"), V2_NAMES[key]))
-
-    late = F.coalesce(S.iso_timestamp(detail_lookup(F.col("_details"), V2_NAMES["time"])), received_at)
-    return found.select(
-        *df.columns,
-        F.coalesce(field("id", True), _payload_id(F.col("_payload"))).alias("unique_event_id"),
-        field("offset").alias("offset"),
-        field("key").alias("primary_key"),
-        field("module").alias("module_name"),
-        field("event").alias("event_name"),
-        F.coalesce(field("hotel", True), F.lit("UNKNOWN")).alias("hotel_id"),
-        field("chain").alias("chain_code"),
-        F.when(F.col("_time").isNotNull(), S.event_time(F.col("_time"), received_at)).otherwise(late).alias("occurred_at"),
-        F.col("_details").alias("details"),
-        event_metadata(F.col("_doc")).alias("metadata"),
-        F.col("_payload").alias("payload"),
+    found = found.selectExpr("*", f"{event_details('_doc', json_col)} as _details")
+
+    def field(key: str, only_truthy: bool = False) -> str:
+        text = J.truthy(f"_{key}") if only_truthy else f"_{key}.text"
+        return f"if(_{key} is not null, {text}, {detail_lookup('_details', V2_NAMES[key])})"
+
+    late = J.bind(detail_lookup("_details", V2_NAMES["time"]), S.iso_timestamp)
+    parsed = found.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        f"coalesce({field('id', True)}, {_payload_id('_payload')}) as unique_event_id",
+        f"{field('offset')} as offset",
+        f"{field('key')} as primary_key",
+        f"{field('module')} as module_name",
+        f"{field('event')} as event_name",
+        f"coalesce({field('hotel', True)}, 'UNKNOWN') as hotel_id",
+        f"{field('chain')} as chain_code",
+        f"if(_time is not null, {S.event_time('_time', '_received')}, coalesce({late}, _received)) as occurred_at",
+        "_details as details",
+        f"{event_metadata('_doc')} as metadata",
+        "_payload as payload",
     )
+    return J.fence(parsed)
 
 
 def with_delete_flag(df: DataFrame) -> DataFrame:

@@ -90,17 +90,17 @@ def resolve_identifier(df: DataFrame) -> DataFrame:
     meta = per_kind(
         lambda names: F.coalesce(*[S.to_text(F.try_element_at(F.col("metadata"), F.lit(n))) for n in sorted(names)])
     )
-    detail = per_kind(lambda names: detail_lookup(F.col("details"), names, skip_empty=True))
+    detail = per_kind(lambda names: F.expr(detail_lookup("details", names, skip_empty=True)))
     step = df.withColumn("_direct", F.coalesce(direct, meta, detail))
-    open_doc = F.when(F.col("_direct").isNull() & kind.isNotNull(), J.parse(F.col("payload")))
-    step = step.withColumn("_open", open_doc).withColumn("_open_text", F.when(F.col("_open").isNotNull(), F.col("payload")))
-    found = J.search_fields(step, "_open", "_open_text", {f"_p_{k}": v for k, v in IDENTIFIER_NAMES.items()})
+    still = "_direct is null and identifier_type is not null"
+    opened = step.selectExpr("*", f"case when {still} then {J.parse('payload')} end as _open")
+    opened = opened.selectExpr("*", "case when _open is not null then payload end as _open_text")
+    found = J.search_fields(opened, "_open", "_open_text", {f"_p_{k}": v for k, v in IDENTIFIER_NAMES.items()})
     deep = F.lit(None).cast("string")
     for name in IDENTIFIER_NAMES:
         deep = F.when(kind == name, F.col(f"_p_{name}")["text"]).otherwise(deep)
-    return found.withColumn(
-        "resource_id", F.coalesce("_direct", deep, F.when(kind == "primaryKey", key))
-    ).select(*df.columns, "resource_id")
+    resolved = found.withColumn("resource_id", F.coalesce("_direct", deep, F.when(kind == "primaryKey", key)))
+    return J.fence(resolved.select(*df.columns, "resource_id"))
 
 
 def with_request_path(df: DataFrame) -> DataFrame:

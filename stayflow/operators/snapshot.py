@@ -72,51 +72,39 @@ def attach_latest_payload(core: DataFrame, raw: DataFrame) -> DataFrame:
     return core.join(latest_payload_per_reservation(raw), ["hotel_id", "reservation_id"], "left")
 
 
-def _dated_entries(text: Column, name: str) -> Column:
+def _dated_entries(text: str, name: str) -> str:
     """Dated entries of one JSON list that carry ``name``, in list order."""
-
-    def dated(item: Column) -> Column:
-        first = F.coalesce(*[S.truthy(J.value_at(item, f"$.{n}")) for n in DATE_NAMES])
-        return F.struct(S.bind(first, S.iso_date).alias("day"), J.value_at(item, f"$.{name}").alias("found"))
-
-    entries = F.transform(F.filter(J.items(J.parse(text)), J.is_object), dated)
-    return F.filter(entries, lambda e: e["day"].isNotNull() & e["found"].isNotNull())
+    day = S.iso_date(J.truthy_at("x", *[f"$.{n}" for n in DATE_NAMES]))
+    found = J.value_at("x", f"$.{name}")
+    objects = f"filter({J.items(J.parse(text))}, x -> {J.is_object('x')})"
+    entries = f"transform({objects}, x -> named_struct('day', {day}, 'found', {found}))"
+    return f"filter({entries}, e -> e.day is not null and e.found is not null)"
 
 
 def with_payload_fields(df: DataFrame) -> DataFrame:
     """Parse ``raw_payload`` once: found values ``_p_<name>`` and dated revenue entries ``_rates``."""
-    doc = df.withColumn("_doc", J.parse(F.col("raw_payload"))).withColumn("_text", F.when(F.col("_doc").isNotNull(), F.col("raw_payload")))
-    # The usual place of the dated list, taken when it is the only such list anywhere.
-    usual = F.coalesce(
-        *[J.text_at(F.col("_doc"), f"$.{p}{n}") for p in ("", "reservation.") for n in DATED_LISTS]
-    )
-    doc = doc.withColumn("_lists", J.mentions(F.col("_text"), DATED_LISTS))
-    doc = doc.withColumn("_usual", F.when(F.col("_lists") == 1, usual))
+    doc = df.selectExpr("*", f"{J.parse('raw_payload')} as _doc")
+    doc = doc.selectExpr("*", "case when _doc is not null then raw_payload end as _text")
+    # The usual places of the dated list, taken when it is the only such list anywhere.
+    usual = ", ".join(J.text_at("_doc", f"$.{p}{n}") for p in ("", "reservation.") for n in DATED_LISTS)
+    doc = doc.selectExpr("*", f"{J.mentions('_text', DATED_LISTS)} as _lists")
+    doc = doc.selectExpr("*", f"case when _lists = 1 then coalesce({usual}) end as _usual")
     fields = {f"_p_{n}": [n] for n in PAYLOAD_NAMES}
     found = J.search_fields(doc, "_doc", "_text", fields)
-    walk = F.when(
-        (F.col("_lists") > 0) & F.col("_usual").isNull(),
-        J.tree_hits(F.col("_doc"), F.col("_text"), DATED_LISTS),
-    )
-    found = found.withColumn("_places", walk)
-    rank = F.create_map(*[F.lit(x) for i, n in enumerate(DATED_LISTS) for x in (n, i)])
+    walk = f"case when _lists > 0 and _usual is null then {J.tree_hits('_doc', '_text', DATED_LISTS)} end"
+    found = found.selectExpr("*", f"{walk} as _places")
     # Search order: outer objects first, then the fixed order of the four lists.
-    ordered = F.array_sort(
-        F.transform(
-            F.filter("_places", lambda h: h["text"].startswith("[")),
-            lambda h: F.struct(
-                h["parent"].alias("parent"), F.element_at(rank, h["name"]).alias("rank"), h["text"].alias("text")
-            ),
-        )
-    )
-    walked = F.flatten(F.transform(ordered, lambda h: _dated_entries(h["text"], "roomRevenue")))
-    rates = F.coalesce(F.when(F.col("_usual").isNotNull(), _dated_entries(F.col("_usual"), "roomRevenue")), walked, F.array())
-    return found.withColumn("_rates", rates).select(*df.columns, *fields, "_rates")
+    rank = "array_position(array(" + ", ".join(J.quoted(n) for n in DATED_LISTS) + "), h.name)"
+    lists = "filter(_places, h -> startswith(h.text, '['))"
+    ordered = f"array_sort(transform({lists}, h -> named_struct('parent', h.parent, 'rank', {rank}, 'text', h.text)))"
+    walked = f"flatten(transform({ordered}, h -> {_dated_entries('h.text', 'roomRevenue')}))"
+    rates = f"coalesce({_dated_entries('_usual', 'roomRevenue')}, {walked}, array()) as _rates"
+    return found.selectExpr(*[f"`{c}`" for c in df.columns], *fields, rates)
 
 
-def find_for_date(rates: Column, night: Column) -> Column:
-    """First dated entry of the night."""
-    return F.get(F.filter(rates, lambda e: e["day"] == night), F.lit(0))["found"]
+def find_for_date(rates: str, night: str) -> str:
+    """First dated entry of the night, as a found value."""
+    return f"get(filter({rates}, e -> e.day = {night}), 0).found"
 
 
 def remaining_nights(arrival: Column, departure: Column, snapshot_date: Column) -> Column:
@@ -142,19 +130,24 @@ def project_snapshot(df: DataFrame, snapshot_date: date, taken_at: Column | None
     parsed = with_payload_fields(df)
 
     def find(*names: str) -> Column:
-        return F.coalesce(*[S.truthy(F.col(f"_p_{n}")) for n in names])
+        return F.expr("coalesce(" + ", ".join(J.truthy(f"_p_{n}") for n in names) + ")")
 
     def text(name: str) -> Column:
         return F.col(f"_p_{name}")["text"]
 
-    arrival = F.coalesce(F.col("arrival_date"), S.iso_date(text("arrivalDate")))
-    departure = F.coalesce(F.col("departure_date"), S.iso_date(text("departureDate")))
-    nights = F.transform(
-        F.when(departure > arrival, remaining_nights(arrival, departure, F.lit(snapshot_date))),
-        lambda night: F.struct(
-            night.alias("stay_date"), S.truthy(find_for_date(F.col("_rates"), night)).alias("night_revenue")
-        ),
+    def day(found: str) -> Column:
+        return F.expr(S.iso_date(found))
+
+    parsed = parsed.withColumns(
+        {
+            "_arrival": F.coalesce("arrival_date", day("_p_arrivalDate.text")),
+            "_departure": F.coalesce("departure_date", day("_p_departureDate.text")),
+        }
     )
+    left = remaining_nights(F.col("_arrival"), F.col("_departure"), F.lit(snapshot_date))
+    parsed = parsed.withColumn("_left", F.when(F.col("_departure") > F.col("_arrival"), left))
+    priced_night = f"named_struct('stay_date', n, 'night_revenue', {J.truthy(find_for_date('_rates', 'n'))})"
+    nights = F.expr(f"transform(_left, n -> {priced_night})")
     per_reservation = parsed.select(
         F.lit(snapshot_date).alias("snapshot_date"),
         (F.current_timestamp() if taken_at is None else taken_at).alias("snapshot_taken_at"),
@@ -167,11 +160,11 @@ def project_snapshot(df: DataFrame, snapshot_date: date, taken_at: Column | None
         text("sourceCode").alias("source_code"),
         text("channelCode").alias("channel_code"),
         F.coalesce(S.to_text(F.col("reservation_status")), text("reservationStatus")).alias("reservation_status"),
-        S.to_decimal(F.coalesce(find("rooms", "numberOfRooms"), F.lit("1"))).alias("_rooms"),
+        F.coalesce(find("rooms", "numberOfRooms"), F.lit("1")).alias("_rooms_text"),
         find("roomRevenue", "rateAmount").alias("_any_revenue"),
         find("totalRevenue").alias("_total"),
-        S.iso_date(find("createdDate", "createDate")).alias("created_date"),
-        S.iso_date(text("cancelledDate")).alias("cancelled_date"),
+        day(f"coalesce({J.truthy('_p_createdDate')}, {J.truthy('_p_createDate')})").alias("created_date"),
+        day("_p_cancelledDate.text").alias("cancelled_date"),
         "source_updated_at",
         "last_event_id",
         "last_event_at",
@@ -179,12 +172,14 @@ def project_snapshot(df: DataFrame, snapshot_date: date, taken_at: Column | None
         F.coalesce(F.col("raw_payload"), F.lit("{}")).alias("payload"),
         nights.alias("_nights"),
     )
-    nightly = per_reservation.select(
+    nightly = J.fence(per_reservation).select(
         *[c for c in per_reservation.columns if c != "_nights"], F.explode("_nights").alias("_night")
     )
-    revenue = S.to_decimal(F.coalesce(F.col("_night.night_revenue"), F.col("_any_revenue"), F.lit("0")))
-    priced = nightly.withColumn("_revenue", revenue).withColumn(
-        "_total_revenue", F.when(F.col("_total").isNotNull(), S.to_decimal(F.col("_total"))).otherwise(F.col("_revenue"))
+    nightly = nightly.withColumn("_revenue_text", F.coalesce("_night.night_revenue", "_any_revenue", F.lit("0")))
+    priced = nightly.withColumns(
+        {"_rooms": F.expr(S.to_decimal("_rooms_text")), "_revenue": F.expr(S.to_decimal("_revenue_text"))}
+    ).withColumn(
+        "_total_revenue", F.when(F.col("_total").isNotNull(), F.expr(S.to_decimal("_total"))).otherwise(F.col("_revenue"))
     )
     unreadable = F.col("_rooms").isNull() | F.col("_revenue").isNull() | F.col("_total_revenue").isNull()
     return priced.select(

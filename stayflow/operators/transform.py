@@ -2,114 +2,111 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions import jsontree as J
 from stayflow.functions import scalars as S
 
 
-def _filled(value: Column) -> Column:
-    """A JSON value, or null when it is missing, empty, zero or false."""
-    return S.keep(value, lambda v: S.truthy(J.found_value(v)).isNotNull())
+def _first_filled(doc: str, names: list[str], *fallback: str) -> str:
+    return "coalesce(" + ", ".join([*[J.filled(J.member(doc, f"$.{n}")) for n in names], *fallback]) + ")"
 
 
-def _root(doc: Column, *names: str) -> Column:
-    """The first filled member of ``names``, else the document; a list stands for its first element."""
-    chosen = F.coalesce(*[_filled(F.try_variant_get(doc, f"$.{n}", "variant")) for n in names], doc)
-    return S.bind(chosen, lambda v: F.when(J.is_list(v), F.get(J.items(v), F.lit(0))).otherwise(v))
+def _rooted(df: DataFrame, payload: str, *names: str) -> DataFrame:
+    """Add ``_root``: the first filled member of ``names``, else the document; a list stands for its first element."""
+    doc = df.selectExpr("*", f"{J.parse(payload)} as _doc")
+    chosen = _first_filled("_doc", list(names), "_doc")
+    return doc.selectExpr("*", J.bind(chosen, lambda b: f"if({J.is_list(b)}, get({J.items(b)}, 0), {b})") + " as _root")
 
 
-def _pick(root: Column, *names: str) -> Column:
-    """First filled member; the last one is taken as it is, as a chain of alternatives would."""
-    *early, last = names
-    tail = J.text_at(root, f"$.{last}")
-    return F.coalesce(*[S.truthy(J.value_at(root, f"$.{n}")) for n in early], tail) if early else tail
+def _pick(root: str, *names: str) -> str:
+    """First truthy member; the last one is taken as it is, as a chain of alternatives would."""
+    *early, last = [f"$.{n}" for n in names]
+    tail = J.text_at(root, last)
+    return f"coalesce({', '.join([J.truthy(J.value_at(root, p)) for p in early])}, {tail})" if early else tail
 
 
-def _rooted(df: DataFrame, payload: str, *names: str) -> DataFrame:
-    doc = df.withColumn("_doc", J.parse(F.col(payload)))
-    return doc.withColumn("_root", _root(F.col("_doc"), *names))
+def _date(root: str, name: str) -> str:
+    return S.iso_date(_pick(root, name))
+
+
+def _updated(root: str) -> str:
+    return J.bind(_pick(root, "lastModifyDateTime", "updateDate"), S.iso_timestamp) + " as source_updated_at"
+
+
+def _kept(df: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in df.columns]
+
+
+def _fenced(df: DataFrame, *columns: str) -> DataFrame:
+    return J.fence(df.selectExpr(*columns))
 
 
 def transform_reservation(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Reservation response to a core row; ``resource_id`` is the routed identifier."""
     rooted = _rooted(df, payload, "reservation", "reservations")
-    root, routed = F.col("_root"), F.col("resource_id")
-    id_list = J.items(F.try_variant_get(root, "$.reservationIdList", "variant"))
-    listed = F.coalesce(
-        S.truthy(J.value_at(root, "$.reservationId")), J.text_at(F.get(id_list, F.lit(0)), "$.id"), routed
-    )
-    return rooted.select(
-        *df.columns,
-        F.when(id_list.isNotNull(), listed).otherwise(routed).alias("reservation_id"),
-        _pick(root, "confirmationNo", "confirmationNumber").alias("confirmation_no"),
-        S.iso_date(_pick(root, "arrivalDate")).alias("arrival_date"),
-        S.iso_date(_pick(root, "departureDate")).alias("departure_date"),
-        _pick(root, "reservationStatus", "status").alias("reservation_status"),
-        S.iso_timestamp(_pick(root, "lastModifyDateTime", "updateDate")).alias("source_updated_at"),
+    ids = J.items(J.member("_root", "$.reservationIdList"))
+    listed = f"coalesce({J.truthy_at('_root', '$.reservationId')}, {J.text_at(f'get({ids}, 0)', '$.id')}, resource_id)"
+    return _fenced(
+        rooted,
+        *_kept(df),
+        f"if({ids} is not null, {listed}, resource_id) as reservation_id",
+        f"{_pick('_root', 'confirmationNo', 'confirmationNumber')} as confirmation_no",
+        f"{_date('_root', 'arrivalDate')} as arrival_date",
+        f"{_date('_root', 'departureDate')} as departure_date",
+        f"{_pick('_root', 'reservationStatus', 'status')} as reservation_status",
+        _updated("_root"),
     )
 
 
 def transform_profile(df: DataFrame, payload: str = "payload") -> DataFrame:
     rooted = _rooted(df, payload, "profile", "profiles")
-    root = F.col("_root")
-    person = F.get(J.items(F.try_variant_get(root, "$.customer.personName", "variant")), F.lit(0))
-    mails = F.coalesce(*[_filled(F.try_variant_get(root, f"$.{n}", "variant")) for n in ("emails", "emailInfo")])
-    first_mail = F.get(J.items(mails), F.lit(0))
-    email = F.when(J.entries(first_mail).isNotNull(), _pick(first_mail, "email", "emailAddress")).otherwise(
-        _pick(root, "email")
-    )
-    return rooted.select(
-        *df.columns,
-        F.coalesce(
-            S.truthy(J.value_at(root, "$.profileId")), S.truthy(J.value_at(root, "$.id")), F.col("resource_id")
-        ).alias("profile_id"),
-        _pick(root, "profileType", "type").alias("profile_type"),
-        F.coalesce(S.truthy(J.value_at(person, "$.givenName")), J.text_at(root, "$.firstName")).alias("first_name"),
-        F.coalesce(S.truthy(J.value_at(person, "$.surname")), J.text_at(root, "$.lastName")).alias("last_name"),
-        email.alias("email"),
-        S.iso_timestamp(_pick(root, "lastModifyDateTime", "updateDate")).alias("source_updated_at"),
+    mails = _first_filled("_root", ["emails", "emailInfo"])
+    people = J.items(J.member("_root", "$.customer.personName"))
+    parts = rooted.selectExpr("*", f"get({J.items(mails)}, 0) as _mail", f"get({people}, 0) as _person")
+    return _fenced(
+        parts,
+        *_kept(df),
+        f"coalesce({J.truthy_at('_root', '$.profileId', '$.id')}, resource_id) as profile_id",
+        f"{_pick('_root', 'profileType', 'type')} as profile_type",
+        f"coalesce({J.truthy_at('_person', '$.givenName')}, {J.text_at('_root', '$.firstName')}) as first_name",
+        f"coalesce({J.truthy_at('_person', '$.surname')}, {J.text_at('_root', '$.lastName')}) as last_name",
+        f"if({J.is_object('_mail')}, {_pick('_mail', 'email', 'emailAddress')}, {_pick('_root', 'email')}) as email",
+        _updated("_root"),
     )
 
 
 def transform_folios(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Folio response to one row per folio; a folio without id is named by its 1-based place."""
-    doc = df.withColumn("_doc", J.parse(F.col(payload)))
-    chosen = F.coalesce(
-        *[_filled(F.try_variant_get("_doc", f"$.{n}", "variant")) for n in ("folios", "folio", "items")]
-    )
-    listed = S.bind(chosen, lambda v: F.coalesce(J.items(v), F.when(J.is_object(v), F.array(v))))
-    each = doc.select(*df.columns, F.posexplode(listed).alias("_pos", "_folio"))
-    each = each.where(J.entries(F.col("_folio")).isNotNull())
-    folio = F.col("_folio")
-    return each.select(
-        *df.columns,
-        F.col("resource_id").alias("reservation_id"),
-        F.coalesce(
-            S.truthy(J.value_at(folio, "$.folioId")),
-            S.truthy(J.value_at(folio, "$.id")),
-            (F.col("_pos") + 1).cast("string"),
-        ).alias("folio_id"),
-        _pick(folio, "folioNo", "folioNumber").alias("folio_no"),
-        _pick(folio, "balance", "balanceAmount").try_cast(S.MONEY).alias("balance_amount"),
-        _pick(folio, "currencyCode", "currency").alias("currency_code"),
-        S.iso_timestamp(_pick(folio, "lastModifyDateTime", "updateDate")).alias("source_updated_at"),
+    doc = df.selectExpr("*", f"{J.parse(payload)} as _doc")
+    chosen = _first_filled("_doc", ["folios", "folio", "items"])
+    listed = J.bind(chosen, lambda b: f"coalesce({J.items(b)}, case when {J.is_object(b)} then array({b}) end)")
+    each = doc.selectExpr(*_kept(df), f"posexplode({listed}) as (_pos, _folio)").where(J.is_object("_folio"))
+    return _fenced(
+        each,
+        *_kept(df),
+        "resource_id as reservation_id",
+        f"coalesce({J.truthy_at('_folio', '$.folioId', '$.id')}, cast(_pos + 1 as string)) as folio_id",
+        f"{_pick('_folio', 'folioNo', 'folioNumber')} as folio_no",
+        f"try_cast({_pick('_folio', 'balance', 'balanceAmount')} as {S.MONEY}) as balance_amount",
+        f"{_pick('_folio', 'currencyCode', 'currency')} as currency_code",
+        _updated("_folio"),
     )
 
 
 def transform_transaction(df: DataFrame, payload: str = "payload") -> DataFrame:
     rooted = _rooted(df, payload, "transaction", "transactionDetails")
-    root = F.col("_root")
-    return rooted.select(
-        *df.columns,
-        F.coalesce(S.truthy(J.value_at(root, "$.transactionNo")), F.col("resource_id")).alias("transaction_no"),
-        _pick(root, "reservationId", "resvNameId").alias("reservation_id"),
-        _pick(root, "folioId").alias("folio_id"),
-        _pick(root, "amount", "grossAmount").try_cast(S.MONEY).alias("amount"),
-        _pick(root, "currencyCode", "currency").alias("currency_code"),
-        _pick(root, "transactionCode", "trxCode").alias("transaction_code"),
-        S.iso_timestamp(_pick(root, "lastModifyDateTime", "updateDate")).alias("source_updated_at"),
+    return _fenced(
+        rooted,
+        *_kept(df),
+        f"coalesce({J.truthy_at('_root', '$.transactionNo')}, resource_id) as transaction_no",
+        f"{_pick('_root', 'reservationId', 'resvNameId')} as reservation_id",
+        f"{_pick('_root', 'folioId')} as folio_id",
+        f"try_cast({_pick('_root', 'amount', 'grossAmount')} as {S.MONEY}) as amount",
+        f"{_pick('_root', 'currencyCode', 'currency')} as currency_code",
+        f"{_pick('_root', 'transactionCode', 'trxCode')} as transaction_code",
+        _updated("_root"),
     )
 
 

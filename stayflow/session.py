@@ -23,7 +23,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName("stayflow").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.ui.showConsoleProgress", "false")
+    builder = SparkSession.builder.master(master).appName("stayflow").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.functions import jsontree as J
@@ -23,42 +23,37 @@ def extract_payloads(df: DataFrame, col: str, out: str = "body") -> DataFrame:
     ``data.newEvent`` object, else ``data.businessEvents``, else the frame
     itself; a list gives a row per object in it, anything else gives none.
     """
-    doc = df.withColumn("_frame", J.parse(F.col(col)))
-    frame = F.col("_frame")
-    single = F.try_variant_get(frame, "$.data.newEvent", "variant")
-    many = F.try_variant_get(frame, "$.data.businessEvents", "variant")
+    doc = df.selectExpr("*", f"{J.parse(col)} as _frame").where(J.is_object("_frame"))
+    single = J.member("_frame", "$.data.newEvent")
+    many = J.member("_frame", "$.data.businessEvents")
     # JSON null is as good as absent here.
-    many_kind = F.coalesce(F.schema_of_variant(many), F.lit("VOID"))
-    other = F.when(many_kind == "VOID", frame).otherwise(many)
-    as_rows = F.when(J.is_object(single), F.array(single)).otherwise(
-        F.coalesce(F.filter(J.items(other), J.is_object), F.when(J.is_object(other), F.array(other)))
-    )
-    kept = [c for c in df.columns if c != out]
-    return doc.where(J.is_object(frame)).select(*kept, F.explode(as_rows).alias("_event")).select(
-        *kept, F.to_json("_event").alias(out)
+    absent = f"coalesce(schema_of_variant({many}), 'VOID') = 'VOID'"
+    other = J.bind(
+        f"if({absent}, _frame, {many})",
+        lambda b: f"coalesce(filter({J.items(b)}, x -> {J.is_object('x')}), case when {J.is_object(b)} then array({b}) end)",
     )
+    rows = f"if({J.is_object(single)}, array({single}), {other})"
+    kept = [f"`{c}`" for c in df.columns if c != out]
+    return doc.selectExpr(*kept, f"explode({rows}) as _event").selectExpr(*kept, f"to_json(_event) as {out}")
 
 
 _ENVELOPE = ["unique_event_id", "hotel_id", "module", "action_type", "offset"]
+_REQUIRED = ["unique_event_id", "hotel_id", "occurred_at", "payload"]
 
 
 def _envelope(df: DataFrame, col: str) -> DataFrame:
-    doc = df.withColumn("_doc", J.parse(F.col(col)))
-    payload = F.try_variant_get("_doc", "$.payload", "variant")
-    return doc.select(
-        *df.columns,
-        *[J.text_at(F.col("_doc"), f"$.{n}").alias(n) for n in _ENVELOPE],
-        S.iso_timestamp(J.text_at(F.col("_doc"), "$.occurred_at")).alias("occurred_at"),
-        F.to_json(payload).alias("payload"),
-        _complete(F.col("_doc")).alias("_complete"),
+    doc = df.selectExpr("*", f"{J.parse(col)} as _doc").selectExpr("*", f"{J.entries('_doc')} as _members")
+    moment = J.bind(J.text_at("_doc", "$.occurred_at"), S.iso_timestamp)
+    present = " and ".join(f"map_contains_key(_members, '{n}')" for n in _REQUIRED)
+    read = doc.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[f"{J.text_at('_doc', '$.' + n)} as {n}" for n in _ENVELOPE],
+        f"{moment} as occurred_at",
+        f"to_json({J.member('_doc', '$.payload')}) as payload",
+        f"{present} as _present",
     )
-
-
-def _complete(doc: Column) -> Column:
-    members = J.entries(doc)
-    present = [F.map_contains_key(members, F.lit(n)) for n in ("unique_event_id", "hotel_id", "occurred_at", "payload")]
-    readable = S.iso_timestamp(J.text_at(doc, "$.occurred_at")).isNotNull()
-    return F.coalesce(present[0] & present[1] & present[2] & present[3] & readable, F.lit(False))
+    complete = F.expr("coalesce(_present and occurred_at is not null, false)")
+    return J.fence(read.withColumn("_complete", complete).drop("_present"))
 
 
 def read_queue_messages(df: DataFrame, col: str = "body") -> DataFrame:

@@ -56,10 +56,10 @@ def test_search_equals_plain_recursion(spark):
             docs.append(doc)
     fields = {"one": ["id"], "two": ["kind", "x"], "three": NAMES}
     rows = [(i, json.dumps(d)) for i, d in enumerate(docs)]
-    df = spark.createDataFrame(rows, "n int, j string").withColumn("doc", J.parse(F.col("j")))
+    df = spark.createDataFrame(rows, "n int, j string").withColumn("doc", F.expr(J.parse("j")))
     df = df.withColumn("canon", F.to_json("doc"))
     got = J.search_fields(df, "doc", "canon", fields).withColumn(
-        "direct", J.find_first(F.col("doc"), F.col("canon"), NAMES)
+        "direct", F.expr(J.find_first("doc", "canon", NAMES))
     )
     for row in got.collect():
         doc = docs[row.n]
@@ -74,18 +74,18 @@ def test_search_has_no_depth_limit(spark):
     for _ in range(60):
         doc = {"n": [doc]}
     deep = {"a": doc, "b": {"id": "shallow"}}
-    df = spark.createDataFrame([(json.dumps(deep),)], "j string").withColumn("doc", J.parse(F.col("j")))
+    df = spark.createDataFrame([(json.dumps(deep),)], "j string").withColumn("doc", F.expr(J.parse("j")))
     df = df.withColumn("canon", F.to_json("doc"))
     assert J.search_fields(df, "doc", "canon", {"f": ["id"]}).first().f.text == "deep"
 
 
 @pytest.mark.parametrize("bad", ["nope", "3", '"s"'])
 def test_search_of_non_documents_is_null(spark, bad):
-    df = spark.createDataFrame([(bad,)], "j string").withColumn("doc", J.parse(F.col("j")))
+    df = spark.createDataFrame([(bad,)], "j string").withColumn("doc", F.expr(J.parse("j")))
     df = df.withColumn("canon", F.to_json("doc"))
     assert J.search_fields(df, "doc", "canon", {"f": ["id"]}).first().f is None
 
 
 def test_canonical_json_sorts_and_compacts(spark):
     df = spark.createDataFrame([('{"b": 2, "a": 1}',), ('{"a":1,"b":2}',)], "j string")
-    assert {r[0] for r in df.select(J.canonical_json(F.col("j"))).collect()} == {'{"a":1,"b":2}'}
+    assert {r[0] for r in df.selectExpr(J.canonical_json("j")).collect()} == {'{"a":1,"b":2}'}
