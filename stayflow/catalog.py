@@ -473,7 +473,7 @@ def raw_record(spark, sf):
 
 def _positions(spark: SparkSession, sf: str) -> DataFrame:
     return X.table(spark, sf, "events").selectExpr(
-        "event_type as chain_code", "cast(event_id as string) as offset", "concat('evt-', cast(event_id % 9000 as string)) as unique_event_id", "event_id as seq", "user_id"
+        "event_type as chain_code", "cast(event_id as string) as offset", "concat('evt-', cast(event_id % 9000 as string)) as unique_event_id", "event_id as seq", "ts"
     )
 
 
@@ -485,7 +485,7 @@ def commit_offset(spark, sf):
 @query
 def replay_from(spark, sf):
     rows = _positions(spark, sf)
-    saved = messaging.commit_offset(rows.where("user_id < 50"))
+    saved = messaging.commit_offset(rows.where("ts < timestamp_ntz'2024-01-15 00:00:00'"))
     return sources.replay_from(rows, "view", saved).select("chain_code", "offset")
 
 
@@ -580,11 +580,18 @@ def apply_defaults(spark, sf):
 # ---- streaming -----------------------------------------------------------------------
 
 
-def _landed(df: DataFrame, label: str) -> tuple[str, DataFrame]:
-    """Write the input as files and open them as a stream of several micro-batches."""
+def _landed(df: DataFrame, label: str, parts: int = 4) -> tuple[str, DataFrame]:
+    """Land the input in arrival order, one write after the other, and open it as a stream.
+
+    Each write makes two files and each micro-batch takes two, so the batches
+    are the writes.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.repartitionByRange(4, "seq").write.parquet(f"{path}/in")
+    last = df.select(F.max("seq")).scalar()
+    dealt = df.withColumn("_part", F.floor(F.col("seq") * parts / (last + 1)))
+    for part in range(parts):
+        dealt.where(F.col("_part") == part).drop("_part").repartition(2).write.mode("append").parquet(f"{path}/in")
     return path, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
 
 
@@ -607,7 +614,7 @@ def stream_latest_state(spark, sf):
 
 @query
 def stream_events(spark, sf):
-    path, stream = _landed(X.frames(spark, sf).selectExpr("frame as body", "event_id as seq"), "events")
+    path, stream = _landed(X.frames(spark, sf).selectExpr("frame as body", "event_id as seq"), "events", 2)
     jobs.stream_events(stream, path, f"{path}/cp", received_at=_late()).awaitTermination()
     rows = spark.read.parquet(f"{path}/events")
     return rows.select("unique_event_id", "hotel_id", "module", "action_type", "occurred_at")
@@ -617,7 +624,7 @@ def stream_events(spark, sf):
 def stream_enrich(spark, sf):
     """Messages through the whole enrichment; the event log by state and route."""
     messages = X.event_bodies(spark, sf).selectExpr("cast(event_id as string) as message_id", "body", "seq", "5 as receive_count")
-    path, stream = _landed(messages, "enrich")
+    path, stream = _landed(messages, "enrich", 2)
     jobs.stream_enrich(stream, X.landed_responses(spark, sf), f"{path}/out", f"{path}/cp", _late()).awaitTermination()
     log = enrichment.read_event_log(spark, f"{path}/out")
     return log.groupBy("module_name", "status").agg(F.count("*").alias("events"), F.sum("retry_count").alias("failures"))

@@ -190,14 +190,17 @@ def mentions(text: str, names: Sequence[str]) -> str:
     return f"coalesce(regexp_count({text}, {quoted(_key_pattern(names))}), 0)"
 
 
-def fence(df: DataFrame) -> DataFrame:
+def fence(df: DataFrame, *passing: str) -> DataFrame:
     """Let no filter on the columns worked out so far slip below the work.
 
-    Pushed down, it would repeat the whole computation of its column, at every
-    projection it passes. The always-true test is one Spark cannot move or
-    drop; unused columns are still pruned below it.
+    Pushed down, it would repeat the whole computation of its column, once more
+    at every projection it passes. Spark moves no filter below a projection
+    that numbers its rows, and unused columns are still pruned. Columns in
+    ``passing`` stay plain.
     """
-    return df.where("monotonically_increasing_id() >= 0")
+    return df.selectExpr(
+        *[f"`{c}`" if c in passing else f"if(monotonically_increasing_id() >= 0, `{c}`, null) as `{c}`" for c in df.columns]
+    )
 
 
 def search_fields(df: DataFrame, doc: str, text: str, fields: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -236,6 +239,6 @@ def search_fields(df: DataFrame, doc: str, text: str, fields: Mapping[str, Seque
         deep = f"case when _m_{f} then {first_of('_hits', names)} end"
         return f"cast(coalesce(_w_{f}, {single}, {deep}) as {FOUND}) as {f}"
 
-    return fence(walked.selectExpr(*kept, *[answer(f, names) for f, names in fields.items()]))
+    return fence(walked.selectExpr(*kept, *[answer(f, names) for f, names in fields.items()]), *df.columns)
 
 

@@ -115,4 +115,4 @@ def process_outcome(df: DataFrame) -> DataFrame:
     )
     shown = decided.withColumn("outcome", outcome).withColumn("error", error)
     delay = F.when(F.col("outcome") == "RETRY", F.coalesce("visible_in", S.retry_visibility(F.lit(None).cast("int"))))
-    return fence(shown.withColumn("visible_in", delay))
+    return fence(shown.withColumn("visible_in", delay), *df.columns)

@@ -102,7 +102,7 @@ def parse_event_v1(df: DataFrame, json_col: str, received_at: Column) -> DataFra
         f"{J.truthy('_offset')} as stream_offset",
         f"{json_col} as payload",
     )
-    return J.fence(parsed)
+    return J.fence(parsed, *df.columns)
 
 
 def event_details(doc: str, text: str) -> str:
@@ -173,7 +173,7 @@ def parse_business_event(df: DataFrame, json_col: str, received_at: Column) -> D
         f"{event_metadata('_doc')} as metadata",
         "_payload as payload",
     )
-    return J.fence(parsed)
+    return J.fence(parsed, *df.columns)
 
 
 def with_delete_flag(df: DataFrame) -> DataFrame:

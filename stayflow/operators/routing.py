@@ -100,7 +100,7 @@ def resolve_identifier(df: DataFrame) -> DataFrame:
     for name in IDENTIFIER_NAMES:
         deep = F.when(kind == name, F.col(f"_p_{name}")["text"]).otherwise(deep)
     resolved = found.withColumn("resource_id", F.coalesce("_direct", deep, F.when(kind == "primaryKey", key)))
-    return J.fence(resolved.select(*df.columns, "resource_id"))
+    return J.fence(resolved.select(*df.columns, "resource_id"), *df.columns)
 
 
 def with_request_path(df: DataFrame) -> DataFrame:

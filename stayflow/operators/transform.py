@@ -40,7 +40,7 @@ def _kept(df: DataFrame) -> list[str]:
 
 
 def _fenced(df: DataFrame, *columns: str) -> DataFrame:
-    return J.fence(df.selectExpr(*columns))
+    return J.fence(df.selectExpr(*columns), *df.columns)
 
 
 def transform_reservation(df: DataFrame, payload: str = "payload") -> DataFrame:

@@ -53,7 +53,7 @@ def _envelope(df: DataFrame, col: str) -> DataFrame:
         f"{present} as _present",
     )
     complete = F.expr("coalesce(_present and occurred_at is not null, false)")
-    return J.fence(read.withColumn("_complete", complete).drop("_present"))
+    return J.fence(read.withColumn("_complete", complete).drop("_present"), *df.columns)
 
 
 def read_queue_messages(df: DataFrame, col: str = "body") -> DataFrame:
