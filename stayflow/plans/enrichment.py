@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stayflow.functions import scalars as S
 from stayflow.operators import merge as M
@@ -30,7 +31,8 @@ from stayflow.schemas import (
 from stayflow.session import materialize
 from stayflow.sources.tables import path_exists, read_current, touched, write_changes
 
-MESSAGE_COLUMNS = ["message_id", "body", "seq", "receive_count"]
+MESSAGE = StructType().add("message_id", "string").add("body", "string").add("seq", "long").add("receive_count", "int")
+MESSAGE_COLUMNS = MESSAGE.fieldNames()
 MAX_ATTEMPTS = 5
 _TRANSFORMS = {
     "reservation": T.transform_reservation,
@@ -114,7 +116,8 @@ def pending_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame |
     path = f"{root}/pending"
     if not path_exists(spark, path):
         return None
-    left = spark.read.parquet(path).where(F.col("batch_id") == batch_id - 1)
+    stored = spark.read.schema(StructType([*MESSAGE.fields, StructField("batch_id", LongType())])).parquet(path)
+    left = stored.where(F.col("batch_id") == batch_id - 1)
     return left.withColumn("receive_count", F.col("receive_count") + 1).select(*MESSAGE_COLUMNS)
 
 
@@ -124,7 +127,7 @@ def enrich_batch(
     """Process one batch of messages against the tables under ``root``."""
     spark = messages.sparkSession
     waiting = pending_before(spark, root, batch_id)
-    queue = messages.select(*MESSAGE_COLUMNS)
+    queue = messages.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MESSAGE.fields])
     if waiting is not None:
         queue = waiting.unionByName(queue)
     # Read by every sink below, so it is written once to the shared folder.
