@@ -25,13 +25,13 @@ from stayflow.schemas import (
     CORE_SCHEMAS,
     EVENT_LOG,
     EVENT_LOG_KEY,
+    MESSAGE,
     RESOURCE_SNAPSHOT,
     RESOURCE_SNAPSHOT_KEY,
 )
 from stayflow.session import materialize
 from stayflow.sources.tables import path_exists, read_current, touched, write_changes
 
-MESSAGE = StructType().add("message_id", "string").add("body", "string").add("seq", "long").add("receive_count", "int")
 MESSAGE_COLUMNS = MESSAGE.fieldNames()
 MAX_ATTEMPTS = 5
 _TRANSFORMS = {

@@ -64,6 +64,8 @@ RESOURCE_SNAPSHOT = _table(
     " operation_id string, fetched_at timestamp, payload string"
 )
 
+MESSAGE = _table("message_id string, body string, seq bigint, receive_count int")
+
 _TAIL = (
     " source_updated_at timestamp, last_event_id string, last_event_at timestamp,"
     " created_at timestamp, updated_at timestamp, deleted_at timestamp"
