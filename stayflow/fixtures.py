@@ -57,7 +57,7 @@ def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def core_reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same reservations in the core table's shape."""
-    r = reservations(spark, sf_dir)
+    r = spread(reservations(spark, sf_dir))
     made = {"source_updated_at": F.col("last_event_at"), "created_at": F.col("last_event_at"), "updated_at": F.col("last_event_at")}
     return r.withColumns(made).select(*RESERVATION.fieldNames())
 

@@ -54,7 +54,7 @@ def malformed(df: DataFrame, json_col: str) -> DataFrame:
 
 def _parsed(df: DataFrame, json_col: str, out: str) -> DataFrame:
     doc = df.where(_opens_object(json_col)).selectExpr("*", f"{J.parse(json_col)} as {out}")
-    return doc.where(f"{out} is not null")
+    return J.fence(doc, *df.columns).where(f"{out} is not null")
 
 
 def _with_doc(df: DataFrame, json_col: str) -> DataFrame:

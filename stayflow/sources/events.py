@@ -23,7 +23,7 @@ def extract_payloads(df: DataFrame, col: str, out: str = "body") -> DataFrame:
     ``data.newEvent`` object, else ``data.businessEvents``, else the frame
     itself; a list gives a row per object in it, anything else gives none.
     """
-    doc = df.selectExpr("*", f"{J.parse(col)} as _frame").where(J.is_object("_frame"))
+    doc = J.fence(df.selectExpr("*", f"{J.parse(col)} as _frame"), *df.columns).where(J.is_object("_frame"))
     single = J.member("_frame", "$.data.newEvent")
     many = J.member("_frame", "$.data.businessEvents")
     # JSON null is as good as absent here.
