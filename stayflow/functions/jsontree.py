@@ -213,9 +213,16 @@ def search_fields(df: DataFrame, doc: str, text: str, fields: Mapping[str, Seque
     kept = [f"`{c}`" for c in df.columns]
     # Every place a name is a key, with its value if that is a plain scalar and '' if not.
     plain_value = r'\s*("[^"\\]*"|[^\s",}\]\[{]*)'
-    places = [
-        f"regexp_extract_all({text}, {quoted(_key_pattern(names) + plain_value)}, 1) as _a_{f}" for f, names in fields.items()
-    ]
+
+    def all_places(names: Sequence[str]) -> str:
+        every_place = f"regexp_extract_all({text}, {quoted(_key_pattern(names) + plain_value)}, 1)"
+        if len(names) > 2:
+            return every_place
+        # Few names: a plain substring test rules most texts out before the pattern runs.
+        seen = " or ".join("contains({}, {})".format(text, quoted(f'"{n}"')) for n in names)
+        return f"case when {seen} then {every_place} when {text} is not null then cast(array() as array<string>) end"
+
+    places = [f"{all_places(names)} as _a_{f}" for f, names in fields.items()]
     # A key spelled with \u escapes is not seen by the pattern.
     listed = df.selectExpr("*", f"contains({text}, {quoted(chr(92) + 'u')}) as _escaped", *places)
     only = [f"case when size(_a_{f}) = 1 then get(_a_{f}, 0) end as _o_{f}" for f in fields]
