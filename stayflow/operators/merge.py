@@ -51,6 +51,8 @@ def new_events(log: DataFrame, batch: DataFrame, seq: str = "seq", cut=materiali
     chains, because a row that did not enter blocks nobody.
     """
     slotted = batch.withColumn("_slot", _slot(F.col("unique_event_id")))
+    # Copies share both groups, so they share the fate of the first of them.
+    slotted = first_arrivals(slotted, ["unique_event_id", "_slot"], seq)
     taken = log.select("unique_event_id", _slot(F.col("unique_event_id")).alias("_slot"))
     open_rows = slotted.join(taken.select("unique_event_id"), "unique_event_id", "left_anti").join(
         taken.select("_slot"), "_slot", "left_anti"

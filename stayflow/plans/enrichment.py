@@ -29,8 +29,8 @@ from stayflow.schemas import (
     RESOURCE_SNAPSHOT,
     RESOURCE_SNAPSHOT_KEY,
 )
-from stayflow.session import materialize
-from stayflow.sources.tables import path_exists, read_current, touched, write_changes
+from stayflow.session import scratch
+from stayflow.sources.tables import path_exists, read_current, write_changes
 
 MESSAGE_COLUMNS = MESSAGE.fieldNames()
 MAX_ATTEMPTS = 5
@@ -125,25 +125,33 @@ def enrich_batch(
     messages: DataFrame, responses: DataFrame, root: str, batch_id: int, applied_at: Column, max_attempts: int = MAX_ATTEMPTS
 ) -> None:
     """Process one batch of messages against the tables under ``root``."""
+    with scratch(messages.sparkSession) as cut:
+        _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut)
+
+
+def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut) -> None:
     spark = messages.sparkSession
     waiting = pending_before(spark, root, batch_id)
     queue = messages.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MESSAGE.fields])
     if waiting is not None:
         queue = waiting.unionByName(queue)
     # Read by every sink below, so it is written once to the shared folder.
-    decided = materialize(decide(queue, responses, applied_at, max_attempts), "decided")
+    decided = cut(decide(queue, responses, applied_at, max_attempts), "decided")
     grouped = decided.withColumn("group_id", F.coalesce(S.to_text(F.col("hotel_id")), F.lit("default")))
     prefix = fifo_prefix(grouped, "group_id", "seq", "done")
 
-    log = read_current(spark, f"{root}/event_log", EVENT_LOG_KEY, EVENT_LOG, before=batch_id)
     registering = prefix.where("outcome <> 'RETRY'").withColumn("stream_offset", F.col("offset"))
-    entered = M.new_events(log, _log_rows(registering, applied_at))
+    # An event keeps its id and position for good, so either may narrow the log down.
+    claims = [registering.select("unique_event_id"), registering.select("chain_code", "stream_offset")]
+    log = read_current(spark, f"{root}/event_log", EVENT_LOG_KEY, EVENT_LOG, batch_id, claims)
+    entered = M.new_events(log, _log_rows(registering, applied_at), cut=cut)
     known = M.register_events(log, registering, entered)
-    flagged = materialize(mark_duplicates(known), "flagged")
+    flagged = cut(mark_duplicates(known), "flagged")
     handled = flagged.where("not deduplicated")
 
     outcomes = handled.select("unique_event_id", "seq", "outcome", "error", applied_at.alias("at"))
-    rows = touched(log, handled, EVENT_LOG_KEY).unionByName(entered.select(*EVENT_LOG.fieldNames()))
+    mine = log.join(handled.select(*EVENT_LOG_KEY).distinct(), EVENT_LOG_KEY, "left_semi")
+    rows = mine.unionByName(entered.select(*EVENT_LOG.fieldNames()))
     write_changes(M.event_outcomes(rows, outcomes), f"{root}/event_log", batch_id)
 
     fetched = handled.where("outcome in ('COMPLETED', 'DELETED')")
@@ -159,14 +167,15 @@ def enrich_batch(
         F.when(gone, F.col("payload")).otherwise(F.col("response")).alias("payload"),
         "seq",
     )
-    stored = read_current(spark, f"{root}/resource_snapshot", RESOURCE_SNAPSHOT_KEY, RESOURCE_SNAPSHOT, before=batch_id)
-    merged = M.upsert_resource_snapshot(touched(stored, snapshots, RESOURCE_SNAPSHOT_KEY), snapshots)
+    wanted = [snapshots.select(*RESOURCE_SNAPSHOT_KEY)]
+    stored = read_current(spark, f"{root}/resource_snapshot", RESOURCE_SNAPSHOT_KEY, RESOURCE_SNAPSHOT, batch_id, wanted)
+    merged = M.upsert_resource_snapshot(stored, snapshots)
     write_changes(merged, f"{root}/resource_snapshot", batch_id)
 
     for kind, schema in CORE_SCHEMAS.items():
         path, keys = f"{root}/core_{kind}", CORE_KEYS[kind]
         ops = core_operations(fetched, kind, applied_at)
-        current = touched(read_current(spark, path, keys, schema, before=batch_id), ops, keys)
+        current = read_current(spark, path, keys, schema, batch_id, [ops.select(*keys)])
         state = M.merge_core(current, ops, keys, CORE_ATTRIBUTES[kind])
         write_changes(state.select(*schema.fieldNames()), path, batch_id)
 

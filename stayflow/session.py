@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,13 +56,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, label: str = "cut"):
+def materialize(df: DataFrame, label: str = "cut", path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written files outlive any executor, so later stages never recompute
     the lineage behind them.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """``materialize`` for the length of a batch: what it wrote is removed at the end."""
+    root = scratch_path(spark, "batch")
+    count = iter(range(1_000_000))
+
+    def cut(df: DataFrame, label: str = "cut") -> DataFrame:
+        return materialize(df, path=f"{root}/{next(count)}-{label}")
+
+    try:
+        yield cut
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(root)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

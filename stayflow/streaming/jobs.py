@@ -17,9 +17,9 @@ from stayflow.operators import merge as M
 from stayflow.operators.messaging import commit_offset, to_raw_record, write_raw_events
 from stayflow.operators.parse import parse_event_v1
 from stayflow.plans.enrichment import enrich_batch
-from stayflow.session import materialize
+from stayflow.session import scratch
 from stayflow.sources.events import extract_payloads
-from stayflow.sources.tables import read_current, touched, write_changes
+from stayflow.sources.tables import read_current, write_changes
 
 
 def start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -34,7 +34,7 @@ def stream_dedup(stream: DataFrame, key: list[str], root: str, checkpoint: str,
     schema = stream.schema
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        stored = read_current(batch.sparkSession, root, key, schema, before=batch_id)
+        stored = read_current(batch.sparkSession, root, key, schema, batch_id, [batch.select(*key)])
         write_changes(M.insert_if_absent(stored, batch, key, seq), root, batch_id)
 
     return start(stream, each, checkpoint, every)
@@ -54,7 +54,7 @@ def stream_latest_state(
     """Latest state per key under the age guard; each batch rewrites only the keys it touches."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        current = touched(read_current(batch.sparkSession, root, keys, schema, before=batch_id), batch, keys)
+        current = read_current(batch.sparkSession, root, keys, schema, batch_id, [batch.select(*keys)])
         state = M.merge_core(current, batch, keys, attributes)
         write_changes(state.select(*schema.fieldNames()), root, batch_id)
 
@@ -82,10 +82,12 @@ def stream_events(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         at = F.current_timestamp() if received_at is None else received_at
         events = parse_event_v1(extract_payloads(batch, frame, "event"), "event", at)
-        parsed = materialize(events.drop("event"), "events")
+        with scratch(batch.sparkSession) as cut:
+            store(cut(events.drop("event"), "events"), batch_id, at)
+
+    def store(parsed: DataFrame, batch_id: int, at: Column) -> None:
         records = to_raw_record(parsed, at)
         # A replayed batch replaces its own archive folder.
         write_raw_events(records, f"{root}/raw/batch_id={batch_id}", mode="overwrite")
@@ -93,7 +95,7 @@ def stream_events(
             "unique_event_id", "hotel_id", "module", "action_type", "occurred_at", at.alias("received_at"), "stream_offset", "payload", "seq"
         )
         key = ["unique_event_id"]
-        stored = read_current(spark, f"{root}/events", key, rows.schema, before=batch_id)
+        stored = read_current(parsed.sparkSession, f"{root}/events", key, rows.schema, batch_id, [rows.select(*key)])
         write_changes(M.insert_if_absent(stored, rows, key), f"{root}/events", batch_id)
         position = parsed.withColumn("subscription", F.lit("events")).withColumn("offset", F.col("stream_offset"))
         write_changes(commit_offset(position, "subscription", at=at), f"{root}/offsets", batch_id)
