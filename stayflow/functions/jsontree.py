@@ -195,11 +195,11 @@ def fence(df: DataFrame, *passing: str) -> DataFrame:
 
     Pushed down, it would repeat the whole computation of its column, once more
     at every projection it passes. Spark moves no filter below a projection
-    that numbers its rows, and unused columns are still pruned. Columns in
+    that depends on the task it runs in, and unused columns are still pruned. Columns in
     ``passing`` stay plain.
     """
     return df.selectExpr(
-        *[f"`{c}`" if c in passing else f"if(monotonically_increasing_id() >= 0, `{c}`, null) as `{c}`" for c in df.columns]
+        *[f"`{c}`" if c in passing else f"if(spark_partition_id() >= 0, `{c}`, null) as `{c}`" for c in df.columns]
     )
 
 

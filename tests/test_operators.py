@@ -382,3 +382,28 @@ def test_exact_percentiles(spark):
         for p, got in ((0.5, r.p50_ms), (0.95, r.p95_ms), (0.99, r.p99_ms)):
             assert got == pytest.approx(round(ordered[int((len(ordered) - 1) * p)], 6), abs=1e-9)
         assert r["count"] == len(ordered) and r.max_ms == round(ordered[-1], 6)
+
+
+def test_event_files_batch_and_stream(spark, tmp_path):
+    docs = [{"eventId": f"e{i}", "hotelId": "H"} for i in range(5)]
+    for i, d in enumerate(docs):
+        (tmp_path / f"{i}.json").write_text(json.dumps(d, indent=2))
+    rows = sources.read_event_files(spark, str(tmp_path))
+    assert parse.parse_event_v1(rows, "body", late()).count() == 5
+    stream = sources.read_event_files(spark, str(tmp_path), streaming=True, max_files=2)
+    query = parse.parse_event_v1(stream, "body", late()).writeStream.format("memory").queryName("landed").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {r.unique_event_id for r in spark.table("landed").collect()} == {d["eventId"] for d in docs}
+    (tmp_path / "answers").mkdir()
+    (tmp_path / "answers" / "a.json").write_text(json.dumps({"operation_id": "getProfile", "resource_id": "p", "status_code": 200, "payload": "{}"}))
+    assert sources.read_resource_responses(spark, str(tmp_path / "answers")).first().status_code == 200
+
+
+def test_queue_window_dedup_runs_as_a_stream(spark, tmp_path):
+    from stayflow.streaming.jobs import dedup_within
+
+    spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:01:00"), ("b", "2024-01-01 00:02:00")], "id string, at string").write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id string, at string").json(str(tmp_path / "in"))
+    query = dedup_within(stream, ["id"], "at").writeStream.format("memory").queryName("window").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(r.id for r in spark.table("window").collect()) == ["a", "b"]
