@@ -30,10 +30,9 @@ def _distances() -> np.ndarray:
 _DISTANCE = _distances().ravel()
 
 
-def words_at(data: np.ndarray, places: np.ndarray, offset: int = 0) -> np.ndarray:
-    """The eight bytes from each place on, as numbers whose order is that of the bytes."""
-    every = np.lib.stride_tricks.as_strided(data.view(np.uint8), (len(data) - 7, 8), (1, 1))
-    return np.ascontiguousarray(every[places + offset]).view(">u8").ravel().astype(np.uint64)
+def all_words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, as numbers whose order is that of the bytes."""
+    return np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1)).copy().view(">u8").ravel().astype(np.uint64)
 
 
 def _dense(order: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -43,17 +42,16 @@ def _dense(order: np.ndarray, new: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def cover_ranks(data: np.ndarray, spare: int) -> np.ndarray:
-    """Rank of each cover place among the suffixes of ``data`` without its ``spare`` last bytes; 0 elsewhere.
+def cover_ranks(words: np.ndarray, n: int) -> np.ndarray:
+    """Rank of each cover place among the suffixes of the first ``n`` bytes; 0 elsewhere.
 
     Doubling ends when all ranks differ, so ranks are those of whole suffixes
     and comparisons by them agree with each other.
     """
-    n = len(data) - spare
     places = np.flatnonzero(np.isin(np.arange(n) % PERIOD, COVER))
     ranks = np.zeros(n + PERIOD, np.int64)
     # of suffixes that end within the words, the shorter one is first
-    keys = [*(words_at(data, places, 8 * k) for k in range(_WORDS)), np.minimum(n - places, 8 * _WORDS)]
+    keys = [*(words[places + 8 * k] for k in range(_WORDS)), np.minimum(n - places, 8 * _WORDS)]
     order = np.lexsort(keys[::-1])
     new = np.ones(len(order), bool)
     new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
@@ -118,7 +116,8 @@ def repeated(data: np.ndarray, places: np.ndarray, bucket: np.ndarray, length: i
     """
     if not len(places):
         return np.zeros(0, bool)
-    keys = [words_at(data, places, 8 * k) for k in range(_WORDS)]
+    words = all_words(data)
+    keys = [words[places + 8 * k] for k in range(_WORDS)]
     by = np.lexsort([*keys[::-1], bucket])
     new = np.ones(len(by), bool)
     new[1:] = np.any([bucket[by[1:]] != bucket[by[:-1]], *[k[by[1:]] != k[by[:-1]] for k in keys]], axis=0)
@@ -130,13 +129,13 @@ def repeated(data: np.ndarray, places: np.ndarray, bucket: np.ndarray, length: i
     by, group = by[tied], np.cumsum(new)[tied]
     # suffixes are settled by place, so remember which entry a place was
     slot = np.argsort(places[by], kind="stable")
-    merged = _merge_ties(places[by].copy(), group, cover_ranks(data, length))
+    merged = _merge_ties(places[by].copy(), group, cover_ranks(words, len(data) - length))
     entry = by[slot[np.searchsorted(places[by][slot], merged)]]
     a, b = merged[:-1], merged[1:]
     same = group[1:] == group[:-1]
     for offset in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
         left = np.flatnonzero(same)
-        same[left] = words_at(data, a[left], offset) == words_at(data, b[left], offset)
+        same[left] = words[a[left] + offset] == words[b[left] + offset]
     flagged[entry[:-1][same]] = True
     flagged[entry[1:][same]] = True
     return flagged
