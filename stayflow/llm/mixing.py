@@ -23,7 +23,7 @@ from stayflow.llm.common import SPACED_WORD, word_count
 from stayflow.session import materialize
 
 #: Documents of one key range, about. A memory setting: the mix is the same for any value.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 #: Targets are sent to every task up to this many sources, and joined by shuffle above.
 SOURCES_TO_BROADCAST = 10_000
 KEY_BITS = 48
@@ -79,7 +79,7 @@ def mix_plan(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_p
     repeats, ``epochs`` the times the document starts, ``part`` the words of
     the epoch that the budget ends.
     """
-    return _taken(documents.select("doc_id", "text", "source"), weights, share_pct, max_epochs, seed).drop("text")
+    return _taken(documents.select("doc_id", "text", "source"), weights, share_pct, max_epochs, seed)
 
 
 def _sources(words: DataFrame) -> DataFrame:
@@ -88,8 +88,10 @@ def _sources(words: DataFrame) -> DataFrame:
 
 
 def _taken(rows: DataFrame, weights: tuple[int, ...], share_pct: int, max_epochs: int, seed: str) -> DataFrame:
-    """``rows`` with doc_id, text, source and whatever else is carried along."""
+    """``rows`` with doc_id, text, source and whatever else is carried along; without more, the text is left behind."""
     words = rows.withColumn("size", word_count(F.col("text"))).withColumn("mix_key", mix_key(F.col("doc_id"), seed))
+    ties = ["text"] if "row" in rows.columns else []
+    words = words if ties else words.drop("text")
     per_source = _sources(words)
     same_source = F.col("t.source").eqNullSafe(F.col("p.source"))
     targets = source_targets(per_source, weights, share_pct, max_epochs).alias("t").join(per_source.alias("p"), same_source)
@@ -115,7 +117,7 @@ def _taken(rows: DataFrame, weights: tuple[int, ...], share_pct: int, max_epochs
     sums = sums.withColumn("before", F.coalesce(F.sum("range_size").over(before), F.lit(0)))
     same_range = F.col("r.source").eqNullSafe(F.col("s.source")) & (F.col("r.range") == F.col("s.range"))
     joined = ranged.alias("r").join(sums.alias("s"), same_range).select("r.*", F.col("s.before").alias("before"))
-    inside = W.partitionBy("source", "range").orderBy("mix_key", F.col("doc_id").asc_nulls_first(), "size", "text").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "range").orderBy("mix_key", F.col("doc_id").asc_nulls_first(), "size", *ties).rowsBetween(W.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     placed = joined.withColumn("start", start)
     placed = placed.withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start"))).cast("bigint"))
