@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -129,7 +128,8 @@ def write_warc(pages: DataFrame, path: str, least_payload: int = 0, captures_per
     warc_records(pages, least_payload).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", 3 * captures_per_file).text(path)
 
 
-_HEADER = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
+#: Bytes unpacked at a time.
+_PIECE = 1 << 20
 
 
 def _inflated(data: bytes) -> Iterator[bytes]:
@@ -141,49 +141,62 @@ def _inflated(data: bytes) -> Iterator[bytes]:
         member = zlib.decompressobj(31)
         rest = data
         while not member.eof and rest:
-            yield member.decompress(rest, 1 << 22)
+            yield member.decompress(rest, _PIECE)
             rest = member.unconsumed_tail
         yield member.flush()
         data = member.unused_data
 
 
+class _Reader:
+    """A window on the pieces of an archive that moves forward."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held, self.at, self.ended = pieces, b"", 0, False
+
+    def more(self) -> bool:
+        """Take one more piece; what was read is let go."""
+        piece = next(self.pieces, None)
+        if piece is None:
+            self.ended = True
+            return False
+        self.held, self.at = self.held[self.at :] + piece, 0
+        return True
+
+    def has(self, n: int) -> bool:
+        while len(self.held) - self.at < n and self.more():
+            pass
+        return len(self.held) - self.at >= n
+
+    def until(self, mark: bytes) -> bytes | None:
+        """What stands before the next ``mark``, and moves after it; None without one."""
+        while (end := self.held.find(mark, self.at)) < 0:
+            if not self.more():
+                return None
+        out = self.held[self.at : end]
+        self.at = end + len(mark)
+        return out
+
+    def take(self, n: int) -> bytes:
+        if not self.has(n):
+            raise ValueError("a WARC record ends early")
+        out = self.held[self.at : self.at + n]
+        self.at += n
+        return out
+
+
 def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """The records of an archive: headers by lower-case name, and the block. Holds one record at a time."""
-    pieces, held, ended = _inflated(data), b"", False
-
-    def fill(n: int) -> None:
-        nonlocal held, ended
-        parts, size = [held], len(held)
-        while size < n and not ended:
-            piece = next(pieces, None)
-            if piece is None:
-                ended = True
-            else:
-                parts.append(piece)
-                size += len(piece)
-        held = b"".join(parts)
-
+    reader = _Reader(_inflated(data))
     while True:
-        fill(1 << 16)
-        while held[:2] == b"\r\n":
-            held = held[2:]
-            fill(1 << 16)
-        if not held:
+        while reader.has(2) and reader.held.startswith(b"\r\n", reader.at):
+            reader.at += 2
+        if not reader.has(1):
             return
-        end = held.find(b"\r\n\r\n")
-        while end < 0 and not ended:
-            fill(2 * len(held))
-            end = held.find(b"\r\n\r\n")
-        if end < 0 or not held.startswith(b"WARC/"):
+        head = reader.until(_END.encode())
+        if head is None or not head.startswith(b"WARC/"):
             raise ValueError("not a WARC record")
-        head = {k.decode().strip().lower(): v.decode("utf-8", "replace").strip() for k, v in _HEADER.findall(held[held.index(b"\r\n") + 2 : end + 2])}
-        length = int(head["content-length"])
-        fill(end + 4 + length)
-        block = held[end + 4 : end + 4 + length]
-        if len(block) < length:
-            raise ValueError("a WARC record ends early")
-        held = held[end + 4 + length :]
-        yield head, block
+        fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])}
+        yield fields, reader.take(int(fields["content-length"]))
 
 
 RECORD = "type string, record_id string, concurrent_to string, uri string, refers_to string, payload_digest string, fields string, payload_bytes bigint, payload binary"
