@@ -71,22 +71,21 @@ select conv_id, count(*)::bigint as n_turns,
 from f group by conv_id
 """
 
-_NORMAL = r"trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')"
 ORACLES["op7_quality_rules"] = rf"""
 with d as (select row_number() over () as rid, doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{_SPACED}') as w from documents),
-l as (select rid, source, text, line, {_NORMAL} as normal from (select rid, source, text, unnest(string_split(text, chr(10))) as line from d) where regexp_matches(line, '{_SPACED}')),
+l as (select rid, source, text, line, lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) as normal from (select rid, source, text, unnest(string_split(text, chr(10))) as line from d) where regexp_matches(line, '{_SPACED}')),
 fl as (select source, normal from l group by source, normal having count(distinct text) > 50),
-lost as (select rid, sum(len(string_split(l.normal, ' '))) as lost from l join fl on l.source is not distinct from fl.source and l.normal = fl.normal group by rid),
+lost as (select rid, sum(length(line)) as lost from l join fl on l.source is not distinct from fl.source and l.normal = fl.normal group by rid),
 dup as (select rid, count(*) - count(distinct line) as n from l group by rid),
 win as (select rid, i, w[i:i + 2] as k from (select rid, w, unnest(range(1, len(w) - 1)) as i from d)),
 again as (select rid, i from (select *, count(*) over (partition by rid, k) as c from win) where c > 1),
 rep as (select rid, count(distinct p) as n from (select rid, unnest([i, i + 1, i + 2]) as p from again) group by rid),
 m as (select d.doc_id, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
     (length(text) - length(translate(text, '#*$%&|<>', '')))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines,
-    coalesce(rep.n, 0)::bigint as n_repeat_words, coalesce(lost.lost, 0) as lost
+    coalesce(rep.n, 0)::bigint as n_repeat_words, coalesce(lost.lost, 0) as lost, length(text) as n_chars
   from d left join dup using (rid) left join rep using (rid) left join lost using (rid))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and 100 * (n_words - lost) >= 50 * n_words as kept
+  not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not 100 * lost > 50 * n_chars as kept
 from m
 """

@@ -1,9 +1,9 @@
 """Quality rules on lines, in Spark's own expressions.
 
-Lines are normalised and hashed, the distinct texts of a host that have a line
-are counted, lines above the limit are taken out, and a document that loses
-too much is rejected. Copies of one text count once, so a document is not
-rejected for having copies.
+Lines are normalised (blanks around them off, lower case) and hashed, the
+distinct texts of a host that have a line are counted, lines above the limit
+are taken out, and a document that loses too much is rejected. Copies of one
+text count once, so a document is not rejected for having copies.
 
 Counts per line have a map-side step, and only lines that are over the limit
 meet the documents again. A line that a third of all documents share is a row
@@ -19,118 +19,108 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import BLANKS, content_key
+from stayflow.llm.common import BLANKS
+from stayflow.session import materialize
 
 
 def words(text: Column) -> Column:
     """The words between blanks, as an array without empty entries."""
-    return F.filter(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), lambda w: w != "")
-
-
-def _length(text: Column) -> Column:
-    return F.length(text).cast("bigint")
-
-
-def word_chars(text: Column) -> Column:
-    """Code points that are in words."""
-    return _length(F.translate(text, BLANKS, ""))
+    bare = F.btrim(text, F.lit(BLANKS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
 
 
 def symbol_chars(text: Column) -> Column:
     """Characters of the set #*$%&|<>."""
-    return _length(text) - _length(F.translate(text, "#*$%&|<>", ""))
+    return (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("bigint")
 
 
 def lines_with_words(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda line: F.translate(line, BLANKS, "") != "")
+    return F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
 
 
-def _packed(hashes: Column, n: Column) -> Column:
-    """Hash and place of every window in one long each, sorted.
-
-    The place replaces the hash's remainder by the number of windows, so one
-    sort of plain longs brings equal windows together in text order. What is
-    left of the hash has 63 bits less those of the number of windows.
-    """
-    return F.sort_array(F.transform(hashes, lambda h, i: F.shiftright(h, 1) - F.pmod(F.shiftright(h, 1), n) + i))
+def normalise_line(line: Column) -> Column:
+    return F.lower(F.btrim(line, F.lit(BLANKS)))
 
 
-def normalise_line(line: Column) -> Column:
-    """Blanks around and in a line as one space each, ASCII letters in lower case."""
-    folded = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + BLANKS, "abcdefghijklmnopqrstuvwxyz" + " " * len(BLANKS))
-    return F.trim(F.regexp_replace(folded, " +", " "))
+def _text_key(text: Column) -> list[Column]:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("text"), text).alias("k2")]
 
 
 def text_metrics(rows: DataFrame, window: int = 3) -> DataFrame:
     """``rows`` (with ``text``, never null) and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
 
-    n_repeat_words counts the words in windows found twice or more. Every step
-    of the array work is a column of its own, so none is computed twice.
+    n_repeat_words counts the words in windows found twice or more. Each window
+    is a hash; texts whose hashes all differ are done there. In the others hash
+    and place share a long, the place taking the hash's remainder by the number
+    of windows, so one sort of plain longs brings equal windows together. What
+    is left of the hash has 63 bits less those of the number of windows.
     """
     lines = lines_with_words(F.col("text"))
-    rows = rows.withColumn("n_dup_lines", (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint"))
-    rows = rows.withColumn("word_chars", word_chars(F.col("text"))).withColumn("n_symbols", symbol_chars(F.col("text")))
-    rows = rows.withColumn("hashes", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)))
-    rows = rows.withColumn("n_words", F.size("hashes").cast("bigint"))
+    rows = rows.withColumn("lines", lines).withColumn("words", words(F.col("text"))).withColumn("n_symbols", symbol_chars(F.col("text")))
+    rows = rows.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint"))
+    rows = rows.withColumn("n_words", F.size("words").cast("bigint")).withColumn("word_chars", F.length(F.array_join("words", "")).cast("bigint"))
+    rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("lines", "words")
     n = F.greatest(F.col("n_words") - (window - 1), F.lit(0))
-    shifted = [F.slice("hashes", F.lit(k + 1), n.cast("int")) for k in range(window)]
-    rows = rows.withColumn("windows", F.transform(F.arrays_zip(*[x.alias(f"w{k}") for k, x in enumerate(shifted)]), lambda w: F.xxhash64(*[w[f"w{k}"] for k in range(window)])))
-    rows = rows.withColumn("packed", _packed(F.col("windows"), n))
-    bare = lambda x: x - F.pmod(x, F.greatest(n, F.lit(1)))
-    # equal to the neighbour: one flag per gap between sorted windows
-    rows = rows.withColumn("equal", F.zip_with("packed", F.slice("packed", F.lit(2), F.greatest(F.size("packed") - 1, F.lit(0))), lambda a, b: F.coalesce(bare(a) == bare(b), F.lit(False))))
-    before = F.concat(F.array(F.lit(False)), F.slice("equal", F.lit(1), F.greatest(F.size("equal") - 1, F.lit(0))))
-    rows = rows.withColumn("found", F.zip_with("packed", F.zip_with("equal", before, lambda a, b: a | b), lambda p, again: F.when(again, F.pmod(p, F.greatest(n, F.lit(1))))))
-    rows = rows.withColumn("places", F.sort_array(F.filter("found", lambda p: p.isNotNull())))
-    gaps = F.zip_with("places", F.slice("places", F.lit(2), F.greatest(F.size("places") - 1, F.lit(0))), lambda a, b: F.least(F.coalesce(b - a, F.lit(window)), F.lit(window).cast("bigint")))
-    rows = rows.withColumn("n_repeat_words", F.aggregate(gaps, F.lit(0).cast("bigint"), lambda s, g: s + g))
-    return rows.drop("hashes", "windows", "packed", "equal", "found", "places")
-
-
-def _lines(text: Column) -> Column:
-    """Per line with a word: the hash of its normal form, and its number of words."""
-    normal = F.transform(lines_with_words(text), normalise_line)
-    return F.transform(normal, lambda line: F.struct(F.xxhash64(line).alias("line_hash"), (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1).cast("bigint").alias("words")))
-
-
-def frequent_lines(documents: DataFrame, host: str = "source", line_limit: int = 50) -> DataFrame:
-    """(host, line_hash, texts): lines found in more than ``line_limit`` distinct texts of a host."""
-    texts = documents.where("text is not null").select(F.col(host).alias("host"), F.col("text"))
-    hashes = F.array_distinct(F.transform(_lines(F.col("text")), lambda line: line["line_hash"]))
-    found = texts.select("host", F.xxhash64("text").alias("text_hash"), F.explode(hashes).alias("line_hash"))
-    return found.groupBy("host", "line_hash").agg(F.count_distinct("text_hash").alias("texts")).where(F.col("texts") > line_limit)
-
-
-def _lost_words(documents: DataFrame, host: str, line_limit: int) -> DataFrame:
-    """(host, text_key, lost): words in frequent lines, for the texts that have any."""
-    texts = documents.where("text is not null").select(F.col(host).alias("host"), F.col("text"))
-    found = texts.select("host", content_key(F.col("text")).alias("text_key"), F.explode(_lines(F.col("text"))).alias("line")).select("host", "text_key", "line.*")
-    # a text that occurs several times brings its lines once: they are summed per text and line
-    over = frequent_lines(documents, host, line_limit).alias("o")
-    met = found.alias("f").join(over, F.col("f.host").eqNullSafe(F.col("o.host")) & (F.col("f.line_hash") == F.col("o.line_hash")))
-    rows = documents.where("text is not null").groupBy(F.col(host).alias("host"), content_key(F.col("text")).alias("text_key")).agg(F.count("*").alias("copies"))
-    summed = met.groupBy("f.host", "f.text_key").agg(F.sum("words").alias("words"))
-    same = F.col("s.host").eqNullSafe(F.col("r.host")) & (F.col("s.text_key") == F.col("r.text_key"))
-    return summed.alias("s").join(rows.alias("r"), same).select("s.host", "s.text_key", (F.col("words") / F.col("copies")).cast("bigint").alias("lost"))
+    following = lambda h, i: F.xxhash64(h, *[F.get("hashes", i + k) for k in range(1, window)])
+    rows = rows.withColumn("windows", F.transform(F.slice("hashes", F.lit(1), n.cast("int")), following)).drop("hashes")
+    rows = rows.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows"))
+    step = lambda value: F.when(F.col("repeats"), value)
+    half = lambda h: F.shiftright(h, 1)
+    rows = rows.withColumn("packed", step(F.sort_array(F.transform("windows", lambda h, i: half(h) - F.pmod(half(h), n) + i)))).drop("windows")
+    place = lambda x: F.pmod(x, F.greatest(n, F.lit(1)))
+    bare = lambda x: x - place(x)
+    beside = lambda p, i, k: F.coalesce(bare(F.get("packed", i + k)) == bare(p), F.lit(False))
+    found = F.filter("packed", lambda p, i: beside(p, i, -1) | beside(p, i, 1))
+    rows = rows.withColumn("places", step(F.sort_array(F.transform(found, place))))
+    gap = lambda p, i: F.least(F.coalesce(F.get("places", i + 1) - p, F.lit(window)), F.lit(window)).cast("bigint")
+    covered = F.aggregate(F.transform("places", gap), F.lit(0).cast("bigint"), lambda total, g: total + g)
+    rows = rows.withColumn("n_repeat_words", F.coalesce(step(covered), F.lit(0).cast("bigint")))
+    return rows.drop("repeats", "packed", "places")
+
+
+def document_lines(documents: DataFrame, host: str = "source") -> DataFrame:
+    """(host, k1, k2, place, line_hash, chars): a row per line with a word, in a table of the shared folder.
+
+    The text is read for its lines once; all counting reads this table.
+    """
+    line = lambda x: F.struct(F.xxhash64(normalise_line(x)).alias("line_hash"), F.length(x).alias("chars"))
+    texts = documents.where("text is not null").select(F.col(host).alias("host"), *_text_key(F.col("text")), F.transform(lines_with_words(F.col("text")), line).alias("lines"))
+    return materialize(texts.select("host", "k1", "k2", F.posexplode("lines").alias("place", "line")).select("host", "k1", "k2", "place", "line.*"), "lines")
+
+
+def frequent_lines(lines: DataFrame, line_limit: int = 50) -> DataFrame:
+    """(host, line_hash, texts): lines found in more than ``line_limit`` distinct texts of a host.
+
+    Equal rows go first, so a line is counted from one row per text and task.
+    """
+    return lines.groupBy("host", "line_hash").agg(F.count_distinct("k1").alias("texts")).where(F.col("texts") > line_limit)
+
+
+def _met(lines: DataFrame, line_limit: int) -> DataFrame:
+    over = frequent_lines(lines, line_limit).alias("o")
+    return lines.alias("l").join(over, F.col("l.host").eqNullSafe(F.col("o.host")) & (F.col("l.line_hash") == F.col("o.line_hash"))).select("l.*")
 
 
 def quality_report(documents: DataFrame, host: str = "source", line_limit: int = 50, least_words: int = 50, repeat_pct: int = 50, kept_pct: int = 50) -> DataFrame:
-    """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_words, kept.
+    """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_chars, kept.
 
     ``base_failed``: fewer than ``least_words`` words, or more than
     ``repeat_pct`` percent of them in repeated windows. A document is depleted,
-    and not kept, if less than ``kept_pct`` percent of its words are outside
-    frequent lines.
+    and not kept, if less than ``kept_pct`` percent of its characters are
+    outside frequent lines.
     """
-    rows = documents.select("doc_id", F.col(host).alias("host"), content_key(F.col("text")).alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = text_metrics(rows).drop("text")
-    lost = _lost_words(documents, host, line_limit)
-    same = F.col("d.host").eqNullSafe(F.col("l.host")) & (F.col("d.text_key") == F.col("l.text_key"))
-    rows = rows.alias("d").join(lost.alias("l"), same, "left").select("d.*", F.coalesce("lost", F.lit(0).cast("bigint")).alias("lost_words"))
+    rows = documents.select("doc_id", F.col(host).alias("host"), *_text_key(F.col("text")), F.coalesce("text", F.lit("")).alias("text"))
+    rows = text_metrics(rows.withColumn("n_chars", F.length("text").cast("bigint"))).drop("text")
+    # copies of a text bring each line once
+    once = _met(document_lines(documents, host), line_limit).groupBy("host", "k1", "k2", "place").agg(F.first("chars").alias("chars"))
+    lost = once.groupBy("host", "k1", "k2").agg(F.sum("chars").alias("lost")).alias("l")
+    same = F.col("d.host").eqNullSafe(F.col("l.host")) & (F.col("d.k1") == F.col("l.k1")) & (F.col("d.k2") == F.col("l.k2"))
+    rows = rows.alias("d").join(lost, same, "left").select("d.*", F.coalesce("lost", F.lit(0)).cast("bigint").alias("lost_chars"))
     failed = (F.col("n_words") < least_words) | (F.lit(100) * F.col("n_repeat_words") > F.lit(repeat_pct) * F.col("n_words"))
-    depleted = F.lit(100) * (F.col("n_words") - F.col("lost_words")) < F.lit(kept_pct) * F.col("n_words")
+    depleted = F.lit(100) * F.col("lost_chars") > F.lit(100 - kept_pct) * F.col("n_chars")
     rows = rows.withColumn("base_failed", failed)
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_words", (~F.col("base_failed") & ~depleted).alias("kept"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_chars", (~F.col("base_failed") & ~depleted).alias("kept"))
 
 
 def remove_frequent_lines(documents: DataFrame, host: str = "source", line_limit: int = 50) -> DataFrame:
@@ -138,12 +128,9 @@ def remove_frequent_lines(documents: DataFrame, host: str = "source", line_limit
 
     Frequent lines come as one array per text, so a text is never cut into rows.
     """
-    texts = documents.where("text is not null").select(F.col(host).alias("host"), F.col("text"))
-    found = texts.select("host", content_key(F.col("text")).alias("text_key"), F.explode(F.array_distinct(F.transform(_lines(F.col("text")), lambda line: line["line_hash"]))).alias("line_hash")).distinct()
-    over = frequent_lines(documents, host, line_limit).alias("o")
-    met = found.alias("f").join(over, F.col("f.host").eqNullSafe(F.col("o.host")) & (F.col("f.line_hash") == F.col("o.line_hash")), "left_semi")
-    gone = met.groupBy("host", "text_key").agg(F.collect_set("line_hash").alias("hashes"))
-    same = F.col(f"d.{host}").eqNullSafe(F.col("g.host")) & (content_key(F.col("d.text")) == F.col("g.text_key"))
+    gone = _met(document_lines(documents, host), line_limit).groupBy("host", "k1", "k2").agg(F.collect_set("line_hash").alias("hashes"))
+    k1, k2 = _text_key(F.col("d.text"))
+    same = F.col(f"d.{host}").eqNullSafe(F.col("g.host")) & (k1 == F.col("g.k1")) & (k2 == F.col("g.k2"))
     keep = F.filter(F.split("d.text", "\n"), lambda line: ~F.array_contains("g.hashes", F.xxhash64(normalise_line(line))))
     text = F.when(F.col("g.hashes").isNull(), F.col("d.text")).otherwise(F.array_join(keep, "\n"))
     return documents.alias("d").join(gone.alias("g"), same, "left").select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in documents.columns])

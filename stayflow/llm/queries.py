@@ -72,7 +72,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_report(read_table(spark, sf_dir, "documents"), host="source").drop("lost_words")
+    return quality_rules.quality_report(read_table(spark, sf_dir, "documents"), host="source").drop("lost_chars")
 
 
 @query

@@ -114,11 +114,11 @@ def repeats(docs, length=200):
 
 def quality(docs, line_limit, least_words=50):
     docs = [(i, t or "", host) for i, t, host in docs]
-    normal = lambda line: " ".join(SPACED.findall(line.translate(LOWER)))
-    lines = [[normal(x) for x in t.split("\n") if SPACED.search(x)] for _, t, _ in docs]
+    normal = lambda line: line.strip(" \t\n\x0b\x0c\r").lower()
+    lines = [[(normal(x), len(x)) for x in t.split("\n") if SPACED.search(x)] for _, t, _ in docs]
     texts = defaultdict(set)
     for (_, t, host), own in zip(docs, lines):
-        for line in own:
+        for line, _ in own:
             texts[host, line].add(t)
     for (i, t, host), own in zip(docs, lines):
         words = SPACED.findall(t)
@@ -126,8 +126,8 @@ def quality(docs, line_limit, least_words=50):
         again = {k + j for k, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for j in range(3)}
         whole = [x for x in t.split("\n") if SPACED.search(x)]
         failed = len(words) < least_words or 100 * len(again) > 50 * len(words)
-        lost = sum(len(x.split(" ")) for x in own if len(texts[host, x]) > line_limit)
-        yield i, len(words), sum(map(len, words)), sum(t.count(c) for c in "#*$%&|<>"), len(whole) - len(set(whole)), len(again), failed, not failed and 100 * (len(words) - lost) >= 50 * len(words)
+        lost = sum(n for x, n in own if len(texts[host, x]) > line_limit)
+        yield i, len(words), sum(map(len, words)), sum(t.count(c) for c in "#*$%&|<>"), len(whole) - len(set(whole)), len(again), failed, not failed and not 100 * lost > 50 * len(t)
 
 
 def held_out(doc_id) -> bool:
