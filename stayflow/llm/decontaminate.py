@@ -189,18 +189,18 @@ _MATCH = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids",
 _HELD = pa.struct([("hits", pa.binary()), ("item_ids", pa.list_(pa.string()))])
 
 
-def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = 13, block_words: int = 500_000) -> DataFrame:
+def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = 13, block_words: int = 500_000, column: str = "match") -> DataFrame:
     """The documents with a struct ``match``: n_words, n_hit, item_ids and the hit word ``spans``.
 
-    ``match`` replaces a column of that name. Spans are maximal runs of hit
+    The struct replaces a column of its name. Spans are maximal runs of hit
     words, counted from 0, end excluded.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
-    rows = documents.drop("match")
+    rows = documents.drop(column)
     fields = rows.schema.fields
     held = T.StructField(fresh(rows.columns, "held"), T.StructType([T.StructField("hits", T.BinaryType()), T.StructField("item_ids", T.ArrayType(T.StringType()))]))
-    match = T.StructField("match", T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("spans", SPANS)]))
+    match = T.StructField(column, T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("spans", SPANS)]))
     for automaton, last in _blocks(benchmark, window, block_words):
         schema = T.StructType([*fields, match if last else held])
         rows = rows.mapInArrow(_pass(spark.sparkContext.broadcast(automaton), len(fields), schema.names, last), schema)
@@ -250,8 +250,9 @@ def contamination_report(documents: DataFrame, benchmark: DataFrame, window: int
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = 13, coverage_pct: int = 5) -> DataFrame:
     """The documents under the coverage limit, as they are, without the contaminated ones."""
-    found = find_contamination(documents, benchmark, window)
-    return found.where(~is_contaminated(F.col("match"), coverage_pct)).drop("match")
+    column = fresh(documents.columns, "match")
+    found = find_contamination(documents, benchmark, window, column=column)
+    return found.where(~is_contaminated(F.col(column), coverage_pct)).drop(column)
 
 
 def text_without(text: str | None, spans: list[tuple[int, int]]) -> str | None:
@@ -271,16 +272,17 @@ def text_without(text: str | None, spans: list[tuple[int, int]]) -> str | None:
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = 13, least_words: int = 13) -> DataFrame:
     """The documents with every hit span of ``least_words`` words or more taken out of ``text``."""
-    found = find_contamination(documents, benchmark, window)
+    column = fresh(documents.columns, "match")
+    found = find_contamination(documents, benchmark, window, column=column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, match in zip(batch.column("text").to_pylist(), batch.column("match").to_pylist()):
+            for text, match in zip(batch.column("text").to_pylist(), batch.column(column).to_pylist()):
                 out.append(text_without(text, [(s["start"], s["end"]) for s in match["spans"] if s["end"] - s["start"] >= least_words]))
             at = batch.schema.get_field_index("text")
             columns = [*batch.columns]
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns[:-1], names=batch.schema.names[:-1])
 
-    return found.mapInArrow(run, found.drop("match").schema)
+    return found.mapInArrow(run, found.drop(column).schema)

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayflow.llm.common import bounded_batches, fresh
+from stayflow.llm.common import bounded_batches, fresh, share_of
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -139,10 +139,15 @@ def training_windows(documents: DataFrame, per_language: int = 400) -> DataFrame
     The documents are those of the smallest hashes, the place in the text comes
     from the hash too. Held-out and unlabelled documents are left out.
     """
-    usable = documents.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).where(F.length("text") > 0)
-    draw = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "lang")
+    usable = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).where(F.length("text") > 0)
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    # a share of each language that is far more than enough comes first, so tasks send few rows
+    counts = documents.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("rows")).alias("c")
+    shares = usable.select("lang", "text", name.alias("name")).alias("u").join(counts, F.col("u.lang") == F.col("c.lang")).select("u.*", "rows")
+    drawn = shares.where(share_of(F.concat("name", F.lit(":"), "text"), F.lit(8.0 * per_language) / F.col("rows")))
+    draw = F.xxhash64("name", "lang")
     at = F.pmod(draw, F.greatest(F.length("text") - WINDOW, F.lit(1)).cast("bigint")) + 1
-    drawn = usable.select("lang", draw.alias("draw"), F.substring("text", at.cast("int"), F.lit(WINDOW)).alias("piece"))
+    drawn = drawn.select("lang", draw.alias("draw"), F.substring("text", at.cast("int"), F.lit(WINDOW)).alias("piece"))
     return drawn.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("draw", "piece"))).where(F.col("n") <= per_language).select("lang", "piece")
 
 

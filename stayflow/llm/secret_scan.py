@@ -21,9 +21,10 @@ from dataclasses import dataclass
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import fresh
+from stayflow.llm.common import fresh, hashed_sample
 from stayflow.session import materialize
 
 #: A candidate, and the words that name a secret.
@@ -78,14 +79,14 @@ def at_code(value: Column, k: Column, side: int) -> Column:
 
 
 def plain_language(documents: DataFrame, sample_rows: int = 2_000, sample_chars: int = 2_000, groups: int = 400) -> Language:
-    """Transitions and letter groups of the ``sample_rows`` texts with the smallest hashes.
+    """Transitions and letter groups of about ``sample_rows`` texts.
 
     Of each text ``sample_chars`` characters from a hashed place are taken: the
     sample is bounded, as for a classifier, and so are its two tables.
     """
     draw = F.xxhash64(F.coalesce("text", F.lit("")))
     at = F.pmod(draw, F.greatest(F.length("text") - sample_chars, F.lit(1)).cast("bigint")) + 1
-    sample = documents.where("text is not null").select(draw.alias("draw"), F.substring("text", at.cast("int"), F.lit(sample_chars)).alias("part")).orderBy("draw", "part").limit(sample_rows)
+    sample = hashed_sample(documents.select("doc_id", "text"), sample_rows).where("text is not null").select(F.substring("text", at.cast("int"), F.lit(sample_chars)).alias("part"))
     side = len(ALPHABET) + 1
     words = sample.select(F.explode(F.regexp_extract_all("part", F.lit(r"[A-Za-z]{3,15}"), F.lit(0))).alias("word"))
     pairs = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda k: at_code(F.col("word"), k, side))).alias("code")).groupBy("code").count()
@@ -168,8 +169,8 @@ def train_forest(labelled: DataFrame, language: Language, per_label: int = 4_000
     ``labelled`` has value, before, after, path and label (1.0 for a secret).
     """
     draw = F.xxhash64("value", "before", "after", "path")
-    part = lambda label: labelled.where(F.col("label") == label).withColumn("draw", draw).orderBy("draw", "value", "before", "after").limit(per_label)
-    drawn = part(1.0).unionByName(part(0.0))
+    place = F.row_number().over(W.partitionBy("label").orderBy("draw", "value", "before", "after"))
+    drawn = labelled.withColumn("draw", draw).withColumn("place", place).where(F.col("place") <= per_label)
     vector = features(F.struct("value", "before", "after"), F.col("path"), language)
     data = materialize(drawn.select("label", vector.alias("numbers")), "findings")
     labels = {r["label"] for r in data.groupBy("label").count().collect()}
@@ -191,14 +192,21 @@ def _marked(documents: DataFrame, language: Language, forest: Forest, path: str
     return documents.withColumn(column, F.when(F.rlike("text", F.lit(CANDIDATE)), judged).otherwise(none))
 
 
-def scan(documents: DataFrame, labelled: DataFrame | None = None, path: str | None = None, least_score: float = 0.5) -> DataFrame:
-    """The documents with ``findings``: every candidate with its context, score and verdict.
+def learn(documents: DataFrame, labelled: DataFrame | None, path: str | None, sample_documents: int = 50_000) -> tuple[Language, Forest]:
+    """What plain text looks like, and the forest.
 
-    ``labelled`` are findings with labels; without them the documents' own
-    candidates are labelled by ``label_by_assignment``.
+    Without ``labelled`` findings those of about ``sample_documents`` documents
+    are labelled by ``label_by_assignment``: a bounded sample to fit on.
     """
     language = plain_language(documents)
-    forest = train_forest(labelled if labelled is not None else label_by_assignment(findings(documents, path)), language)
+    if labelled is None:
+        labelled = label_by_assignment(findings(hashed_sample(documents, sample_documents), path))
+    return language, train_forest(labelled, language)
+
+
+def scan(documents: DataFrame, labelled: DataFrame | None = None, path: str | None = None, least_score: float = 0.5) -> DataFrame:
+    """The documents with ``findings``: every candidate with its context, score and verdict."""
+    language, forest = learn(documents, labelled, path)
     return _marked(documents.drop("findings"), language, forest, path, least_score, "findings")
 
 
@@ -228,7 +236,6 @@ def redacted(text: Column, found: Column) -> Column:
 def redact(documents: DataFrame, path: str | None = None, least_score: float = 0.5) -> DataFrame:
     """The documents with every secret in ``text`` replaced, all other columns as they are."""
     name = fresh(documents.columns, "findings")
-    language = plain_language(documents)
-    forest = train_forest(label_by_assignment(findings(documents, path)), language)
+    language, forest = learn(documents, None, path)
     marked = _marked(documents, language, forest, path, least_score, name)
     return marked.select(*[redacted(F.col("text"), F.col(name)).alias(c) if c == "text" else F.col(f"`{c}`") for c in documents.columns])

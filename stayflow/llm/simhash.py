@@ -70,8 +70,9 @@ def with_fingerprint(documents: DataFrame, keep: list[str], shingle: int = 3, co
 
 
 def _balls(width: int, radius: int) -> list[int]:
-    """All masks of at most ``radius`` of ``width`` bits."""
-    return [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)]
+    """All masks of at most ``radius`` of ``width`` bits, as signed longs."""
+    masks = [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
 def links(prints: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFrame:
