@@ -98,7 +98,8 @@ def links(prints: DataFrame, max_bits: int = 3, segments: int = 2) -> DataFrame:
     else:
         meet = (probes["segment"] == table["segment"]) & (probes["bits"] == table["bits"])
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return probes.join(table, meet & (F.col("a") < F.col("b")) & near).select("a", "b")
+    # sizes are guessed before the rows of a fingerprint are multiplied, so no side may be broadcast on the guess
+    return probes.join(table.hint("merge"), meet & (F.col("a") < F.col("b")) & near).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
