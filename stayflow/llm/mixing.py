@@ -102,28 +102,29 @@ def _taken(rows: DataFrame, weights: tuple[int, ...], share_pct: int, max_epochs
         F.ceil(F.col("rows") / F.lit(RANGE_ROWS)).cast("bigint").alias("ranges"),
         F.when(F.col("t.source_size") > 0, F.floor(F.col("target") / F.col("t.source_size"))).otherwise(F.lit(0)).cast("bigint").alias("rounds"),
         F.floor("target").cast("bigint").alias("budget"),
+        # a number stands for the source, nulls included, in all that is dealt by source
+        F.row_number().over(W.orderBy(F.col("t.source").asc_nulls_last())).alias("source_no"),
     )
     if per_source.count() <= SOURCES_TO_BROADCAST:
         targets = F.broadcast(targets)
     key_number = F.conv(F.substring("mix_key", 1, KEY_BITS // 4), 16, 10).cast("double")
     ranged = words.alias("w").join(targets.alias("g"), F.col("w.source").eqNullSafe(F.col("g.source")))
     ranged = ranged.select(
-        "w.*", "source_size", "target", "rounds",
+        "w.*", "source_size", "target", "rounds", "source_no",
         F.expr("budget - rounds * source_size").alias("rest"),
         F.floor(key_number * F.col("ranges") / F.lit(float(1 << KEY_BITS))).cast("bigint").alias("range"),
     )
-    sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-    before = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("range_size").over(before), F.lit(0)))
-    same_range = F.col("r.source").eqNullSafe(F.col("s.source")) & (F.col("r.range") == F.col("s.range"))
-    joined = ranged.alias("r").join(sums.alias("s"), same_range).select("r.*", F.col("s.before").alias("before"))
-    inside = W.partitionBy("source", "range").orderBy("mix_key", F.col("doc_id").asc_nulls_first(), "size", *ties).rowsBetween(W.unboundedPreceding, -1)
+    sums = ranged.groupBy("source_no", "range").agg(F.sum("size").alias("range_size"))
+    before = W.partitionBy("source_no").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.withColumn("before", F.coalesce(F.sum("range_size").over(before), F.lit(0))).drop("range_size")
+    joined = ranged.join(sums, ["source_no", "range"])
+    inside = W.partitionBy("source_no", "range").orderBy("mix_key", F.col("doc_id").asc_nulls_first(), "size", *ties).rowsBetween(W.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     placed = joined.withColumn("start", start)
     placed = placed.withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start"))).cast("bigint"))
     placed = placed.withColumn("taken", (F.col("rounds") * F.col("size") + F.col("part")).cast("bigint"))
     placed = placed.withColumn("epochs", (F.col("rounds") + (F.col("part") > 0).cast("bigint")).cast("bigint"))
-    return placed.drop("range", "ranges", "rest", "rounds", "before", "start")
+    return placed.drop("range", "source_no", "rest", "rounds", "before", "start")
 
 
 def first_words(text: Column, n: Column) -> Column:
