@@ -133,18 +133,23 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def training_windows(documents: DataFrame, per_language: int = 400) -> DataFrame:
+def training_windows(documents: DataFrame, per_language: int = 400, max_languages: int = 200) -> DataFrame:
     """(lang, piece): one window's worth of characters from each of a bounded number of documents a language.
 
     The documents are those of the smallest hashes, the place in the text comes
-    from the hash too. Held-out and unlabelled documents are left out.
+    from the hash too. Held-out and unlabelled documents are left out. More than
+    ``max_languages`` languages raise an error.
     """
     usable = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).where(F.length("text") > 0)
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     # a share of each language that is far more than enough comes first, so tasks send few rows
-    counts = documents.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("rows")).alias("c")
-    shares = usable.select("lang", "text", name.alias("name")).alias("u").join(counts, F.col("u.lang") == F.col("c.lang")).select("u.*", "rows")
-    drawn = shares.where(share_of(F.concat("name", F.lit(":"), "text"), F.lit(8.0 * per_language) / F.col("rows")))
+    counts = usable.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    share = F.lit(0.0)
+    for r in counts:
+        share = F.when(F.col("lang") == r["lang"], F.lit(8.0 * per_language / r["count"])).otherwise(share)
+    drawn = usable.select("lang", "text", name.alias("name")).where(share_of(F.concat("name", F.lit(":"), "text"), share))
     draw = F.xxhash64("name", "lang")
     at = F.pmod(draw, F.greatest(F.length("text") - WINDOW, F.lit(1)).cast("bigint")) + 1
     drawn = drawn.select("lang", draw.alias("draw"), F.substring("text", at.cast("int"), F.lit(WINDOW)).alias("piece"))
@@ -154,15 +159,12 @@ def training_windows(documents: DataFrame, per_language: int = 400) -> DataFrame
 def train(documents: DataFrame, per_language: int = 400, max_languages: int = 200, steps: int = 400) -> Network | None:
     """A network learnt from at most ``per_language`` windows of each language; None without any.
 
-    More than ``max_languages`` languages raise an error: what the driver holds
-    is bounded by the two parameters.
+    What the driver holds is bounded by the two parameters.
     """
-    drawn = training_windows(documents, per_language).limit(per_language * max_languages + 1).collect()
+    drawn = training_windows(documents, per_language, max_languages).collect()
     if not drawn:
         return None
     languages = sorted({r.lang for r in drawn})
-    if len(languages) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
     drawn.sort(key=lambda r: (r.lang, r.piece))
     index = {name: i for i, name in enumerate(languages)}
     windows, _ = fold_windows([r.piece.encode("utf-8", "ignore")[:WINDOW] for r in drawn])
