@@ -94,6 +94,15 @@ def daily_snapshot(spark, sf):
     return snapshot.coalesce_segments(built.drop("snapshot_taken_at", "payload", "source_updated_at", "last_event_at"))
 
 
+def _published(spark: SparkSession, root: str) -> DataFrame:
+    """Rows and totals of the published tables by date."""
+    snap = spark.read.parquet(f"{root}/{daily.SNAPSHOT}").select(F.lit("snapshot").alias("name"), "snapshot_date", F.col("room_revenue").alias("amount"))
+    stat = spark.read.parquet(f"{root}/{daily.STATUS}").select(F.lit("status").alias("name"), "snapshot_date", F.lit(1).alias("amount"))
+    pick = spark.read.parquet(f"{root}/{daily.PICKUP}").select(F.lit("pickup").alias("name"), "snapshot_date", F.col("pickup_rooms").alias("amount"))
+    both = snap.unionByName(stat).unionByName(pick)
+    return both.groupBy("name", "snapshot_date").agg(F.count("*").alias("rows"), F.sum("amount").alias("total"))
+
+
 @query
 def daily_tables(spark, sf):
     """The whole daily job into tables, read back: rows and totals per table."""
@@ -101,11 +110,25 @@ def daily_tables(spark, sf):
     core, raw = X.core_reservations(spark, sf), X.raw_payloads(spark, sf)
     daily.run_daily(spark, core, raw, root, DAY - timedelta(days=7), days="7")
     daily.run_daily(spark, core, raw, root, DAY, days="1,7")
-    snap = spark.read.parquet(f"{root}/{daily.SNAPSHOT}").select(F.lit("snapshot").alias("name"), "snapshot_date", F.col("room_revenue").alias("amount"))
-    stat = spark.read.parquet(f"{root}/{daily.STATUS}").select(F.lit("status").alias("name"), "snapshot_date", F.lit(1).alias("amount"))
-    pick = spark.read.parquet(f"{root}/{daily.PICKUP}").select(F.lit("pickup").alias("name"), "snapshot_date", F.col("pickup_rooms").alias("amount"))
-    both = snap.unionByName(stat).unionByName(pick)
-    return both.groupBy("name", "snapshot_date").agg(F.count("*").alias("rows"), F.sum("amount").alias("total"))
+    return _published(spark, root)
+
+
+@query
+def daily_backfill(spark, sf):
+    """Two dates given in the wrong order, built oldest first."""
+    root = scratch_path(spark, "backfill")
+    daily.backfill(spark, X.core_reservations(spark, sf), X.raw_payloads(spark, sf), root, [DAY, DAY - timedelta(days=7)], days="7")
+    return _published(spark, root)
+
+
+@query
+def daily_emptied(spark, sf):
+    """A date built and then rebuilt from nothing: only the other date is left."""
+    root = scratch_path(spark, "emptied")
+    core, raw = X.core_reservations(spark, sf), X.raw_payloads(spark, sf)
+    daily.backfill(spark, core, raw, root, [DAY - timedelta(days=7), DAY], days="7")
+    daily.run_daily(spark, core.where("false"), raw, root, DAY, days="7")
+    return _published(spark, root)
 
 
 # ---- pickup --------------------------------------------------------------------------
@@ -233,8 +256,7 @@ def parse_event(spark, sf):
 @query
 def parse_event_flat(spark, sf):
     rows = parse.parse_event_v1(X.flat_events(spark, sf), "body", _late())
-    hashed = F.when(F.length("unique_event_id") == 64, "hash").otherwise(F.col("unique_event_id")).alias("id")
-    return rows.select("event_id", hashed, "hotel_id", "module", "action_type", "occurred_at", "stream_offset")
+    return rows.select("event_id", F.col("unique_event_id").alias("id"), "hotel_id", "module", "action_type", "occurred_at", "stream_offset")
 
 
 @query
@@ -271,9 +293,7 @@ def resolve_identifier(spark, sf):
 def queue_messages_read(spark, sf):
     flat = parse.parse_event_v1(X.flat_events(spark, sf), "body", _late()).drop("body")
     messages = messaging.to_queue_message(flat).select("body")
-    return sources.read_queue_messages(messages).select("unique_event_id", "hotel_id", "module", "action_type", "offset", "occurred_at").where(
-        F.length("unique_event_id") < 64
-    )
+    return sources.read_queue_messages(messages).select("unique_event_id", "hotel_id", "module", "action_type", "offset", "occurred_at")
 
 
 # ---- responses -----------------------------------------------------------------------
@@ -459,7 +479,7 @@ def queue_message(spark, sf):
     flat = parse.parse_event_v1(X.flat_events(spark, sf), "body", _late())
     named = flat.withColumn("hotel_id", F.when(F.col("hotel_id") != "UNKNOWN", F.col("hotel_id")).otherwise(F.lit("")))
     rows = messaging.to_queue_message(named)
-    return rows.where(F.length("dedup_id") < 64).select(
+    return rows.select(
         "group_id", "dedup_id", F.expr("get_json_object(body, '$.payload.info.sequence')").alias("sequence"), F.expr("attributes['hotel_id']").alias("hotel_attribute")
     )
 
@@ -468,7 +488,7 @@ def queue_message(spark, sf):
 def raw_record(spark, sf):
     flat = parse.parse_event_v1(X.flat_events(spark, sf), "body", _late())
     rows = messaging.to_raw_record(flat, _late())
-    return rows.where(F.length("unique_event_id") < 64).select("raw_key", F.expr("get_json_object(body, '$.ingested_at')").alias("ingested_at"))
+    return rows.select("raw_key", F.expr("get_json_object(body, '$.ingested_at')").alias("ingested_at"))
 
 
 def _positions(spark: SparkSession, sf: str) -> DataFrame:
@@ -494,7 +514,7 @@ def replay_from(spark, sf):
 
 @query
 def stage_latency(spark, sf):
-    return metrics.stage_latency(X.table(spark, sf, "events").where("value >= 0"), "event_type", "value")
+    return metrics.stage_latency(X.table(spark, sf, "events"), "event_type", "value")
 
 
 @query
@@ -622,9 +642,12 @@ def stream_events(spark, sf):
 
 @query
 def stream_enrich(spark, sf):
-    """Messages through the whole enrichment; the event log by state and route."""
-    messages = X.event_bodies(spark, sf).selectExpr("cast(event_id as string) as message_id", "body", "seq", "5 as receive_count")
+    """All messages through the whole enrichment; the event log by state and route, and the dead letters."""
+    messages = X.event_bodies(spark, sf).selectExpr("cast(event_id as string) as message_id", "if(event_id % 100 = 99, concat('[', body), body) as body", "seq", "5 as receive_count")
     path, stream = _landed(messages, "enrich", 2)
     jobs.stream_enrich(stream, X.landed_responses(spark, sf), f"{path}/out", f"{path}/cp", _late()).awaitTermination()
+    enrichment.drain_queue(spark, X.landed_responses(spark, sf), f"{path}/out", _late())
     log = enrichment.read_event_log(spark, f"{path}/out")
-    return log.groupBy("module_name", "status").agg(F.count("*").alias("events"), F.sum("retry_count").alias("failures"))
+    logged = log.groupBy("module_name", "status").agg(F.count("*").alias("events"), F.sum("retry_count").cast("bigint").alias("failures"))
+    dead = spark.read.parquet(f"{path}/out/dead_letters").agg(F.count("*").alias("events"))
+    return logged.unionByName(dead.select(F.lit("dead letters").alias("module_name"), F.lit("DEAD").alias("status"), "events", F.lit(0).cast("bigint").alias("failures")))

@@ -81,7 +81,7 @@ def new_events(log: DataFrame, batch: DataFrame, seq: str = "seq", cut=materiali
 
 
 def register_events(log: DataFrame, batch: DataFrame, entered: DataFrame) -> DataFrame:
-    """Status each batch row finds after registration: by its id first, else by (chain, offset).
+    """The log row each batch row finds after registration, by its id first, else by (chain, offset): ``log_id`` and ``status``.
 
     Two equality joins; one join on either condition would compare all pairs.
     """
@@ -90,14 +90,15 @@ def register_events(log: DataFrame, batch: DataFrame, entered: DataFrame) -> Dat
     )
     by_id = known.select("unique_event_id", F.col("status").alias("_by_id"))
     by_slot = known.where("chain_code is not null and stream_offset is not null").select(
-        _slot(F.col("unique_event_id")).alias("_slot"), F.col("status").alias("_by_slot")
+        _slot(F.col("unique_event_id")).alias("_slot"), F.col("status").alias("_by_slot"), F.col("unique_event_id").alias("_slot_id")
     )
     return (
         batch.withColumn("_slot", _slot(F.col("unique_event_id")))
         .join(by_id, "unique_event_id", "left")
         .join(by_slot, "_slot", "left")
         .withColumn("status", F.coalesce("_by_id", "_by_slot"))
-        .select(*batch.columns, "status")
+        .withColumn("log_id", F.when(F.col("_by_id").isNotNull(), F.col("unique_event_id")).otherwise(F.col("_slot_id")))
+        .select(*batch.columns, "log_id", "status")
     )
 
 

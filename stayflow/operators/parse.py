@@ -44,7 +44,7 @@ _NOT_METADATA = ["payload", "detail", "details"]
 
 
 def _opens_object(text: str) -> str:
-    return f"startswith(ltrim({text}), '{{')"
+    return f"startswith(trim(leading ' \\t\\r\\n' from {text}), '{{')"
 
 
 def malformed(df: DataFrame, json_col: str) -> DataFrame:

@@ -118,7 +118,7 @@ def _stage_latency() -> str:
         for p, name in ((0.5, "p50_ms"), (0.95, "p95_ms"), (0.99, "p99_ms"))
     )
     return f"""with x as (select event_type as stage, value as ms, cast(round(value * 1000000) as bigint) as v,
- row_number() over (partition by event_type order by value) as rn, count(*) over (partition by event_type) as n from events where value >= 0)
+ row_number() over (partition by event_type order by value) as rn, count(*) over (partition by event_type) as n from events)
  select stage, count(*) as "count", round(sum(ms), 3) as total_ms, round(avg(ms), 6) as avg_ms, round(max(ms), 6) as max_ms, {ranks} from x group by stage"""
 
 
@@ -139,7 +139,8 @@ _SEEDED = f"""with {_OPS}, {_TARGET}, both_ops as (select k, seq, ts, op, eid, v
  select k as {{key}}, value, last_event_id, last_event_at, case when s0 = -1 then epoch_us(timestamp '2023-12-01') else first_at end as created_at, updated_at,
   coalesce(gone_at, case when s0 = -1 and k % 3 = 0 then epoch_us(timestamp '2024-01-10') end) as deleted_at from g"""
 
-_FLAT = """flat as (select event_id, event_type, user_id, ts, case when event_id % 6 = 0 then 'hash' else concat('b-', event_id) end as id,
+_FLAT = """flat as (select event_id, event_type, user_id, ts, case when event_id % 6 = 0 then sha256(concat('{"eventTime":', epoch_us(ts) // 1000000, ',"eventType":"', event_type,
+ '","info":{"action":"', case when event_id % 8 = 0 then '' else 'ACT' end, '","sequence":', event_id, '}', case when event_id % 9 = 0 then '' else concat(',"resort":"R', user_id % 5, '"') end, '}')) else concat('b-', event_id) end as id,
  case when event_id % 9 = 0 then 'UNKNOWN' else concat('R', user_id % 5) end as hotel_id, event_type as module,
  case when event_id % 8 = 0 then null else 'ACT' end as action_type, epoch_us(date_trunc('second', ts)) as occurred_at,
  case when event_id = 0 then null else cast(event_id as varchar) end as stream_offset from events)"""
@@ -153,7 +154,24 @@ def _status_count(where: str, name: str = "reservations") -> str:
     return f"{LASTB} select hotel_id, last_status, count(*) as {name} from lasts where {TODAYL} {where} group by 1, 2"
 
 
+_LANDED = """landed as (select event_id as n, case when event_type in ('view','error') then 'getReservation' when event_type = 'signup' then 'getProfile'
+  when event_type = 'click' then 'getFolio' else 'getFolioTransactionDetails' end as operation_id, case when event_type = 'signup' then '' else concat('H', user_id % 7) end as place,
+  case event_type when 'click' then concat('resv-', user_id) when 'purchase' then cast(event_id as varchar) else concat('key-', user_id) end as resource_id from events),
+ newest as (select operation_id, place, resource_id, max(n) as n from landed group by all)"""
+
 ORACLES: dict[str, str] = {
+    "stream_enrich": f"""with {PARSED}, {ROUTED}, {_LANDED},
+ a as (select r.*, case when n.n is null then null when r.seq % 100 = 99 then null else case n.n % 20 when 1 then 404 when 2 then 429 when 3 then 503 when 4 then 401 when 5 then 400 when 6 then 418 else 200 end end as status_code
+  from routed r left join newest n on n.operation_id = r.operation_id and n.place = case when r.operation_id = 'getProfile' then '' else r.hotel_id end and n.resource_id = r.resource_id),
+ d as (select *, case when seq % 100 = 99 then 'BROKEN' when operation_id is null or resource_id is null then 'FAILED' when status_code is null then 'RETRY' when status_code < 400 then 'COMPLETED'
+  when status_code = 404 and gone then 'DELETED' when status_code in (429, 503, 401) then 'RETRY' else 'FAILED' end as outcome from a),
+ k as (select *, last_value(case when outcome in ('COMPLETED', 'FAILED') then outcome end ignore nulls) over (partition by unique_event_id order by seq rows between unbounded preceding and 1 preceding) as state
+  from d where outcome not in ('RETRY', 'BROKEN')),
+ h as (select * from k where not (outcome in ('COMPLETED', 'DELETED') and coalesce(state = 'COMPLETED', false))),
+ l as (select unique_event_id, arg_min(module_name, seq) as module_name from k group by 1),
+ s as (select unique_event_id, arg_max(outcome, seq) as status, count(*) filter (where outcome = 'FAILED') as failures from h group by 1)
+ select module_name, status, count(*) as events, cast(sum(failures) as bigint) as failures from l join s using (unique_event_id) group by 1, 2
+ union all select 'dead letters', 'DEAD', count(*), 0 from d where outcome in ('FAILED', 'RETRY', 'BROKEN')""",
     "stay_nights": f"with {RESV}, {NIGHTS} select hotel_id, reservation_id, {DAY.format('stay_date')} as stay_date from nights where departure_date >= date '1998-06-15' and arrival_date <= date '1998-06-15' + 730 and stay_date >= date '1998-06-15'",
     "scan_horizon": f"with {RESV} select reservation_id, {DAY.format('arrival_date')} as arrival_date, {DAY.format('departure_date')} as departure_date from resv where departure_date >= date '1998-06-15' and arrival_date <= date '1998-06-15' + 730",
     "latest_raw_payload": f"with {RESV} select hotel_id, reservation_id, cast(case when reservation_id like '%7' then 2 else 1 end as bigint) as version from resv",
@@ -234,7 +252,7 @@ ORACLES: dict[str, str] = {
  when resource_type = 'reservation' then '/rsv/v1/hotels/' || hotel_id || '/reservations/' || resource_id when resource_type = 'profile' then '/crm/v1/profiles/' || resource_id
  when resource_type = 'folio' then '/csh/v1/hotels/' || hotel_id || '/reservations/' || resource_id || '/folios'
  when resource_type = 'folio_transaction' then '/csh/v1/hotels/' || hotel_id || '/transactionDetails?transactionNo=' || resource_id end as request_path from routed""",
-    "queue_messages_read": f"with {_FLAT} select id as unique_event_id, hotel_id, module, action_type, stream_offset as \"offset\", occurred_at from flat where id <> 'hash'",
+    "queue_messages_read": f"with {_FLAT} select id as unique_event_id, hotel_id, module, action_type, stream_offset as \"offset\", occurred_at from flat",
     "classify_responses": f"""with {DECIDED} select event_id, decision, case when status_code < 400 then null when status_code = 404 and gone then 'resource deleted or cancelled'
  when status_code = 429 then 'rate limited' when status_code = 503 then 'server error' when status_code in (400, 404) then 'non-retryable API error'
  when status_code = 401 then 'unauthorized after token refresh' else 'unexpected API error' end as reason, outcome,
@@ -290,8 +308,8 @@ ORACLES: dict[str, str] = {
     "left_for_retry": f"with {DECIDED} select event_id, user_id % 8 as receive_count from dec0 where status_code in (400, 404, 418) and not (status_code = 404 and event_type = 'error') and user_id % 8 < 5",
     "message_group": """with h as (select event_id, sha256(concat('H', user_id % 7, ':', case when event_id % 10 <> 0 then cast(event_id as varchar) else '' end)) as d from events)
  select event_id, concat('events-', lpad(cast(cast(concat('0x', substr(d, 57, 8)) as bigint) % 32 as varchar), 2, '0')) as group_id from h""",
-    "queue_message": f"with {_FLAT} select case when hotel_id = 'UNKNOWN' then 'event-stream' else hotel_id end as group_id, id as dedup_id, cast(event_id as varchar) as sequence, case when hotel_id = 'UNKNOWN' then '' else hotel_id end as hotel_attribute from flat where id <> 'hash'",
-    "raw_record": f"with {_FLAT} select concat('raw/hotel_id=', hotel_id, '/', strftime(ts, '%Y/%m/%d'), '/', id, '-', substr(sha256(id), 1, 12), '.json') as raw_key, '2030-01-01T00:00:00+00:00' as ingested_at from flat where id <> 'hash'",
+    "queue_message": f"with {_FLAT} select case when hotel_id = 'UNKNOWN' then 'event-stream' else hotel_id end as group_id, id as dedup_id, cast(event_id as varchar) as sequence, case when hotel_id = 'UNKNOWN' then '' else hotel_id end as hotel_attribute from flat",
+    "raw_record": f"with {_FLAT} select concat('raw/hotel_id=', hotel_id, '/', strftime(ts, '%Y/%m/%d'), '/', id, '-', substr(sha256(id), 1, 12), '.json') as raw_key, '2030-01-01T00:00:00+00:00' as ingested_at from flat",
     "commit_offset": "select event_type as subscription_name, cast(max(event_id) as varchar) as \"offset\", concat('evt-', max(event_id) % 9000) as last_unique_event_id from events group by event_type",
     "replay_from": "select event_type as chain_code, cast(event_id as varchar) as \"offset\" from events where event_type = 'view' and event_id > (select coalesce(max(event_id), -1) from events where event_type = 'view' and ts < timestamp '2024-01-15')",
     "stage_latency": _stage_latency(),
@@ -324,3 +342,6 @@ ORACLES["reconcile_counts"] = (
 ORACLES["stream_latest_state"] = (
     f"with m as ({ORACLES['merge_core']}) select k, value, last_event_id, last_event_at, deleted_at from m"
 )
+_BACKFILL = ORACLES["daily_tables"].replace("union all select date '1998-06-15', 1 ", "")
+ORACLES["daily_backfill"] = _BACKFILL
+ORACLES["daily_emptied"] = f"select * from ({_BACKFILL}) where snapshot_date = {DAY.format("date '1998-06-08'")}"

@@ -23,14 +23,23 @@ PICKUP = "pickup_metric"
 REJECTED = "reservation_snapshot_rejects"
 
 
+def replace_date(spark: SparkSession, df: DataFrame, path: str, day: date) -> None:
+    """Make the rows of ``df`` the partition of ``day``, also if there are none."""
+    staging = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex[:8]}"
+    part = f"snapshot_date={day.isoformat()}"
+    write_dated(df.where(F.col("snapshot_date") == F.lit(day)), staging)
+    _move(spark, [(f"{staging}/{part}", f"{path.rstrip('/')}/{part}")])
+    _remove(spark, staging)
+
+
 def refresh_daily_snapshot(core: DataFrame, raw: DataFrame, day: date, path: str, horizon_days: int = 730) -> None:
     """Rebuild one date of the snapshot table."""
     built = build_daily_snapshot(core, raw, day, horizon_days)
-    write_dated(built.where("reject_reason is null").drop("reject_reason"), path)
+    replace_date(core.sparkSession, built.where("reject_reason is null").drop("reject_reason"), path, day)
 
 
 def refresh_last_status(spark: SparkSession, day: date, snapshot_path: str, path: str) -> None:
-    write_dated(last_status(read_daily_snapshot(spark, snapshot_path, [day])), path)
+    replace_date(spark, last_status(read_daily_snapshot(spark, snapshot_path, [day])), path, day)
 
 
 def history(spark: SparkSession, path: str, day: date, days: Sequence[int]) -> DataFrame:
@@ -43,7 +52,13 @@ def history(spark: SparkSession, path: str, day: date, days: Sequence[int]) -> D
 
 def refresh_pickups(spark: SparkSession, day: date, days: Sequence[int], snapshot_path: str, path: str) -> None:
     rows = history(spark, snapshot_path, day, [0, *days])
-    write_dated(pickup_metric(rows, day, days), path)
+    replace_date(spark, pickup_metric(rows, day, days), path, day)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this job has made, replaced partitions included."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def _move(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
@@ -118,6 +133,11 @@ def run_daily(
             (f"{staging}/{PICKUP}/{part}", f"{root}/{PICKUP}/{part}"),
         ],
     )
+    _remove(spark, staging)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_staging")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(folder) and not files.listStatus(folder):
+        files.delete(folder, False)  # no other run is staging
     return day
 
 

@@ -16,7 +16,7 @@ from stayflow.operators import merge as M
 from stayflow.operators import transform as T
 from stayflow.operators.enrich import attach_responses, process_outcome
 from stayflow.operators.messaging import DEAD_LETTER_GROUP, fifo_prefix
-from stayflow.operators.parse import parse_business_event, with_delete_flag
+from stayflow.operators.parse import malformed, parse_business_event, with_delete_flag
 from stayflow.operators.routing import resolve_identifier, route_events
 from stayflow.operators.running import earlier
 from stayflow.schemas import (
@@ -45,25 +45,31 @@ _TRANSFORMS = {
 def decide(messages: DataFrame, responses: DataFrame, received_at: Column, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """Messages to decided events: parsed, routed, resolved, matched, classified.
 
-    ``done`` tells whether the message leaves the queue: handled, or poison out
-    of attempts.
+    ``done`` tells whether the message leaves the queue: handled, or out of
+    attempts, whatever kept it there. A body that is not a JSON object fails
+    like any other poison; it has no event id and enters no table but the dead
+    letters.
     """
     events = with_delete_flag(parse_business_event(messages, "body", received_at))
     decided = process_outcome(attach_responses(resolve_identifier(route_events(events)), responses))
     spent = F.col("receive_count") >= max_attempts
     handled = F.col("outcome").isin("COMPLETED", "DELETED")
-    return decided.withColumn("done", handled | ((F.col("outcome") == "FAILED") & spent))
+    broken = malformed(messages, "body").withColumn("outcome", F.lit("FAILED")).withColumn("error", F.lit("message body is not a JSON object"))
+    return decided.unionByName(broken, allowMissingColumns=True).withColumn("done", handled | spent)
 
 
 def mark_duplicates(events: DataFrame) -> DataFrame:
-    """Add ``deduplicated``: the event was already completed when its turn came.
+    """Add ``deduplicated``: the log row of the event was already completed when its turn came.
 
-    Only a completed event is skipped. A failure reopens it and a deletion does
+    Only a completed row is skipped. A failure reopens it and a deletion does
     not close it, so what counts is the last completion or failure before, in
-    this batch or, failing that, in the log (``status``).
+    this batch or, failing that, in the log (``status``). The row may belong to
+    another id at the same position (``log_id``); only events of the row's own
+    id move it.
     """
-    settling = F.when(F.col("outcome").isin("COMPLETED", "FAILED"), F.col("outcome"))
-    seen = earlier(events, ["unique_event_id"], "seq", settling, "_before", "last")
+    own = F.col("unique_event_id") == F.col("log_id")
+    settling = F.when(own & F.col("outcome").isin("COMPLETED", "FAILED"), F.col("outcome"))
+    seen = earlier(events, ["log_id"], "seq", settling, "_before", "last")
     state = F.coalesce("_before", "status")
     skipped = F.col("outcome").isin("COMPLETED", "DELETED") & F.coalesce(state == "COMPLETED", F.lit(False))
     return seen.withColumn("deduplicated", skipped).drop("_before")
@@ -127,6 +133,27 @@ def enrich_batch(
     """Process one batch of messages against the tables under ``root``."""
     with scratch(messages.sparkSession) as cut:
         _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut)
+    write_changes(messages.sparkSession.range(1), f"{root}/batches", batch_id)
+
+
+def drains(spark: SparkSession, root: str) -> int:
+    """How often the queue under ``root`` was drained; each drain is a batch of its own."""
+    path = f"{root}/drains"
+    return spark.read.parquet(path).count() if path_exists(spark, path) else 0
+
+
+def drain_queue(spark: SparkSession, responses: DataFrame, root: str, applied_at: Column) -> None:
+    """Deliver what is left in the queue a last time: every message is handled or becomes a dead letter.
+
+    For the end of a run that no batch follows. Later batches are numbered
+    after the drain; run it only when the stream has stopped.
+    """
+    if not path_exists(spark, f"{root}/batches"):
+        return
+    number = spark.read.parquet(f"{root}/batches").agg(F.max("batch_id")).first()[0] + 1
+    empty = spark.createDataFrame([], MESSAGE)
+    enrich_batch(empty, responses, root, number, applied_at, max_attempts=0)
+    write_changes(spark.range(1), f"{root}/drains", number)
 
 
 def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut) -> None:
@@ -140,7 +167,7 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut)
     grouped = decided.withColumn("group_id", F.coalesce(S.to_text(F.col("hotel_id")), F.lit("default")))
     prefix = fifo_prefix(grouped, "group_id", "seq", "done")
 
-    registering = prefix.where("outcome <> 'RETRY'").withColumn("stream_offset", F.col("offset"))
+    registering = prefix.where("outcome <> 'RETRY' and unique_event_id is not null").withColumn("stream_offset", F.col("offset"))
     # An event keeps its id and position for good, so either may narrow the log down.
     claims = [registering.select("unique_event_id"), registering.select("chain_code", "stream_offset")]
     log = read_current(spark, f"{root}/event_log", EVENT_LOG_KEY, EVENT_LOG, batch_id, claims)
@@ -179,7 +206,10 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut)
         state = M.merge_core(current, ops, keys, CORE_ATTRIBUTES[kind])
         write_changes(state.select(*schema.fieldNames()), path, batch_id)
 
-    dead = flagged.where((F.col("outcome") == "FAILED") & F.col("done")).select(
+    spent = ["message_id", "body", "error"]
+    stuck = prefix.where("done and (outcome = 'RETRY' or unique_event_id is null)")
+    stuck = stuck.withColumn("error", F.coalesce("error", "reason", F.lit("no response landed"))).select(*spent)
+    dead = flagged.where("outcome = 'FAILED' and done").select(*spent).unionByName(stuck).select(
         "message_id",
         "body",
         F.lit(DEAD_LETTER_GROUP).alias("group_id"),

@@ -25,7 +25,9 @@ def scan_core_reservations(df: DataFrame, snapshot_date: date, horizon_days: int
 
 def read_daily_snapshot(spark: SparkSession, path: str, dates: list[date]) -> DataFrame:
     """Only the partitions of the given snapshot dates."""
-    return spark.read.parquet(path).where(F.col("snapshot_date").isin(list(dates)))
+    from stayflow.schemas import DAILY_SNAPSHOT
+
+    return spark.read.schema(DAILY_SNAPSHOT).parquet(path).where(F.col("snapshot_date").isin(list(dates)))
 
 
 def write_dated(df: DataFrame, path: str) -> None:
@@ -36,7 +38,7 @@ def write_dated(df: DataFrame, path: str) -> None:
 def write_changes(df: DataFrame, path: str, batch_id: int) -> None:
     """Write the rows a batch changed as partition ``batch_id``; a replay overwrites it.
 
-    Cost follows the batch, not the table.
+    Writing costs what the batch has, not what the table has.
     """
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))

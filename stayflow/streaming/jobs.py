@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from stayflow.operators import merge as M
 from stayflow.operators.messaging import commit_offset, to_raw_record, write_raw_events
 from stayflow.operators.parse import parse_event_v1
-from stayflow.plans.enrichment import enrich_batch
+from stayflow.plans.enrichment import drains, enrich_batch
 from stayflow.session import scratch
 from stayflow.sources.events import extract_payloads
 from stayflow.sources.tables import read_current, write_changes
@@ -64,11 +64,16 @@ def stream_latest_state(
 def stream_enrich(
     stream: DataFrame, responses: DataFrame, root: str, checkpoint: str, applied_at: Column | None = None, every: str | None = None
 ) -> StreamingQuery:
-    """Enrich message batches; tables are written before the batch counts as consumed."""
+    """Enrich message batches; tables are written before the batch counts as consumed.
+
+    What a batch leaves in the queue is delivered again with the next one.
+    ``plans.enrichment.drain_queue`` ends a run that no batch follows.
+    """
+    drained = drains(stream.sparkSession, root)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         at = F.current_timestamp() if applied_at is None else applied_at
-        enrich_batch(batch, responses, root, batch_id, at)
+        enrich_batch(batch, responses, root, batch_id + drained, at)
 
     return start(stream, each, checkpoint, every)
 
