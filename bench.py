@@ -37,6 +37,7 @@ HEADLINE = [
     "stage_latency",
     "daily_tables",
     "stream_dedup",
+    "stream_enrich",
 ]
 
 
