@@ -20,6 +20,7 @@ from stayflow.plans import daily, enrichment, reports
 from stayflow.schemas import DAILY_SNAPSHOT_KEY, EVENT_LOG
 from stayflow.session import configure, scratch_path
 from stayflow.sources import events as sources
+from stayflow.sources.routes import load_routes
 from stayflow.sources.tables import read_current, scan_core_reservations
 from stayflow.streaming import jobs
 
@@ -259,6 +260,20 @@ def parse_event_flat(spark, sf):
     return rows.select("event_id", F.col("unique_event_id").alias("id"), "hotel_id", "module", "action_type", "occurred_at", "stream_offset")
 
 
+@query
+def parse_awkward(spark, sf):
+    """Disagreeing envelopes, repeated, nested and escaped names, hashed ids and configured kinds, up to the resource."""
+    routes = [*load_routes()[0], X.BLOCK_ROUTE]
+    events = routing.route_events(parse.parse_business_event(X.awkward_bodies(spark, sf), "body", _late()), routes)
+    rows = routing.resolve_identifier(events, routes)
+    return rows.select("event_id", "unique_event_id", "hotel_id", "module_name", "event_name", "offset", "operation_id", "resource_id")
+
+
+@query
+def malformed_events(spark, sf):
+    return parse.malformed(X.awkward_bodies(spark, sf), "body")
+
+
 @query
 def event_metadata(spark, sf):
     names = ["chainCode", "hotelId", "moduleName", "eventName", "primaryKey", "timestamp"]
@@ -502,6 +517,44 @@ def commit_offset(spark, sf):
     return messaging.commit_offset(_positions(spark, sf)).drop("updated_at")
 
 
+@query
+def raw_archive(spark, sf):
+    """The raw archive written and read back, folders included."""
+    path = scratch_path(spark, "archive")
+    flat = parse.parse_event_v1(X.flat_events(spark, sf), "body", _late())
+    messaging.write_raw_events(messaging.to_raw_record(flat, _late()), path)
+    rows = spark.read.text(path)
+    return rows.select(
+        "hotel_id", *[F.col(c).cast("bigint").alias(c) for c in "ymd"], F.expr("cast(get_json_object(value, '$.payload.info.sequence') as bigint)").alias("sequence")
+    )
+
+
+@query
+def event_files(spark, sf):
+    """Event bodies landed as text lines, read back and parsed."""
+    path = scratch_path(spark, "files")
+    X.event_bodies(spark, sf).select(F.col("body").alias("value")).write.text(path)
+    rows = parse.parse_business_event(sources.read_event_files(spark, path, lines=True), "body", _late())
+    return rows.select("unique_event_id", "offset", "hotel_id", "event_name")
+
+
+@query
+def resource_responses(spark, sf):
+    """Responses landed as JSON lines, read back."""
+    path = scratch_path(spark, "responses")
+    X.landed_responses(spark, sf).write.json(path)
+    rows = sources.read_resource_responses(spark, path)
+    return rows.select("operation_id", "hotel_id", "resource_id", "status_code", "retry_after")
+
+
+@query
+def error_texts(spark, sf):
+    """Errors cut to the limits of the log and of the dead letters."""
+    long = F.expr("repeat(concat(event_type, '\u00e9-'), cast(event_id % 500 as int))")
+    rows = X.table(spark, sf, "events").withColumn("error", long)
+    return rows.select("event_id", F.sha2(S.truncate_error(F.col("error")), 256).alias("logged"), S.truncate_error(F.col("error"), 256).alias("failure_reason"))
+
+
 @query
 def replay_from(spark, sf):
     rows = _positions(spark, sf)

@@ -143,6 +143,37 @@ def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A route whose identifier kind is not among the built-in ones.
+BLOCK_ROUTE = {
+    "moduleName": "Blocks",
+    "eventName": "*",
+    "resource_type": "block",
+    "operation_id": "getBlock",
+    "path": "/blocks",
+    "identifier_type": "blockId",
+    "fetch": "block",
+}
+
+
+def awkward_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as they should not be written: envelopes that disagree with their payload, repeated and nested names,
+    escaped keys, leading blanks, numbers for text, keys that do not fit, configured kinds, no object at all."""
+    n, u = "cast(event_id as string)", "cast(user_id as string)"
+    body = (
+        "case event_id % 9"
+        f" when 0 then concat('{{\"module\":\"X\",\"action_type\":\"A\",\"hotelId\":\"OUT\",\"payload\":{{\"moduleName\":\"RSV\",\"eventName\":\"NewReservation\",\"hotelId\":\"IN\",\"eventId\":\"p-', {n}, '\",\"primaryKey\":\"k', {u}, '\"}}}}')"
+        f" when 1 then concat('{{\"a\":{{\"eventId\":\"deep\",\"offset\":1.50}},\"b\":[{{\"eventId\":\"deeper\",\"offset\":2}}],\"eventId\":\"t-', {n}, '\"}}')"
+        f" when 2 then concat('{{\"z\":{{\"hotelId\":\"Z\"}},\"b\":{{\"c\":[{{}},{{\"resort\":\"B', {u}, '\"}}]}},\"eventId\":\"n-', {n}, '\"}}')"
+        f" when 3 then concat('{{\"hotel\\\\u0049d\":\"E', {u}, '\",\"eventId\":\"e-', {n}, '\"}}')"
+        f" when 4 then concat('\\n\\t {{\"eventId\":\"l-', {n}, '\"}}')"
+        f" when 5 then concat('{{\"eventId\":\"b-', {n}, '\",\"moduleName\":\"Blocks\",\"primaryKey\":\"unused\",\"info\":{{\"blockId\":\"blk-', {u}, '\"}}}}')"
+        f" when 6 then concat('{{\"eventId\":\"d-', {n}, '\",\"moduleName\":\"CSH\",\"eventName\":\"FolioTransaction\",\"primaryKey\":\"none\",\"deep\":{{\"x\":[{{\"trxNo\":', {n}, '}}]}}}}')"
+        f" when 7 then concat('{{\"payload\":{{\"b\": \"', {u}, '\", \"a\": [', {n}, ']}},\"c\":1}}')"
+        f" else concat('[', {n}, ']') end as body"
+    )
+    return table(spark, sf_dir, "events").selectExpr("event_id", body)
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscription frames in all the shapes a frame may take."""
     shaped = (

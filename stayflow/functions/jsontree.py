@@ -7,10 +7,10 @@ VARIANT keeps them in and the order canonical JSON writes them in.
 
 ``search_fields`` answers most rows without walking the tree:
 
-1. one regular expression per field lists every place in the text where one of
-   its names is a key. No place means null; exactly one plain scalar is the
-   answer wherever it sits;
-2. otherwise a name among the document's own keys is the answer by definition;
+1. a name among the document's own keys is the answer by definition;
+2. for a field still open, one regular expression lists every place in the text
+   where one of its names is a key. No place means null; exactly one plain
+   scalar is the answer wherever it sits;
 3. only the remaining rows pay for the full walk (``tree_hits``), which has no
    depth limit.
 
@@ -172,9 +172,13 @@ def find_first(doc: str, text: str, names: Sequence[str]) -> str:
 
 def own_key(doc: str, names: Sequence[str]) -> str:
     """The value of the first of ``names``, alphabetically, among the document's own keys."""
-    bracketed = [f'$["{n}"]' for n in sorted(set(names))]
-    parts = [f"get(filter(array({value_at(doc, p)}), f -> f.text <> ''), 0)" for p in bracketed]
-    return f"coalesce({', '.join(parts)})"
+
+    def case(path: str) -> str:
+        text = text_at(doc, path)
+        shape = f"schema_of_variant({member(doc, path)}) <> 'STRING'"
+        return f"when {text} <> '' then named_struct('text', {text}, 'literal', {shape})"
+
+    return "case " + " ".join(case(f'$["{n}"]') for n in sorted(set(names))) + " end"
 
 
 def _key_pattern(names: Sequence[str]) -> str:
@@ -194,51 +198,63 @@ def fence(df: DataFrame, *passing: str) -> DataFrame:
     """Let no filter on the columns worked out so far slip below the work.
 
     Pushed down, it would repeat the whole computation of its column, once more
-    at every projection it passes. Spark moves no filter below a projection
-    that depends on the task it runs in, and unused columns are still pruned. Columns in
-    ``passing`` stay plain.
+    at every projection it passes. A filter that needs a generator's output
+    stays above the generator, here one that makes a single row. Unused columns
+    are still pruned, and filters on the plain columns in ``passing`` still reach
+    the scan.
     """
-    return df.selectExpr(
-        *[f"`{c}`" if c in passing else f"if(spark_partition_id() >= 0, `{c}`, null) as `{c}`" for c in df.columns]
+    held = df.selectExpr("*", "explode(array(true)) as _held")
+    return held.selectExpr(
+        *[f"`{c}`" if c in passing else f"if(_held, `{c}`, null) as `{c}`" for c in df.columns]
     )
 
 
-def search_fields(df: DataFrame, doc: str, text: str, fields: Mapping[str, Sequence[str]]) -> DataFrame:
+def search_fields(
+    df: DataFrame, doc: str, text: str, fields: Mapping[str, Sequence[str]], leading: str | None = None
+) -> DataFrame:
     """Add one found-value column per field, searching the documents in column ``doc``.
 
-    ``text`` is a column with a JSON text of the same document. Each step runs
-    only for the rows the step before left open, and the columns of a step are
-    plain columns of the next, so nothing is worked out twice.
+    ``text`` is a column with a JSON text of the same document. ``leading`` may
+    hold an object of some of the document's members, which are then looked at
+    before the others, own keys and nested ones alike. Each step runs only for
+    the rows the step before left open, and the columns of a step are plain
+    columns of the next, so nothing is worked out twice.
     """
     kept = [f"`{c}`" for c in df.columns]
+
+    def own(names: Sequence[str]) -> str:
+        return f"coalesce({own_key(leading, names)}, {own_key(doc, names)})" if leading else own_key(doc, names)
+
+    owned = df.selectExpr("*", *[f"{own(names)} as _w_{f}" for f, names in fields.items()])
+    owns = [f"_w_{f}" for f in fields]
     # Every place a name is a key, with its value if that is a plain scalar and '' if not.
     plain_value = r'\s*("[^"\\]*"|[^\s",}\]\[{]*)'
 
-    def all_places(names: Sequence[str]) -> str:
+    def all_places(f: str, names: Sequence[str]) -> str:
+        # A plain substring test rules most texts out before the pattern runs.
+        seen = " or ".join("contains({}, {})".format(text, quoted(f'"{n}"')) for n in sorted(set(names)))
         every_place = f"regexp_extract_all({text}, {quoted(_key_pattern(names) + plain_value)}, 1)"
-        if len(names) > 2:
-            return every_place
-        # Few names: a plain substring test rules most texts out before the pattern runs.
-        seen = " or ".join("contains({}, {})".format(text, quoted(f'"{n}"')) for n in names)
-        return f"case when {seen} then {every_place} when {text} is not null then cast(array() as array<string>) end"
+        return f"case when _w_{f} is null and ({seen}) then {every_place} end"
 
-    places = [f"{all_places(names)} as _a_{f}" for f, names in fields.items()]
+    places = [f"{all_places(f, names)} as _a_{f}" for f, names in fields.items()]
     # A key spelled with \u escapes is not seen by the pattern.
-    listed = df.selectExpr("*", f"contains({text}, {quoted(chr(92) + 'u')}) as _escaped", *places)
+    listed = owned.selectExpr("*", f"contains({text}, {quoted(chr(92) + 'u')}) as _escaped", *places)
     only = [f"case when size(_a_{f}) = 1 then get(_a_{f}, 0) end as _o_{f}" for f in fields]
     many = [
-        f"_escaped or size(_a_{f}) > 1 or (size(_a_{f}) = 1 and get(_a_{f}, 0) = '') as _m_{f}" for f in fields
+        f"_w_{f} is null and coalesce(_escaped or size(_a_{f}) > 1 or (size(_a_{f}) = 1 and get(_a_{f}, 0) = ''), false) as _m_{f}"
+        for f in fields
     ]
-    judged = listed.selectExpr(*kept, *only, *many)
-    own = [f"case when _m_{f} then {own_key(doc, names)} end as _w_{f}" for f, names in fields.items()]
-    owned = judged.selectExpr("*", *own)
-    still = " or ".join(f"(_m_{f} and _w_{f} is null)" for f in fields)
+    judged = listed.selectExpr(*kept, *owns, *only, *many)
+    still = " or ".join(f"_m_{f}" for f in fields)
     every = sorted({n for names in fields.values() for n in names})
-    walked = owned.selectExpr("*", f"case when {still} then {tree_hits(doc, text, every)} end as _hits")
+    space = f"if({leading} is null, {doc}, to_variant_object(array({leading}, {doc})))" if leading else doc
+    # The list around a leading part is one bracket more than the text shows.
+    depth_text = f"concat('[', {text})" if leading else text
+    walked = judged.selectExpr("*", f"case when {still} then {tree_hits(space, depth_text, every)} end as _hits")
 
     def answer(f: str, names: Sequence[str]) -> str:
         raw = f"_o_{f}"
-        body = f"if(startswith({raw}, '\"'), substr({raw}, 2, length({raw}) - 2), {raw})"
+        body = f"if(startswith({raw}, '\"'), substr({raw}, 2, length({raw}) - 2), {text_at(parse(raw))})"
         single = (
             f"case when not _m_{f} and {raw} <> '\"\"' and {raw} <> 'null'"
             f" then named_struct('text', {body}, 'literal', not startswith({raw}, '\"')) end"

@@ -15,8 +15,10 @@ def attach_responses(events: DataFrame, responses: DataFrame) -> DataFrame:
     """Left join of routed events with landed responses.
 
     A profile is fetched by id alone, the others within a hotel. The newest
-    response (``fetch_seq``) of a resource is taken. Events without identifier
-    get a key of their own, so they do not pile up in one partition.
+    response (``fetch_seq``) of a resource is taken, and only resources that some
+    event asks for are reduced: the landed table grows without end, a batch does
+    not. Events without identifier get a key of their own, so they do not pile up
+    in one partition.
     """
     result = ["status_code", "retry_after", "response"]
 
@@ -30,12 +32,14 @@ def attach_responses(events: DataFrame, responses: DataFrame) -> DataFrame:
         F.struct("status_code", "retry_after", F.col("payload").alias("response")).alias("_r"),
         "fetch_seq",
     )
-    newest = landed.groupBy("operation_id", "_scope", "_resource").agg(F.max_by("_r", "fetch_seq").alias("_r"))
     own = F.concat(F.lit("\u0002"), F.col("unique_event_id"))
     keyed = events.withColumn("_scope", scope(F.col("operation_id"), F.col("hotel_id"))).withColumn(
         "_resource", F.coalesce("resource_id", own)
     )
-    return keyed.join(newest, ["operation_id", "_scope", "_resource"], "left").select(
+    keys = ["operation_id", "_scope", "_resource"]
+    asked = keyed.where("resource_id is not null").select(*keys).distinct()
+    newest = landed.join(asked, keys, "left_semi").groupBy(*keys).agg(F.max_by("_r", "fetch_seq").alias("_r"))
+    return keyed.join(newest, keys, "left").select(
         *events.columns, *[F.col(f"_r.{c}").alias(c) for c in result]
     )
 

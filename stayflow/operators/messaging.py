@@ -54,24 +54,22 @@ def to_raw_record(df: DataFrame, ingested_at: Column, prefix: str = "raw") -> Da
     )
 
 
-def write_raw_events(records: DataFrame, path: str, mode: str = "append", files_per_day: int = 4) -> None:
+def write_raw_events(records: DataFrame, path: str, mode: str = "append") -> None:
     """Archive records as text files partitioned by hotel and day.
 
-    Rows of a hotel and day are dealt to ``files_per_day`` writers by event id:
-    one busy hotel does not end up in one writer, and a folder does not get a
-    file from every task.
+    Rows are rebalanced by hotel and day: adaptive execution splits a busy
+    hotel's day over as many writers as its size asks for, and a small folder
+    does not get a file from every task.
     """
     dated = records.select(
         "hotel_id",
         F.date_format("occurred_at", "yyyy").alias("y"),
         F.date_format("occurred_at", "MM").alias("m"),
         F.date_format("occurred_at", "dd").alias("d"),
-        F.pmod(F.xxhash64("unique_event_id"), F.lit(files_per_day)).alias("_slice"),
         F.col("body").alias("value"),
     )
     days = ["hotel_id", "y", "m", "d"]
-    dealt = dated.repartition(*days, "_slice").drop("_slice")
-    dealt.write.mode(mode).partitionBy(*days).text(path)
+    dated.hint("rebalance", *days).write.mode(mode).partitionBy(*days).text(path)
 
 
 def fifo_prefix(df: DataFrame, group: str = "group_id", seq: str = "seq", ok: str = "ok") -> DataFrame:

@@ -61,8 +61,9 @@ def _with_doc(df: DataFrame, json_col: str) -> DataFrame:
     """Add ``_doc`` (search space) and ``_payload`` (the event proper, as JSON text).
 
     An envelope with an object under ``payload`` is searched as the payload's
-    members overlaid with its own. An event without envelope is its own payload
-    and keeps its text as landed.
+    members overlaid with its own; those under the payload's names (``_lead``)
+    come before the rest. An event without envelope is its own payload and keeps
+    its text as landed.
     """
     outer = f"case when {J.mentions(json_col, ['payload'])} > 0 then {J.entries('_body')} end as _outer"
     wrapped = _parsed(df, json_col, "_body").selectExpr("*", outer)
@@ -74,10 +75,12 @@ def _with_doc(df: DataFrame, json_col: str) -> DataFrame:
     overlay = (
         "to_variant_object(map_concat(map_filter(_inner, (k, v) -> not map_contains_key(_outer, k)), _outer))"
     )
+    lead = "to_variant_object(map_from_entries(transform(map_entries(_inner), e -> struct(e.key, coalesce(try_element_at(_outer, e.key), e.value)))))"
     alone = "to_variant_object(map_filter(_outer, (k, v) -> k = 'payload'))"
     return opened.selectExpr(
         *[f"`{c}`" for c in df.columns],
         f"case when _inner is not null then {overlay} else _body end as _doc",
+        f"case when _inner is not null then {lead} end as _lead",
         "case when _inner is not null then to_json(to_variant_object(_inner))"
         f" when _has then to_json({alone}) else {json_col} end as _payload",
     )
@@ -151,7 +154,7 @@ def detail_lookup(details: str, names: list[str], skip_empty: bool = False) -> s
 def parse_business_event(df: DataFrame, json_col: str, received_at: Column) -> DataFrame:
     """Enveloped event to typed columns (``schemas.BUSINESS_EVENT``); other columns pass through."""
     doc = _with_doc(df.withColumn("_received", received_at), json_col)
-    found = J.search_fields(doc, "_doc", json_col, {f"_{k}": v for k, v in V2_NAMES.items()})
+    found = J.search_fields(doc, "_doc", json_col, {f"_{k}": v for k, v in V2_NAMES.items()}, leading="_lead")
     found = found.selectExpr("*", f"{event_details('_doc', json_col)} as _details")
 
     def field(key: str, only_truthy: bool = False) -> str:

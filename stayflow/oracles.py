@@ -345,3 +345,25 @@ ORACLES["stream_latest_state"] = (
 _BACKFILL = ORACLES["daily_tables"].replace("union all select date '1998-06-15', 1 ", "")
 ORACLES["daily_backfill"] = _BACKFILL
 ORACLES["daily_emptied"] = f"select * from ({_BACKFILL}) where snapshot_date = {DAY.format("date '1998-06-08'")}"
+
+_RAWHOTEL = "case when event_id % 9 = 0 then 'UNKNOWN' else concat('R', user_id % 5) end"
+_NEWQ = "event_id % 9"
+ORACLES["parse_awkward"] = f"""select event_id,
+  case {_NEWQ} when 7 then sha256(concat('{{"a":[', event_id, '],"b":"', user_id, '"}}')) else concat(['p', 't', 'n', 'e', 'l', 'b', 'd'][cast({_NEWQ} + 1 as int)], '-', event_id) end as unique_event_id,
+  case {_NEWQ} when 0 then 'OUT' when 2 then concat('B', user_id) when 3 then concat('E', user_id) else 'UNKNOWN' end as hotel_id,
+  case {_NEWQ} when 0 then 'RSV' when 5 then 'Blocks' when 6 then 'CSH' end as module_name,
+  case {_NEWQ} when 0 then 'NewReservation' when 6 then 'FolioTransaction' end as event_name,
+  case {_NEWQ} when 1 then '1.5' end as "offset",
+  case {_NEWQ} when 0 then 'getReservation' when 5 then 'getBlock' when 6 then 'getFolioTransactionDetails' end as operation_id,
+  case {_NEWQ} when 0 then concat('k', user_id) when 5 then concat('blk-', user_id) when 6 then cast(event_id as varchar) end as resource_id
+  from events where {_NEWQ} <> 8"""
+ORACLES["malformed_events"] = f"select event_id, concat('[', event_id, ']') as body from events where {_NEWQ} = 8"
+ORACLES["raw_archive"] = f"select {_RAWHOTEL} as hotel_id, year(ts) as y, month(ts) as m, day(ts) as d, event_id as sequence from events"
+ORACLES["event_files"] = f"with {PARSED} select unique_event_id, cast(event_id as varchar) as \"offset\", hotel_id, event_name from ev"
+ORACLES["error_texts"] = """select event_id, sha256(substr(error, 1, 2000)) as logged, substr(error, 1, 256) as failure_reason
+  from (select event_id, repeat(concat(event_type, 'é-'), cast(event_id % 500 as bigint)) as error from events)"""
+ORACLES["resource_responses"] = """select case when event_type in ('view','error') then 'getReservation' when event_type = 'signup' then 'getProfile'
+  when event_type = 'click' then 'getFolio' else 'getFolioTransactionDetails' end as operation_id, concat('H', user_id % 7) as hotel_id,
+  case event_type when 'click' then concat('resv-', user_id) when 'purchase' then cast(event_id as varchar) else concat('key-', user_id) end as resource_id,
+  cast(case event_id % 20 when 1 then 404 when 2 then 429 when 3 then 503 when 4 then 401 when 5 then 400 when 6 then 418 else 200 end as bigint) as status_code,
+  case event_id % 3 when 0 then '30' when 1 then '-5' else 'soon' end as retry_after from events"""

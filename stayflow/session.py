@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -25,7 +26,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName("stayflow").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.ui.showConsoleProgress", "false")
+    builder = SparkSession.builder.master(master).appName("stayflow").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
@@ -72,7 +73,7 @@ def materialize(df: DataFrame, label: str = "cut", path: str | None = None) -> D
 def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """``materialize`` for the length of a batch: what it wrote is removed at the end."""
     root = scratch_path(spark, "batch")
-    count = iter(range(1_000_000))
+    count = itertools.count()
 
     def cut(df: DataFrame, label: str = "cut") -> DataFrame:
         return materialize(df, path=f"{root}/{next(count)}-{label}")

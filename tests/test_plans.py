@@ -201,6 +201,17 @@ def test_plans_push_down_prune_and_do_not_multiply(spark, sf_dir):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_filters_on_landed_columns_reach_the_scan_through_the_parse(spark, sf_dir):
+    from stayflow.operators import parse, routing
+
+    table = scratch_path(spark, "landed")
+    X.event_bodies(spark, sf_dir).withColumn("day", F.dayofmonth("ts")).write.partitionBy("day").parquet(table)
+    events = routing.resolve_identifier(routing.route_events(parse.parse_business_event(spark.read.parquet(table), "body", at())))
+    plan = events.where("day = 3 and resource_id = 'x'").select("event_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert plan.count("try_parse_json(body") <= 3 and "Join" not in plan
+
+
 def test_entry_and_every_query_has_matching_sql_columns(spark):
     import __spark_entry__ as contract
 
