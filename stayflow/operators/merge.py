@@ -80,24 +80,27 @@ def new_events(log: DataFrame, batch: DataFrame, seq: str = "seq", cut=materiali
             return entered.select(*batch.columns)
 
 
-def register_events(log: DataFrame, batch: DataFrame, entered: DataFrame) -> DataFrame:
+def register_events(log: DataFrame, batch: DataFrame, entered: DataFrame, seq: str = "seq") -> DataFrame:
     """The log row each batch row finds after registration, by its id first, else by (chain, offset): ``log_id`` and ``status``.
 
-    Two equality joins; one join on either condition would compare all pairs.
+    A row sees what had entered by its own turn, not what enters later in the
+    batch. Two equality joins; one join on either condition would compare all pairs.
     """
-    known = log.select("unique_event_id", "chain_code", "stream_offset", "status").unionByName(
-        entered.select("unique_event_id", "chain_code", "stream_offset", F.lit("RECEIVED").alias("status"))
+    always = F.lit(None).cast("bigint").alias("_at")
+    known = log.select("unique_event_id", "chain_code", "stream_offset", "status", always).unionByName(
+        entered.select("unique_event_id", "chain_code", "stream_offset", F.lit("RECEIVED").alias("status"), F.col(seq).alias("_at"))
     )
-    by_id = known.select("unique_event_id", F.col("status").alias("_by_id"))
+    by_id = known.select("unique_event_id", F.col("status").alias("_by_id"), F.col("_at").alias("_id_at"))
     by_slot = known.where("chain_code is not null and stream_offset is not null").select(
         _slot(F.col("unique_event_id")).alias("_slot"), F.col("status").alias("_by_slot"), F.col("unique_event_id").alias("_slot_id")
     )
+    by_own = F.col("_by_id").isNotNull() & F.coalesce(F.col("_id_at") <= F.col(seq), F.lit(True))
     return (
         batch.withColumn("_slot", _slot(F.col("unique_event_id")))
         .join(by_id, "unique_event_id", "left")
         .join(by_slot, "_slot", "left")
-        .withColumn("status", F.coalesce("_by_id", "_by_slot"))
-        .withColumn("log_id", F.when(F.col("_by_id").isNotNull(), F.col("unique_event_id")).otherwise(F.col("_slot_id")))
+        .withColumn("status", F.when(by_own, F.col("_by_id")).otherwise(F.col("_by_slot")))
+        .withColumn("log_id", F.when(by_own, F.col("unique_event_id")).otherwise(F.col("_slot_id")))
         .select(*batch.columns, "log_id", "status")
     )
 

@@ -176,7 +176,8 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut)
     flagged = cut(mark_duplicates(known), "flagged")
     handled = flagged.where("not deduplicated")
 
-    outcomes = handled.select("unique_event_id", "seq", "outcome", "error", applied_at.alias("at"))
+    # Whatever another id's row stood in for leaves no mark on a row that enters later.
+    outcomes = handled.where("unique_event_id = log_id").select("unique_event_id", "seq", "outcome", "error", applied_at.alias("at"))
     mine = log.join(handled.select(*EVENT_LOG_KEY).distinct(), EVENT_LOG_KEY, "left_semi")
     rows = mine.unionByName(entered.select(*EVENT_LOG.fieldNames()))
     write_changes(M.event_outcomes(rows, outcomes), f"{root}/event_log", batch_id)
