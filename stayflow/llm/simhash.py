@@ -127,6 +127,17 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(pairs.select(F.col("u").alias("node"), F.col("v").alias("root")))
 
 
+def _grouped(documents: DataFrame, shingle: int, max_bits: int, segments: int) -> DataFrame:
+    """One row per document: doc_id, fp, root, component_id. A group is its root; two groups may have one name, or none."""
+    docs = materialize(with_fingerprint(documents, ["doc_id"], shingle), "fingerprints")
+    prints = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
+    found = links(prints.select("fp"), max_bits, segments)
+    rooted = prints.join(components(found), prints["fp"] == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = materialize(rooted, "rooted")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+    return docs.join(named, "fp").select("doc_id", "fp", "root", "component_id")
+
+
 def near_duplicate_groups(documents: DataFrame, shingle: int = 3, max_bits: int = 3, segments: int = 2) -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id.
 
@@ -134,29 +145,32 @@ def near_duplicate_groups(documents: DataFrame, shingle: int = 3, max_bits: int
     fewer differing bits. The fingerprints are written once; all later steps
     read them and no text.
     """
-    docs = materialize(with_fingerprint(documents, ["doc_id"], shingle), "fingerprints")
-    prints = materialize(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    found = links(prints.select("fp"), max_bits, segments)
-    rooted = prints.join(components(found), prints["fp"] == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = materialize(rooted, "rooted")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return docs.join(named, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(documents, shingle, max_bits, segments).select("doc_id", "fp", "component_id")
 
 
 def deduplicate(documents: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The document of the smallest id of every group, with its columns as they are.
 
-    Where several rows of a group have that id, the smallest text stays.
+    Where several rows of a group have that id, or none has an id, the smallest
+    text stays. An id that only one row of the table has tells the row; rows of
+    any other id, or none, are told by their fingerprint too.
     """
-    groups = near_duplicate_groups(documents, shingle, max_bits)
-    heads = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "fp", "component_id").agg(F.count("*").alias("times"))
-    kept = materialize(heads, "kept")
-    same_id = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
-    rows = documents.alias("d").join(kept.alias("k"), same_id, "left_semi")
-    if kept.groupBy("doc_id").agg(F.sum("times").alias("times")).where("times > 1").isEmpty():
+    groups = materialize(_grouped(documents, shingle, max_bits, 2), "groups")
+    heads = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp", "root").distinct()
+    times = groups.where("doc_id is not null").groupBy("doc_id").agg((F.count("*") == 1).alias("alone"))
+    named = heads.where("doc_id is not null").join(times, "doc_id")
+    kept = materialize(named.unionByName(heads.where("doc_id is null").withColumn("alone", F.lit(False))), "kept")
+    rows = documents.join(kept.where("alone").select("doc_id"), "doc_id", "left_semi").select(documents.columns)
+    shared = kept.where("not alone")
+    if shared.isEmpty():
         return rows
-    fp, component = fresh(documents.columns, "fp"), fresh(documents.columns, "component_id")
-    printed = with_fingerprint(rows, documents.columns, shingle, fp).alias("d")
-    of_group = printed.join(kept.alias("k"), same_id & (F.col(f"d.{fp}") == F.col("k.fp"))).select(F.struct(*[F.col(f"d.`{c}`") for c in documents.columns]).alias("row"), F.col("k.component_id").alias(component))
+    fp, root = fresh(documents.columns, "fp"), fresh(documents.columns, "root")
+    of_id = documents.join(shared.select("doc_id").distinct(), "doc_id", "left_semi").select(documents.columns).unionByName(documents.where("doc_id is null"))
+    printed = with_fingerprint(of_id, documents.columns, shingle, fp)
     smallest = F.struct(F.col("row.text").isNotNull(), F.col("row.text"))
-    return of_group.groupBy(component).agg(F.min_by("row", smallest).alias("row")).select("row.*")
+    # copies are reduced before they meet their group
+    printed = printed.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col(fp).alias("fp"))
+    printed = printed.groupBy("row.doc_id", "fp").agg(F.min_by("row", smallest).alias("row")).select("fp", "row")
+    same = (F.col("row.doc_id").eqNullSafe(F.col("k.doc_id"))) & (printed["fp"] == F.col("k.fp"))
+    of_group = printed.join(shared.alias("k"), same).select("row", F.col("k.root").alias(root))
+    return rows.unionByName(of_group.groupBy(root).agg(F.min_by("row", smallest).alias("row")).select("row.*"))

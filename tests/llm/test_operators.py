@@ -203,6 +203,24 @@ def test_deduplicate_keeps_one_of_each_group(spark, awkward, clashing):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
 
 
+def test_deduplicate_tells_groups_not_ids(spark):
+    a, b, c, d = (prose(i, 80) for i in (21, 22, 23, 24))
+    table = [
+        (None, a, "en", "a", 1), (None, a, "fr", "b", 1), (None, b, "en", "a", 1), (None, None, "en", "a", 1),  # three groups, no id in any
+        (1, c, "en", "a", 1), (1, d, "en", "a", 1),  # one id, smallest of two groups
+        (0, prose(25, 80), "en", "a", 1), (1, prose(25, 80), "en", "b", 1), (None, prose(25, 80), "en", "c", 1),  # a head's id and null beside a smaller id
+        (7, prose(26, 80), "en", "a", 1), (8, prose(26, 80), "en", "a", 1),
+    ]
+    kept = simhash.deduplicate(spark.createDataFrame(table, DOCS).repartition(3))
+    want = [(None, None), (None, a), (None, b), (0, prose(25, 80)), (1, c), (1, d), (7, prose(26, 80))]
+    assert rows(kept, "doc_id", "text") == sorted(want, key=repr)
+
+
+def test_deduplicate_drops_a_copy_that_has_a_heads_id(spark):
+    table = [(1, prose(31, 80), "en", "a", 1), (0, prose(32, 80), "en", "a", 1), (1, prose(32, 80), "en", "a", 1)]
+    assert rows(simhash.deduplicate(spark.createDataFrame(table, DOCS)), "doc_id", "text") == [(0, prose(32, 80)), (1, prose(31, 80))]
+
+
 def test_repeats(spark, awkward, nothing):
     got = rows(suffix_dedup.repeat_report(awkward), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got == sorted(brute.repeats(pairs(awkward)), key=repr)
