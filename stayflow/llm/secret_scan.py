@@ -78,23 +78,20 @@ def at_code(value: Column, k: Column, side: int) -> Column:
     return (index(k) * F.lit(side) + index(k + F.lit(1)) + F.lit(1)).cast("int")
 
 
-def plain_language(documents: DataFrame, sample_rows: int = 2_000, sample_chars: int = 2_000, groups: int = 400) -> Language:
-    """Transitions and letter groups of about ``sample_rows`` texts.
+def plain_language(documents: DataFrame, groups: int = 400) -> Language:
+    """Transitions and letter groups counted over the whole texts of all documents.
 
-    Of each text ``sample_chars`` characters from a hashed place are taken: the
-    sample is bounded, as for a classifier, and so are its two tables.
+    Equal words are counted in the tasks first; only the two bounded tables reach the driver.
     """
-    draw = F.xxhash64(F.coalesce("text", F.lit("")))
-    at = F.pmod(draw, F.greatest(F.length("text") - sample_chars, F.lit(1)).cast("bigint")) + 1
-    sample = hashed_sample(documents.select("doc_id", "text"), sample_rows).where("text is not null").select(F.substring("text", at.cast("int"), F.lit(sample_chars)).alias("part"))
+    words = documents.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z]{3,15}"), F.lit(0))).alias("word"))
+    words = materialize(words.groupBy("word").count(), "words")
     side = len(ALPHABET) + 1
-    words = sample.select(F.explode(F.regexp_extract_all("part", F.lit(r"[A-Za-z]{3,15}"), F.lit(0))).alias("word"))
-    pairs = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda k: at_code(F.col("word"), k, side))).alias("code")).groupBy("code").count()
+    pairs = words.select("count", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda k: at_code(F.col("word"), k, side))).alias("code")).groupBy("code").agg(F.sum("count").alias("count"))
     counts = {r["code"]: r["count"] for r in pairs.collect()}
     rows = [sum(counts.get(i * side + j + 1, 0) for j in range(side)) for i in range(side)]
     transitions = [math.log((counts.get(i * side + j + 1, 0) + 0.1) / (rows[i] + 0.1 * side)) for i in range(side) for j in range(side)]
-    triples = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 2), lambda k: F.lower(F.substring("word", k, F.lit(3))))).alias("group"))
-    common = triples.groupBy("group").count().orderBy(F.desc("count"), "group").limit(groups).collect()
+    triples = words.select("count", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 2), lambda k: F.lower(F.substring("word", k, F.lit(3))))).alias("group"))
+    common = triples.groupBy("group").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "group").limit(groups).collect()
     return Language(transitions, "|" + "".join(f"{r['group']}|" for r in common))
 
 

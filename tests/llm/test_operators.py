@@ -344,6 +344,26 @@ def test_secrets(spark, clashing, nothing):
     assert secret_scan.redact(nothing).count() == 0 and secret_scan.secret_report(nothing).count() == 0
 
 
+def test_plain_language_counts_all_of_every_text(spark):
+    import math
+    import re
+    from collections import Counter
+
+    texts = ["qzx " * 9_000 + "end" * 6] + [f"plain Words {i}" for i in range(2_500)] + [None, ""]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS).repartition(7)
+    words = [w for t in texts for w in re.findall(r"[A-Za-z]{3,15}", t or "")]
+    pairs = Counter(w[k : k + 2] for w in words for k in range(len(w) - 1))
+    of = Counter()
+    for p, n in pairs.items():
+        of[p[0]] += n
+    triples = Counter(w[k : k + 3].lower() for w in words for k in range(len(w) - 2))
+    got = secret_scan.plain_language(docs, groups=6)
+    assert got.groups == "|" + "".join(f"{g}|" for g, _ in sorted(triples.items(), key=lambda x: (-x[1], x[0]))[:6])
+    index = lambda c: secret_scan.ALPHABET.find(c) + 1
+    for p in ("qz", "zx", "en", "dW", "Wo"):
+        assert got.transitions[index(p[0]) * 63 + index(p[1])] == pytest.approx(math.log((pairs[p] + 0.1) / (of[p[0]] + 6.3)))
+
+
 def test_candidates_join_to_the_text(spark):
     text = 'k="AAAAAAAAAAAAAAAAAAAAAAAA1" and /very/long/path/to/a/file end'
     frame = spark.createDataFrame([(text,), ("",), (None,)], "text string")
