@@ -36,19 +36,6 @@ def share_of(key: Column, share: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("share"), key), F.lit(1 << 30)) < share * F.lit(float(1 << 30))
 
 
-def hashed_sample(documents: DataFrame, rows: int) -> DataFrame:
-    """About ``rows`` documents, chosen by hash; all of them where there are no more.
-
-    The share is set before anything is read, so no task sends more than its
-    part of the sample.
-    """
-    total = documents.count()
-    if total <= rows:
-        return documents
-    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
-    return documents.where(share_of(key, F.lit(rows / total)))
-
-
 def fresh(columns: list[str], name: str) -> str:
     """``name``, or it with underscores in front until no column is called so."""
     taken = {c.lower() for c in columns}

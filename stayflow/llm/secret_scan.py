@@ -21,10 +21,9 @@ from dataclasses import dataclass
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import fresh, hashed_sample
+from stayflow.llm.common import fresh
 from stayflow.session import materialize
 
 #: A candidate, and the words that name a secret.
@@ -160,14 +159,32 @@ def _tree(node) -> float | tuple:
     return split.featureIndex(), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild())
 
 
+def drawn_findings(labelled: DataFrame, per_label: int = 4_000) -> DataFrame:
+    """At most ``per_label`` different findings of each label, those of the smallest hashes.
+
+    The labels of all findings are counted first. From the counts comes a share
+    per label that is about twice enough, so tasks send few rows.
+    """
+    keyed = labelled.select("value", "before", "after", "path", "label").withColumn("draw", F.xxhash64("value", "before", "after", "path"))
+    counts = {r["label"]: r["n"] for r in keyed.groupBy("label").agg(F.approx_count_distinct("draw").alias("n")).collect()}
+    share = F.lit(0.0)
+    for label, n in counts.items():
+        share = F.when(F.col("label") == label, F.lit(2.0 * per_label / max(n, 1))).otherwise(share)
+    # the smallest hashes, in the order that the last step takes them
+    place = (F.col("draw").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    some = materialize(keyed.where(place <= share).distinct(), "drawn")
+    out = some.limit(0)
+    for label in sorted(counts):
+        out = out.unionByName(some.where(F.col("label") == label).orderBy("draw", "value", "before", "after", "path").limit(per_label))
+    return out
+
+
 def train_forest(labelled: DataFrame, language: Language, per_label: int = 4_000, trees: int = 15, depth: int = 5, seed: int = 42) -> Forest:
-    """A forest from at most ``per_label`` findings of each label, those of the smallest hashes.
+    """A forest from at most ``per_label`` findings of each label, drawn by hash from all of them.
 
     ``labelled`` has value, before, after, path and label (1.0 for a secret).
     """
-    draw = F.xxhash64("value", "before", "after", "path")
-    place = F.row_number().over(W.partitionBy("label").orderBy("draw", "value", "before", "after"))
-    drawn = labelled.withColumn("draw", draw).withColumn("place", place).where(F.col("place") <= per_label)
+    drawn = drawn_findings(labelled, per_label)
     vector = features(F.struct("value", "before", "after"), F.col("path"), language)
     data = materialize(drawn.select("label", vector.alias("numbers")), "findings")
     labels = {r["label"] for r in data.groupBy("label").count().collect()}
@@ -189,15 +206,15 @@ def _marked(documents: DataFrame, language: Language, forest: Forest, path: str
     return documents.withColumn(column, F.when(F.rlike("text", F.lit(CANDIDATE)), judged).otherwise(none))
 
 
-def learn(documents: DataFrame, labelled: DataFrame | None, path: str | None, sample_documents: int = 50_000) -> tuple[Language, Forest]:
+def learn(documents: DataFrame, labelled: DataFrame | None, path: str | None) -> tuple[Language, Forest]:
     """What plain text looks like, and the forest.
 
-    Without ``labelled`` findings those of about ``sample_documents`` documents
-    are labelled by ``label_by_assignment``: a bounded sample to fit on.
+    Without ``labelled`` findings those of all documents are labelled by
+    ``label_by_assignment``; only the fit is bounded, per label.
     """
     language = plain_language(documents)
     if labelled is None:
-        labelled = label_by_assignment(findings(hashed_sample(documents, sample_documents), path))
+        labelled = label_by_assignment(findings(documents, path))
     return language, train_forest(labelled, language)
 
 

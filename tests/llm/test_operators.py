@@ -364,6 +364,24 @@ def test_plain_language_counts_all_of_every_text(spark):
         assert got.transitions[index(p[0]) * 63 + index(p[1])] == pytest.approx(math.log((pairs[p] + 0.1) / (of[p[0]] + 6.3)))
 
 
+def test_secrets_that_are_rare_among_many_documents(spark):
+    import hashlib
+
+    keys = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(3)]
+    plain = spark.range(400_000).selectExpr("id as doc_id", "concat('some words and a longwordofplaintext', id % 7, ' with http://host.example/path/', id % 5000, ' end') as text", "'a' as source")
+    rare = spark.createDataFrame([(-i - 1, f'here is token = "{k}" end', "a") for i, k in enumerate(keys)], "doc_id long, text string, source string")
+    found = secret_scan.secret_report(plain.unionByName(rare)).where("n_secrets > 0").collect()
+    assert sorted((r.doc_id, r.secrets) for r in found) == sorted((-i - 1, [k]) for i, k in enumerate(keys))
+
+
+def test_findings_are_drawn_per_label(spark):
+    found = spark.range(3_000).selectExpr("concat('v', id % 2000) as value", "'' as before", "'' as after", "'' as path", "case when id < 3 then 1.0D else 0.0D end as label")
+    drawn = secret_scan.drawn_findings(found, 100)
+    assert {r.label: r["count"] for r in drawn.groupBy("label").count().collect()} == {0.0: 100, 1.0: 3}
+    first = found.where("label = 0").select("value", "before", "after", "path").distinct().selectExpr("*", "xxhash64(value, before, after, path) as draw").orderBy("draw").limit(100)
+    assert {r.value for r in drawn.where("label = 0").collect()} == {r.value for r in first.collect()}
+
+
 def test_candidates_join_to_the_text(spark):
     text = 'k="AAAAAAAAAAAAAAAAAAAAAAAA1" and /very/long/path/to/a/file end'
     frame = spark.createDataFrame([(text,), ("",), (None,)], "text string")
