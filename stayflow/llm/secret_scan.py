@@ -31,7 +31,13 @@ CANDIDATE = r"[A-Za-z0-9+/_=.~-]{16,}"
 KEYWORDS = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|bearer|credential)"
 PLACEHOLDERS = r"(?i)(example|sample|dummy|placeholder|your|xxxx|test|changeme|0000|1234)"
 PATHS = r"(?i)(test|example|fixture|sample|doc|mock|readme)"
+#: Keys that are known by their form, and values that look drawn at random: letters and digits that take turns in a long run.
+KNOWN = r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10}|[sr]k_live_[A-Za-z0-9]{16}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8}"
+PEM = r"PRIVATE KEY-----\s*$"
+RANDOM = r"(?=[A-Za-z]*[0-9]+[A-Za-z]+[0-9])[A-Za-z0-9]{16,}|(?=[A-Za-z]*[0-9])(?=[A-Z0-9]*[a-z]+[A-Z0-9]+[a-z]+[A-Z])[A-Za-z0-9]{16,}|^(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z])(?=[^0-9]*[0-9])[A-Za-z0-9+/=]{24,}$"
 CONTEXT = 32
+#: Fewer findings of a form than this are repeated for the fit, so that trees see them.
+LEAST_OF_FORM = 200
 #: Classes of characters for transitions: 26 letters in either case, ten digits, and all else.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 FEATURES = ("length", "letters", "digits", "uppers", "distinct", "transitions", "coverage", "separators", "keyword_before", "keyword_after", "assigned", "quoted", "placeholder", "in_url", "in_path")
@@ -121,14 +127,28 @@ def findings(documents: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def label_by_assignment(found: DataFrame) -> DataFrame:
-    """Labels from the form of a finding, for tables that come without any.
+    """Labels and ``form`` from the form of a finding, for tables that come without any.
 
-    True: at least 32 characters with digits, assigned in quotes to a name of a
-    secret. False: no name of a secret before it. All others are left out.
+    True: keys of a known form, the first line of a private key, values assigned
+    to a name of a secret, in quotes or not, that look random or are in quotes
+    and have 32 characters with digits. False: no name of a secret before or in
+    it, and neither a known form nor random looking. All others are left out:
+    placeholders, bare random strings, and named values without that look.
     """
-    named = F.rlike("before", F.lit(KEYWORDS))
-    key = F.rlike("before", F.lit(KEYWORDS[:-1] + r")\w*\s*[=:]\s*[\"']$")) & F.rlike("value", F.lit("[0-9]")) & (F.length("value") >= 32) & ~F.rlike("value", F.lit(PLACEHOLDERS))
-    return found.withColumn("label", F.when(key, F.lit(1.0)).when(~named, F.lit(0.0))).where("label is not null")
+    value, before = F.col("value"), F.col("before")
+    random, known = F.rlike(value, F.lit(RANDOM)), F.rlike(value, F.lit(KNOWN))
+    named = F.rlike(before, F.lit(KEYWORDS)) | F.rlike(value, F.lit(KEYWORDS))
+    quoted = F.rlike(before, F.lit(KEYWORDS[:-1] + r")\w*\s*[=:]\s*[\"']$"))
+    unquoted = F.rlike(before, F.lit(KEYWORDS[:-1] + r")\w*\s*[=:]\s*$")) | F.rlike(value, F.lit(KEYWORDS[:-1] + r")\w*=\S{16}"))
+    real = ~F.rlike(value, F.lit(PLACEHOLDERS))
+    form = (
+        F.when(real & known, F.lit("known"))
+        .when(F.rlike(before, F.lit(PEM)), F.lit("pem"))
+        .when(real & quoted & (random | (F.rlike(value, F.lit("[0-9]")) & (F.length(value) >= 32))), F.lit("quoted"))
+        .when(real & unquoted & random, F.lit("unquoted"))
+        .when(~named & ~random & ~known, F.lit("plain"))
+    )
+    return found.withColumn("form", form).where("form is not null").withColumn("label", F.when(F.col("form") == "plain", 0.0).otherwise(1.0))
 
 
 @dataclass
@@ -162,34 +182,46 @@ def _tree(node) -> float | tuple:
 def drawn_findings(labelled: DataFrame, per_label: int = 4_000) -> DataFrame:
     """At most ``per_label`` different findings of each label, those of the smallest hashes.
 
-    The labels of all findings are counted first. From the counts comes a share
-    per label that is about twice enough, so tasks send few rows.
+    Where findings have a ``form``, the forms of a label share its number evenly.
+    All findings are counted first. From the counts comes a share per label and
+    form that is about twice enough, so tasks send few rows.
     """
-    keyed = labelled.select("value", "before", "after", "path", "label").withColumn("draw", F.xxhash64("value", "before", "after", "path"))
-    counts = {r["label"]: r["n"] for r in keyed.groupBy("label").agg(F.approx_count_distinct("draw").alias("n")).collect()}
+    form = F.col("form") if "form" in labelled.columns else F.lit("")
+    keyed = labelled.select("value", "before", "after", "path", "label", form.alias("form")).withColumn("draw", F.xxhash64("value", "before", "after", "path"))
+    counts = {(r["label"], r["form"]): r["n"] for r in keyed.groupBy("label", "form").agg(F.approx_count_distinct("draw").alias("n")).collect()}
+    most = {kind: max(1, per_label // sum(label == kind[0] for label, _ in counts)) for kind in counts}
+    of_kind = lambda kind: (F.col("label") == kind[0]) & F.col("form").eqNullSafe(F.lit(kind[1]))
     share = F.lit(0.0)
-    for label, n in counts.items():
-        share = F.when(F.col("label") == label, F.lit(2.0 * per_label / max(n, 1))).otherwise(share)
+    for kind, n in counts.items():
+        share = F.when(of_kind(kind), F.lit(2.0 * most[kind] / max(n, 1))).otherwise(share)
     # the smallest hashes, in the order that the last step takes them
     place = (F.col("draw").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
     some = materialize(keyed.where(place <= share).distinct(), "drawn")
     out = some.limit(0)
-    for label in sorted(counts):
-        out = out.unionByName(some.where(F.col("label") == label).orderBy("draw", "value", "before", "after", "path").limit(per_label))
+    for kind in sorted(counts, key=repr):
+        out = out.unionByName(some.where(of_kind(kind)).orderBy("draw", "value", "before", "after", "path").limit(most[kind]))
     return out
 
 
 def train_forest(labelled: DataFrame, language: Language, per_label: int = 4_000, trees: int = 15, depth: int = 5, seed: int = 42) -> Forest:
     """A forest from at most ``per_label`` findings of each label, drawn by hash from all of them.
 
-    ``labelled`` has value, before, after, path and label (1.0 for a secret).
+    ``labelled`` has value, before, after, path and label (1.0 for a secret),
+    and may have a form. Secrets are also shown without the words around them,
+    as a bare key is still one; few findings of a form are shown repeatedly.
     """
-    drawn = drawn_findings(labelled, per_label)
+    drawn = drawn_findings(labelled, per_label).select("value", "before", "after", "path", "label", "form")
+    bare = drawn.where("label = 1.0").withColumn("before", F.lit("")).withColumn("after", F.lit("")).withColumn("form", F.concat("form", F.lit(" bare")))
     vector = features(F.struct("value", "before", "after"), F.col("path"), language)
-    data = materialize(drawn.select("label", vector.alias("numbers")), "findings")
-    labels = {r["label"] for r in data.groupBy("label").count().collect()}
+    data = materialize(drawn.unionByName(bare).select("label", "form", vector.alias("numbers")), "findings")
+    kinds = {(r["label"], r["form"]): r["count"] for r in data.groupBy("label", "form").count().collect()}
+    labels = {label for label, _ in kinds}
     if len(labels) < 2:
         return Forest([1.0 if labels == {1.0} else 0.0])
+    times = F.lit(1)
+    for (label, form), n in sorted(kinds.items(), key=repr):
+        times = F.when((F.col("label") == label) & F.col("form").eqNullSafe(F.lit(form)), F.lit(-(-LEAST_OF_FORM // n))).otherwise(times)
+    data = data.select("label", "numbers", F.explode(F.sequence(F.lit(1), times)))
     data = data.select("label", array_to_vector("numbers").alias("features"))
     model: RandomForestClassificationModel = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(data)
     return Forest([_tree(t._call_java("rootNode")) for t in model.trees])

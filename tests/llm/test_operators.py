@@ -382,6 +382,39 @@ def test_findings_are_drawn_per_label(spark):
     assert {r.value for r in drawn.where("label = 0").collect()} == {r.value for r in first.collect()}
 
 
+def test_secrets_of_other_forms(spark):
+    import base64
+    import hashlib
+    import string
+
+    def drawn(n, letters, seed):
+        out = hashlib.sha512(f"{seed}".encode()).digest() + hashlib.sha512(f"{seed}+".encode()).digest()
+        return "".join(letters[b % len(letters)] for b in out[:n])
+
+    mixed, upper = string.ascii_letters + string.digits, string.ascii_uppercase + string.digits
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "source")
+    planted = {}
+    for i in range(12):
+        token = f"{drawn(20, mixed, ('j', i))}.eyJ{drawn(30, mixed, ('k', i))}.{drawn(43, mixed, ('l', i))}"
+        forms = [
+            ("id {}", "AKIA" + drawn(16, upper, ("a", i))), ("clone with {} please", "ghp_" + drawn(36, mixed, ("g", i))),
+            ("cookie {}", "eyJ" + token), ("-----BEGIN RSA PRIVATE KEY-----\n{}\n", base64.b64encode(drawn(48, mixed, ("p", i)).encode()).decode()),
+            ("password: {}", drawn(20, mixed, ("u", i))), ('api_key = "{}"', drawn(24, mixed, ("q", i))),
+            # no rule labels these: bare strings without a known form or a name
+            ("see {} there", drawn(40, mixed, ("b", i))), ("see {} there", hashlib.sha256(f"h{i}".encode()).hexdigest()),
+        ]
+        for k, (around, key) in enumerate(forms):
+            planted[-(i * 10 + k + 1)] = (k, around.format(key), key)
+    more = spark.createDataFrame([(i, f"Some words before. {text} And after.", "a") for i, (_, text, _) in planted.items()], "doc_id long, text string, source string")
+    found = {r.doc_id: r.secrets for r in secret_scan.secret_report(docs.unionByName(more)).collect()}
+    hits = [sum(key in found[i] for i, (k, _, key) in planted.items() if k == form) for form in range(8)]
+    assert all(h >= 11 for h in hits), hits
+    labels = secret_scan.label_by_assignment(secret_scan.findings(more)).where("label = 0")
+    assert labels.count() == 0
+    plain = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert sum(f'token = "{s}"' not in plain[i].lower() for i in plain for s in found[i]) <= 1
+
+
 def test_candidates_join_to_the_text(spark):
     text = 'k="AAAAAAAAAAAAAAAAAAAAAAAA1" and /very/long/path/to/a/file end'
     frame = spark.createDataFrame([(text,), ("",), (None,)], "text string")
