@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.llm.common import bounded_batches
+from stayflow.session import materialize
 
 _END = "\r\n\r\n"
 #: The alphabet of base32.
@@ -240,7 +241,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     as read. Without ``payload`` that column is null and never leaves the task.
     """
     bounded_batches(spark, 1)  # a row is a file
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{gz,warc}").load(path).select("content")
     return files.mapInArrow(_records(payload), RECORD)
 
 
@@ -267,7 +268,14 @@ def assemble_captures(records: DataFrame) -> DataFrame:
 def resolve_revisits(captures: DataFrame) -> DataFrame:
     """The captures with ``payload_bytes`` and ``payload_digest`` of the full payload, also for revisits.
 
-    A revisit takes the length of the payload from the capture it refers to.
+    A revisit takes them from the capture it refers to. Its length stays null
+    where that capture is not there or has another digest than the revisit says.
     """
-    length = F.regexp_extract("metadata.fields", r"payload-bytes: (\d+)", 1)
-    return captures.withColumn("payload_bytes", F.coalesce("capture.payload_bytes", F.when(length != "", length.cast("bigint")))).withColumn("payload_digest", F.col("capture.payload_digest"))
+    captures = materialize(captures, "captures")  # read twice
+    full = captures.where("capture.payload_bytes is not null").groupBy(F.col("capture_id").alias("target")).agg(F.min(F.struct("capture.payload_bytes", "capture.payload_digest")).alias("full"))
+    # captures that refer to none have keys of their own
+    at = F.when(F.col("capture.type") == "revisit", F.col("capture.refers_to"))
+    met = captures.withColumn("target_id", F.coalesce(at, F.concat(F.lit("none "), F.coalesce("capture_id", F.lit(""))))).join(full, F.col("target_id") == F.col("target"), "left")
+    said = F.col("capture.payload_digest")
+    found = F.when(said.isNull() | (said == F.col("full.payload_digest")), F.col("full.payload_bytes"))
+    return met.select(*captures.columns, F.coalesce("capture.payload_bytes", found).alias("payload_bytes"), F.coalesce(said, F.col("full.payload_digest")).alias("payload_digest"))

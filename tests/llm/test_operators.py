@@ -149,6 +149,25 @@ def test_warc_reader_takes_members_and_plain_files():
         list(warc.parse_warc(one[:-8]))
 
 
+def test_revisits_of_another_writer(spark, tmp_path):
+    import base64
+    import hashlib
+
+    digest = base64.b32encode(hashlib.sha1(b"hello").digest()).decode()
+    block = b"HTTP/1.1 200 OK\r\n\r\nhello"
+
+    def record(kind, name, more, body):
+        return f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:x:{name}>\r\n{more}Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+    def revisit(name, to, of):
+        return record("revisit", name, f"WARC-Refers-To: <urn:x:{to}>\r\nWARC-Payload-Digest: sha1:{of}\r\n", b"")
+
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "one.warc").write_bytes(record("response", "full", "", block) + revisit("good", "full", digest) + revisit("lost", "gone", digest) + revisit("wrong", "full", "A" * 32))
+    found = warc.resolve_revisits(warc.assemble_captures(warc.read_warc(spark, str(tmp_path / "w"))))
+    assert {r.capture_id[7:-1]: r.payload_bytes for r in found.collect()} == {"full": 5, "good": 5, "lost": None, "wrong": None}
+
+
 TALK = [
     (1, 0, "user", "</s>[INST] ok [/INST]"), (1, 1, "assistant", "<\\/s> and <\\\\s> [\\INST] <s"), (1, 1, "assistant", "\U0001f600 ß"),
     (2, None, None, None), (2, 0, "odd\nrole\\n", "[/INST"), (None, 3, "assistant", ""), (None, 1, "system", "x\ny"),
