@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayflow.llm.common import bounded_batches, total_order
+from stayflow.llm.common import importable, sliced, total_order
 
 TRAINED_ROLE = "assistant"
 MARKS = {True: ("<s>", "</s>"), False: ("[INST]", "[/INST]")}
@@ -83,7 +83,7 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     open_id, piece = object(), 0
-    for batch in batches:
+    for batch in sliced(batches, BATCH_TURNS):
         if not batch.num_rows:
             continue
         out, rows, starts, ends = assemble(batch.column("role"), batch.column("text"))
@@ -113,7 +113,7 @@ def format_chat(conversations: DataFrame) -> DataFrame:
     ``loss_spans`` are the code points of ``formatted`` to train on. Pieces of a
     conversation follow each other in their partition.
     """
-    bounded_batches(conversations.sparkSession, BATCH_TURNS)
+    importable(conversations.sparkSession)
     turns = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = turns.repartition("conv_id").sortWithinPartitions(*total_order(*[F.col(c) for c in ("conv_id", "turn", "role", "text")]))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))

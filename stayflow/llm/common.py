@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,15 +46,20 @@ def fresh(columns: list[str], name: str) -> str:
     return name
 
 
-def bounded_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Let Python tasks take that many rows at a time, as texts can be very long.
-
-    Workers also look for this package where the driver has it; where it is
-    installed on the workers, that changes nothing.
-    """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def importable(spark: SparkSession) -> None:
+    """Let workers look for this package where the driver has it; where it is installed on the workers, that changes nothing."""
     here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if here not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, here])
+
+
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows, that many at a time: what a task makes of long texts stays small.
+
+    Spark itself bounds the batches by bytes; no setting of the session is touched.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayflow.llm.common import bounded_batches, fresh
+from stayflow.llm.common import fresh, importable, sliced
 
 #: Bytes that end a word, and upper case letters, as the words' lower case.
 _FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -196,7 +196,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     words, counted from 0, end excluded.
     """
     spark = documents.sparkSession
-    bounded_batches(spark)
+    importable(spark)
     rows = documents.drop(column)
     fields = rows.schema.fields
     held = T.StructField(fresh(rows.columns, "held"), T.StructType([T.StructField("hits", T.BinaryType()), T.StructField("item_ids", T.ArrayType(T.StringType()))]))
@@ -212,7 +212,7 @@ def _pass(shared, width: int, names: list[str], last: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             earlier = batch.column(width).to_pylist() if batch.num_columns > width else repeat(None)
             for text, held in zip(batch.column("text"), earlier):
@@ -276,7 +276,7 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, window: int = 13, l
     found = find_contamination(documents, benchmark, window, column=column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for text, match in zip(batch.column("text").to_pylist(), batch.column(column).to_pylist()):
                 out.append(text_without(text, [(s["start"], s["end"]) for s in match["spans"] if s["end"] - s["start"] >= least_words]))

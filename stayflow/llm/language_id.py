@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayflow.llm.common import bounded_batches, fresh, share_of
+from stayflow.llm.common import fresh, importable, share_of, sliced
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -192,7 +192,7 @@ def document_windows(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray,
 def predict(documents: DataFrame, network: Network | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The documents with the predicted language and its score, which replace columns of these names."""
     spark = documents.sparkSession
-    bounded_batches(spark)
+    importable(spark)
     rows = documents.drop(*names)
     schema = T.StructType([*rows.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     shared = spark.sparkContext.broadcast(network)
@@ -200,7 +200,7 @@ def predict(documents: DataFrame, network: Network | None, names: tuple[str, str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         tables = model.tables() if model else None
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column("text").to_pylist()
             known = [i for i, t in enumerate(texts) if model and t and any(map(str.isalpha, t))]
             best_of, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)

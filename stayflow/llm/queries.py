@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import chat, decontaminate, language_id, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, warc
+from stayflow.llm import chat, decontaminate, language_id, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, turn_repair, warc
 from stayflow.llm.common import read_table
 from stayflow.session import configure, scratch_path
 
@@ -88,3 +88,24 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(read_table(spark, sf_dir, "documents"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows of ``conversations`` with every fault some of them get, chosen by a checksum of their key. Nulls are one space."""
+    spaced = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"), fault.alias("fault")).where("fault != 0")
+    text = F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role"))
+    times = F.explode(F.array_repeat(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("time")).drop("time")
+
+
+@query
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    ids = conversations.select("conv_id").distinct()
+    report = turn_repair.repair_report(damaged(conversations)).withColumnRenamed("conv_id", "found_id")
+    met = ids.join(report, ids["conv_id"].eqNullSafe(report["found_id"]), "left")
+    counts = [F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return met.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayflow.llm.common import bounded_batches, fresh
+from stayflow.llm.common import fresh, importable, sliced
 from stayflow.session import materialize
 
 SEED = 42
@@ -57,10 +57,10 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def with_fingerprint(documents: DataFrame, keep: list[str], shingle: int = 3, column: str = "fp") -> DataFrame:
     """The columns ``keep`` of the documents and their fingerprint as a signed long."""
-    bounded_batches(documents.sparkSession)
+    importable(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             prints = pa.array([fingerprint(t.as_py(), shingle) for t in batch.column(0)], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], prints], names=[*batch.schema.names[1:], column])
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import bounded_batches
+from stayflow.llm.common import importable, sliced
 from stayflow.llm.cover_sort import repeated
 from stayflow.session import materialize
 
@@ -146,7 +146,7 @@ def _slices(texts: list[bytes], least: int) -> Iterator[tuple[int, int]]:
 
 def _emit_runs(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t.as_py() for t in batch.column("text")]
             found = [(a, runs_of(texts[a:b], length)) for a, b in _slices(texts, HASHED_BYTES)]
             owner = np.concatenate([a + r[0] for a, r in found] or [np.zeros(0, np.int64)])
@@ -161,7 +161,7 @@ def _cut_runs(length: int, hot: bool):
     """Of a text and its listed runs: one row per run with its bytes, or per string with its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for text, listed in zip(batch.column("text"), batch.column("runs").to_pylist()):
                 raw = text.as_py()
@@ -212,7 +212,7 @@ def _sort_buckets(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
-        for batch in batches:
+        for batch in sliced(batches):
             for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "content", "strings", "part"))):
                 if size >= BLOCK_BYTES and row[0] != held[-1][0]:
                     yield solve(held)
@@ -227,7 +227,7 @@ def _sort_buckets(length: int):
 
 def repeated_runs(documents: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """(texts, marks): distinct texts by key, and per text the repeated strings of its runs."""
-    bounded_batches(documents.sparkSession)
+    importable(documents.sparkSession)
     rows = documents.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     keyed = rows.select(*_key(F.col("text")), "text")
     runs = materialize(keyed.where(F.octet_length("text") >= length).mapInArrow(_emit_runs(length), "k1 long, k2 long, start int, strings int, bucket long, content long, inner boolean"), "runs")
@@ -275,7 +275,7 @@ def _merged(spans: list[dict[str, int]], n: int) -> list[tuple[int, int]]:
 
 def _apply(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             removed, spans, digests, kept = [], [], [], []
             for text, marks in zip(batch.column("marked"), batch.column("spans")):
                 if not marks.is_valid:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayflow.llm.common import bounded_batches
+from stayflow.llm.common import importable, sliced
 
 #: Bytes that are encoded at a time, about.
 BATCH_BYTES = 1 << 20
@@ -124,11 +124,11 @@ def token_counts(documents: DataFrame, tokenizer_path: str, limit: int = 4096) -
     ``tokenizer_path`` is a file that every worker has, as part of its
     installation. Without begin, end or added special tokens.
     """
-    bounded_batches(documents.sparkSession, 1024)
+    importable(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(tokenizer_path)
-        for batch in batches:
+        for batch in sliced(batches, 1024):
             texts = batch.column("text").to_pylist()
             tokens = [n for group in _balanced(texts, BATCH_BYTES) for n in count.lengths(group)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(tokens, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])

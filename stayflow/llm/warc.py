@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import bounded_batches
+from stayflow.llm.common import importable, sliced
 from stayflow.session import materialize
 
 _END = "\r\n\r\n"
@@ -209,7 +209,7 @@ def _records(with_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
-        for batch in batches:
+        for batch in sliced(batches, 1):  # a row is a file
             for content in batch.column("content"):
                 for head, block in parse_warc(content.as_py()):
                     kind, payload, fields = head.get("warc-type"), None, None
@@ -240,7 +240,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     ``payload_bytes`` and the digest of a response are taken from its payload
     as read. Without ``payload`` that column is null and never leaves the task.
     """
-    bounded_batches(spark, 1)  # a row is a file
+    importable(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{gz,warc}").load(path).select("content")
     return files.mapInArrow(_records(payload), RECORD)
 
