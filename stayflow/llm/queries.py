@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import chat, decontaminate, language_id, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, turn_repair, warc
+from stayflow.llm import chat, decontaminate, language_id, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, turn_repair, warc
 from stayflow.llm.common import read_table
 from stayflow.session import configure, scratch_path
 
@@ -109,3 +109,8 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     met = ids.join(report, ids["conv_id"].eqNullSafe(report["found_id"]), "left")
     counts = [F.coalesce(name, F.lit(0).cast("bigint")).alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return met.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@query
+def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
