@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import chat, decontaminate, language_id, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, turn_repair, warc
-from stayflow.llm.common import read_table
+from stayflow.llm import chat, decontaminate, language_id, mixing, packing, periodic_runs, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, turn_repair, warc
+from stayflow.llm.common import SPACED_WORD, read_table
 from stayflow.session import configure, scratch_path
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -114,3 +114,35 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
+
+
+def looped(documents: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the texts, by a checksum of the id, repeat a few of their words from some place on to the end."""
+    seed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    pick = F.floor(seed / 10)
+
+    def loop(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        begin = F.pmod(pick, n)
+        period = F.lit(1) + F.floor((n - begin) / (F.lit(3) + pick % 8))
+        place = lambda i: F.when(i < begin, i).otherwise(begin + F.pmod(i - begin, period))
+        said = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.get(words, place(i).cast("int")))
+        return F.when(n > 0, F.concat_ws(" ", said)).otherwise(F.lit(""))
+
+    # one pass over the text: its words are bound before they are looked up
+    once = F.transform(F.array(F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))), loop)[0]
+    return documents.select("doc_id", F.when(seed % 10 == 0, once).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(looped(read_table(spark, sf_dir, "documents")))
+    stronger = lambda best, run: best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), lambda best, run: F.when(stronger(best, run), run).otherwise(best))
+    line = lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    listed = digest(F.array_join(F.transform("runs", line), "")).alias("runs_sha256")
+    told = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), listed, digest(F.col("collapsed")).alias("collapsed_sha256"))
+    of = F.col("best")
+    milli = F.floor(F.lit(1000) * of["length"] / of["period"]).cast("bigint")
+    return told.select("doc_id", "n_runs", of["start"].alias("start"), of["length"].alias("length"), of["period"].alias("period"), milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")

@@ -82,3 +82,45 @@ def repairs(rows):
         illegal = sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(said))
         cost, audit, repaired = cheapest(said)
         yield conv, max(turns) - min(turns) + 1 - len(turns) if turns else 0, *(marks.count(m) for m in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(f"{r}:{t}" for r, t in repaired))
+
+
+def loop(doc_id, words):
+    """The words after the query's repetition."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def runs(words, least=24, exponent=3):
+    """Every maximal stretch with each period, smallest periods only."""
+    n, found = len(words), {}
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            a = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            length = i - a + q
+            # a multiple of a smaller period covers no more than that period does
+            if length >= 2 * q and not any(a >= s and a + length <= s + l and q % p == 0 for (s, l), p in found.items()):
+                found[a, length] = q
+    return sorted((s, l, q) for (s, l), q in found.items() if l >= max(least, exponent * q))
+
+
+def run_report(doc_id, text):
+    words = loop(doc_id, SPACED.findall(text or ""))
+    found = sorted(runs(words), key=lambda r: (r[0], r[2]))
+    gone = {k for s, l, q in found for k in range(s + q, s + l)}
+    best = None
+    for s, l, q in found:
+        if best is None or l * best[2] > best[1] * q:
+            best = (s, l, q)
+    told = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return doc_id, len(found), *told, sha("".join(f"{s},{l},{q}\n" for s, l, q in found)), sha(" ".join(w for k, w in enumerate(words) if k not in gone))
