@@ -89,3 +89,60 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not 100 * lost > 50 * n_chars as kept
 from m
 """
+
+ORACLES["op11_turn_repair"] = r"""
+with recursive damaged as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: ascii(c)::bigint)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda v, i: case when v % 2 = 1 then xor(v // 2, 3988292384::bigint) else v // 2 end)), 4294967295::bigint) % 20 as fault
+    from conversations
+), rows as (
+    select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+        case when fault = 1 then '' when fault = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+        unnest(range(case when fault = 3 then 2 else 1 end)) as copy
+    from damaged where fault <> 0
+), numbered as (
+    select *, row_number() over () as rid from rows
+), placed as (
+    select *, row_number() over w as k, row_number() over (partition by conv_id, role, text order by turn nulls first, rid) as said,
+        lag(left(role, 1)) over w as before, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare
+    from numbered window w as (partition by conv_id order by turn nulls first, role, text, rid)
+), marked as (
+    select *, left(role, 1) as initial, bare = '' as blank, bare <> '' and said > 1 as duplicate,
+        bare <> '' and said = 1 and right(bare, 1) not in ('.', '!', '?') as truncated
+    from placed
+), report as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) as n,
+        count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated,
+        count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+    from marked group by conv_id
+), closure(p, put, said, here) as (
+    -- pattern states 0 start, 1 system, 2 user, 3 assistant; insertions in front of a row
+    values (0, '', [], 0), (0, 'I', ['user:'], 2), (0, 'II', ['user:', 'assistant:'], 3), (1, '', [], 1), (1, 'I', ['user:'], 2), (1, 'II', ['user:', 'assistant:'], 3),
+        (2, '', [], 2), (2, 'I', ['assistant:'], 3), (2, 'II', ['assistant:', 'user:'], 2), (3, '', [], 3), (3, 'I', ['user:'], 2), (3, 'II', ['user:', 'assistant:'], 3)
+), steps(p, q, edit, initial, put, said, paid) as (
+    select p, p, 'D', null, '', [], 4 from (values (0), (1), (2), (3)) t(p)
+    union all select p, case when here = 2 then 3 else 2 end, 'R', null, put, said, 3 * length(put) + 3 from closure
+    union all select p, case when here = 2 then 3 else 2 end, 'K', case when here = 2 then 'a' else 'u' end, put, said, 3 * length(put) from closure
+    union all select p, 1, 'K', 's', put, said, 3 * length(put) from closure where here = 0
+), parsed(conv_id, k, state, cost, audit, repaired) as (
+    select conv_id, 0::bigint, 0, 0::bigint, '', []::varchar[] from report
+    union all
+    select conv_id, k, state, cost, audit, repaired from (
+        select a.conv_id, a.k + 1 as k, s.q as state, a.cost + s.paid + case when m.truncated and s.edit <> 'D' then 3 else 0 end as cost, a.audit || s.put || s.edit as audit,
+            a.repaired || s.said || case s.edit when 'K' then [m.role || ':' || m.text] when 'R' then [case s.q when 2 then 'user:' else 'assistant:' end || m.text] else []::varchar[] end as repaired
+        from parsed a join marked m on m.conv_id is not distinct from a.conv_id and m.k = a.k + 1
+        join steps s on s.p = a.state and (s.edit = 'D' or not (m.blank or m.duplicate)) and (s.initial is null or s.initial = m.initial)
+    ) qualify row_number() over (partition by conv_id, state order by cost, audit) = 1
+), ended as (
+    select a.conv_id, a.cost + 3 * length(c.put) as cost, a.audit || c.put as audit, a.repaired || c.said as repaired
+    from parsed a join report r on r.conv_id is not distinct from a.conv_id and r.n = a.k
+    join closure c on c.p = a.state and (c.here = 3 or c.here = 0)
+    qualify row_number() over (partition by a.conv_id order by a.cost + 3 * length(c.put), a.audit || c.put) = 1
+)
+select i.conv_id, coalesce(r.gaps, 0)::bigint as gaps, coalesce(r.blank, 0)::bigint as blank, coalesce(r.duplicate, 0)::bigint as duplicate, coalesce(r.truncated, 0)::bigint as truncated,
+    coalesce(r.illegal, 0)::bigint as illegal, coalesce(e.cost, 0)::bigint as cost, coalesce(e.audit, '') as audit, sha256(coalesce(array_to_string(e.repaired, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) i
+left join report r on r.conv_id is not distinct from i.conv_id
+left join ended e on e.conv_id is not distinct from i.conv_id
+"""
