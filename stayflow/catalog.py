@@ -17,11 +17,12 @@ from stayflow import fixtures as X
 from stayflow.functions import scalars as S
 from stayflow.operators import enrich, filters, merge, messaging, metrics, parse, pickup, quality, routing, snapshot, status, transform
 from stayflow.plans import daily, enrichment, reports
-from stayflow.schemas import DAILY_SNAPSHOT_KEY, EVENT_LOG
+from stayflow.schemas import DAILY_SNAPSHOT_KEY, EVENT_LOG, EVENT_V1
 from stayflow.session import configure, scratch_path
 from stayflow.sources import events as sources
 from stayflow.sources.routes import load_routes
-from stayflow.sources.tables import read_current, scan_core_reservations
+from stayflow.sources.state import StateTable
+from stayflow.sources.tables import scan_core_reservations
 from stayflow.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -673,7 +674,7 @@ def stream_dedup(spark, sf):
     path, stream = _landed(_ids(spark, sf), "dedup")
     schema = stream.schema
     jobs.stream_dedup(stream, ["unique_event_id"], f"{path}/out", f"{path}/cp").awaitTermination()
-    return read_current(spark, f"{path}/out", ["unique_event_id"], schema).select("unique_event_id")
+    return StateTable(spark, f"{path}/out", ["unique_event_id"], schema).read().select("unique_event_id")
 
 
 @query
@@ -682,25 +683,54 @@ def stream_latest_state(spark, sf):
     path, stream = _landed(X.operations(spark, sf), "state")
     schema = merge.merge_core(None, X.operations(spark, sf), ["k"], ["value"]).schema
     jobs.stream_latest_state(stream, ["k"], ["value"], schema, f"{path}/out", f"{path}/cp").awaitTermination()
-    return read_current(spark, f"{path}/out", ["k"], schema).select("k", "value", "last_event_id", "last_event_at", "deleted_at")
+    return StateTable(spark, f"{path}/out", ["k"], schema).read().select("k", "value", "last_event_id", "last_event_at", "deleted_at")
 
 
 @query
 def stream_events(spark, sf):
     path, stream = _landed(X.frames(spark, sf).selectExpr("frame as body", "event_id as seq"), "events", 2)
     jobs.stream_events(stream, path, f"{path}/cp", received_at=_late()).awaitTermination()
-    rows = spark.read.parquet(f"{path}/events")
-    return rows.select("unique_event_id", "hotel_id", "module", "action_type", "occurred_at")
+    rows = StateTable(spark, f"{path}/events", ["unique_event_id"], EVENT_V1).read()
+    return rows.select("unique_event_id", "hotel_id", "module", "action_type", "occurred_at", "raw_key")
+
+
+def _enriched(spark: SparkSession, sf: str) -> str:
+    """All messages through the whole enrichment, at their first to last delivery; where the tables are.
+
+    Two batches ten minutes apart, in which waiting messages are delivered again
+    as they come due, and a drain that lets the rest of time pass.
+    """
+    messages = X.event_bodies(spark, sf).selectExpr("cast(event_id as string) as message_id", "if(event_id % 100 = 99, concat('[', body), body) as body", "seq", "cast(1 + event_id % 5 as int) as receive_count")
+    path, stream = _landed(messages, "enrich", 2)
+    landed = X.landed_responses(spark, sf)
+    jobs.stream_enrich(stream, landed, f"{path}/out", f"{path}/cp", lambda n: _late() + F.expr(f"interval {10 * n} minutes")).awaitTermination()
+    enrichment.drain_queue(spark, landed, f"{path}/out", _late() + F.expr("interval 1 hour"))
+    return f"{path}/out"
 
 
 @query
 def stream_enrich(spark, sf):
-    """All messages through the whole enrichment; the event log by state and route, and the dead letters."""
-    messages = X.event_bodies(spark, sf).selectExpr("cast(event_id as string) as message_id", "if(event_id % 100 = 99, concat('[', body), body) as body", "seq", "5 as receive_count")
-    path, stream = _landed(messages, "enrich", 2)
-    jobs.stream_enrich(stream, X.landed_responses(spark, sf), f"{path}/out", f"{path}/cp", _late()).awaitTermination()
-    enrichment.drain_queue(spark, X.landed_responses(spark, sf), f"{path}/out", _late())
-    log = enrichment.read_event_log(spark, f"{path}/out")
+    """The event log by state and route with the failed deliveries, and the dead letters."""
+    root = _enriched(spark, sf)
+    log = enrichment.read_event_log(spark, root)
     logged = log.groupBy("module_name", "status").agg(F.count("*").alias("events"), F.sum("retry_count").cast("bigint").alias("failures"))
-    dead = spark.read.parquet(f"{path}/out/dead_letters").agg(F.count("*").alias("events"))
+    dead = spark.read.parquet(f"{root}/dead_letters").agg(F.count("*").alias("events"))
     return logged.unionByName(dead.select(F.lit("dead letters").alias("module_name"), F.lit("DEAD").alias("status"), "events", F.lit(0).cast("bigint").alias("failures")))
+
+
+@query
+def queue_schedule(spark, sf):
+    """When each message has its turn within an hour: hotels in order, each failure held back by its own delay."""
+    events = X.event_bodies(spark, sf)
+    bad, tries = F.col("event_id") % 6 == 0, F.lit(5) - F.col("event_id") % 5
+    rows = events.select(
+        "event_id",
+        "seq",
+        F.concat(F.lit("H"), (F.col("user_id") % 7).cast("string")).alias("group_id"),
+        F.when(bad, tries).otherwise(1).cast("bigint").alias("tries"),
+        (F.when(F.col("event_type") == "error", 30).otherwise(120) * 1_000_000).cast("bigint").alias("delay"),
+    )
+    # the first events of a hotel wait from before; the others arrive now
+    waiting = rows.withColumn("waiting", F.col("event_id") < 40).withColumn("since", F.when(F.col("waiting"), 0).otherwise(600 * 1_000_000).cast("bigint"))
+    timed = messaging.schedule(waiting, 3600 * 1_000_000)
+    return timed.select("event_id", "tried", "done", F.when(~F.col("done"), F.col("due")).alias("due"))

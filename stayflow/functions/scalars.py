@@ -73,6 +73,11 @@ def raw_key(hotel_id: Column, occurred_at: Column, event_id: Column) -> Column:
     return F.concat(F.lit("hotel_id="), hotel_id, F.lit("/"), day, F.lit("/"), event_id, F.lit("-"), digest, F.lit(".json"))
 
 
+def archive_key(hotel_id: Column, occurred_at: Column, event_id: Column, prefix: str = "raw") -> Column:
+    """Where the archive keeps an event's record: ``raw_key`` under ``prefix``."""
+    return F.concat(F.lit(prefix.rstrip("/") + "/"), raw_key(hotel_id, occurred_at, event_id))
+
+
 def message_group(prefix: str, partitions: int, hotel_id: Column, key: Column) -> Column:
     """Group name from the 256-bit hash of ``hotel:key`` modulo the number of groups.
 

@@ -41,6 +41,12 @@ def _slot(id_col: Column) -> Column:
     )
 
 
+def with_slot(events: DataFrame) -> DataFrame:
+    """Add ``slot``, the event's position in its chain; null where it has none."""
+    whole = F.col("chain_code").isNotNull() & F.col("stream_offset").isNotNull()
+    return events.withColumn("slot", F.when(whole, _slot(F.lit(""))))
+
+
 def new_events(log: DataFrame, batch: DataFrame, seq: str = "seq", cut=materialize) -> DataFrame:
     """Batch rows that enter the log when inserted one by one in ``seq`` order.
 
@@ -120,14 +126,15 @@ def upsert_resource_snapshot(target: DataFrame, batch: DataFrame, seq: str = "se
 
 
 def event_outcomes(log: DataFrame, outcomes: DataFrame, seq: str = "seq") -> DataFrame:
-    """Fold outcomes (COMPLETED, DELETED or FAILED, with ``at`` and ``error``) into the log."""
+    """Fold outcomes (COMPLETED, DELETED or FAILED, with ``at``, ``error`` and perhaps ``tries``) into the log."""
+    tries = F.col("tries").cast("bigint") if "tries" in outcomes.columns else F.lit(1).cast("bigint")
     failed = F.col("outcome") == "FAILED"
     when_failed, when_done = F.when(failed, F.col(seq)), F.when(~failed, F.col(seq))
     folded = outcomes.groupBy("unique_event_id").agg(
         F.max_by(F.struct("outcome", S.truncate_error(F.col("error")).alias("error")), seq).alias("_last"),
         F.max_by("at", when_done).alias("_done_at"),
         F.max_by("at", when_failed).alias("_failed_at"),
-        F.count_if(failed).cast("int").alias("_failures"),
+        F.coalesce(F.sum(F.when(failed, tries)), F.lit(0)).cast("int").alias("_failures"),
     )
     changed = F.col("_last").isNotNull()
     error = F.when(F.col("_last.outcome") == "FAILED", F.col("_last.error"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions import scalars as S
+from stayflow.operators.running import earlier
 
 DEAD_LETTER_GROUP = "event-enricher-poison"
 
@@ -44,9 +45,8 @@ def to_queue_message(df: DataFrame, default_group: str = "event-stream") -> Data
 
 def to_raw_record(df: DataFrame, ingested_at: Column, prefix: str = "raw") -> DataFrame:
     """Archive record: object key under ``prefix`` and canonical body with its ingest time."""
-    key = S.raw_key(F.col("hotel_id"), F.col("occurred_at"), F.col("unique_event_id"))
     return df.select(
-        F.concat(F.lit(prefix.rstrip("/") + "/"), key).alias("raw_key"),
+        S.archive_key(F.col("hotel_id"), F.col("occurred_at"), F.col("unique_event_id"), prefix).alias("raw_key"),
         "unique_event_id",
         "hotel_id",
         "occurred_at",
@@ -110,3 +110,31 @@ def commit_offset(df: DataFrame, subscription: str = "chain_code", seq: str = "s
         F.col("_last.unique_event_id").alias("last_unique_event_id"),
         (F.current_timestamp() if at is None else at).alias("updated_at"),
     )
+
+
+def schedule(df: DataFrame, now: int | None, group: str = "group_id", seq: str = "seq") -> DataFrame:
+    """When each message of a FIFO group has its turn up to the time ``now``: ``tried`` (times), ``done`` and ``due``.
+
+    Times are in microseconds; without ``now`` all of time passes. A message has
+    ``tries`` (how often it is delivered until it leaves the queue) and
+    ``delay`` (the wait between two of them), and holds up those behind it. It is
+    there from ``since`` on: the time a waiting message is due (``waiting``), the
+    time it arrives for a new one, or later if its group waits for another. The
+    waits of a group are a running sum, so any number of redeliveries takes one
+    pass. ``due`` is when the group's next delivery comes, if it has one.
+    """
+    waited = (F.col("tries") - 1) * F.col("delay")
+    rows = earlier(df.withColumn("_waited", waited), [group, "waiting"], seq, F.col("_waited"), "_before", "sum")
+    # New messages come after all that wait.
+    old = F.when(F.col("waiting"), 1)
+    ends = rows.groupBy(group).agg((F.max(old * F.col("since")) + F.sum(old * F.col("_waited"))).alias("_free"))
+    timed = rows.join(ends, group).withColumn("_start", F.when(F.col("waiting"), F.col("since")).otherwise(F.greatest("since", "_free")) + F.col("_before"))
+    if now is None:
+        tried, time = F.col("tries").cast("bigint"), None
+    else:
+        time = F.lit(now)
+        often = F.floor((time - F.col("_start")) / F.greatest("delay", F.lit(1))) + 1
+        tried = F.when(F.col("_start") > time, 0).when(F.col("tries") == 1, 1).otherwise(F.least(F.col("tries"), often)).cast("bigint")
+    told = timed.withColumn("tried", tried).withColumn("done", F.col("tried") == F.col("tries"))
+    due = told.where(~F.col("done")).groupBy(group).agg(F.min(F.col("_start") + F.col("tried") * F.col("delay")).alias("due"))
+    return told.join(due, group, "left").select(*df.columns, "tried", "done", "due")

@@ -21,17 +21,17 @@ def span_of(seq: str, span: int = SPAN) -> Column:
 
 
 def earlier(df: DataFrame, keys: list[str], seq: str, value: Column, out: str, how: str = "max", span: int = SPAN) -> DataFrame:
-    """Add ``out``: the max, or the last non-null, of ``value`` over strictly earlier rows of the key."""
+    """Add ``out``: the max, the sum, or the last non-null, of ``value`` over strictly earlier rows of the key."""
     rows = df.withColumn("_value", value).withColumn("_span", span_of(seq, span))
-    if how == "max":
-        total = F.max("_value")
+    if how in ("max", "sum"):
+        total = getattr(F, how)("_value")
     else:
         total = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(seq)))
     before = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*keys, "_span").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
 
     def over(column: str, frame) -> Column:
-        return F.max(column).over(frame) if how == "max" else F.last(column, ignorenulls=True).over(frame)
+        return getattr(F, how)(column).over(frame) if how in ("max", "sum") else F.last(column, ignorenulls=True).over(frame)
 
     carried = (
         rows.groupBy(*keys, "_span")
@@ -43,6 +43,8 @@ def earlier(df: DataFrame, keys: list[str], seq: str, value: Column, out: str, h
     joined = local.join(carried, [*keys, "_span"], "left")
     if how == "max":
         result = F.greatest("_local", "_carried")
+    elif how == "sum":
+        result = F.coalesce("_local", F.lit(0)) + F.coalesce("_carried", F.lit(0))
     else:
         result = F.coalesce("_local", "_carried")
     return joined.withColumn(out, result).select(*df.columns, out)

@@ -169,9 +169,17 @@ ORACLES: dict[str, str] = {
   from d where outcome not in ('RETRY', 'BROKEN')),
  h as (select * from k where not (outcome in ('COMPLETED', 'DELETED') and coalesce(state = 'COMPLETED', false))),
  l as (select unique_event_id, arg_min(module_name, seq) as module_name from k group by 1),
- s as (select unique_event_id, arg_max(outcome, seq) as status, count(*) filter (where outcome = 'FAILED') as failures from h group by 1)
+ s as (select unique_event_id, arg_max(outcome, seq) as status, coalesce(sum(5 - event_id % 5) filter (where outcome = 'FAILED'), 0) as failures from h group by 1)
  select module_name, status, count(*) as events, cast(sum(failures) as bigint) as failures from l join s using (unique_event_id) group by 1, 2
  union all select 'dead letters', 'DEAD', count(*), 0 from d where outcome in ('FAILED', 'RETRY', 'BROKEN')""",
+    "queue_schedule": """with r as (select event_id, concat('H', user_id % 7) as g, event_id < 40 as old, case when event_id < 40 then 0 else 600000000 end as since,
+  case when event_id % 6 = 0 then 5 - event_id % 5 else 1 end as tries, case when event_type = 'error' then 30000000 else 120000000 end as delay from events),
+ w as (select *, (tries - 1) * delay as wait, coalesce(sum((tries - 1) * delay) over (partition by g, old order by event_id rows between unbounded preceding and 1 preceding), 0) as before from r),
+ f as (select g, max(since) filter (old) + sum(wait) filter (old) as free from w group by g),
+ s as (select w.*, case when old then since else greatest(since, coalesce(free, since)) end + before as start from w join f using (g)),
+ t as (select *, case when start > 3600000000 then 0 when tries = 1 then 1 else least(tries, (3600000000 - start) // delay + 1) end::bigint as tried from s),
+ d as (select g, min(start + tried * delay)::bigint as due from t where tried <> tries group by g)
+ select event_id, tried, tried = tries as done, case when tried <> tries then due end as due from t left join d using (g)""",
     "stay_nights": f"with {RESV}, {NIGHTS} select hotel_id, reservation_id, {DAY.format('stay_date')} as stay_date from nights where departure_date >= date '1998-06-15' and arrival_date <= date '1998-06-15' + 730 and stay_date >= date '1998-06-15'",
     "scan_horizon": f"with {RESV} select reservation_id, {DAY.format('arrival_date')} as arrival_date, {DAY.format('departure_date')} as departure_date from resv where departure_date >= date '1998-06-15' and arrival_date <= date '1998-06-15' + 730",
     "latest_raw_payload": f"with {RESV} select hotel_id, reservation_id, cast(case when reservation_id like '%7' then 2 else 1 end as bigint) as version from resv",
@@ -333,7 +341,8 @@ ORACLES: dict[str, str] = {
     "stream_dedup": f"with {_IDS} select distinct unique_event_id from ids",
     "stream_events": f"""with {PARSED}, d as (select * from ev where event_id % 5 <> 4),
  f as (select *, row_number() over (partition by unique_event_id order by seq) as rn from d)
- select unique_event_id, hotel_id, module_name as module, event_name as action_type, {_TSUS} as occurred_at from f where rn = 1""",
+ select unique_event_id, hotel_id, module_name as module, event_name as action_type, {_TSUS} as occurred_at,
+ concat('raw/hotel_id=', hotel_id, '/', strftime(ts, '%Y/%m/%d'), '/', unique_event_id, '-', substr(sha256(unique_event_id), 1, 12), '.json') as raw_key from f where rn = 1""",
 }
 ORACLES["reconcile_counts"] = (
     f"with c as ({ORACLES['storage_counts']}) select name, rows, rows - (select rows from c where name = 'events_completed') as difference,"

@@ -1,21 +1,31 @@
 """Enrichment of one batch of messages: from JSON bodies to the operational tables.
 
-State lives in change tables (``sources.tables``): a batch reads the state left
-by the batches before it and writes only the rows it changed, under its own
-number. Running a batch again therefore gives the same tables.
+State lives in log-structured tables (``sources.state``): a batch reads the
+state left by the batches before it, in the buckets of its own keys, and writes
+the rows it changed under its own number. Running a batch again therefore gives
+the same tables.
+
+The queue is FIFO per hotel and has a clock. A message that is not done is
+delivered again after its own delay and holds up its hotel until it is handled
+or out of attempts; what waits lies in a table by due time, of which a batch
+opens only what came due since the batch before. A batch stands for the time
+since then: all redeliveries that fall into it are worked off in one pass,
+however many there are. Within a batch, events of different hotels that share
+an id take their turn by arrival. An attempt is a delivery that was tried;
+waiting behind another message costs none.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from stayflow.functions import scalars as S
 from stayflow.operators import merge as M
 from stayflow.operators import transform as T
 from stayflow.operators.enrich import attach_responses, process_outcome
-from stayflow.operators.messaging import DEAD_LETTER_GROUP, fifo_prefix
+from stayflow.operators.messaging import DEAD_LETTER_GROUP, schedule
 from stayflow.operators.parse import malformed, parse_business_event, with_delete_flag
 from stayflow.operators.routing import resolve_identifier, route_events
 from stayflow.operators.running import earlier
@@ -25,12 +35,15 @@ from stayflow.schemas import (
     CORE_SCHEMAS,
     EVENT_LOG,
     EVENT_LOG_KEY,
+    EVENT_POSITIONS,
     MESSAGE,
     RESOURCE_SNAPSHOT,
     RESOURCE_SNAPSHOT_KEY,
 )
 from stayflow.session import scratch
-from stayflow.sources.tables import path_exists, read_current, write_changes
+from stayflow.sources import manifest
+from stayflow.sources.state import StateTable
+from stayflow.sources.tables import write_changes
 
 MESSAGE_COLUMNS = MESSAGE.fieldNames()
 MAX_ATTEMPTS = 5
@@ -45,17 +58,20 @@ _TRANSFORMS = {
 def decide(messages: DataFrame, responses: DataFrame, received_at: Column, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """Messages to decided events: parsed, routed, resolved, matched, classified.
 
-    ``done`` tells whether the message leaves the queue: handled, or out of
-    attempts, whatever kept it there. A body that is not a JSON object fails
-    like any other poison; it has no event id and enters no table but the dead
-    letters.
+    ``tries`` is how often the message is delivered until it leaves the queue:
+    once if it is handled, else until it is out of attempts, whatever keeps it
+    there; ``receive_count`` is how often it was tried before. ``delay`` is the
+    wait before the next delivery, in microseconds. A body that is not a JSON
+    object fails like any other poison; it has no event id and enters no table
+    but the dead letters.
     """
     events = with_delete_flag(parse_business_event(messages, "body", received_at))
     decided = process_outcome(attach_responses(resolve_identifier(route_events(events)), responses))
-    spent = F.col("receive_count") >= max_attempts
     handled = F.col("outcome").isin("COMPLETED", "DELETED")
     broken = malformed(messages, "body").withColumn("outcome", F.lit("FAILED")).withColumn("error", F.lit("message body is not a JSON object"))
-    return decided.unionByName(broken, allowMissingColumns=True).withColumn("done", handled | spent)
+    tries = F.when(handled, 1).otherwise(F.greatest(F.lit(max_attempts) - F.col("receive_count"), F.lit(1))).cast("bigint")
+    delay = F.coalesce("visible_in", S.retry_visibility(F.lit(None).cast("int"))).cast("bigint") * 1_000_000
+    return decided.unionByName(broken, allowMissingColumns=True).withColumn("tries", tries).withColumn("delay", delay)
 
 
 def mark_duplicates(events: DataFrame) -> DataFrame:
@@ -117,70 +133,120 @@ def _log_rows(events: DataFrame, received_at: Column) -> DataFrame:
     )
 
 
-def pending_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    """Messages the batch before left in the queue, delivered once more."""
+#: Messages that wait: how often they were tried (``receive_count``), their group, and when it is due.
+PENDING = StructType([*MESSAGE.fields, StructField("group_id", StringType()), StructField("due", LongType()), StructField("due_slot", LongType()), StructField("batch_id", LongType())])
+#: Microseconds of due time in a folder of waiting messages.
+SLOT = 300 * 1_000_000
+
+
+def pending_before(spark: SparkSession, root: str, batch_id: int, after: int, upto: int | None = None) -> DataFrame:
+    """Waiting messages that batches before ``batch_id`` left, due after the time ``after`` and up to ``upto``."""
     path = f"{root}/pending"
-    if not path_exists(spark, path):
-        return None
-    stored = spark.read.schema(StructType([*MESSAGE.fields, StructField("batch_id", LongType())])).parquet(path)
-    left = stored.where(F.col("batch_id") == batch_id - 1)
-    return left.withColumn("receive_count", F.col("receive_count") + 1).select(*MESSAGE_COLUMNS)
+    if not manifest.exists(spark, path):
+        return spark.createDataFrame([], PENDING)
+    stored = spark.read.schema(PENDING).parquet(path).where((F.col("batch_id") < batch_id) & (F.col("due_slot") >= after // SLOT) & (F.col("due") > after))
+    return stored if upto is None else stored.where((F.col("due_slot") <= upto // SLOT) & (F.col("due") <= upto))
+
+
+def _clock(spark: SparkSession, root: str, batch_id: int, at: Column, all_of_time: bool) -> tuple[int, int]:
+    """The time the batch before ended and the time this one does, in microseconds.
+
+    Time never runs back, a replay gets the time of the first run, and a drain
+    ends when the last message it finds is due.
+    """
+    before = (manifest.read_version(spark, f"{root}/_clock", batch_id)[1] or {"at": 0})["at"]
+    same = manifest.read_version(spark, f"{root}/_clock", batch_id + 1)
+    if same[0] == batch_id:
+        return before, same[1]["at"]
+    now = spark.range(1).select(F.unix_micros(at.cast("timestamp"))).first()[0]
+    if all_of_time:
+        now = max(now, pending_before(spark, root, batch_id, before).agg(F.max("due")).first()[0] or 0)
+    manifest.write_version(spark, f"{root}/_clock", batch_id, {"at": max(now, before)})
+    return before, max(now, before)
 
 
 def enrich_batch(
-    messages: DataFrame, responses: DataFrame, root: str, batch_id: int, applied_at: Column, max_attempts: int = MAX_ATTEMPTS
+    messages: DataFrame,
+    responses: DataFrame,
+    root: str,
+    batch_id: int,
+    applied_at: Column,
+    max_attempts: int = MAX_ATTEMPTS,
+    drain: bool = False,
 ) -> None:
-    """Process one batch of messages against the tables under ``root``."""
-    with scratch(messages.sparkSession) as cut:
-        _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut)
-    write_changes(messages.sparkSession.range(1), f"{root}/batches", batch_id)
+    """Process one batch of messages against the tables under ``root``, at the time ``applied_at``.
+
+    ``seq`` is the arrival number: messages of a later batch have higher ones.
+    A drain also delivers everything that would only come due later, and leaves
+    nothing waiting.
+    """
+    spark = messages.sparkSession
+    done, commit = manifest.read_version(spark, f"{root}/_batches", batch_id)
+    with scratch(spark) as cut:
+        _enrich(messages, responses, root, batch_id, applied_at, max_attempts, drain, cut)
+    drained = commit["drains"] if done is not None else 0
+    manifest.write_version(spark, f"{root}/_batches", batch_id, {"drains": drained + drain})
 
 
 def drains(spark: SparkSession, root: str) -> int:
     """How often the queue under ``root`` was drained; each drain is a batch of its own."""
-    path = f"{root}/drains"
-    return spark.read.parquet(path).count() if path_exists(spark, path) else 0
+    return (manifest.read_version(spark, f"{root}/_batches")[1] or {"drains": 0})["drains"]
 
 
-def drain_queue(spark: SparkSession, responses: DataFrame, root: str, applied_at: Column) -> None:
-    """Deliver what is left in the queue a last time: every message is handled or becomes a dead letter.
+def drain_queue(spark: SparkSession, responses: DataFrame, root: str, applied_at: Column, max_attempts: int = MAX_ATTEMPTS) -> None:
+    """Let all of time pass: what waits is delivered until it is handled or has used all its attempts, then it is a dead letter.
 
     For the end of a run that no batch follows. Later batches are numbered
     after the drain; run it only when the stream has stopped.
     """
-    if not path_exists(spark, f"{root}/batches"):
-        return
-    number = spark.read.parquet(f"{root}/batches").agg(F.max("batch_id")).first()[0] + 1
-    empty = spark.createDataFrame([], MESSAGE)
-    enrich_batch(empty, responses, root, number, applied_at, max_attempts=0)
-    write_changes(spark.range(1), f"{root}/drains", number)
+    last, _ = manifest.read_version(spark, f"{root}/_batches")
+    if last is not None:
+        enrich_batch(spark.createDataFrame([], MESSAGE), responses, root, last + 1, applied_at, max_attempts, drain=True)
 
 
-def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut) -> None:
+def _queue(messages: DataFrame, root: str, batch_id: int, before: int, now: int, drain: bool) -> DataFrame:
+    """What is there to deliver: new messages, and waiting ones that are due. ``receive_count`` is how often each was tried."""
     spark = messages.sparkSession
-    waiting = pending_before(spark, root, batch_id)
-    queue = messages.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MESSAGE.fields])
-    if waiting is not None:
-        queue = waiting.unionByName(queue)
-    # Read by every sink below, so it is written once to the shared folder.
-    decided = cut(decide(queue, responses, applied_at, max_attempts), "decided")
-    grouped = decided.withColumn("group_id", F.coalesce(S.to_text(F.col("hotel_id")), F.lit("default")))
-    prefix = fifo_prefix(grouped, "group_id", "seq", "done")
+    new = messages.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MESSAGE.fields])
+    new = new.withColumn("receive_count", F.greatest(F.coalesce("receive_count", F.lit(1)), F.lit(1)) - 1)
+    due = pending_before(spark, root, batch_id, before, None if drain else now)
+    waiting = due.select(*MESSAGE_COLUMNS, F.lit(True).alias("waiting"), F.col("due").alias("since"))
+    return waiting.unionByName(new.select(*MESSAGE_COLUMNS, F.lit(False).alias("waiting"), F.lit(now).cast("bigint").alias("since")))
+
+
+def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, drain, cut) -> None:
+    spark = messages.sparkSession
+    before, now = _clock(spark, root, batch_id, applied_at, drain)
+    queue = _queue(messages, root, batch_id, before, now, drain)
+    decided = decide(queue, responses, applied_at, max_attempts).withColumn("group_id", F.coalesce(S.to_text(F.col("hotel_id")), F.lit("default")))
+    # A hotel that still waits keeps its new messages waiting, too.
+    later = pending_before(spark, root, batch_id, now).select("group_id", F.col("due").alias("_until")).distinct()
+    if not drain:
+        decided = decided.join(later, "group_id", "left").withColumn("since", F.greatest("since", "_until")).drop("_until")
+    # Read by every sink below, so it is written once to the shared folder; turns are found on a few columns.
+    decided = cut(decided, "decided")
+    turns = cut(schedule(decided.select("seq", "group_id", "waiting", "since", "tries", "delay"), None if drain else now).select("seq", "tried", "done", "due"), "turns")
+    timed = decided.join(turns, "seq")
+    prefix = timed.where("tried > 0")
 
     registering = prefix.where("outcome <> 'RETRY' and unique_event_id is not null").withColumn("stream_offset", F.col("offset"))
-    # An event keeps its id and position for good, so either may narrow the log down.
-    claims = [registering.select("unique_event_id"), registering.select("chain_code", "stream_offset")]
-    log = read_current(spark, f"{root}/event_log", EVENT_LOG_KEY, EVENT_LOG, batch_id, claims)
+    log_table = StateTable(spark, f"{root}/event_log", EVENT_LOG_KEY, EVENT_LOG)
+    slot_table = StateTable(spark, f"{root}/event_positions", ["slot"], EVENT_POSITIONS)
+    # An event keeps its id and position for good; the log is by id, and positions lead to ids.
+    positions = M.with_slot(registering).where("slot is not null").select("slot")
+    ids = registering.select("unique_event_id").unionByName(slot_table.read(batch_id, positions).select("unique_event_id"))
+    log = cut(log_table.read(batch_id, ids), "log")
     entered = M.new_events(log, _log_rows(registering, applied_at), cut=cut)
     known = M.register_events(log, registering, entered)
     flagged = cut(mark_duplicates(known), "flagged")
     handled = flagged.where("not deduplicated")
 
     # Whatever another id's row stood in for leaves no mark on a row that enters later.
-    outcomes = handled.where("unique_event_id = log_id").select("unique_event_id", "seq", "outcome", "error", applied_at.alias("at"))
+    outcomes = handled.where("unique_event_id = log_id").select("unique_event_id", "seq", "outcome", "error", "tried", applied_at.alias("at"))
     mine = log.join(handled.select(*EVENT_LOG_KEY).distinct(), EVENT_LOG_KEY, "left_semi")
     rows = mine.unionByName(entered.select(*EVENT_LOG.fieldNames()))
-    write_changes(M.event_outcomes(rows, outcomes), f"{root}/event_log", batch_id)
+    log_table.write(M.event_outcomes(rows, outcomes.withColumnRenamed("tried", "tries")), batch_id)
+    slot_table.write(M.with_slot(entered).where("slot is not null").select("slot", "unique_event_id"), batch_id)
 
     fetched = handled.where("outcome in ('COMPLETED', 'DELETED')")
     marker = T.deleted_marker(fetched)
@@ -195,17 +261,15 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut)
         F.when(gone, F.col("payload")).otherwise(F.col("response")).alias("payload"),
         "seq",
     )
-    wanted = [snapshots.select(*RESOURCE_SNAPSHOT_KEY)]
-    stored = read_current(spark, f"{root}/resource_snapshot", RESOURCE_SNAPSHOT_KEY, RESOURCE_SNAPSHOT, batch_id, wanted)
-    merged = M.upsert_resource_snapshot(stored, snapshots)
-    write_changes(merged, f"{root}/resource_snapshot", batch_id)
+    raw_table = StateTable(spark, f"{root}/resource_snapshot", RESOURCE_SNAPSHOT_KEY, RESOURCE_SNAPSHOT)
+    raw_table.write(M.upsert_resource_snapshot(raw_table.read(batch_id, snapshots.select(*RESOURCE_SNAPSHOT_KEY)), snapshots), batch_id)
 
     for kind, schema in CORE_SCHEMAS.items():
-        path, keys = f"{root}/core_{kind}", CORE_KEYS[kind]
-        ops = core_operations(fetched, kind, applied_at)
-        current = read_current(spark, path, keys, schema, batch_id, [ops.select(*keys)])
-        state = M.merge_core(current, ops, keys, CORE_ATTRIBUTES[kind])
-        write_changes(state.select(*schema.fieldNames()), path, batch_id)
+        keys = CORE_KEYS[kind]
+        table = StateTable(spark, f"{root}/core_{kind}", keys, schema)
+        ops = cut(core_operations(fetched, kind, applied_at), f"ops-{kind}")
+        state = M.merge_core(table.read(batch_id, ops.select(*keys)), ops, keys, CORE_ATTRIBUTES[kind])
+        table.write(state.select(*schema.fieldNames()), batch_id)
 
     spent = ["message_id", "body", "error"]
     stuck = prefix.where("done and (outcome = 'RETRY' or unique_event_id is null)")
@@ -219,8 +283,19 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, cut)
     )
     write_changes(dead, f"{root}/dead_letters", batch_id)
     # Left in the queue: whatever is not done, and everything behind it in its group.
-    finished = prefix.where("done").select("seq")
-    write_changes(decided.join(finished, "seq", "left_anti").select(*MESSAGE_COLUMNS), f"{root}/pending", batch_id)
+    left = timed.where("not done").withColumn("receive_count", (F.col("receive_count") + F.col("tried")).cast("int"))
+    left = left.select(*MESSAGE_COLUMNS, "group_id", "due", F.floor(F.col("due") / SLOT).alias("due_slot"))
+    left.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("due_slot", "batch_id").parquet(f"{root}/pending")
+    _forget(spark, root)
+
+
+def _forget(spark: SparkSession, root: str) -> None:
+    """Remove folders of waiting messages that were due before any batch that can still run again."""
+    kept = manifest.versions(spark, f"{root}/_clock")
+    oldest = manifest.read_json(spark, f"{root}/_clock/{kept[0]:012d}.json")["at"] // SLOT if len(kept) == manifest.KEPT else 0
+    for name in manifest.names(spark, f"{root}/pending"):
+        if name.startswith("due_slot=") and int(name.removeprefix("due_slot=")) < oldest:
+            manifest.remove(spark, f"{root}/pending/{name}")
 
 
 def _operation(resource_type: Column) -> Column:
@@ -233,12 +308,12 @@ def _operation(resource_type: Column) -> Column:
 
 
 def read_core(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    return read_current(spark, f"{root}/core_{kind}", CORE_KEYS[kind], CORE_SCHEMAS[kind])
+    return StateTable(spark, f"{root}/core_{kind}", CORE_KEYS[kind], CORE_SCHEMAS[kind]).read()
 
 
 def read_event_log(spark: SparkSession, root: str) -> DataFrame:
-    return read_current(spark, f"{root}/event_log", EVENT_LOG_KEY, EVENT_LOG)
+    return StateTable(spark, f"{root}/event_log", EVENT_LOG_KEY, EVENT_LOG).read()
 
 
 def read_raw(spark: SparkSession, root: str) -> DataFrame:
-    return read_current(spark, f"{root}/resource_snapshot", RESOURCE_SNAPSHOT_KEY, RESOURCE_SNAPSHOT)
+    return StateTable(spark, f"{root}/resource_snapshot", RESOURCE_SNAPSHOT_KEY, RESOURCE_SNAPSHOT).read()

@@ -59,6 +59,8 @@ EVENT_LOG = _table(
     " completed_at timestamp, failed_at timestamp, status string, retry_count int, error_message string,"
     " payload string"
 )
+#: Which event holds a position of a chain.
+EVENT_POSITIONS = _table("slot string, unique_event_id string")
 RESOURCE_SNAPSHOT = _table(
     "unique_event_id string, hotel_id string, resource_type string, resource_id string,"
     " operation_id string, fetched_at timestamp, payload string"

@@ -1,14 +1,11 @@
-"""Lake tables: dated partitions for daily facts, batch partitions for changing state."""
+"""Lake tables: dated partitions for daily facts, batch partitions for what is only added to."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -47,37 +44,3 @@ def write_changes(df: DataFrame, path: str, batch_id: int) -> None:
         .partitionBy("batch_id")
         .parquet(path)
     )
-
-
-def read_current(
-    spark: SparkSession,
-    path: str,
-    keys: list[str],
-    schema: StructType,
-    before: int | None = None,
-    only: Sequence[DataFrame] = (),
-) -> DataFrame:
-    """Latest row per key, as left by the batches before ``before`` (all when not given).
-
-    ``only`` restricts the read to rows matching any of the given key tables,
-    on all their columns. It is applied before rows are grouped, so a batch
-    sorts its own share of the table and not the table; the columns have to be
-    ones that never change for a key. Spark broadcasts the keys if they are small.
-    """
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    full = StructType([*schema.fields, StructField("batch_id", LongType())])
-    changes = spark.read.schema(full).parquet(path)
-    if before is not None:
-        changes = changes.where(F.col("batch_id") < before)
-    if only:
-        matches = [changes.join(k.distinct(), k.columns, "left_semi") for k in only]
-        changes = reduce(DataFrame.unionByName, matches)
-    rest = [c for c in schema.fieldNames() if c not in keys]
-    latest = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
-    return latest.select(*keys, "_row.*").select(*schema.fieldNames())
-
-
-def compact(spark: SparkSession, path: str, keys: list[str], schema: StructType, upto: int, target: str) -> None:
-    """Write the state after batch ``upto`` as one batch of a new table at ``target``."""
-    write_changes(read_current(spark, path, keys, schema, before=upto + 1), target, upto)

@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
+from stayflow.functions import scalars as S
 from stayflow.operators import merge as M
 from stayflow.operators.messaging import commit_offset, to_raw_record, write_raw_events
 from stayflow.operators.parse import parse_event_v1
 from stayflow.plans.enrichment import drains, enrich_batch
 from stayflow.session import scratch
 from stayflow.sources.events import extract_payloads
-from stayflow.sources.tables import read_current, write_changes
+from stayflow.sources.state import StateTable
+from stayflow.sources.tables import write_changes
 
 
 def start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -34,8 +36,9 @@ def stream_dedup(stream: DataFrame, key: list[str], root: str, checkpoint: str,
     schema = stream.schema
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        stored = read_current(batch.sparkSession, root, key, schema, batch_id, [batch.select(*key)])
-        write_changes(M.insert_if_absent(stored, batch, key, seq), root, batch_id)
+        table = StateTable(batch.sparkSession, root, key, schema)
+        stored = table.read(batch_id, batch.select(*key))
+        table.write(M.insert_if_absent(stored, batch, key, seq), batch_id)
 
     return start(stream, each, checkpoint, every)
 
@@ -54,25 +57,31 @@ def stream_latest_state(
     """Latest state per key under the age guard; each batch rewrites only the keys it touches."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        current = read_current(batch.sparkSession, root, keys, schema, batch_id, [batch.select(*keys)])
-        state = M.merge_core(current, batch, keys, attributes)
-        write_changes(state.select(*schema.fieldNames()), root, batch_id)
+        table = StateTable(batch.sparkSession, root, keys, schema)
+        state = M.merge_core(table.read(batch_id, batch.select(*keys)), batch, keys, attributes)
+        table.write(state.select(*schema.fieldNames()), batch_id)
 
     return start(stream, each, checkpoint, every)
 
 
 def stream_enrich(
-    stream: DataFrame, responses: DataFrame, root: str, checkpoint: str, applied_at: Column | None = None, every: str | None = None
+    stream: DataFrame,
+    responses: DataFrame,
+    root: str,
+    checkpoint: str,
+    applied_at: Callable[[int], Column] | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Enrich message batches; tables are written before the batch counts as consumed.
 
-    What a batch leaves in the queue is delivered again with the next one.
+    What a batch leaves in the queue is delivered again by the first batch after
+    its delay. ``applied_at`` gives the time of a batch, now if not given.
     ``plans.enrichment.drain_queue`` ends a run that no batch follows.
     """
     drained = drains(stream.sparkSession, root)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        at = F.current_timestamp() if applied_at is None else applied_at
+        at = F.current_timestamp() if applied_at is None else applied_at(batch_id)
         enrich_batch(batch, responses, root, batch_id + drained, at)
 
     return start(stream, each, checkpoint, every)
@@ -96,12 +105,13 @@ def stream_events(
         records = to_raw_record(parsed, at)
         # A replayed batch replaces its own archive folder.
         write_raw_events(records, f"{root}/raw/batch_id={batch_id}", mode="overwrite")
+        key_of = S.archive_key(F.col("hotel_id"), F.col("occurred_at"), F.col("unique_event_id"))
         rows = parsed.select(
-            "unique_event_id", "hotel_id", "module", "action_type", "occurred_at", at.alias("received_at"), "stream_offset", "payload", "seq"
+            "unique_event_id", "hotel_id", "module", "action_type", "occurred_at", at.alias("received_at"), key_of.alias("raw_key"), "stream_offset", "payload", "seq"
         )
         key = ["unique_event_id"]
-        stored = read_current(parsed.sparkSession, f"{root}/events", key, rows.schema, batch_id, [rows.select(*key)])
-        write_changes(M.insert_if_absent(stored, rows, key), f"{root}/events", batch_id)
+        table = StateTable(parsed.sparkSession, f"{root}/events", key, rows.schema)
+        table.write(M.insert_if_absent(table.read(batch_id, rows.select(*key)), rows, key), batch_id)
         position = parsed.withColumn("subscription", F.lit("events")).withColumn("offset", F.col("stream_offset"))
         write_changes(commit_offset(position, "subscription", at=at), f"{root}/offsets", batch_id)
 

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from stayflow import fixtures as X
 from stayflow.plans import daily, enrichment
 from stayflow.session import scratch_path
-from stayflow.sources.tables import compact, path_exists, read_current
-from stayflow.schemas import CORE_KEYS, CORE_SCHEMAS
+from stayflow.sources.tables import path_exists
 
 AT = "2024-02-01 00:00:00"
 
@@ -18,32 +17,50 @@ def at():
     return F.lit(AT).cast("timestamp")
 
 
-def play(batches, max_attempts=5):
-    """The queue worked off message by message, with the decisions already made."""
-    log, core, dead, pending = {}, {}, [], []
-    for batch in batches:
-        queue = [(m, n + 1) for m, n in pending] + [(m, 1) for m in batch]
-        blocked, pending = set(), []
-        # Groups run side by side; the arrival number decides between them.
-        for m, n in sorted(queue, key=lambda x: x[0].seq):
-            if m.hotel_id in blocked:
-                pending.append((m, n))
+def time_of(n, step=300):
+    """The time of a batch: so many seconds after the first."""
+    return F.lit(AT).cast("timestamp") + F.expr(f"interval {n * step} seconds")
+
+
+def play(batches, max_attempts=5, step=300):
+    """The queue worked off delivery by delivery, with the decisions already made; the last batch may be a drain (None)."""
+    log, core, dead, waiting, due = {}, {}, [], {}, {}
+    for number, batch in enumerate(batches):
+        now = float("inf") if batch is None else number * step
+        new = {}
+        for m in batch or []:
+            new.setdefault(m.hotel_id or "default", []).append(m)
+        tried_now = []
+        for group in {*waiting, *new}:
+            if due.get(group, 0) > now:
+                waiting[group] += [[m, m.receive_count - 1] for m in new.get(group, [])]
                 continue
+            time = due.pop(group, now)
+            items = [(m, n, 0) for m, n in waiting.pop(group, [])] + [(m, m.receive_count - 1, now) for m in sorted(new.get(group, []), key=lambda m: m.seq)]
+            for k, (m, n, since) in enumerate(items):
+                time = max(time, since)
+                tries, gone = 0, False
+                while time <= now:
+                    tries += 1
+                    gone = m.outcome in ("COMPLETED", "DELETED") or n + tries >= max_attempts
+                    if gone:
+                        break
+                    time += m.delay / 1e6
+                if tries:
+                    tried_now.append((m, tries, gone))
+                if not gone:
+                    due[group] = time
+                    waiting[group] = [[m, n + tries], *([x, y] for x, y, _ in items[k + 1 :])]
+                    break
+        # Hotels run side by side; the arrival number decides between them.
+        for m, tries, gone in sorted(tried_now, key=lambda x: x[0].seq):
+            if gone and m.outcome not in ("COMPLETED", "DELETED"):
+                dead.append(m.message_id)
             if m.outcome == "RETRY" or m.unique_event_id is None:
-                if n >= max_attempts:
-                    dead.append(m.message_id)
-                else:
-                    blocked.add(m.hotel_id)
-                    pending.append((m, n))
                 continue
             state = log.setdefault(m.unique_event_id, ["RECEIVED", 0])
             if m.outcome == "FAILED":
-                state[0], state[1] = "FAILED", state[1] + 1
-                if n >= max_attempts:
-                    dead.append(m.message_id)
-                else:
-                    blocked.add(m.hotel_id)
-                    pending.append((m, n))
+                state[0], state[1] = "FAILED", state[1] + tries
             elif state[0] != "COMPLETED":
                 state[0] = m.outcome
                 if m.resource_type == "reservation":
@@ -55,38 +72,46 @@ def play(batches, max_attempts=5):
                             row["no"] = m.confirmation_no
                         else:
                             row["gone"] = True
+    pending = [(m.message_id, n, int(due[group])) for group, of in waiting.items() for m, n in of]
     return log, core, dead, pending
 
 
-def test_enrichment_equals_one_by_one_replay(spark, sf_dir):
+def replayed(spark, sf_dir, parts):
+    """Bodies whose ids repeat within and across batches, the responses, and the decided messages by batch."""
     bodies = X.event_bodies(spark, sf_dir).selectExpr(
         "cast(event_id as string) as message_id",
-        # Ids repeat within and across batches.
         "regexp_replace(body, '\"uniqueEventId\":\"evt-[0-9]*\"', concat('\"uniqueEventId\":\"evt-', event_id % 333, '\"')) as body",
         "seq",
-        "1 as receive_count",
-        "event_id % 2 as part",
+        "cast(1 + event_id % 5 as int) as receive_count",
+        f"cast(floor(seq * {parts} / (select max(event_id) + 1 from events_of_test)) as int) as part",
     )
     landed = X.landed_responses(spark, sf_dir)
-    # Few retries, so groups get somewhere before they stop.
-    landed = landed.withColumn("status_code", F.when(F.col("status_code").isin(429, 503) & (F.col("fetch_seq") < 900), 200).otherwise(F.col("status_code")))
-    decided = enrichment.decide(bodies, landed, at())
+    # Few failures, so hotels get somewhere between two of them.
+    landed = landed.withColumn("status_code", F.when((F.col("status_code") != 404) & (F.col("fetch_seq") % 7 > 0), 200).otherwise(F.col("status_code")))
+    decided = enrichment.decide(bodies.withColumn("receive_count", F.col("receive_count") - 1), landed, at())
     from stayflow.operators.transform import transform_reservation
 
     shaped = transform_reservation(decided.withColumn("payload", F.col("response"))).select(
-        "message_id", "seq", "part", "hotel_id", "unique_event_id", "outcome", "resource_type", "resource_id", "occurred_at", "reservation_id", "confirmation_no"
+        "message_id", "seq", "part", (F.col("receive_count") + 1).alias("receive_count"), "delay", "hotel_id", "unique_event_id", "outcome", "resource_type", "resource_id", "occurred_at", "reservation_id", "confirmation_no"
     )
     messages = shaped.collect()
-    # A second and third delivery of nothing new lets poison run out of attempts.
-    batches = [[m for m in messages if m.part == 0], [m for m in messages if m.part == 1], []]
-    log, core, dead, pending = play(batches, max_attempts=2)
+    return bodies, landed, [[m for m in messages if m.part == n] for n in range(parts)]
+
+
+@pytest.mark.parametrize("drained", [False, True])
+def test_enrichment_equals_a_replay_delivery_by_delivery(spark, sf_dir, drained):
+    X.table(spark, sf_dir, "events").createOrReplaceTempView("events_of_test")
+    bodies, landed, batches = replayed(spark, sf_dir, 3)
+    log, core, dead, pending = play([*batches, [], *([None] if drained else [])])
 
     root = scratch_path(spark, "replay")
     empty = bodies.where("false")
-    for number, batch in enumerate([bodies.where("part = 0"), bodies.where("part = 1"), empty]):
-        enrichment.enrich_batch(batch, landed, root, number, at(), max_attempts=2)
-    # The last batch once more: same tables.
-    enrichment.enrich_batch(empty, landed, root, 2, at(), max_attempts=2)
+    for number in range(4):
+        enrichment.enrich_batch(bodies.where(f"part = {number}") if number < 3 else empty, landed, root, number, time_of(number))
+    # The last batch once more, at another time of day: same tables.
+    enrichment.enrich_batch(empty, landed, root, 3, time_of(9))
+    if drained:
+        enrichment.drain_queue(spark, landed, root, time_of(4))
 
     got = {r.unique_event_id: [r.status, r.retry_count] for r in enrichment.read_event_log(spark, root).collect()}
     assert got == log
@@ -96,60 +121,69 @@ def test_enrichment_equals_one_by_one_replay(spark, sf_dir):
     }
     dead_schema = "message_id string, body string, group_id string, dedup_id string, failure_reason string, batch_id bigint"
     assert sorted(r.message_id for r in spark.read.schema(dead_schema).parquet(f"{root}/dead_letters").collect()) == sorted(dead)
-    left = enrichment.pending_before(spark, root, 3)
-    assert sorted((r.message_id, r.receive_count - 1) for r in left.collect()) == sorted((m.message_id, n) for m, n in pending)
-    assert len({s for s, _ in log.values()}) >= 2 and core and dead and pending
+    began = spark.range(1).select(F.unix_micros(time_of(0))).first()[0]
+    left = enrichment.pending_before(spark, root, 9, began + (10**15 if drained else 900 * 10**6))
+    assert sorted((r.message_id, r.receive_count, (r.due - began) // 10**6) for r in left.collect()) == sorted(pending)
+    assert len({s for s, _ in log.values()}) >= 2 and core and dead and (drained or pending)
 
     raw = enrichment.read_raw(spark, root)
     finished = [i for i, (s, _) in log.items() if s in ("COMPLETED", "DELETED")]
     assert set(finished) <= {r.unique_event_id for r in raw.select("unique_event_id").collect()}
 
-    keys, schema = CORE_KEYS["reservation"], CORE_SCHEMAS["reservation"]
-    compact(spark, f"{root}/core_reservation", keys, schema, 2, f"{root}/packed")
-    packed = read_current(spark, f"{root}/packed", keys, schema)
-    assert packed.exceptAll(enrichment.read_core(spark, root, "reservation")).count() == 0
-    assert packed.count() == len(core)
-
 
 def test_enrichment_does_not_depend_on_how_messages_are_cut(spark, sf_dir):
-    """Ids and positions shared across events, broken bodies, retries out of attempts: one batch or several."""
+    """Ids and positions shared by events of a hotel, broken bodies, first to last deliveries: 1, 2 or 7 batches."""
     bodies = X.event_bodies(spark, sf_dir).where("event_id < 400").selectExpr(
         "cast(event_id as string) as message_id",
         "case when event_id % 40 = 7 then '[1]' when event_id % 40 = 8 then concat('\n\t', body) else"
-        " regexp_replace(regexp_replace(body, '\"uniqueEventId\":\"evt-[0-9]*\"', concat('\"uniqueEventId\":\"evt-', event_id % 170, '\"')),"
-        " '\"offset\":\"[0-9]*\"', concat('\"offset\":\"', event_id % 130, '\"')) end as body",
+        " regexp_replace(regexp_replace(body, '\"uniqueEventId\":\"evt-[0-9]*\"', concat('\"uniqueEventId\":\"evt-', user_id % 7, '-', event_id % 23, '\"')),"
+        " '\"offset\":\"[0-9]*\"', concat('\"offset\":\"', user_id % 7, '00', event_id % 19, '\"')) end as body",
         "seq",
-        "5 as receive_count",
+        "cast(1 + event_id % 5 as int) as receive_count",
     )
     landed = X.landed_responses(spark, sf_dir)
     tables = []
-    for parts in (1, 2):
+    for parts in (1, 2, 7):
         root = scratch_path(spark, "cuts")
         for number in range(parts):
-            enrichment.enrich_batch(bodies.where(F.floor(F.col("seq") * parts / 400) == number), landed, root, number, at())
-        enrichment.drain_queue(spark, landed, root, at())
+            enrichment.enrich_batch(bodies.where(F.floor(F.col("seq") * parts / 400) == number), landed, root, number, time_of(number))
+        assert enrichment.pending_before(spark, root, parts, 0).count() > 0
+        enrichment.drain_queue(spark, landed, root, time_of(parts))
         log = {(r.unique_event_id, r.chain_code, r.stream_offset, r.status, r.retry_count) for r in enrichment.read_event_log(spark, root).collect()}
         core = {(r.hotel_id, r.reservation_id, r.last_event_id, r.last_event_at, r.deleted_at is None) for r in enrichment.read_core(spark, root, "reservation").collect()}
         raw = {(r.unique_event_id, r.resource_id, r.operation_id) for r in enrichment.read_raw(spark, root).collect()}
         dead = sorted(r.message_id for r in spark.read.parquet(f"{root}/dead_letters").collect())
         tables.append((log, core, raw, dead))
-    assert tables[0] == tables[1]
+    assert tables[0] == tables[1] == tables[2]
     log, core, raw, dead = tables[0]
     assert core and raw and {str(i) for i in range(7, 400, 40)} <= set(dead) and not {str(i) for i in range(8, 400, 40)} & {d for d in dead if int(d) % 20 == 0}
+    assert {r[4] for r in log} > {0, 1}
 
 
-def test_what_a_batch_leaves_is_drained(spark, sf_dir):
+def test_messages_wait_for_their_time(spark, sf_dir):
+    """Delays, attempts and the order of a hotel, batch by batch."""
     bodies = X.event_bodies(spark, sf_dir).where("event_id < 200").selectExpr("cast(event_id as string) as message_id", "body", "seq", "1 as receive_count")
     landed, root = X.landed_responses(spark, sf_dir), scratch_path(spark, "drain")
-    enrichment.enrich_batch(bodies, landed, root, 0, at())
-    left = enrichment.pending_before(spark, root, 1).count()
-    assert 0 < left < 200 and enrichment.drains(spark, root) == 0
-    enrichment.drain_queue(spark, landed, root, at())
-    assert enrichment.pending_before(spark, root, 2).count() == 0 and enrichment.drains(spark, root) == 1
+    enrichment.enrich_batch(bodies, landed, root, 0, time_of(0))
+    began = spark.range(1).select(F.unix_micros(time_of(0))).first()[0]
+    left = enrichment.pending_before(spark, root, 1, began)
+    first = left.groupBy("group_id").agg(F.min_by("receive_count", "seq").alias("head"), F.max("receive_count").alias("most"), F.countDistinct("due").alias("times"), F.min("due").alias("due"))
+    # a head was tried once and waits; nothing behind it was tried; the hotel has one time
+    assert {(r.head, r.most, r.times) for r in first.collect()} == {(1, 1, 1)} and 0 < left.count() < 200
+    assert {(r.due - began) // 10**6 for r in first.collect()} <= {30, 120}
+    enrichment.enrich_batch(bodies.where("false"), landed, root, 1, time_of(1, step=10))
+    assert enrichment.pending_before(spark, root, 2, began + 10**7).count() == left.count()
+    assert enrichment.drains(spark, root) == 0
+    enrichment.drain_queue(spark, landed, root, time_of(1))
+    drained = enrichment.pending_before(spark, root, 9, 0).agg(F.max("due")).first()[0]
+    assert enrichment.pending_before(spark, root, 9, drained).count() == 0 and enrichment.drains(spark, root) == 1
     dead = {r.message_id for r in spark.read.parquet(f"{root}/dead_letters").collect()}
     decided = enrichment.decide(bodies, landed, at()).collect()
     assert dead == {r.message_id for r in decided if r.outcome in ("FAILED", "RETRY")}
-    assert {r.unique_event_id for r in decided if r.outcome != "RETRY"} == {r.unique_event_id for r in enrichment.read_event_log(spark, root).collect()}
+    logged = {r.unique_event_id: r for r in enrichment.read_event_log(spark, root).collect()}
+    assert {r.unique_event_id for r in decided if r.outcome != "RETRY"} == set(logged)
+    # all five attempts were made before a message was given up
+    assert {logged[r.unique_event_id].retry_count for r in decided if r.outcome == "FAILED"} == {5}
 
 
 def test_daily_job_replaces_a_date_and_keeps_others(spark, sf_dir):
