@@ -80,31 +80,34 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     return out, rows, places[1], places[2]
 
 
-def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    open_id, piece = object(), 0
-    for batch in sliced(batches, BATCH_TURNS):
-        if not batch.num_rows:
-            continue
-        out, rows, starts, ends = assemble(batch.column("role"), batch.column("text"))
-        ids = batch.column("conv_id").to_pylist()
-        first = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]]
-        bounds = np.array([*first, len(ids)])
-        # code points before each byte
-        points = np.concatenate(([0], np.cumsum((out & 0xC0) != 0x80)))
-        trained = np.array(pc.equal(batch.column("role"), TRAINED_ROLE).to_pylist())
-        pieces, spans = [], []
-        for i, j in zip(bounds[:-1], bounds[1:]):
-            piece = piece + 1 if i == 0 and ids[0] == open_id else 0
-            pieces.append(piece)
-            at = points[rows[i]]
-            spans.append([{"start": int(points[starts[k]] - at), "end": int(points[ends[k]] - at)} for k in range(i, j) if trained[k]])
-        open_id = ids[-1]
-        text = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(rows[bounds].tobytes()), pa.py_buffer(out))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([ids[i] for i in first], batch.schema.field("conv_id").type), pa.array(pieces, pa.int64()), pa.array(np.diff(bounds), pa.int64()), text.cast(pa.string()), pa.array(spans, kind)],
-            names=["conv_id", "piece", "n_turns", "formatted", "loss_spans"],
-        )
+def _format(turns: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        open_id, piece = object(), 0
+        for batch in sliced(batches, turns):
+            if not batch.num_rows:
+                continue
+            out, rows, starts, ends = assemble(batch.column("role"), batch.column("text"))
+            ids = batch.column("conv_id").to_pylist()
+            first = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]]
+            bounds = np.array([*first, len(ids)])
+            # code points before each byte
+            points = np.concatenate(([0], np.cumsum((out & 0xC0) != 0x80)))
+            trained = np.array(pc.equal(batch.column("role"), TRAINED_ROLE).to_pylist())
+            pieces, spans = [], []
+            for i, j in zip(bounds[:-1], bounds[1:]):
+                piece = piece + 1 if i == 0 and ids[0] == open_id else 0
+                pieces.append(piece)
+                at = points[rows[i]]
+                spans.append([{"start": int(points[starts[k]] - at), "end": int(points[ends[k]] - at)} for k in range(i, j) if trained[k]])
+            open_id = ids[-1]
+            text = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(rows[bounds].tobytes()), pa.py_buffer(out))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[i] for i in first], batch.schema.field("conv_id").type), pa.array(pieces, pa.int64()), pa.array(np.diff(bounds), pa.int64()), text.cast(pa.string()), pa.array(spans, kind)],
+                names=["conv_id", "piece", "n_turns", "formatted", "loss_spans"],
+            )
+
+    return run
 
 
 def format_chat(conversations: DataFrame) -> DataFrame:
@@ -118,7 +121,7 @@ def format_chat(conversations: DataFrame) -> DataFrame:
     dealt = turns.repartition("conv_id").sortWithinPartitions(*total_order(*[F.col(c) for c in ("conv_id", "turn", "role", "text")]))
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([conversations.schema["conv_id"], T.StructField("piece", T.LongType()), T.StructField("n_turns", T.LongType()), T.StructField("formatted", T.StringType()), T.StructField("loss_spans", span)])
-    return dealt.drop("turn").mapInArrow(_format, schema)
+    return dealt.drop("turn").mapInArrow(_format(BATCH_TURNS), schema)
 
 
 def read_turns(formatted: str) -> list[tuple[str, str]]:

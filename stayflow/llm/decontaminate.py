@@ -6,10 +6,11 @@ suffix of what was read that occurs in an item, and its length tells whether a
 window of an item ends here. The items of a window are those of the state that
 holds it.
 
-Items are cut into blocks of at most ``block_words`` words, one automaton per
-block. An automaton of a block is broadcast: its size is bounded by the block,
-not by the data. Documents pass the blocks one after the other and carry a bit
-per word, so nothing is shuffled.
+Items are cut into blocks of about ``block_words`` words, one automaton per
+block, and broadcast one at a time: some 600 bytes a word in the driver and in
+every worker, whatever the number of items. With one block a document is read
+once and nothing is shuffled; with several the hits of each block are written
+before the next, and united at the end. A very long text is one row of a batch.
 
 Nulls: a null text has no words; a null item id is listed as an empty text.
 Items without words have no window. Repeated items count once per id. Empty
@@ -19,7 +20,9 @@ tables give no rows, or no hits. Extra columns of the documents are kept.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import repeat
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayflow.llm.common import fresh, importable, sliced
+from stayflow.session import materialize
 
 #: Bytes that end a word, and upper case letters, as the words' lower case.
 _FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -166,14 +170,21 @@ class SuffixAutomaton:
         return np.cumsum(hit[:-1]) > 0, found
 
 
-def _blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[tuple[SuffixAutomaton, bool]]:
-    """One automaton per block of items, and whether it is the last. The driver holds one block at a time."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text")).where("text is not null")
-    total = items.agg(F.coalesce(F.sum(F.regexp_count("text", F.lit(ITEM_WORD))), F.lit(0))).first()[0]
-    count = max(1, -(-int(total) // block_words))
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text")).where("text is not null")
+
+
+def _block_count(benchmark: DataFrame, block_words: int) -> int:
+    total = _items(benchmark).agg(F.coalesce(F.sum(F.regexp_count("text", F.lit(ITEM_WORD))), F.lit(0))).first()[0]
+    return max(1, -(-int(total) // block_words))
+
+
+def _blocks(benchmark: DataFrame, window: int, count: int, block_words: int) -> Iterator[SuffixAutomaton]:
+    """One automaton per block of items. The driver holds one block at a time."""
+    items = _items(benchmark)
     for block in range(count):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == block) if count > 1 else items
-        yield SuffixAutomaton(((r.item, words_of(r.text)) for r in part.toLocalIterator()), window), block == count - 1
+        yield SuffixAutomaton(((r.item, words_of(r.text)) for r in part.toLocalIterator()), window)
 
 
 def _spans(hit: np.ndarray) -> list[dict[str, int]]:
@@ -186,7 +197,7 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Struct
 
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _MATCH = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", _SPAN)])
-_HELD = pa.struct([("hits", pa.binary()), ("item_ids", pa.list_(pa.string()))])
+MATCH = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("spans", SPANS)])
 
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = 13, block_words: int = 500_000, column: str = "match") -> DataFrame:
@@ -198,38 +209,67 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     spark = documents.sparkSession
     importable(spark)
     rows = documents.drop(column)
+    if _block_count(benchmark, block_words) > 1:
+        return _by_blocks(rows, benchmark, window, block_words, column)
     fields = rows.schema.fields
-    held = T.StructField(fresh(rows.columns, "held"), T.StructType([T.StructField("hits", T.BinaryType()), T.StructField("item_ids", T.ArrayType(T.StringType()))]))
-    match = T.StructField(column, T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("spans", SPANS)]))
-    for automaton, last in _blocks(benchmark, window, block_words):
-        schema = T.StructType([*fields, match if last else held])
-        rows = rows.mapInArrow(_pass(spark.sparkContext.broadcast(automaton), len(fields), schema.names, last), schema)
-    return rows
+    match = T.StructField(column, MATCH)
+    automaton = next(_blocks(benchmark, window, 1, block_words))
+    return rows.mapInArrow(_pass(spark.sparkContext.broadcast(automaton), len(fields), [*rows.columns, column]), T.StructType([*fields, match]))
 
 
-def _pass(shared, width: int, names: list[str], last: bool):
-    """Mark the words of one block; what earlier blocks marked comes in the column after the ``width`` first."""
+def _pass(shared, width: int, names: list[str]):
+    """Add what an automaton finds behind the ``width`` first columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
         for batch in sliced(batches):
             out = []
-            earlier = batch.column(width).to_pylist() if batch.num_columns > width else repeat(None)
-            for text, held in zip(batch.column("text"), earlier):
+            for text in batch.column("text"):
                 words = words_of(text.as_py())
                 hit, items = automaton.scan(words)
-                if held:
-                    hit = hit | np.unpackbits(np.frombuffer(held["hits"], np.uint8), count=len(words)).astype(bool)
-                    items = items | set(held["item_ids"])
-                if last:
-                    out.append({"n_words": len(words), "n_hit": int(hit.sum()), "item_ids": sorted(items), "spans": _spans(hit)})
-                else:
-                    out.append({"hits": np.packbits(hit).tobytes(), "item_ids": sorted(items)})
-            yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(out, _MATCH if last else _HELD)], names=names)
+                out.append({"n_words": len(words), "n_hit": int(hit.sum()), "item_ids": sorted(items), "spans": _spans(hit)})
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(out, _MATCH)], names=names)
 
     return run
 
 
+def _by_blocks(rows: DataFrame, benchmark: DataFrame, window: int, block_words: int, column: str) -> DataFrame:
+    """The same with several blocks, one after the other.
+
+    The documents are written with a row number; of a block only the rows it
+    hits are written, and its automaton is freed before the next is built. The
+    spans of a row's blocks are united at the end.
+    """
+    spark, width = rows.sparkSession, len(rows.columns)
+    row, count = fresh(rows.columns, "row"), _block_count(benchmark, block_words)
+    rows = materialize(rows.withColumn(row, F.monotonically_increasing_id()), "documents")
+    texts, hits = rows.select(F.col(row).alias("row"), "text"), []
+    found = T.StructType([T.StructField("row", T.LongType()), T.StructField("text", rows.schema["text"].dataType), T.StructField("match", MATCH)])
+    for automaton in _blocks(benchmark, window, count, block_words):
+        shared = spark.sparkContext.broadcast(automaton)
+        marked = texts.mapInArrow(_pass(shared, 2, found.names), found)
+        hits.append(materialize(marked.where("match.n_hit > 0").select("row", "match.item_ids", "match.spans"), "hits"))
+        shared.destroy()
+    every = reduce(DataFrame.unionByName, hits)
+    united = every.groupBy("row").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("all_spans")
+    )
+    # spans in order: one that begins within or right behind the last is part of it
+    ended = lambda done: F.element_at(done, -1)["end"]
+    longer = lambda done, s: F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(ended(done), s["end"]).alias("end"))))
+    joined = F.aggregate("all_spans", F.array().cast(SPANS), lambda done, s: F.when((F.size(done) > 0) & (s["start"] <= F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(-1))), longer(done, s)).otherwise(F.concat(done, F.array(s))))
+    united = united.select(F.col("row").alias("at_row"), "item_ids", joined.alias("spans"))
+    n_hit = F.aggregate(F.coalesce("spans", F.array().cast(SPANS)), F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    match = F.struct(
+        F.coalesce(F.regexp_count(F.translate("text", ascii_uppercase, ascii_lowercase), F.lit(ITEM_WORD)), F.lit(0)).cast("bigint").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        F.coalesce("spans", F.array().cast(SPANS)).alias("spans"),
+    )
+    met = rows.join(united, F.col(row) == F.col("at_row"), "left")
+    return met.select(*[F.col(f"`{c}`") for c in rows.columns[:width]], match.alias(column))
+
+
 def is_contaminated(match: Column, coverage_pct: int = 5) -> Column:
     """Some words hit, and at least ``coverage_pct`` percent of them."""
     return (match["n_hit"] > 0) & (F.lit(100) * match["n_hit"] >= F.lit(coverage_pct) * match["n_words"])

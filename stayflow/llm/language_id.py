@@ -129,7 +129,7 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], steps: in
 
 
 def held_out(doc_id: Column) -> Column:
-    """Documents that are never learnt from: a remainder of the id's CRC-32."""
+    """Documents that are never learnt from: a remainder of the id's CRC-32, which is 0 for a null id."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
@@ -137,22 +137,25 @@ def training_windows(documents: DataFrame, per_language: int = 400, max_language
     """(lang, piece): one window's worth of characters from each of a bounded number of documents a language.
 
     The documents are those of the smallest hashes, the place in the text comes
-    from the hash too. Held-out and unlabelled documents are left out. More than
-    ``max_languages`` languages raise an error.
+    from the hash too. Repeated rows, of one id and text, are one document, so
+    they take no place from others and are not drawn or left out as a block.
+    Held-out and unlabelled documents are left out. More than ``max_languages``
+    languages raise an error.
     """
     usable = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).where(F.length("text") > 0)
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     # a share of each language that is far more than enough comes first, so tasks send few rows
-    counts = usable.groupBy("lang").count().limit(max_languages + 1).collect()
+    drawing = F.xxhash64(F.lit("draw"), name, "text", "lang")
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct(drawing).alias("count")).limit(max_languages + 1).collect()
     if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     share = F.lit(0.0)
     for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(8.0 * per_language / r["count"])).otherwise(share)
-    drawn = usable.select("lang", "text", name.alias("name")).where(share_of(F.concat("name", F.lit(":"), "text"), share))
-    draw = F.xxhash64("name", "lang")
+        share = F.when(F.col("lang") == r["lang"], F.lit(8.0 * per_language / max(1, r["count"]))).otherwise(share)
+    draw = F.col("draw")
+    drawn = usable.select("lang", "text", drawing.alias("draw")).where(share_of(draw, share))
     at = F.pmod(draw, F.greatest(F.length("text") - WINDOW, F.lit(1)).cast("bigint")) + 1
-    drawn = drawn.select("lang", draw.alias("draw"), F.substring("text", at.cast("int"), F.lit(WINDOW)).alias("piece"))
+    drawn = drawn.select("lang", draw.alias("draw"), F.substring("text", at.cast("int"), F.lit(WINDOW)).alias("piece")).distinct()
     return drawn.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("draw", "piece"))).where(F.col("n") <= per_language).select("lang", "piece")
 
 

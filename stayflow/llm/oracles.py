@@ -73,8 +73,9 @@ from f group by conv_id
 
 ORACLES["op7_quality_rules"] = rf"""
 with d as (select row_number() over () as rid, doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{_SPACED}') as w from documents),
-l as (select rid, source, text, line, lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) as normal from (select rid, source, text, unnest(string_split(text, chr(10))) as line from d) where regexp_matches(line, '{_SPACED}')),
-fl as (select source, normal from l group by source, normal having count(distinct text) > 50),
+l as (select rid, doc_id, source, text, line, lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) as normal from (select rid, doc_id, source, text, unnest(string_split(text, chr(10))) as line from d) where regexp_matches(line, '{_SPACED}')),
+hs as (select source, count(*) as n from documents group by source),
+fl as (select f.source, f.normal from (select source, normal, count(distinct (doc_id, text)) as n from l group by source, normal) f join hs on hs.source is not distinct from f.source where f.n > 50 and f.n > 0.001 * hs.n),
 lost as (select rid, sum(length(line)) as lost from l join fl on l.source is not distinct from fl.source and l.normal = fl.normal group by rid),
 dup as (select rid, count(*) - count(distinct line) as n from l group by rid),
 win as (select rid, i, w[i:i + 2] as k from (select rid, w, unnest(range(1, len(w) - 1)) as i from d)),

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from stayflow.llm.common import BLANKS
 from stayflow.session import materialize
+#: Share of a host's documents that a line has to be in, beside the absolute limit: a large host repeats common sentences.
+HOST_SHARE = 0.001
 
 
 def words(text: Column) -> Column:
@@ -80,29 +82,37 @@ def text_metrics(rows: DataFrame, window: int = 3) -> DataFrame:
 
 
 def document_lines(documents: DataFrame, host: str = "source") -> DataFrame:
-    """(host, k1, k2, place, line_hash, chars): a row per line with a word, in a table of the shared folder.
+    """(host, k1, k2, doc, place, line_hash, chars): a row per line with a word, in a table of the shared folder.
+
+    ``doc`` stands for the document: its id and text, so a repeated row is the same document.
 
     The text is read for its lines once; all counting reads this table.
     """
     line = lambda x: F.struct(F.xxhash64(normalise_line(x)).alias("line_hash"), F.length(x).alias("chars"))
-    texts = documents.where("text is not null").select(F.col(host).alias("host"), *_text_key(F.col("text")), F.transform(lines_with_words(F.col("text")), line).alias("lines"))
-    return materialize(texts.select("host", "k1", "k2", F.posexplode("lines").alias("place", "line")).select("host", "k1", "k2", "place", "line.*"), "lines")
+    texts = documents.where("text is not null").select(F.col(host).alias("host"), *_text_key(F.col("text")), F.xxhash64("doc_id", "text").alias("doc"), F.transform(lines_with_words(F.col("text")), line).alias("lines"))
+    return materialize(texts.select("host", "k1", "k2", "doc", F.posexplode("lines").alias("place", "line")).select("host", "k1", "k2", "doc", "place", "line.*"), "lines")
 
 
-def frequent_lines(lines: DataFrame, line_limit: int = 50) -> DataFrame:
-    """(host, line_hash, texts): lines found in more than ``line_limit`` distinct texts of a host.
+def frequent_lines(lines: DataFrame, hosts: DataFrame, line_limit: int = 50, host_share: float = HOST_SHARE, of: str = "doc") -> DataFrame:
+    """(host, line_hash, found): lines found in more than ``line_limit`` distinct documents of a host, and in more than ``host_share`` of all it has.
 
-    Equal rows go first, so a line is counted from one row per text and task.
+    ``hosts`` has host and documents. With ``of="k1"`` distinct texts count
+    instead, so that copies of a document do not make its lines frequent.
     """
-    return lines.groupBy("host", "line_hash").agg(F.count_distinct("k1").alias("texts")).where(F.col("texts") > line_limit)
+    found = lines.groupBy("host", "line_hash").agg(F.count_distinct(of).alias("found")).where(F.col("found") > line_limit).alias("f")
+    met = found.join(hosts.alias("h"), F.col("f.host").eqNullSafe(F.col("h.host")))
+    return met.where(F.col("found") > F.col("documents") * F.lit(host_share)).select("f.*")
 
 
-def _met(lines: DataFrame, line_limit: int) -> DataFrame:
-    over = frequent_lines(lines, line_limit).alias("o")
+def _met(documents: DataFrame, host: str, line_limit: int, host_share: float) -> DataFrame:
+    """The lines of ``document_lines`` that are frequent."""
+    lines = document_lines(documents, host)
+    hosts = documents.groupBy(F.col(host).alias("host")).agg(F.count(F.lit(1)).alias("documents"))
+    over = frequent_lines(lines, hosts, line_limit, host_share).alias("o")
     return lines.alias("l").join(over, F.col("l.host").eqNullSafe(F.col("o.host")) & (F.col("l.line_hash") == F.col("o.line_hash"))).select("l.*")
 
 
-def quality_report(documents: DataFrame, host: str = "source", line_limit: int = 50, least_words: int = 50, repeat_pct: int = 50, kept_pct: int = 50) -> DataFrame:
+def quality_report(documents: DataFrame, host: str = "source", line_limit: int = 50, host_share: float = HOST_SHARE, least_words: int = 50, repeat_pct: int = 50, kept_pct: int = 50) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, lost_chars, kept.
 
     ``base_failed``: fewer than ``least_words`` words, or more than
@@ -113,7 +123,7 @@ def quality_report(documents: DataFrame, host: str = "source", line_limit: int =
     rows = documents.select("doc_id", F.col(host).alias("host"), *_text_key(F.col("text")), F.coalesce("text", F.lit("")).alias("text"))
     rows = text_metrics(rows.withColumn("n_chars", F.length("text").cast("bigint"))).drop("text")
     # copies of a text bring each line once
-    once = _met(document_lines(documents, host), line_limit).groupBy("host", "k1", "k2", "place").agg(F.first("chars").alias("chars"))
+    once = _met(documents, host, line_limit, host_share).groupBy("host", "k1", "k2", "place").agg(F.first("chars").alias("chars"))
     lost = once.groupBy("host", "k1", "k2").agg(F.sum("chars").alias("lost")).alias("l")
     same = F.col("d.host").eqNullSafe(F.col("l.host")) & (F.col("d.k1") == F.col("l.k1")) & (F.col("d.k2") == F.col("l.k2"))
     rows = rows.alias("d").join(lost, same, "left").select("d.*", F.coalesce("lost", F.lit(0)).cast("bigint").alias("lost_chars"))
@@ -123,12 +133,12 @@ def quality_report(documents: DataFrame, host: str = "source", line_limit: int =
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_chars", (~F.col("base_failed") & ~depleted).alias("kept"))
 
 
-def remove_frequent_lines(documents: DataFrame, host: str = "source", line_limit: int = 50) -> DataFrame:
+def remove_frequent_lines(documents: DataFrame, host: str = "source", line_limit: int = 50, host_share: float = HOST_SHARE) -> DataFrame:
     """The documents without their frequent lines; all else in ``text`` stays as it is.
 
     Frequent lines come as one array per text, so a text is never cut into rows.
     """
-    gone = _met(document_lines(documents, host), line_limit).groupBy("host", "k1", "k2").agg(F.collect_set("line_hash").alias("hashes"))
+    gone = _met(documents, host, line_limit, host_share).groupBy("host", "k1", "k2").agg(F.collect_set("line_hash").alias("hashes"))
     k1, k2 = _text_key(F.col("d.text"))
     same = F.col(f"d.{host}").eqNullSafe(F.col("g.host")) & (k1 == F.col("g.k1")) & (k2 == F.col("g.k2"))
     keep = F.filter(F.split("d.text", "\n"), lambda line: ~F.array_contains("g.hashes", F.xxhash64(normalise_line(line))))

@@ -5,9 +5,11 @@ votes on its length, its character transitions, how much of it is covered by
 common letter groups, the path it is in and the words around it. The forest is
 trained by Spark's own trainer from a bounded number of labelled findings and
 then written as one SQL expression, so scanning is a projection: no shuffle, no
-Python, and nothing that grows with the data leaves a task.
+Python, and nothing that grows with the data leaves a task. All features take
+time in proportion to a candidate's length, also where that is megabytes.
 
-Nulls: a null text has no candidates; a null path is an empty one. Repeated
+Very long texts are read whole. Ties: equal findings with equal contexts are
+one for the fit, and judged alike. Nulls: a null text has no candidates; a null path is an empty one. Repeated
 rows get a row each, empty tables none. Without findings of both labels the
 forest is a single vote: the label there is, or none found. Extra columns of
 any name are kept by ``redact`` and not read.
@@ -18,6 +20,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -31,16 +34,25 @@ CANDIDATE = r"[A-Za-z0-9+/_=.~-]{16,}"
 KEYWORDS = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|bearer|credential)"
 PLACEHOLDERS = r"(?i)(example|sample|dummy|placeholder|your|xxxx|test|changeme|0000|1234)"
 PATHS = r"(?i)(test|example|fixture|sample|doc|mock|readme)"
-#: Keys that are known by their form, and values that look drawn at random: letters and digits that take turns in a long run.
-KNOWN = r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10}|[sr]k_live_[A-Za-z0-9]{16}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8}"
+#: Words that announce a hash or an identifier, which look random and are no secrets.
+_HASH = r"(commit|sha-?[0-9]{0,3}|md5|checksum|integrity|etag|digest|uuid|guid|revision|hash|blob)"
+HASHES, HASH_INSIDE = rf"(?i)(?:^|[^a-z]){_HASH}[^A-Za-z0-9]{{0,6}}$", rf"(?i)^{_HASH}[=_.-]"
+#: Keys that are known by their form.
+KNOWN = r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10}|[sr]k_live_[A-Za-z0-9]{16}|AIza[A-Za-z0-9_-]{35}|(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8}"
 PEM = r"PRIVATE KEY-----\s*$"
-RANDOM = r"(?=[A-Za-z]*[0-9]+[A-Za-z]+[0-9])[A-Za-z0-9]{16,}|(?=[A-Za-z]*[0-9])(?=[A-Z0-9]*[a-z]+[A-Z0-9]+[a-z]+[A-Z])[A-Za-z0-9]{16,}|^(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z])(?=[^0-9]*[0-9])[A-Za-z0-9+/=]{24,}$"
+#: Values that look drawn at random: runs of letters and digits that take turns, or of letters in both cases that do. Every run is read once.
+RANDOM = (
+    r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9]++[A-Za-z]++[0-9])[A-Za-z0-9]{16,}"
+    r"|(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[A-Z0-9]*+[a-z]++[A-Z0-9]++[a-z]++(?:[0-9][A-Z0-9]*+[a-z]++)*+[A-Z])[A-Za-z0-9]{16,}"
+    r"|^(?=[^A-Z]*+[A-Z])(?=[^a-z]*+[a-z])(?=[^0-9]*+[0-9])[A-Za-z0-9+/=]{24,}$"
+)
 CONTEXT = 32
 #: Fewer findings of a form than this are repeated for the fit, so that trees see them.
 LEAST_OF_FORM = 200
 #: Classes of characters for transitions: 26 letters in either case, ten digits, and all else.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
-FEATURES = ("length", "letters", "digits", "uppers", "distinct", "transitions", "coverage", "separators", "keyword_before", "keyword_after", "assigned", "quoted", "placeholder", "in_url", "in_path")
+FEATURES = ("length", "letters", "digits", "uppers", "distinct", "transitions", "coverage", "separators", "keyword_before", "keyword_after", "assigned", "quoted", "placeholder", "in_url", "in_path", "hash_before")
 REDACTED = "[SECRET]"
 
 
@@ -62,23 +74,56 @@ class Language:
     transitions: list[float]
     groups: str
 
-    def transition(self, value: Column) -> Column:
-        """Mean logarithm over the neighbouring characters of a value."""
-        side = len(ALPHABET) + 1
-        table = F.array(*[F.lit(x) for x in self.transitions])
-        steps = F.sequence(F.lit(1), F.length(value) - 1)
-        total = F.aggregate(steps, F.lit(0.0), lambda s, k: s + F.element_at(table, at_code(value, k, side)))
-        return F.when(F.length(value) > 1, total / (F.length(value) - 1)).otherwise(F.lit(0.0))
+    def measures(self, value: Column) -> Column:
+        """(transitions, coverage, distinct) of a value, in one pass over its bytes.
 
-    def coverage(self, value: Column) -> Column:
-        """Share of a value's three-letter groups that plain text is made of."""
-        n = F.length(value) - 2
-        found = F.filter(F.sequence(F.lit(1), n), lambda k: F.contains(F.lit(self.groups), F.concat(F.lit("|"), F.lower(F.substring(value, k, F.lit(3))), F.lit("|"))))
-        return F.when(n > 0, F.size(found) / n).otherwise(F.lit(0.0))
+        Mean logarithm over neighbouring characters, share of three-letter
+        groups that plain text is made of, and share of different characters.
+        """
+        side = len(ALPHABET) + 1
+        kind = F.lit(np.array([ALPHABET.find(chr(c)) + 1 for c in range(128)], np.int32))
+        letter = F.lit(np.array([LETTERS.find(chr(c).lower()) + 1 for c in range(128)], np.int32))
+        table = F.lit(np.array(self.transitions, np.float64))
+        width = len(LETTERS) + 1
+        known = bytearray(width**3)
+        for group in self.groups.strip("|").split("|"):
+            if len(group) == 3:
+                a, b, c = (LETTERS.index(x) + 1 for x in group)
+                known[(a * width + b) * width + c] = 1
+        common = F.lit(bytes(known))
+
+        def step(acc: Column, raw: Column, k: Column) -> Column:
+            byte = F.ascii(F.substring(raw, k, F.lit(1)).cast("string"))
+            at, here = F.element_at(kind, byte + 1), F.element_at(letter, byte + 1)
+            logarithm = F.when(k > 1, F.element_at(table, acc["at"] * side + at + 1)).otherwise(F.lit(0.0))
+            place = (acc["first"] * width + acc["second"]) * width + here
+            bit = F.lit(1).cast("bigint")
+            return F.struct(
+                at.alias("at"),
+                acc["second"].alias("first"),
+                here.alias("second"),
+                (acc["total"] + logarithm).alias("total"),
+                (acc["covered"] + F.when(F.substring(common, place + 1, F.lit(1)) == F.lit(b"\1"), 1).otherwise(0)).alias("covered"),
+                acc["low"].bitwiseOR(F.when(byte < 64, F.call_function("shiftleft", bit, byte)).otherwise(F.lit(0).cast("bigint"))).alias("low"),
+                acc["high"].bitwiseOR(F.when(byte >= 64, F.call_function("shiftleft", bit, byte - 64)).otherwise(F.lit(0).cast("bigint"))).alias("high"),
+            )
+
+        def told(acc: Column, n: Column) -> Column:
+            return F.struct(
+                F.when(n > 1, acc["total"] / (n - 1)).otherwise(F.lit(0.0)).alias("transitions"),
+                F.when(n > 2, acc["covered"] / (n - 2)).otherwise(F.lit(0.0)).alias("coverage"),
+                ((F.bit_count(acc["low"]) + F.bit_count(acc["high"])) / n).alias("distinct"),
+            )
+
+        none, zero = F.lit(0), F.lit(0).cast("bigint")
+        start = F.struct(none.alias("at"), none.alias("first"), none.alias("second"), F.lit(0.0).alias("total"), none.alias("covered"), zero.alias("low"), zero.alias("high"))
+        measured = lambda raw: F.aggregate(F.sequence(F.lit(1), F.octet_length(raw)), start, lambda acc, k: step(acc, raw, k), lambda acc: told(acc, F.octet_length(raw)))
+        # the bytes are taken once, not at every step
+        return F.transform(F.array(value.cast("binary")), measured)[0]
 
 
 def at_code(value: Column, k: Column, side: int) -> Column:
-    """Place of the transition from character k to the next in the table, counted from 1."""
+    """Place of the transition from character k to the next in the table, counted from 1; for short words."""
     index = lambda place: F.instr(F.lit(ALPHABET), F.substring(value, place, F.lit(1)))
     return (index(k) * F.lit(side) + index(k + F.lit(1)) + F.lit(1)).cast("int")
 
@@ -100,24 +145,30 @@ def plain_language(documents: DataFrame, groups: int = 400) -> Language:
     return Language(transitions, "|" + "".join(f"{r['group']}|" for r in common))
 
 
+def announced(before: Column, value: Column) -> Column:
+    """Whether a value is called a hash or an identifier, by the word before it or its own beginning."""
+    return F.rlike(before, F.lit(HASHES)) | F.rlike(value, F.lit(HASH_INSIDE))
+
+
 def features(candidate: Column, path: Column, language: Language) -> Column:
     """Numbers on a candidate (value, before, after), in the order of FEATURES."""
     value, before, after = candidate["value"], candidate["before"], candidate["after"]
     length = F.length(value)
     share = lambda pattern: F.length(F.regexp_replace(value, pattern, "")) / length
     flag = lambda c: c.cast("double")
-    return F.array(
+    numbers = lambda measured: F.array(
         length.cast("double"),
         share("[^A-Za-z]"), share("[^0-9]"), share("[^A-Z]"),
-        F.size(F.array_distinct(F.split(value, ""))) / length,
-        language.transition(value), language.coverage(value),
+        measured["distinct"], measured["transitions"], measured["coverage"],
         share("[^+/_=.~-]"),
         flag(F.rlike(before, F.lit(KEYWORDS))), flag(F.rlike(after, F.lit(KEYWORDS))),
         flag(F.rlike(before, F.lit(r"[=:]\s*[\"']?$"))), flag(F.rlike(before, F.lit(r"[\"']$")) & F.rlike(after, F.lit(r"^[\"']"))),
         flag(F.rlike(value, F.lit(PLACEHOLDERS))),
         flag(F.rlike(before, F.lit(r"(://|@|/)\S*$")) | F.contains(value, F.lit("/"))),
         flag(F.rlike(path, F.lit(PATHS))),
+        flag(announced(before, value)),
     )
+    return F.transform(F.array(language.measures(value)), numbers)[0]
 
 
 def findings(documents: DataFrame, path: str | None = None) -> DataFrame:
@@ -132,23 +183,25 @@ def label_by_assignment(found: DataFrame) -> DataFrame:
     True: keys of a known form, the first line of a private key, values assigned
     to a name of a secret, in quotes or not, that look random or are in quotes
     and have 32 characters with digits. False: no name of a secret before or in
-    it, and neither a known form nor random looking. All others are left out:
-    placeholders, bare random strings, and named values without that look.
+    it, and neither a known form nor random looking; or announced as a hash or
+    identifier. All others are left out: placeholders, bare random strings, and
+    named values without that look.
     """
     value, before = F.col("value"), F.col("before")
     random, known = F.rlike(value, F.lit(RANDOM)), F.rlike(value, F.lit(KNOWN))
     named = F.rlike(before, F.lit(KEYWORDS)) | F.rlike(value, F.lit(KEYWORDS))
     quoted = F.rlike(before, F.lit(KEYWORDS[:-1] + r")\w*\s*[=:]\s*[\"']$"))
-    unquoted = F.rlike(before, F.lit(KEYWORDS[:-1] + r")\w*\s*[=:]\s*$")) | F.rlike(value, F.lit(KEYWORDS[:-1] + r")\w*=\S{16}"))
+    unquoted = F.rlike(before, F.lit(KEYWORDS[:-1] + r")\w*\s*[=:]\s*$")) | F.rlike(value, F.lit(KEYWORDS[:-1] + r")\w{0,40}=\S{16}"))
     real = ~F.rlike(value, F.lit(PLACEHOLDERS))
     form = (
-        F.when(real & known, F.lit("known"))
+        F.when(~named & ~known & announced(before, value), F.lit("hash"))
+        .when(real & known, F.lit("known"))
         .when(F.rlike(before, F.lit(PEM)), F.lit("pem"))
         .when(real & quoted & (random | (F.rlike(value, F.lit("[0-9]")) & (F.length(value) >= 32))), F.lit("quoted"))
         .when(real & unquoted & random, F.lit("unquoted"))
         .when(~named & ~random & ~known, F.lit("plain"))
     )
-    return found.withColumn("form", form).where("form is not null").withColumn("label", F.when(F.col("form") == "plain", 0.0).otherwise(1.0))
+    return found.withColumn("form", form).where("form is not null").withColumn("label", F.when(F.col("form").isin("plain", "hash"), 0.0).otherwise(1.0))
 
 
 @dataclass
@@ -223,8 +276,13 @@ def train_forest(labelled: DataFrame, language: Language, per_label: int = 4_000
         times = F.when((F.col("label") == label) & F.col("form").eqNullSafe(F.lit(form)), F.lit(-(-LEAST_OF_FORM // n))).otherwise(times)
     data = data.select("label", "numbers", F.explode(F.sequence(F.lit(1), times)))
     data = data.select("label", array_to_vector("numbers").alias("features"))
-    model: RandomForestClassificationModel = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(data)
-    return Forest([_tree(t._call_java("rootNode")) for t in model.trees])
+    return fitted(data, trees, depth, seed)[1]
+
+
+def fitted(data: DataFrame, trees: int, depth: int, seed: int) -> tuple[RandomForestClassificationModel, Forest]:
+    """Spark's model of ``label`` by ``features``, and its trees."""
+    model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(data)
+    return model, Forest([_tree(t._call_java("rootNode")) for t in model.trees])
 
 
 def _marked(documents: DataFrame, language: Language, forest: Forest, path: str | None, least_score: float, column: str) -> DataFrame:
@@ -246,7 +304,8 @@ def learn(documents: DataFrame, labelled: DataFrame | None, path: str | None) ->
     """
     language = plain_language(documents)
     if labelled is None:
-        labelled = label_by_assignment(findings(documents, path))
+        # counted and drawn from: written, so that texts are searched once
+        labelled = materialize(label_by_assignment(findings(documents, path)), "labelled")
     return language, train_forest(labelled, language)
 
 

@@ -11,6 +11,9 @@ Only lengths leave the encoder.
 For other tokenizers (a vocabulary with pieces over a boundary, or another
 library) whole texts are encoded, in batches of about equal bytes.
 
+A very long text without any space is one segment and is encoded whole, as the
+vocabulary names no other boundary: merges may reach across any two letters.
+
 Nulls: a null text is empty and has no tokens. Repeated rows get a row each,
 an empty table no rows.
 """
@@ -56,7 +59,7 @@ class PieceCounter:
         out, batch, size = [], [], 0
         for text in texts:
             batch.append(text)
-            size += len(text)
+            size += len(text.encode())
             if size >= BATCH_BYTES:
                 out.extend(map(len, self.model.encode(batch, num_threads=1)))
                 batch, size = [], 0
@@ -105,15 +108,15 @@ def counter(path: str) -> PieceCounter | JsonCounter:
     return PieceCounter(path) if path.endswith(".model") else JsonCounter(path)
 
 
-def _balanced(texts: list[str], least_bytes: int) -> Iterator[list[str]]:
-    """Rows in groups of about ``least_bytes``; a longer text is a group of its own."""
+def _balanced(texts: list[str], sizes: list[int], least_bytes: int) -> Iterator[list[str]]:
+    """Rows in groups of about ``least_bytes`` of UTF-8; a longer text is a group of its own."""
     group, size = [], 0
-    for text in texts:
-        if group and size + len(text) > least_bytes:
+    for text, n in zip(texts, sizes):
+        if group and size + n > least_bytes:
             yield group
             group, size = [], 0
         group.append(text)
-        size += len(text)
+        size += n
     if group:
         yield group
 
@@ -130,7 +133,7 @@ def token_counts(documents: DataFrame, tokenizer_path: str, limit: int = 4096) -
         count = counter(tokenizer_path)
         for batch in sliced(batches, 1024):
             texts = batch.column("text").to_pylist()
-            tokens = [n for group in _balanced(texts, BATCH_BYTES) for n in count.lengths(group)]
+            tokens = [n for group in _balanced(texts, batch.column("n_bytes").to_pylist(), BATCH_BYTES) for n in count.lengths(group)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(tokens, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("n_bytes", F.octet_length("text").cast("bigint"))

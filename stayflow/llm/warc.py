@@ -78,7 +78,8 @@ def warc_records(pages: DataFrame, least_payload: int = 0, captured_at: str = "2
     rows = rows.withColumn("key", F.substring(F.md5(F.concat("url", F.lit("\n"), "digest").cast("binary")), 1, 16))
     first = rows.groupBy("digest").agg(F.max(F.struct("page_id", "page", "key", "url")).alias("first"))
     rows = rows.join(first, "digest")
-    is_first = (F.col("first.page_id").eqNullSafe(F.col("page_id")) & (F.col("first.key") == F.col("key"))) | (F.octet_length("html") < least_payload)
+    # rows of one id and payload are all responses, also if their targets differ
+    is_first = F.col("first.page_id").eqNullSafe(F.col("page_id")) | (F.octet_length("html") < least_payload)
     rows = rows.withColumn("kind", F.when(is_first, F.lit("response")).otherwise(F.lit("revisit")))
     main, at, digest = _id(F.col("page"), F.col("key"), "main"), F.lit(captured_at), F.concat(F.lit("sha1:"), "digest")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("html").cast("string"), F.lit(_END))
@@ -124,8 +125,14 @@ def warc_records(pages: DataFrame, least_payload: int = 0, captured_at: str = "2
     return rows.select(F.explode(F.array(request, capture, metadata)).alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str, least_payload: int = 0, captures_per_file: int = 20_000) -> None:
-    """Archives of the pages under ``path``; a file holds ``captures_per_file`` captures at most."""
+def write_warc(pages: DataFrame, path: str, least_payload: int = 0, captures_per_file: int = 20_000, file_bytes: int = 256 << 20) -> None:
+    """Archives of the pages under ``path``.
+
+    A file holds ``captures_per_file`` captures at most, and not more than make
+    up ``file_bytes`` of payload at the mean size of a page: a reader holds a file.
+    """
+    mean = pages.agg(F.avg(F.coalesce(F.octet_length("html"), F.lit(0)))).first()[0] or 0
+    captures_per_file = max(1, min(captures_per_file, int(file_bytes / (mean + 2_000))))
     warc_records(pages, least_payload).write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", 3 * captures_per_file).text(path)
 
 

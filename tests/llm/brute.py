@@ -117,9 +117,9 @@ def quality(docs, line_limit, least_words=50):
     normal = lambda line: line.strip(" \t\n\x0b\x0c\r").lower()
     lines = [[(normal(x), len(x)) for x in t.split("\n") if SPACED.search(x)] for _, t, _ in docs]
     texts = defaultdict(set)
-    for (_, t, host), own in zip(docs, lines):
+    for (i, t, host), own in zip(docs, lines):
         for line, _ in own:
-            texts[host, line].add(t)
+            texts[host, line].add((i, t))
     for (i, t, host), own in zip(docs, lines):
         words = SPACED.findall(t)
         windows = Counter(zip(words, words[1:], words[2:]))

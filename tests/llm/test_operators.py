@@ -10,6 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from llm import brute  # noqa: E402
 from stayflow.llm import chat, decontaminate, language_id, mixing, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, warc  # noqa: E402
 from stayflow.llm.common import read_table  # noqa: E402
+from stayflow.llm.queries import tokenizer_path  # noqa: E402
+from stayflow.session import scratch_path  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = "harbor quiet lantern meadow orchard pebble river silver thicket umbra velvet willow yonder zephyr amber birch cedar dune ember fjord".split()
@@ -95,7 +97,7 @@ def test_level_when_every_source_stops(spark):
 ITEMS = [(1, prose(1, 20)), (2, "short item"), (3, "ONE"), (4, None), (5, " , "), (6, prose(9, 13)), (None, prose(3, 15)), (1, prose(1, 20)), (10, prose(1, 20)[:90])]
 
 
-@pytest.mark.parametrize("block_words", [500_000, 10])
+@pytest.mark.parametrize("block_words", [500_000, 10, 40])
 def test_contamination(spark, awkward, clashing, nothing, block_words):
     more = awkward.unionByName(spark.createDataFrame([(20, "x, SHORT--item short Item. " + prose(9, 13).upper(), "en", "a", 1), (21, prose(9, 12), "en", "a", 1)], DOCS))
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
@@ -107,6 +109,12 @@ def test_contamination(spark, awkward, clashing, nothing, block_words):
     assert rows(report, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == sorted(brute.contamination(pairs(more), [("" if i is None else i, t) for i, t in ITEMS]), key=repr)
 
 
+def test_spans_of_several_blocks_are_united(spark, awkward):
+    items = spark.createDataFrame(ITEMS + [(30, prose(1, 40)[30:]), (31, prose(3, 60)[20:])], "item_id long, text string")
+    found = [{(r.doc_id, str(r.match)) for r in decontaminate.find_contamination(awkward, items, block_words=n).collect()} for n in (500_000, 15)]
+    assert found[0] == found[1] and any("start" in m for _, m in found[0])
+
+
 def test_decontaminate_edges(spark, clashing, nothing):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = decontaminate.decontaminate(clashing, items)
@@ -440,3 +448,157 @@ def test_candidates_join_to_the_text(spark):
     got = [r.c for r in frame.select(secret_scan.candidates(frame.text).alias("c")).collect()]
     assert [(c.value, c.before[-3:], c.after[:4]) for c in got[0]] == [("AAAAAAAAAAAAAAAAAAAAAAAA1", 'k="', '" an'), ("/very/long/path/to/a/file", "nd ", " end")]
     assert got[1] == [] and got[2] == []
+
+
+def test_features_equal_plain_ones(spark):
+    import math
+    import random
+    import re
+
+    pick = random.Random(3)
+    letters = secret_scan.ALPHABET + "+/_=.~-"
+    values = ["".join(pick.choices(letters, k=pick.randint(16, 60))) for _ in range(200)] + ["thequickbrownfox", "AAAAAAAAAAAAAAAA"]
+    words = [("key = '", "'"), ("commit ", " x"), ("https://host/", ""), ("", "token"), ("sha256: ", "")]
+    cases = [(v, *words[i % 5], "docs" if i % 3 else "src") for i, v in enumerate(values)]
+    language = secret_scan.plain_language(spark.createDataFrame([(1, "the quick brown fox and the other words thequick", "en", "a", 1)], DOCS), groups=20)
+    frame = spark.createDataFrame(cases, "value string, before string, after string, path string")
+    from pyspark.sql import functions as F
+
+    got = frame.select("value", secret_scan.features(F.struct("value", "before", "after"), F.col("path"), language).alias("f")).collect()
+    side, index = 63, lambda c: secret_scan.ALPHABET.find(c) + 1
+    for (value, before, after, path), r in zip(cases, got):
+        n = len(value)
+        share = lambda kinds: sum(c in kinds for c in value) / n  # noqa: E731, B023
+        lower, upper, digits = secret_scan.LETTERS, secret_scan.LETTERS.upper(), "0123456789"
+        want = [
+            n, share(lower + upper), share(digits), share(upper), len(set(value)) / n,
+            sum(language.transitions[index(a) * side + index(b)] for a, b in zip(value, value[1:])) / (n - 1),
+            sum(f"|{value[k : k + 3].lower()}|" in language.groups for k in range(n - 2)) / (n - 2),
+            share("+/_=.~-"),
+            bool(re.search(secret_scan.KEYWORDS, before)), bool(re.search(secret_scan.KEYWORDS, after)),
+            before[-1:] in ("=", ":") or before[-2:] in ("= ", ": ") or before.endswith("= '"), before.endswith("'") and after.startswith("'"),
+            bool(re.search(secret_scan.PLACEHOLDERS, value)), "//" in before or "/" in value, path == "docs", before in ("commit ", "sha256: "),
+        ]
+        assert len(want) == len(secret_scan.FEATURES) == len(r.f)
+        assert [float(x) for x in r.f] == [pytest.approx(float(x), abs=1e-12) for x in want], (value, before)
+    assert math.isfinite(sum(got[0].f))
+
+
+def test_trees_as_sql_equal_the_model(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.linalg import Vectors
+
+    n = len(secret_scan.FEATURES)
+    numbers = spark.range(600).selectExpr("id", *[f"(xxhash64(id, {k}) % 1000) / 100.0 as f{k}" for k in range(n)]).selectExpr("id", f"array({', '.join(f'cast(f{k} as double)' for k in range(n))}) as numbers")
+    data = numbers.selectExpr("*", "cast(numbers[0] + numbers[3] * numbers[5] > numbers[7] as double) as label").withColumn("features", array_to_vector("numbers"))
+    model, forest = secret_scan.fitted(data, trees=7, depth=4, seed=5)
+    for r in data.select("numbers", forest.score(data.numbers).alias("score")).collect():
+        votes = [t.predict(Vectors.dense(r.numbers)) for t in model.trees]
+        assert r.score == pytest.approx(sum(votes) / len(votes))
+
+
+def test_hashes_are_left_alone_and_secrets_are_not(spark):
+    import hashlib
+
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "source")
+    digest = lambda kind, i: getattr(hashlib, kind)(f"{kind}{i}".encode()).hexdigest()
+    hashed = [("commit {}", "sha1"), ("checksum {}", "sha256"), ("sha256: {}", "sha256"), ('etag: "{}"', "md5"), ("integrity={}", "sha512"), ("revision {}", "sha1")]
+    planted = [(-(100 * k + i + 1), "It was in " + text.format(digest(kind, i)) + " and no more.", "a") for k, (text, kind) in enumerate(hashed) for i in range(20)]
+    secret = [(-(1000 + i), f'Here is token = "{digest("sha1", i + 500)}" and more.', "a") for i in range(40)]
+    more = spark.createDataFrame(planted + secret, "doc_id long, text string, source string")
+    found = {r.doc_id: r.n_secrets for r in secret_scan.secret_report(docs.unionByName(more)).collect()}
+    alone = [sum(found[i] == 0 for i, _, _ in planted[20 * k : 20 * k + 20]) for k in range(len(hashed))]
+    print("hashes left alone, of 20:", alone, "secrets found, of 40:", sum(found[i] == 1 for i, _, _ in secret))
+    assert min(alone) >= 19 and sum(found[i] == 1 for i, _, _ in secret) >= 38
+
+
+def test_a_candidate_of_five_megabytes(spark):
+    import random
+    import time
+
+    pick = random.Random(1)
+    letters = secret_scan.ALPHABET + "+/"
+    texts = ["".join(pick.choices(letters, k=n)) for n in (500_000, 5_000_000)] + ["a" * 2_000_000, "aB" * 1_000_000, "eyJ" * 300_000, "token" * 200_000]
+    language = secret_scan.plain_language(spark.createDataFrame([(1, "some plain words", "en", "a", 1)], DOCS))
+    took = []
+    for k, text in enumerate(texts):
+        frame = spark.createDataFrame([(k, f"x {text} y", "a")], "doc_id long, text string, source string")
+        from pyspark.sql import functions as F
+
+        started = time.time()
+        found = secret_scan.label_by_assignment(secret_scan.findings(frame)).count()
+        judged = secret_scan._marked(frame, language, secret_scan.Forest([(5, -5.0, 1.0, 0.0)]), None, 0.5, "f").select(F.size("f").alias("n"), F.col("f")[0]["score"].alias("score")).first()
+        took.append(time.time() - started)
+        assert judged.n == 1 and found in (0, 1)
+    print([round(t, 1) for t in took])
+    # ten times the length in far less than a hundred times the time
+    assert took[1] < 30 * max(took[0], 1) and max(took) < 90
+
+
+def test_no_language_is_lost_to_repeated_rows(spark):
+    """Many equal rows of one language, few of another: both are learnt, from different documents."""
+    copies = spark.range(50_000).selectExpr("1L as doc_id", "'xx words that are always the same and never change at all' as text", "'xx' as lang")
+    others = spark.range(3_000).selectExpr("id as doc_id", "concat('other words number ', id, ' and more of the kind ', id * 7) as text", "'en' as lang")
+    drawn = {r.lang: r["count"] for r in language_id.training_windows(copies.unionByName(others)).groupBy("lang").count().collect()}
+    assert drawn == {"xx": 1, "en": 400}
+    texts = spark.range(900).selectExpr("id as doc_id", "concat('text ', id % 300) as text", "'en' as lang")
+    assert language_id.training_windows(texts.unionByName(texts), 2_000).count() == texts.where(~language_id.held_out(texts.doc_id)).count()
+
+
+def test_network_equals_a_plain_convolution(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    filters = {w: rng.normal(0, 1, (w, 256, language_id.FILTERS)).astype(np.float32) for w in language_id.WIDTHS}
+    shift = {w: rng.normal(0, 1, language_id.FILTERS).astype(np.float32) for w in language_id.WIDTHS}
+    net = language_id.Network(["a", "b", "c"], filters, shift, rng.normal(0, 1, (language_id.FILTERS * len(filters), 3)).astype(np.float32), rng.normal(0, 1, 3).astype(np.float32))
+    windows = rng.integers(0, 256, (5, language_id.WINDOW)).astype(np.uint8)
+    got = net.probabilities(windows, net.tables())
+    for row, window in zip(got, windows):
+        pooled = []
+        for w in filters:
+            places = range(len(window) - w + 1)
+            pooled += [max(sum(float(filters[w][j][window[i + j]][f]) for j in range(w)) for i in places) + float(shift[w][f]) for f in range(language_id.FILTERS)]
+        z = np.maximum(pooled, 0) @ net.weights + net.bias
+        want = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert np.allclose(row, want, atol=1e-3)
+
+
+def test_rows_of_one_page_and_payload_are_all_responses(spark, tmp_path):
+    import duckdb
+
+    from stayflow.llm.oracles import ORACLES
+    from stayflow.llm.queries import QUERIES
+
+    rows = [(1, "http://a", "same"), (5, "http://b", "same"), (5, "http://c", "same"), (7, "http://d", "x"), (7, "http://d", "x")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = QUERIES["op3_warc"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    rel = con.sql(ORACLES["op3_warc"])
+    assert sorted(map(tuple, got.select(*rel.columns).collect()), key=repr) == sorted(rel.fetchall(), key=repr)
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    pages = spark.range(40).selectExpr("id as page_id", "'u' as url", "concat(id, repeat('ab', 5000)) as html").coalesce(1)
+    warc.write_warc(pages, str(tmp_path / "w"), file_bytes=120_000)
+    assert len(list((tmp_path / "w").glob("*.gz"))) >= 4
+    assert warc.assemble_captures(warc.read_warc(spark, str(tmp_path / "w"))).count() == 40
+
+
+def test_no_operator_changes_the_session(spark, awkward):
+    before = {r.key: r.value for r in spark.sql("set -v").collect()}
+    token_counts.token_counts(awkward, tokenizer_path()).count()
+    simhash.near_duplicate_groups(awkward, shingle=3, max_bits=3).count()
+    warc.write_warc(spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string"), scratch_path(spark, "w"))
+    assert {r.key: r.value for r in spark.sql("set -v").collect()} == before
+
+
+def test_copies_count_as_documents_or_as_texts(spark):
+    line = "the very same line of words in every document of this host"
+    rows = [(k, f"{line}\n{prose(8, 60)}", "en", "a", 1) for k in range(60)] + [(100 + k, prose(20 + k, 60), "en", "a", 1) for k in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    lines, hosts = quality_rules.document_lines(docs), docs.groupBy("source").count().toDF("host", "documents")
+    assert {r.found for r in quality_rules.frequent_lines(lines, hosts, 50).collect()} == {60}
+    assert quality_rules.frequent_lines(lines, hosts, 50, of="k1").count() == 0
+    assert quality_rules.frequent_lines(lines, hosts, 50, host_share=0.7).count() == 0
