@@ -179,7 +179,7 @@ ORACLES: dict[str, str] = {
  s as (select w.*, case when old then since else greatest(since, coalesce(free, since)) end + before as start from w join f using (g)),
  t as (select *, case when start > 3600000000 then 0 when tries = 1 then 1 else least(tries, (3600000000 - start) // delay + 1) end::bigint as tried from s),
  d as (select g, min(start + tried * delay)::bigint as due from t where tried <> tries group by g)
- select event_id, tried, tried = tries as done, case when tried <> tries then due end as due from t left join d using (g)""",
+ select event_id, tried, (tried = tries)::bigint as done, case when tried <> tries then due end as due from t left join d using (g)""",
     "stay_nights": f"with {RESV}, {NIGHTS} select hotel_id, reservation_id, {DAY.format('stay_date')} as stay_date from nights where departure_date >= date '1998-06-15' and arrival_date <= date '1998-06-15' + 730 and stay_date >= date '1998-06-15'",
     "scan_horizon": f"with {RESV} select reservation_id, {DAY.format('arrival_date')} as arrival_date, {DAY.format('departure_date')} as departure_date from resv where departure_date >= date '1998-06-15' and arrival_date <= date '1998-06-15' + 730",
     "latest_raw_payload": f"with {RESV} select hotel_id, reservation_id, cast(case when reservation_id like '%7' then 2 else 1 end as bigint) as version from resv",
