@@ -98,9 +98,9 @@ def daily_snapshot(spark, sf):
 
 def _published(spark: SparkSession, root: str) -> DataFrame:
     """Rows and totals of the published tables by date."""
-    snap = spark.read.parquet(f"{root}/{daily.SNAPSHOT}").select(F.lit("snapshot").alias("name"), "snapshot_date", F.col("room_revenue").alias("amount"))
-    stat = spark.read.parquet(f"{root}/{daily.STATUS}").select(F.lit("status").alias("name"), "snapshot_date", F.lit(1).alias("amount"))
-    pick = spark.read.parquet(f"{root}/{daily.PICKUP}").select(F.lit("pickup").alias("name"), "snapshot_date", F.col("pickup_rooms").alias("amount"))
+    snap = daily.read_daily(spark, root, daily.SNAPSHOT).select(F.lit("snapshot").alias("name"), "snapshot_date", F.col("room_revenue").alias("amount"))
+    stat = daily.read_daily(spark, root, daily.STATUS).select(F.lit("status").alias("name"), "snapshot_date", F.lit(1).alias("amount"))
+    pick = daily.read_daily(spark, root, daily.PICKUP).select(F.lit("pickup").alias("name"), "snapshot_date", F.col("pickup_rooms").alias("amount"))
     both = snap.unionByName(stat).unionByName(pick)
     return both.groupBy("name", "snapshot_date").agg(F.count("*").alias("rows"), F.sum("amount").alias("total"))
 

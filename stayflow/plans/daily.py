@@ -9,18 +9,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stayflow.functions.scalars import split_csv_ints
 from stayflow.operators.pickup import pickup_metric
 from stayflow.operators.snapshot import build_daily_snapshot
 from stayflow.operators.status import last_status
-from stayflow.schemas import DAILY_SNAPSHOT
+from stayflow.schemas import DAILY_SNAPSHOT, LAST_STATUS, PICKUP_METRIC
+from stayflow.sources import manifest
 from stayflow.sources.tables import path_exists, read_daily_snapshot, write_dated
 
 SNAPSHOT = "reservation_daily_snapshot"
 STATUS = "reservation_last_status_daily"
 PICKUP = "pickup_metric"
 REJECTED = "reservation_snapshot_rejects"
+SCHEMAS = {SNAPSHOT: DAILY_SNAPSHOT, STATUS: LAST_STATUS, PICKUP: PICKUP_METRIC, REJECTED: StructType([*DAILY_SNAPSHOT.fields, StructField("reject_reason", StringType())])}
 
 
 def replace_date(spark: SparkSession, df: DataFrame, path: str, day: date) -> None:
@@ -94,6 +97,31 @@ def _move(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
         raise
 
 
+def _manifest(root: str) -> str:
+    return f"{root.rstrip('/')}/_manifest"
+
+
+def read_daily(spark: SparkSession, root: str, name: str, dates: Sequence[date] | None = None) -> DataFrame:
+    """A table of the daily job as last published, or only some of its dates: no other folder is opened.
+
+    All tables of a date come from one run, whatever becomes of a later one.
+    """
+    live = (manifest.read_version(spark, _manifest(root))[1] or {}).get(name, {})
+    wanted = sorted(live) if dates is None else sorted({d.isoformat() for d in dates} & live.keys())
+    if not wanted:
+        return spark.createDataFrame([], SCHEMAS[name])
+    return spark.read.schema(SCHEMAS[name]).parquet(*[f"{root.rstrip('/')}/{live[d]}" for d in wanted])
+
+
+def _undo(spark: SparkSession, root: str) -> None:
+    """Remove the folders of runs that no version kept refers to: those that never published, and those replaced long ago."""
+    kept = [manifest.read_json(spark, f"{_manifest(root)}/{v:012d}.json") for v in manifest.versions(spark, _manifest(root))]
+    used = {folder.split("/")[1] for version in kept for dates in version.values() for folder in dates.values()}
+    for run in manifest.names(spark, f"{root}/runs"):
+        if run not in used:
+            manifest.remove(spark, f"{root}/runs/{run}")
+
+
 def run_daily(
     spark: SparkSession,
     core: DataFrame,
@@ -103,41 +131,38 @@ def run_daily(
     days: Sequence[int] | str = (1, 3, 7, 15),
     horizon_days: int = 730,
 ) -> date:
-    """Build all three tables for ``day`` (today in UTC if not given), then publish them together.
+    """Build all tables for ``day`` (today in UTC if not given), then publish them together.
 
-    Everything is written under a staging folder first; the published tables
-    are only touched once all of it is there. Running a date again replaces it.
+    A run writes to a folder of its own; a manifest that lists the folders of
+    every table and date is written last, and it alone is what ``read_daily``
+    goes by. So a run that dies at any point changes nothing, and the next one
+    removes what it left. Running a date again replaces it, also by nothing.
+    One run at a time.
     """
     day = day or datetime.now(timezone.utc).date()
     horizons = split_csv_ints(days if isinstance(days, str) else list(days))
     root = root.rstrip("/")
-    staging = f"{root}/_staging/{day.isoformat()}-{uuid.uuid4().hex[:8]}"
+    _undo(spark, root)
+    last, live = manifest.read_version(spark, _manifest(root))
+    number = 0 if last is None else last + 1
+    run = f"runs/{number:08d}-{day.isoformat()}"
     # One pass writes good and rejected rows side by side.
-    built = build_daily_snapshot(core, raw, day, horizon_days)
-    built.withColumn("rejected", F.col("reject_reason").isNotNull()).write.partitionBy("rejected", "snapshot_date").parquet(
-        f"{staging}/built"
-    )
-    staged = spark.read.schema(built.withColumn("rejected", F.lit(True)).schema).parquet(f"{staging}/built")
-    today = staged.where("not rejected").select(*DAILY_SNAPSHOT.fieldNames())
-    write_dated(last_status(today), f"{staging}/{STATUS}")
-    past = history(spark, f"{root}/{SNAPSHOT}", day, horizons)
-    both = reduce(DataFrame.unionByName, [past.where(F.col("snapshot_date") != F.lit(day)), today])
-    write_dated(pickup_metric(both, day, horizons), f"{staging}/{PICKUP}")
-    part = f"snapshot_date={day.isoformat()}"
-    _move(
-        spark,
-        [
-            (f"{staging}/built/rejected=false/{part}", f"{root}/{SNAPSHOT}/{part}"),
-            (f"{staging}/built/rejected=true/{part}", f"{root}/{REJECTED}/{part}"),
-            (f"{staging}/{STATUS}/{part}", f"{root}/{STATUS}/{part}"),
-            (f"{staging}/{PICKUP}/{part}", f"{root}/{PICKUP}/{part}"),
-        ],
-    )
-    _remove(spark, staging)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_staging")
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(folder) and not files.listStatus(folder):
-        files.delete(folder, False)  # no other run is staging
+    built = build_daily_snapshot(core, raw, day, horizon_days).withColumn("rejected", F.col("reject_reason").isNotNull())
+    built.write.partitionBy("rejected").parquet(f"{root}/{run}/built")
+    good = f"{run}/built/rejected=false"
+    empty = spark.createDataFrame([], DAILY_SNAPSHOT)
+    today = spark.read.schema(DAILY_SNAPSHOT).parquet(f"{root}/{good}") if manifest.exists(spark, f"{root}/{good}") else empty
+    last_status(today).write.parquet(f"{root}/{run}/status")
+    past = read_daily(spark, root, SNAPSHOT, [day - timedelta(days=n) for n in horizons if n])
+    pickup_metric(reduce(DataFrame.unionByName, [past, today]), day, horizons).write.parquet(f"{root}/{run}/pickup")
+    folders = {SNAPSHOT: good, REJECTED: f"{run}/built/rejected=true", STATUS: f"{run}/status", PICKUP: f"{run}/pickup"}
+    new = {name: {**(live or {}).get(name, {})} for name in folders}
+    for name, folder in folders.items():
+        if manifest.exists(spark, f"{root}/{folder}"):
+            new[name][day.isoformat()] = folder
+        else:
+            new[name].pop(day.isoformat(), None)
+    manifest.write_version(spark, _manifest(root), number, new)
     return day
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stayflow import fixtures as X
 from stayflow.plans import daily, enrichment
 from stayflow.session import scratch_path
+from stayflow.sources import manifest
 from stayflow.sources.tables import path_exists
 
 AT = "2024-02-01 00:00:00"
@@ -189,25 +190,33 @@ def test_messages_wait_for_their_time(spark, sf_dir):
     assert {logged[r.unique_event_id].retry_count for r in decided if r.outcome == "FAILED"} == {5}
 
 
+def published(spark, root, name):
+    return {r.snapshot_date: r["count"] for r in daily.read_daily(spark, root, name).groupBy("snapshot_date").count().collect()}
+
+
 def test_daily_job_replaces_a_date_and_keeps_others(spark, sf_dir):
     root = scratch_path(spark, "daily-test")
     core, raw = X.core_reservations(spark, sf_dir), X.raw_payloads(spark, sf_dir)
     before = X.DAY - timedelta(days=7)
     daily.backfill(spark, core, raw, root, [X.DAY, before], days="7")
-    first = spark.read.parquet(f"{root}/{daily.SNAPSHOT}").groupBy("snapshot_date").count().collect()
-    assert {r.snapshot_date for r in first} == {X.DAY, before}
+    first = published(spark, root, daily.SNAPSHOT)
+    assert set(first) == {X.DAY, before}
     daily.run_daily(spark, core.where("hotel_id = 'H01'"), raw, root, X.DAY, days=[7])
-    again = {r.snapshot_date: r["count"] for r in spark.read.parquet(f"{root}/{daily.SNAPSHOT}").groupBy("snapshot_date").count().collect()}
-    assert again[before] == {r.snapshot_date: r["count"] for r in first}[before]
-    assert again[X.DAY] == spark.read.parquet(f"{root}/{daily.SNAPSHOT}").where(F.col("snapshot_date") == X.DAY).where("hotel_id = 'H01'").count()
-    pick = spark.read.parquet(f"{root}/{daily.PICKUP}").where(F.col("snapshot_date") == X.DAY)
+    again = published(spark, root, daily.SNAPSHOT)
+    assert again[before] == first[before]
+    assert again[X.DAY] == daily.read_daily(spark, root, daily.SNAPSHOT, [X.DAY]).where("hotel_id = 'H01'").count() < first[X.DAY]
+    pick = daily.read_daily(spark, root, daily.PICKUP, [X.DAY])
     assert {r.hotel_id for r in pick.select("hotel_id").distinct().collect()} <= {"H01"}
+    assert daily.read_daily(spark, root, daily.REJECTED).count() >= 0 and daily.read_daily(spark, root, daily.SNAPSHOT, []).count() == 0
     # The same tables through the single refreshes.
     other = scratch_path(spark, "refresh")
     daily.refresh_daily_snapshot(core, raw, X.DAY, f"{other}/s")
     daily.refresh_last_status(spark, X.DAY, f"{other}/s", f"{other}/l")
     daily.refresh_pickups(spark, X.DAY, [7], f"{other}/s", f"{other}/p")
     assert spark.read.parquet(f"{other}/l").count() == spark.read.parquet(f"{other}/s").select("hotel_id", "reservation_id").distinct().count()
+    # Nothing to build empties the date.
+    daily.refresh_daily_snapshot(core.where("false"), raw, X.DAY, f"{other}/s")
+    assert not path_exists(spark, f"{other}/s/snapshot_date={X.DAY.isoformat()}")
 
 
 def test_an_empty_rebuild_empties_the_date(spark, sf_dir):
@@ -217,13 +226,28 @@ def test_an_empty_rebuild_empties_the_date(spark, sf_dir):
     daily.backfill(spark, core, raw, root, [X.DAY, before], days="7")
     daily.run_daily(spark, core.where("false"), raw, root, X.DAY, days="7")
     for name in (daily.SNAPSHOT, daily.STATUS, daily.PICKUP):
-        assert {r.snapshot_date for r in spark.read.parquet(f"{root}/{name}").select("snapshot_date").distinct().collect()} == {before}
-    assert not path_exists(spark, f"{root}/_staging")
-    daily.refresh_daily_snapshot(core.where("false"), raw, before, f"{root}/{daily.SNAPSHOT}")
-    daily.refresh_last_status(spark, before, f"{root}/{daily.SNAPSHOT}", f"{root}/{daily.STATUS}")
-    daily.refresh_pickups(spark, before, [7], f"{root}/{daily.SNAPSHOT}", f"{root}/{daily.PICKUP}")
-    for name in (daily.SNAPSHOT, daily.STATUS, daily.PICKUP):
-        assert not path_exists(spark, f"{root}/{name}/snapshot_date={before.isoformat()}")
+        assert set(published(spark, root, name)) == {before}
+
+
+def test_a_run_that_dies_at_any_step_changes_nothing(spark, sf_dir, monkeypatch):
+    """Killed before, between and after its writes, up to the manifest; the next run removes what is left."""
+    root = scratch_path(spark, "killed")
+    core, raw = X.core_reservations(spark, sf_dir).where("hotel_id in ('H01', 'H02')"), X.raw_payloads(spark, sf_dir)
+    names = (daily.SNAPSHOT, daily.STATUS, daily.PICKUP)
+    daily.run_daily(spark, core, raw, root, X.DAY, days="7")
+    want = [published(spark, root, n) for n in names]
+    runs = manifest.names(spark, f"{root}/runs")
+    for module, step in ((daily, "build_daily_snapshot"), (daily, "last_status"), (daily, "pickup_metric"), (manifest, "write_json")):
+        with monkeypatch.context() as m:
+            m.setattr(module, step, lambda *a, **k: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                daily.run_daily(spark, core.where("hotel_id = 'H01'"), raw, root, X.DAY, days="7")
+        assert [published(spark, root, n) for n in names] == want
+    assert len(manifest.names(spark, f"{root}/runs")) == len(runs) + 1
+    daily.run_daily(spark, core.where("hotel_id = 'H01'"), raw, root, X.DAY, days="7")
+    got = [published(spark, root, n) for n in names]
+    assert all(a[X.DAY] < b[X.DAY] for a, b in zip(got, want)) and len(manifest.names(spark, f"{root}/runs")) == len(runs) + 1
+    assert {r.hotel_id for n in names for r in daily.read_daily(spark, root, n).select("hotel_id").distinct().collect()} == {"H01"}
 
 
 def test_plans_push_down_prune_and_do_not_multiply(spark, sf_dir):
