@@ -170,15 +170,38 @@ def find_first(doc: str, text: str, names: Sequence[str]) -> str:
     return f"{first_of(tree_hits(doc, text, names), names)}.text"
 
 
-def own_key(doc: str, names: Sequence[str]) -> str:
-    """The value of the first of ``names``, alphabetically, among the document's own keys."""
+def texts_at(doc: str, names: Sequence[str]) -> str:
+    """Texts of several members of an object in one pass over it; null for anything else.
 
-    def case(path: str) -> str:
-        text = text_at(doc, path)
+    No two names may differ by case only.
+    """
+    kind = "struct<" + ",".join(f"`{n}`:string" for n in names) + ">"
+    return f"try_variant_get({doc}, '$', {quoted(kind)})"
+
+
+def _apart(names: Sequence[str]) -> list[list[str]]:
+    """The names in groups without two that differ by case only."""
+    groups: list[dict[str, str]] = []
+    for name in sorted(set(names)):
+        group = next((g for g in groups if name.lower() not in g), None)
+        if group is None:
+            groups.append(group := {})
+        group[name.lower()] = name
+    return [list(g.values()) for g in groups]
+
+
+def own_key(doc: str, texts: Mapping[str, str], names: Sequence[str]) -> str:
+    """The value of the first of ``names``, alphabetically, among the document's own keys.
+
+    ``texts`` says where the text of each name is; the type is looked up for the one found only.
+    """
+
+    def case(name: str) -> str:
+        path = f'$["{name}"]'
         shape = f"schema_of_variant({member(doc, path)}) <> 'STRING'"
-        return f"when {text} <> '' then named_struct('text', {text}, 'literal', {shape})"
+        return f"when {texts[name]} <> '' then named_struct('text', {texts[name]}, 'literal', {shape})"
 
-    return "case " + " ".join(case(f'$["{n}"]') for n in sorted(set(names))) + " end"
+    return "case " + " ".join(case(n) for n in sorted(set(names))) + " end"
 
 
 def _key_pattern(names: Sequence[str]) -> str:
@@ -221,11 +244,17 @@ def search_fields(
     columns of the next, so nothing is worked out twice.
     """
     kept = [f"`{c}`" for c in df.columns]
+    every = sorted({n for names in fields.values() for n in names})
+    # One pass per object finds the texts of all names.
+    spaces = {space: mark for space, mark in ((leading, "_l"), (doc, "_d")) if space}
+    groups = list(enumerate(_apart(every)))
+    opened = df.selectExpr("*", *[f"{texts_at(space, group)} as {mark}{i}" for space, mark in spaces.items() for i, group in groups])
+    texts = {space: {n: f"{mark}{i}.`{n}`" for i, group in groups for n in group} for space, mark in spaces.items()}
 
     def own(names: Sequence[str]) -> str:
-        return f"coalesce({own_key(leading, names)}, {own_key(doc, names)})" if leading else own_key(doc, names)
+        return f"coalesce({', '.join(own_key(space, texts[space], names) for space in spaces)})"
 
-    owned = df.selectExpr("*", *[f"{own(names)} as _w_{f}" for f, names in fields.items()])
+    owned = opened.selectExpr(*kept, *[f"{own(names)} as _w_{f}" for f, names in fields.items()])
     owns = [f"_w_{f}" for f in fields]
     # Every place a name is a key, with its value if that is a plain scalar and '' if not.
     plain_value = r'\s*("[^"\\]*"|[^\s",}\]\[{]*)'
@@ -246,7 +275,6 @@ def search_fields(
     ]
     judged = listed.selectExpr(*kept, *owns, *only, *many)
     still = " or ".join(f"_m_{f}" for f in fields)
-    every = sorted({n for names in fields.values() for n in names})
     space = f"if({leading} is null, {doc}, to_variant_object(array({leading}, {doc})))" if leading else doc
     # The list around a leading part is one bracket more than the text shows.
     depth_text = f"concat('[', {text})" if leading else text

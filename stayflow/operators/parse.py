@@ -118,20 +118,15 @@ def event_details(doc: str, text: str) -> str:
     names = ["detail", "details"]
     deeper = f"case when {J.mentions(text, names)} > 0 then {J.parse(J.find_first(doc, text, names))} end"
     chosen = f"coalesce({top('detail')}, {top('details')}, {deeper})"
-    objects = J.bind(
-        chosen,
-        lambda b: f"coalesce(filter({J.items(b)}, x -> {J.is_object('x')}), case when {J.is_object(b)} then array({b}) end)",
-    )
-    parts = []
-    for name in _DETAIL_TEXT:
-        value = J.text_at("d", f"$.{name}")
-        parts.append(f"'{name}', " + (f"try_cast({value} as int)" if name == "elementSequence" else value))
-    return f"transform(coalesce({objects}, array()), d -> named_struct({', '.join(parts)}))"
+    listed = J.bind(chosen, lambda b: f"coalesce({J.items(b)}, array({b}))")
+    changes = f"filter(transform({listed}, d -> {J.texts_at('d', _DETAIL_TEXT)}), c -> c is not null)"
+    parts = [f"'{n}', " + (f"try_cast(c.{n} as int)" if n == "elementSequence" else f"c.{n}") for n in _DETAIL_TEXT]
+    return f"transform(coalesce({changes}, array()), c -> named_struct({', '.join(parts)}))"
 
 
 def event_metadata(doc: str) -> str:
     """Top-level scalar members of an event as text."""
-    plain = "not coalesce(schema_of_variant(v) rlike '^(OBJECT|ARRAY)', false)"
+    plain = f"not {J.is_object('v')} and not {J.is_list('v')}"
     scalar = f"map_filter({J.entries(doc)}, (k, v) -> k not in ({J.name_list(_NOT_METADATA)}) and {plain})"
     return f"transform_values({scalar}, (k, v) -> {J.text_at('v')})"
 
