@@ -117,7 +117,7 @@ def daily_tables(spark, sf):
 
 @query
 def daily_backfill(spark, sf):
-    """Two dates given in the wrong order, built oldest first."""
+    """Two dates given in the wrong order, built in one pass."""
     root = scratch_path(spark, "backfill")
     daily.backfill(spark, X.core_reservations(spark, sf), X.raw_payloads(spark, sf), root, [DAY, DAY - timedelta(days=7)], days="7")
     return _published(spark, root)

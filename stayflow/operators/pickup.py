@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from stayflow.functions import scalars as S
 from stayflow.operators.filters import active_only, active_only_strict, in_status, stay_between
-from stayflow.operators.snapshot import coalesce_segments
+from stayflow.operators.snapshot import coalesce_segments, observation_dates
 from stayflow.schemas import OFF_BOOKS, SEGMENTS
 
 NIGHT = ["hotel_id", "reservation_id", "stay_date"]
@@ -47,6 +47,16 @@ def previous_by_horizon(snapshot: DataFrame, day: date, horizons: Sequence[int],
     return old.groupBy(*NIGHT).agg(*cells)
 
 
+def previous_by_date(snapshot: DataFrame, dates: Sequence[date], measures: Sequence[str]) -> DataFrame:
+    """Active earlier observations per reservation night as a list ``_past``, one entry per date it was seen on.
+
+    The list is as long as the dates asked for at most.
+    """
+    old = active_only(snapshot.where(F.col("snapshot_date").isin(sorted(set(dates)))))
+    per_date = old.groupBy(*NIGHT, "snapshot_date").agg(*[F.sum(m).alias(m) for m in measures])
+    return per_date.groupBy(*NIGHT).agg(F.collect_list(F.struct("snapshot_date", *measures)).alias("_past"))
+
+
 def pickup_join(today: DataFrame, previous: DataFrame) -> DataFrame:
     """Today's nights with what earlier observations held for them; unmatched stay null."""
     return today.join(previous, NIGHT, "left")
@@ -66,12 +76,23 @@ def pickup_self_join(snapshot: DataFrame, day: date, days: int) -> DataFrame:
     )
 
 
-def pickup_metric(snapshot: DataFrame, snapshot_date: date, days: Sequence[int], calculated_at: Column | None = None) -> DataFrame:
-    """The pickup table: on books, previous and pickup per segment for every horizon."""
+def pickup_metric(
+    snapshot: DataFrame, snapshot_date: date | Sequence[date], days: Sequence[int], calculated_at: Column | None = None
+) -> DataFrame:
+    """The pickup table: on books, previous and pickup per segment for every horizon, of one date or of several at once."""
     horizons = list(dict.fromkeys(days))
     keys = ["snapshot_date", "hotel_id", "stay_date", *SEGMENTS]
-    today = active_only(_on(snapshot, snapshot_date)).select(*keys, "reservation_id", *MEASURES)
-    joined = pickup_join(today, previous_by_horizon(snapshot, snapshot_date, horizons, MEASURES, active=True))
+    dates = observation_dates(snapshot_date)
+    if len(dates) == 1:
+        today = active_only(_on(snapshot, dates[0])).select(*keys, "reservation_id", *MEASURES)
+        joined = pickup_join(today, previous_by_horizon(snapshot, dates[0], horizons, MEASURES, active=True))
+    else:
+        today = active_only(snapshot.where(F.col("snapshot_date").isin(dates))).select(*keys, "reservation_id", *MEASURES)
+        seen = [d - timedelta(days=n) for d in dates for n in horizons]
+        past = pickup_join(today, previous_by_date(snapshot, seen, MEASURES))
+        for n in horizons:
+            past = past.withColumn(f"_at_{n}", F.expr(f"get(filter(_past, p -> p.snapshot_date = date_sub(snapshot_date, {n})), 0)"))
+        joined = past.select(*today.columns, *[F.col(f"_at_{n}.{m}").alias(f"{m}_{n}") for n in horizons for m in MEASURES])
     sums = [F.sum(m).alias(f"_now_{m}") for m in MEASURES]
     sums += [F.sum(_was(m, n)).alias(f"_was_{m}_{n}") for n in horizons for m in MEASURES]
     # Codes are unified before grouping: an absent code and a literal UNMAPPED are one segment.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -120,14 +121,22 @@ def expand_stay_nights(df: DataFrame, snapshot_date: date) -> DataFrame:
     return valid.select("*", F.explode(nights).alias("stay_date")).withColumn("snapshot_date", F.lit(snapshot_date))
 
 
-def project_snapshot(df: DataFrame, snapshot_date: date, taken_at: Column | None = None) -> DataFrame:
-    """Core rows with ``raw_payload`` to the daily snapshot, one row per remaining night.
+def observation_dates(snapshot_date: date | Sequence[date]) -> list[date]:
+    return [snapshot_date] if isinstance(snapshot_date, date) else sorted(set(snapshot_date))
 
-    Reservation-level values are worked out once per reservation; only the
-    nightly revenue is looked up per night, before the rows multiply.
+
+def project_snapshot(df: DataFrame, snapshot_date: date | Sequence[date], taken_at: Column | None = None, observed: Column | None = None) -> DataFrame:
+    """Core rows with ``raw_payload`` to the daily snapshot, one row per remaining night and observation date.
+
+    Reservation-level values are worked out once per reservation and nightly
+    revenue once per night, however many dates are asked for; rows multiply
+    last. ``observed`` may narrow the dates of a reservation (an array).
     Unreadable numbers set ``reject_reason`` instead of stopping the job.
     """
-    parsed = with_payload_fields(df)
+    dates = observation_dates(snapshot_date)
+    if observed is None:
+        observed = F.array(*[F.lit(d) for d in dates])
+    parsed = with_payload_fields(df).withColumn("_observed", observed)
 
     def find(*names: str) -> Column:
         return F.expr("coalesce(" + ", ".join(J.truthy(f"_p_{n}") for n in names) + ")")
@@ -144,12 +153,14 @@ def project_snapshot(df: DataFrame, snapshot_date: date, taken_at: Column | None
             "_departure": F.coalesce("departure_date", day("_p_departureDate.text")),
         }
     )
-    left = remaining_nights(F.col("_arrival"), F.col("_departure"), F.lit(snapshot_date))
+    left = remaining_nights(F.col("_arrival"), F.col("_departure"), F.lit(dates[0]))
     parsed = parsed.withColumn("_left", F.when(F.col("_departure") > F.col("_arrival"), left))
     priced_night = f"named_struct('stay_date', n, 'night_revenue', {J.truthy(find_for_date('_rates', 'n'))})"
-    nights = F.expr(f"transform(_left, n -> {priced_night})")
+    seen = "named_struct('snapshot_date', d, 'stay_date', p.stay_date, 'night_revenue', p.night_revenue)"
+    nights = F.expr(
+        f"flatten(transform(transform(_left, n -> {priced_night}), p -> transform(filter(_observed, d -> d <= p.stay_date), d -> {seen})))"
+    )
     per_reservation = parsed.select(
-        F.lit(snapshot_date).alias("snapshot_date"),
         (F.current_timestamp() if taken_at is None else taken_at).alias("snapshot_taken_at"),
         "hotel_id",
         "reservation_id",
@@ -183,7 +194,7 @@ def project_snapshot(df: DataFrame, snapshot_date: date, taken_at: Column | None
     )
     unreadable = F.col("_rooms").isNull() | F.col("_revenue").isNull() | F.col("_total_revenue").isNull()
     return priced.select(
-        "snapshot_date",
+        F.col("_night.snapshot_date").alias("snapshot_date"),
         "snapshot_taken_at",
         "hotel_id",
         F.col("_night.stay_date").alias("stay_date"),
@@ -210,10 +221,21 @@ def project_snapshot(df: DataFrame, snapshot_date: date, taken_at: Column | None
     )
 
 
-def build_daily_snapshot(core: DataFrame, raw: DataFrame, snapshot_date: date, horizon_days: int = 730, taken_at: Column | None = None) -> DataFrame:
-    """Horizon scan, newest payload, night expansion; includes rejected rows with their reason."""
-    in_scope = horizon(core, snapshot_date, horizon_days)
-    return project_snapshot(attach_latest_payload(in_scope.select(*CORE_COLUMNS), raw), snapshot_date, taken_at)
+def build_daily_snapshot(
+    core: DataFrame, raw: DataFrame, snapshot_date: date | Sequence[date], horizon_days: int = 730, taken_at: Column | None = None
+) -> DataFrame:
+    """Horizon scan, newest payload, night expansion; includes rejected rows with their reason.
+
+    Several dates take one scan of core and raw: a reservation in the horizon of
+    any of them is parsed once and observed on each date whose horizon it is in.
+    """
+    dates = observation_dates(snapshot_date)
+    in_scope = horizon(core, dates[0], horizon_days + (dates[-1] - dates[0]).days)
+    observed = F.filter(
+        F.array(*[F.lit(d) for d in dates]),
+        lambda d: (F.col("departure_date") >= d) & (F.col("arrival_date") <= F.date_add(d, horizon_days)),
+    )
+    return project_snapshot(attach_latest_payload(in_scope.select(*CORE_COLUMNS), raw), dates, taken_at, observed)
 
 
 def coalesce_segments(df: DataFrame, segments: list[str] | None = None) -> DataFrame:

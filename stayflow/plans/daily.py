@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from stayflow.functions.scalars import split_csv_ints
 from stayflow.operators.pickup import pickup_metric
-from stayflow.operators.snapshot import build_daily_snapshot
+from stayflow.operators.snapshot import build_daily_snapshot, observation_dates
 from stayflow.operators.status import last_status
 from stayflow.schemas import DAILY_SNAPSHOT, LAST_STATUS, PICKUP_METRIC
 from stayflow.sources import manifest
@@ -122,16 +121,20 @@ def _undo(spark: SparkSession, root: str) -> None:
             manifest.remove(spark, f"{root}/runs/{run}")
 
 
-def run_daily(
+def backfill(
     spark: SparkSession,
     core: DataFrame,
     raw: DataFrame,
     root: str,
-    day: date | None = None,
+    dates: Sequence[date],
     days: Sequence[int] | str = (1, 3, 7, 15),
     horizon_days: int = 730,
-) -> date:
-    """Build all tables for ``day`` (today in UTC if not given), then publish them together.
+) -> None:
+    """Build all tables for some dates in one pass, then publish them together.
+
+    Core and raw are scanned once, however many dates there are; the tables are
+    those of one run per date, oldest first: a pickup compares with what this
+    pass has built, elsewhere with what was published before.
 
     A run writes to a folder of its own; a manifest that lists the folders of
     every table and date is written last, and it alone is what ``read_daily``
@@ -139,34 +142,47 @@ def run_daily(
     removes what it left. Running a date again replaces it, also by nothing.
     One run at a time.
     """
-    day = day or datetime.now(timezone.utc).date()
+    dates = observation_dates(dates)
+    if not dates:
+        return
     horizons = split_csv_ints(days if isinstance(days, str) else list(days))
     root = root.rstrip("/")
     _undo(spark, root)
     last, live = manifest.read_version(spark, _manifest(root))
     number = 0 if last is None else last + 1
-    run = f"runs/{number:08d}-{day.isoformat()}"
+    run = f"runs/{number:08d}-{dates[-1].isoformat()}"
+
+    def write(df: DataFrame, name: str, *by: str) -> None:
+        # The date stays in the files: its folder is read on its own.
+        df.withColumn("day", F.col("snapshot_date")).write.partitionBy(*by, "day").parquet(f"{root}/{run}/{name}")
+
     # One pass writes good and rejected rows side by side.
-    built = build_daily_snapshot(core, raw, day, horizon_days).withColumn("rejected", F.col("reject_reason").isNotNull())
-    built.write.partitionBy("rejected").parquet(f"{root}/{run}/built")
+    built = build_daily_snapshot(core, raw, dates, horizon_days)
+    write(built.withColumn("rejected", F.col("reject_reason").isNotNull()), "built", "rejected")
     good = f"{run}/built/rejected=false"
-    empty = spark.createDataFrame([], DAILY_SNAPSHOT)
-    today = spark.read.schema(DAILY_SNAPSHOT).parquet(f"{root}/{good}") if manifest.exists(spark, f"{root}/{good}") else empty
-    last_status(today).write.parquet(f"{root}/{run}/status")
-    past = read_daily(spark, root, SNAPSHOT, [day - timedelta(days=n) for n in horizons if n])
-    pickup_metric(reduce(DataFrame.unionByName, [past, today]), day, horizons).write.parquet(f"{root}/{run}/pickup")
+    new_rows = spark.createDataFrame([], DAILY_SNAPSHOT)
+    if manifest.exists(spark, f"{root}/{good}"):
+        new_rows = spark.read.schema(DAILY_SNAPSHOT).option("recursiveFileLookup", "true").parquet(f"{root}/{good}")
+    write(last_status(new_rows), "status")
+    needed = {d - timedelta(days=n) for d in dates for n in horizons} - set(dates)
+    past = read_daily(spark, root, SNAPSHOT, sorted(needed))
+    write(pickup_metric(past.unionByName(new_rows), dates, horizons), "pickup")
     folders = {SNAPSHOT: good, REJECTED: f"{run}/built/rejected=true", STATUS: f"{run}/status", PICKUP: f"{run}/pickup"}
     new = {name: {**(live or {}).get(name, {})} for name in folders}
     for name, folder in folders.items():
-        if manifest.exists(spark, f"{root}/{folder}"):
-            new[name][day.isoformat()] = folder
-        else:
-            new[name].pop(day.isoformat(), None)
+        filled = manifest.names(spark, f"{root}/{folder}")
+        for day in (d.isoformat() for d in dates):
+            if f"day={day}" in filled:
+                new[name][day] = f"{folder}/day={day}"
+            else:
+                new[name].pop(day, None)
     manifest.write_version(spark, _manifest(root), number, new)
-    return day
 
 
-def backfill(spark: SparkSession, core: DataFrame, raw: DataFrame, root: str, dates: Sequence[date], **options) -> None:
-    """The same job for past dates, oldest first so later pickups find their history."""
-    for day in sorted(dates):
-        run_daily(spark, core, raw, root, day, **options)
+def run_daily(
+    spark: SparkSession, core: DataFrame, raw: DataFrame, root: str, day: date | None = None, **options
+) -> date:
+    """``backfill`` of one date (today in UTC if not given)."""
+    day = day or datetime.now(timezone.utc).date()
+    backfill(spark, core, raw, root, [day], **options)
+    return day

@@ -229,6 +229,31 @@ def test_an_empty_rebuild_empties_the_date(spark, sf_dir):
         assert set(published(spark, root, name)) == {before}
 
 
+def test_many_dates_in_one_pass_equal_one_run_each(spark, sf_dir, monkeypatch):
+    """Ten dates, some published before; core and raw are read once, rejects and the horizon's edge included."""
+    core, raw = X.core_reservations(spark, sf_dir), X.raw_payloads(spark, sf_dir)
+    broken = F.when(F.col("resource_id").like("%3"), F.regexp_replace("payload", '"rooms":"', '"rooms":"x')).otherwise(F.col("payload"))
+    raw = raw.withColumn("payload", broken)
+    dates = [X.DAY - timedelta(days=n) for n in (0, 1, 2, 3, 5, 7, 8, 15, 40, 800)]
+    one, many = scratch_path(spark, "one"), scratch_path(spark, "many")
+    options = {"days": "0,1,7,30", "horizon_days": 20}
+    for root in (one, many):
+        daily.run_daily(spark, core.where("hotel_id <> 'H03'"), raw, root, X.DAY - timedelta(days=9), **options)
+        daily.run_daily(spark, core, raw, root, X.DAY, **options)
+    for day in sorted(dates):
+        daily.run_daily(spark, core, raw, one, day, **options)
+    plans = []
+    build = daily.build_daily_snapshot
+    monkeypatch.setattr(daily, "build_daily_snapshot", lambda *a: plans.append(build(*a)) or plans[-1])
+    daily.backfill(spark, core, raw, many, dates[::-1], **options)
+    assert len(plans) == 1 and plans[0]._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    for name in daily.SCHEMAS:
+        clock = [c for c in ("snapshot_taken_at", "calculated_at") if c in daily.SCHEMAS[name].fieldNames()]
+        a, b = (daily.read_daily(spark, root, name).drop(*clock) for root in (one, many))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty()
+        assert set(published(spark, one, name)) == set(published(spark, many, name))
+
+
 def test_a_run_that_dies_at_any_step_changes_nothing(spark, sf_dir, monkeypatch):
     """Killed before, between and after its writes, up to the manifest; the next run removes what is left."""
     root = scratch_path(spark, "killed")
