@@ -47,14 +47,56 @@ def with_slot(events: DataFrame) -> DataFrame:
     return events.withColumn("slot", F.when(whole, _slot(F.lit(""))))
 
 
+def _firsts(open_rows: DataFrame, key: str, seq: str, name: str) -> DataFrame:
+    return open_rows.groupBy(key).agg(F.min(seq).alias(name))
+
+
+def _first_of_both(open_rows: DataFrame, seq: str) -> DataFrame:
+    """Rows that come first in both of their groups: nothing can keep them out."""
+    firsts = open_rows.join(_firsts(open_rows, "unique_event_id", seq, "_id1"), "unique_event_id").join(
+        _firsts(open_rows, "_slot", seq, "_slot1"), "_slot"
+    )
+    return firsts.where((F.col(seq) == F.col("_id1")) & (F.col(seq) == F.col("_slot1"))).select(*open_rows.columns)
+
+
+def _along_chains(open_rows: DataFrame, seq: str, cut) -> DataFrame:
+    """Rows that enter because they are first in both groups, or by way of a chain that starts at such a row.
+
+    A row with a single earlier row in both groups together enters exactly if
+    that one does not. Such rows form chains, settled by pointer doubling: each
+    step every row looks where its target points to, so a chain of n rows takes
+    log n steps. Rows behind one with several earlier rows are left to a later round.
+    """
+    marked = open_rows.join(_firsts(open_rows, "unique_event_id", seq, "_id1"), "unique_event_id").join(
+        _firsts(open_rows, "_slot", seq, "_slot1"), "_slot"
+    )
+    marked = cut(marked.select("unique_event_id", "_slot", F.col(seq).alias("_at"), "_id1", "_slot1"), "marked")
+    # Two minima, not a window: a group may hold most of the rows.
+    second_id = _firsts(marked.where("_at > _id1"), "unique_event_id", "_at", "_id2")
+    second_slot = _firsts(marked.where("_at > _slot1"), "_slot", "_at", "_slot2")
+    only = F.expr("case when _at = _id1 and _at = _slot2 then _slot1 when _at = _slot1 and _at = _id2 then _id1 end").alias("_to")
+    enters = F.expr("case when _at = _id1 and _at = _slot1 then true end").alias("_enters")
+    linked = marked.join(second_id, "unique_event_id", "left").join(second_slot, "_slot", "left")
+    # ``_odd``: the row's fate is the opposite of its target's.
+    state = cut(linked.select("_at", only, F.lit(True).alias("_odd"), enters).where("_to is not null or _enters"), "chains")
+    while not state.where("_to is not null").isEmpty():
+        target = state.select(F.col("_at").alias("_to"), F.col("_to").alias("_next"), F.col("_odd").alias("_next_odd"), F.col("_enters").alias("_known"))
+        moved = state.where("_to is not null").join(target, "_to").select(
+            "_at", F.col("_next").alias("_to"), F.expr("if(_next is null, _odd, _odd <> _next_odd)").alias("_odd"), F.expr("_known <> _odd").alias("_enters")
+        )
+        state = cut(state.where("_to is null").unionByName(moved), "chains")
+    return open_rows.join(state.where("_enters").select(F.col("_at").alias(seq)), seq, "left_semi")
+
+
 def new_events(log: DataFrame, batch: DataFrame, seq: str = "seq", cut=materialize) -> DataFrame:
     """Batch rows that enter the log when inserted one by one in ``seq`` order.
 
     A row enters unless its id, or its (chain, offset), is already taken by the
     log or by an earlier row that entered. The earliest row of both of its
-    groups always enters and rules out the rest of both groups; rounds repeat
-    until nothing is open. One round settles a batch unless rows conflict in
-    chains, because a row that did not enter blocks nobody.
+    groups always enters and rules out the rest of both groups, which settles a
+    batch unless rows conflict in chains: a row that did not enter blocks nobody.
+    Later rounds settle whole chains, of any length, at once; rounds repeat until
+    nothing is open. ``seq`` must be unique.
     """
     slotted = batch.withColumn("_slot", _slot(F.col("unique_event_id")))
     # Copies share both groups, so they share the fate of the first of them.
@@ -66,15 +108,7 @@ def new_events(log: DataFrame, batch: DataFrame, seq: str = "seq", cut=materiali
     open_rows = cut(open_rows, "open")
     entered = None
     while True:
-        by_id = open_rows.groupBy("unique_event_id").agg(F.min(seq).alias("_first_id"))
-        by_slot = open_rows.groupBy("_slot").agg(F.min(seq).alias("_first_slot"))
-        winners = (
-            open_rows.join(by_id, "unique_event_id")
-            .join(by_slot, "_slot")
-            .where((F.col(seq) == F.col("_first_id")) & (F.col(seq) == F.col("_first_slot")))
-            .select(*open_rows.columns)
-        )
-        winners = cut(winners, "entered")
+        winners = cut(_first_of_both(open_rows, seq) if entered is None else _along_chains(open_rows, seq, cut), "entered")
         entered = winners if entered is None else entered.unionByName(winners)
         open_rows = cut(
             open_rows.join(winners.select("unique_event_id"), "unique_event_id", "left_anti").join(

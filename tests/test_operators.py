@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stayflow.functions import scalars as S
 from stayflow.operators import enrich, merge, messaging, metrics, parse, routing, running, snapshot, status, transform
 from stayflow.schemas import EVENT_LOG
+from stayflow.session import materialize
 from stayflow.sources import events as sources
 from stayflow.sources.routes import load_routes
 
@@ -371,6 +372,40 @@ def test_new_events_equal_one_by_one_inserts(spark):
     assert found.count() == 60 and found.where("status is null").count() == 0
 
 
+EVENT_ROW = "unique_event_id string, chain_code string, stream_offset string, seq long"
+
+
+def one_by_one(batch):
+    ids, slots, entered = set(), set(), []
+    for event, chain, offset, seq in sorted(batch, key=lambda r: r[3]):
+        if event not in ids and (chain, offset) not in slots:
+            ids.add(event)
+            slots.add((chain, offset))
+            entered.append(seq)
+    return entered
+
+
+@pytest.mark.parametrize("order", ["rising", "falling", "random", "pairs", "mesh"])
+def test_chains_of_conflicts_take_few_steps(spark, order):
+    """A thousand rows, each in conflict with its neighbours; a mesh has groups of many rows, too."""
+    rng = random.Random(5)
+    place = list(range(1000))
+    if order == "falling":
+        place.reverse()
+    elif order == "random":
+        rng.shuffle(place)
+    elif order == "pairs":
+        place = [p ^ 1 for p in place]
+    batch = [(f"e{k // 2}", "C", str((k + 1) // 2), place[k]) for k in range(1000)]
+    if order == "mesh":
+        batch = [(f"e{rng.randint(0, 150)}", "C", str(rng.randint(0, 150)), k) for k in range(1000)]
+    cuts = []
+    log = spark.createDataFrame([], EVENT_ROW).drop("seq")
+    entered = merge.new_events(log, spark.createDataFrame(batch, EVENT_ROW), cut=lambda df, label: cuts.append(label) or materialize(df, label))
+    assert sorted(r.seq for r in entered.collect()) == one_by_one(batch)
+    assert cuts.count("entered") <= 5 and cuts.count("chains") <= 12 + cuts.count("entered")
+
+
 def test_outcomes_fold_in_order(spark):
     at = datetime(2024, 1, 1)
     log = spark.createDataFrame([("e1", "RECEIVED", 1), ("e2", "COMPLETED", 0), ("e3", "RECEIVED", 0)], "unique_event_id string, status string, retry_count int")
