@@ -718,6 +718,12 @@ def stream_enrich(spark, sf):
     return logged.unionByName(dead.select(F.lit("dead letters").alias("module_name"), F.lit("DEAD").alias("status"), "events", F.lit(0).cast("bigint").alias("failures")))
 
 
+@query
+def stream_counters(spark, sf):
+    """What the batches of the same run counted while they wrote, added up."""
+    return metrics.add_counters(enrichment.read_counters(spark, _enriched(spark, sf)))
+
+
 @query
 def queue_schedule(spark, sf):
     """When each message has its turn within an hour: hotels in order, each failure held back by its own delay."""

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayflow.schemas import QUEUE_COUNTERS
+
 # Digits of the search below: 2^16 candidates per step, 2^64 overall.
 _STEP_BITS = 16
 
@@ -113,6 +115,36 @@ def processing_counters(df: DataFrame) -> DataFrame:
     )
 
 
+def queue_counters() -> dict[str, list[Column]]:
+    """Counters of a queue batch by the table they are taken from, for ``DataFrame.observe`` on a write that happens anyway.
+
+    ``decided``: every message looked at. ``turns``: deliveries made. ``flagged``:
+    delivered events that are logged. ``dead``: dead letters. Each message counts
+    once, in the batch that takes it in or in the one that is done with it;
+    deliveries that were not the last are ``retried``. So they add up over batches.
+    """
+    handled = F.col("outcome").isin("COMPLETED", "DELETED")
+    lost = F.col("done") & F.col("operation_id").isNotNull() & F.col("resource_id").isNull()
+    return {
+        "decided": [F.count_if(~F.col("waiting")).alias("received")],
+        "turns": [F.count_if("done").alias("finished"), F.coalesce(F.sum("tried"), F.lit(0)).alias("deliveries")],
+        "flagged": [
+            F.count_if(handled).alias("processed"),
+            F.count_if((F.col("outcome") == "COMPLETED") & ~F.col("deduplicated")).alias("enriched"),
+            F.count_if("deduplicated").alias("deduplicated"),
+            F.count_if(lost).alias("unresolvable"),
+            F.max("occurred_at").alias("last_event_at"),
+        ],
+        "dead": [F.count(F.lit(1)).alias("dead_lettered")],
+    }
+
+
+def add_counters(counters: DataFrame) -> DataFrame:
+    """Counters of several batches as one row."""
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in QUEUE_COUNTERS.fieldNames() if n != "last_event_at"]
+    return counters.agg(*sums, F.max("last_event_at").alias("last_event_at"))
+
+
 def errors_by_code(df: DataFrame) -> DataFrame:
     return df.where("status_code >= 400").groupBy("status_code").agg(F.count("*").alias("errors"))
 

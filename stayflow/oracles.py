@@ -376,3 +376,10 @@ ORACLES["resource_responses"] = """select case when event_type in ('view','error
   case event_type when 'click' then concat('resv-', user_id) when 'purchase' then cast(event_id as varchar) else concat('key-', user_id) end as resource_id,
   cast(case event_id % 20 when 1 then 404 when 2 then 429 when 3 then 503 when 4 then 401 when 5 then 400 when 6 then 418 else 200 end as bigint) as status_code,
   case event_id % 3 when 0 then '30' when 1 then '-5' else 'soon' end as retry_after from events"""
+_ENRICHED = ORACLES["stream_enrich"].split(",\n h as")[0]
+ORACLES["stream_counters"] = f"""{_ENRICHED},
+ o as (select outcome in ('COMPLETED', 'DELETED') as handled, outcome = 'COMPLETED' as completed, coalesce(state = 'COMPLETED', false) as again, operation_id is not null and resource_id is null as lost, ts from k)
+ select (select count(*) from d) as received, count(*) filter (handled) as processed, (select count(*) from d where outcome not in ('COMPLETED', 'DELETED')) as failed,
+  count(*) filter (completed and not again) as enriched, count(*) filter (handled and again) as deduplicated,
+  (select cast(sum(4 - event_id % 5) as bigint) from d where outcome not in ('COMPLETED', 'DELETED')) as retried,
+  (select count(*) from d where outcome not in ('COMPLETED', 'DELETED')) as dead_lettered, count(*) filter (lost) as unresolvable, epoch_us(max(ts)) as last_event_at from o"""

@@ -17,7 +17,7 @@ waiting behind another message costs none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -26,6 +26,7 @@ from stayflow.operators import merge as M
 from stayflow.operators import transform as T
 from stayflow.operators.enrich import attach_responses, process_outcome
 from stayflow.operators.messaging import DEAD_LETTER_GROUP, schedule
+from stayflow.operators.metrics import queue_counters
 from stayflow.operators.parse import malformed, parse_business_event, with_delete_flag
 from stayflow.operators.routing import resolve_identifier, route_events
 from stayflow.operators.running import earlier
@@ -37,6 +38,7 @@ from stayflow.schemas import (
     EVENT_LOG_KEY,
     EVENT_POSITIONS,
     MESSAGE,
+    QUEUE_COUNTERS,
     RESOURCE_SNAPSHOT,
     RESOURCE_SNAPSHOT_KEY,
 )
@@ -224,8 +226,14 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, drain
     if not drain:
         decided = decided.join(later, "group_id", "left").withColumn("since", F.greatest("since", "_until")).drop("_until")
     # Read by every sink below, so it is written once to the shared folder; turns are found on a few columns.
-    decided = cut(decided, "decided")
-    turns = cut(schedule(decided.select("seq", "group_id", "waiting", "since", "tries", "delay"), None if drain else now).select("seq", "tried", "done", "due"), "turns")
+    counters = queue_counters()
+    seen = {name: Observation() for name in counters}
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.observe(seen[name], *counters[name])
+
+    decided = cut(counted(decided, "decided"), "decided")
+    turns = cut(counted(schedule(decided.select("seq", "group_id", "waiting", "since", "tries", "delay"), None if drain else now).select("seq", "tried", "done", "due"), "turns"), "turns")
     timed = decided.join(turns, "seq")
     prefix = timed.where("tried > 0")
 
@@ -238,7 +246,7 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, drain
     log = cut(log_table.read(batch_id, ids), "log")
     entered = M.new_events(log, _log_rows(registering, applied_at), cut=cut)
     known = M.register_events(log, registering, entered)
-    flagged = cut(mark_duplicates(known), "flagged")
+    flagged = cut(counted(mark_duplicates(known), "flagged"), "flagged")
     handled = flagged.where("not deduplicated")
 
     # Whatever another id's row stood in for leaves no mark on a row that enters later.
@@ -281,7 +289,8 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, drain
         F.concat(F.lit("poison-"), F.coalesce("message_id", F.lit(""))).alias("dedup_id"),
         S.truncate_error(F.col("error"), 256).alias("failure_reason"),
     )
-    write_changes(dead, f"{root}/dead_letters", batch_id)
+    write_changes(counted(dead, "dead"), f"{root}/dead_letters", batch_id)
+    _write_counters(spark, root, batch_id, {k: v for observed in seen.values() for k, v in observed.get.items()})
     # Left in the queue: whatever is not done, and everything behind it in its group.
     left = timed.where("not done").withColumn("receive_count", (F.col("receive_count") + F.col("tried")).cast("int"))
     left = left.select(*MESSAGE_COLUMNS, "group_id", "due", F.floor(F.col("due") / SLOT).alias("due_slot"))
@@ -289,6 +298,18 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, drain
     _forget(spark, root)
 
 
+def _write_counters(spark: SparkSession, root: str, batch_id: int, of: dict) -> None:
+    """One row per batch; a batch that runs again replaces its own."""
+    values = {**of, "failed": of["finished"] - of["processed"], "retried": of["deliveries"] - of["finished"]}
+    row = spark.createDataFrame([tuple(values[n] for n in QUEUE_COUNTERS.fieldNames())], QUEUE_COUNTERS)
+    write_changes(row.coalesce(1), f"{root}/counters", batch_id)
+
+
+def read_counters(spark: SparkSession, root: str) -> DataFrame:
+    """What each batch did; ``metrics.add_counters`` sums them up."""
+    return spark.read.schema(StructType([*QUEUE_COUNTERS.fields, StructField("batch_id", LongType())])).parquet(f"{root}/counters")
+
+
 def _forget(spark: SparkSession, root: str) -> None:
     """Remove folders of waiting messages that were due before any batch that can still run again."""
     kept = manifest.versions(spark, f"{root}/_clock")

@@ -141,3 +141,9 @@ PICKUP_KEY = ["snapshot_date", "comparison_days", "hotel_id", "stay_date", *SEGM
 # Allowed event states and statuses that do not count as booked.
 EVENT_STATUSES = ["RECEIVED", "COMPLETED", "FAILED", "RETRYABLE", "DELETED"]
 OFF_BOOKS = ["CANCELLED", "NO_SHOW"]
+
+#: What a batch of the queue did; ``batch_id`` is added when it is stored.
+QUEUE_COUNTERS = _table(
+    "received bigint, processed bigint, failed bigint, enriched bigint, deduplicated bigint,"
+    " retried bigint, dead_lettered bigint, unresolvable bigint, last_event_at timestamp"
+)

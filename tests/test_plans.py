@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayflow import fixtures as X
+from stayflow.operators import metrics
 from stayflow.plans import daily, enrichment
 from stayflow.session import scratch_path
 from stayflow.sources import manifest
@@ -157,9 +158,18 @@ def test_enrichment_does_not_depend_on_how_messages_are_cut(spark, sf_dir):
         core = {(r.hotel_id, r.reservation_id, r.last_event_id, r.last_event_at, r.deleted_at is None) for r in enrichment.read_core(spark, root, "reservation").collect()}
         raw = {(r.unique_event_id, r.resource_id, r.operation_id) for r in enrichment.read_raw(spark, root).collect()}
         dead = sorted(r.message_id for r in spark.read.parquet(f"{root}/dead_letters").collect())
-        tables.append((log, core, raw, dead))
+        counted = enrichment.read_counters(spark, root)
+        assert sorted(r.batch_id for r in counted.collect()) == list(range(parts + 1))
+        total = metrics.add_counters(counted).first()
+        tables.append((log, core, raw, dead, total))
     assert tables[0] == tables[1] == tables[2]
-    log, core, raw, dead = tables[0]
+    log, core, raw, dead, total = tables[0]
+    decided = enrichment.decide(bodies.withColumn("receive_count", F.col("receive_count") - 1), landed, at())
+    outcomes = {r.outcome: (r.n, r.tries) for r in decided.groupBy("outcome").agg(F.count("*").alias("n"), F.sum("tries").alias("tries")).collect()}
+    handled = sum(n for o, (n, _) in outcomes.items() if o in ("COMPLETED", "DELETED"))
+    assert (total.received, total.processed, total.failed, total.dead_lettered) == (400, handled, 400 - handled, len(dead))
+    assert total.retried == sum(tries for _, tries in outcomes.values()) - 400 and total.deduplicated > 0
+    assert total.enriched + total.deduplicated <= total.processed and total.last_event_at is not None
     assert core and raw and {str(i) for i in range(7, 400, 40)} <= set(dead) and not {str(i) for i in range(8, 400, 40)} & {d for d in dead if int(d) % 20 == 0}
     assert {r[4] for r in log} > {0, 1}
 
@@ -190,6 +200,28 @@ def test_messages_wait_for_their_time(spark, sf_dir):
     assert {logged[r.unique_event_id].retry_count for r in decided if r.outcome == "FAILED"} == {5}
 
 
+def test_a_clock_starts_batches(spark):
+    """What lands while the stream runs is taken by a later tick, once."""
+    from stayflow.sources.state import StateTable
+    from stayflow.streaming import jobs
+
+    path = scratch_path(spark, "clock")
+    rows = spark.range(60).selectExpr("cast(id % 25 as string) as k", "id as seq")
+    rows.where("seq < 20").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+    running = jobs.stream_dedup(stream, ["k"], f"{path}/out", f"{path}/cp", every="1 second")
+    try:
+        running.processAllAvailable()
+        first = StateTable(spark, f"{path}/out", ["k"], rows.schema).read().count()
+        rows.where("seq >= 20").write.mode("append").parquet(f"{path}/in")
+        running.processAllAvailable()
+        assert running.isActive
+    finally:
+        running.stop()
+    kept = StateTable(spark, f"{path}/out", ["k"], rows.schema).read().collect()
+    assert first == 20 and {(r.k, r.seq) for r in kept} == {(str(i), i) for i in range(25)}
+
+
 def published(spark, root, name):
     return {r.snapshot_date: r["count"] for r in daily.read_daily(spark, root, name).groupBy("snapshot_date").count().collect()}
 
