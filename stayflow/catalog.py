@@ -654,19 +654,24 @@ def apply_defaults(spark, sf):
 # ---- streaming -----------------------------------------------------------------------
 
 
+FILE_ROWS = 25_000
+
+
 def _landed(df: DataFrame, label: str, parts: int = 4) -> tuple[str, DataFrame]:
     """Land the input in arrival order, one write after the other, and open it as a stream.
 
-    Each write makes two files and each micro-batch takes two, so the batches
-    are the writes.
+    Each write makes as many files as each micro-batch takes, so the batches are
+    the writes. The number of files grows with the input.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    rows = df.count()
+    files = max(2, -(-rows // (parts * FILE_ROWS)))
     last = df.select(F.max("seq")).scalar()
     dealt = df.withColumn("_part", F.floor(F.col("seq") * parts / (last + 1)))
     for part in range(parts):
-        dealt.where(F.col("_part") == part).drop("_part").repartition(2).write.mode("append").parquet(f"{path}/in")
-    return path, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+        dealt.where(F.col("_part") == part).drop("_part").repartition(files).write.mode("append").parquet(f"{path}/in")
+    return path, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
 
 
 @query

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.schemas import RESERVATION
+from stayflow.session import spread
 
 DAY = date(1998, 6, 15)
 OBSERVED = [date(1998, 6, 15), date(1998, 6, 14), date(1998, 6, 12), date(1998, 6, 8), date(1998, 5, 31)]
@@ -22,14 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out over the cores: one small file is one task, and JSON work would run on one core.
-
-    Large tables come in many splits and need no such step.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Core reservations; zero-night, null-status and deleted ones included."""
     return table(spark, sf_dir, "orders").selectExpr(

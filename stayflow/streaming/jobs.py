@@ -18,7 +18,7 @@ from stayflow.operators import merge as M
 from stayflow.operators.messaging import commit_offset, to_raw_record, write_raw_events
 from stayflow.operators.parse import parse_event_v1
 from stayflow.plans.enrichment import drains, enrich_batch
-from stayflow.session import scratch
+from stayflow.session import scratch, spread
 from stayflow.sources.events import extract_payloads
 from stayflow.sources.state import StateTable
 from stayflow.sources.tables import write_changes
@@ -97,7 +97,7 @@ def stream_events(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         at = F.current_timestamp() if received_at is None else received_at
-        events = parse_event_v1(extract_payloads(batch, frame, "event"), "event", at)
+        events = parse_event_v1(extract_payloads(spread(batch), frame, "event"), "event", at)
         with scratch(batch.sparkSession) as cut:
             store(cut(events.drop("event"), "events"), batch_id, at)
 
