@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from stayflow.functions import scalars as S
 from stayflow.operators import merge as M
@@ -31,6 +31,7 @@ from stayflow.operators.parse import malformed, parse_business_event, with_delet
 from stayflow.operators.routing import resolve_identifier, route_events
 from stayflow.operators.running import earlier
 from stayflow.schemas import (
+    BUSINESS_EVENT,
     CORE_ATTRIBUTES,
     CORE_KEYS,
     CORE_SCHEMAS,
@@ -42,7 +43,7 @@ from stayflow.schemas import (
     RESOURCE_SNAPSHOT,
     RESOURCE_SNAPSHOT_KEY,
 )
-from stayflow.session import scratch
+from stayflow.session import scratch, spread
 from stayflow.sources import manifest
 from stayflow.sources.state import StateTable
 from stayflow.sources.tables import write_changes
@@ -57,8 +58,29 @@ _TRANSFORMS = {
 }
 
 
+def read_messages(messages: DataFrame) -> DataFrame:
+    """Messages with the event they carry; ``parsed`` is false for a body that is not a JSON object.
+
+    The time is null where the event tells none: what stands in for it is the
+    time of a delivery, and a message is read once for all of its deliveries.
+    """
+    events = parse_business_event(messages, "body", F.lit(None).cast("timestamp")).withColumn("parsed", F.lit(True))
+    return events.unionByName(malformed(messages, "body").withColumn("parsed", F.lit(False)), allowMissingColumns=True)
+
+
+def resolve(read: DataFrame, received_at: Column) -> DataFrame:
+    """Read messages with their routes and the resources they refer to."""
+    events = with_delete_flag(read.where("parsed")).withColumn("timed", F.col("occurred_at").isNotNull()).withColumn("occurred_at", F.coalesce("occurred_at", received_at.cast("timestamp")))
+    return resolve_identifier(route_events(events)).unionByName(read.where("not parsed"), allowMissingColumns=True)
+
+
 def decide(messages: DataFrame, responses: DataFrame, received_at: Column, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """Messages to decided events: parsed, routed, resolved, matched, classified.
+    """Messages to decided events: parsed, routed, resolved, matched, classified."""
+    return judge(resolve(read_messages(messages), received_at), responses, max_attempts)
+
+
+def judge(resolved: DataFrame, responses: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """Resolved messages to decided events: matched, classified.
 
     ``tries`` is how often the message is delivered until it leaves the queue:
     once if it is handled, else until it is out of attempts, whatever keeps it
@@ -67,10 +89,9 @@ def decide(messages: DataFrame, responses: DataFrame, received_at: Column, max_a
     object fails like any other poison; it has no event id and enters no table
     but the dead letters.
     """
-    events = with_delete_flag(parse_business_event(messages, "body", received_at))
-    decided = process_outcome(attach_responses(resolve_identifier(route_events(events)), responses))
+    decided = process_outcome(attach_responses(resolved.where("parsed"), responses))
     handled = F.col("outcome").isin("COMPLETED", "DELETED")
-    broken = malformed(messages, "body").withColumn("outcome", F.lit("FAILED")).withColumn("error", F.lit("message body is not a JSON object"))
+    broken = resolved.where("not parsed").withColumn("outcome", F.lit("FAILED")).withColumn("error", F.lit("message body is not a JSON object"))
     tries = F.when(handled, 1).otherwise(F.greatest(F.lit(max_attempts) - F.col("receive_count"), F.lit(1))).cast("bigint")
     delay = F.coalesce("visible_in", S.retry_visibility(F.lit(None).cast("int"))).cast("bigint") * 1_000_000
     return decided.unionByName(broken, allowMissingColumns=True).withColumn("tries", tries).withColumn("delay", delay)
@@ -135,8 +156,10 @@ def _log_rows(events: DataFrame, received_at: Column) -> DataFrame:
     )
 
 
-#: Messages that wait: how often they were tried (``receive_count``), their group, and when it is due.
-PENDING = StructType([*MESSAGE.fields, StructField("group_id", StringType()), StructField("due", LongType()), StructField("due_slot", LongType()), StructField("batch_id", LongType())])
+#: Messages that wait: how often they were tried (``receive_count``), their event as it was read (``payload`` is null if it
+#: is the body), their group, and when it is due. ``parsed`` is null if the message was not read when it was left.
+READ = [*BUSINESS_EVENT.fields, StructField("parsed", BooleanType())]
+PENDING = StructType([*MESSAGE.fields, *READ, StructField("group_id", StringType()), StructField("due", LongType()), StructField("due_slot", LongType()), StructField("batch_id", LongType())])
 #: Microseconds of due time in a folder of waiting messages.
 SLOT = 300 * 1_000_000
 
@@ -207,20 +230,29 @@ def drain_queue(spark: SparkSession, responses: DataFrame, root: str, applied_at
 
 
 def _queue(messages: DataFrame, root: str, batch_id: int, before: int, now: int, drain: bool) -> DataFrame:
-    """What is there to deliver: new messages, and waiting ones that are due. ``receive_count`` is how often each was tried."""
+    """What is there to deliver, read: new messages, and waiting ones that are due. ``receive_count`` is how often each was tried.
+
+    Only what was not read before is parsed.
+    """
     spark = messages.sparkSession
     new = messages.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MESSAGE.fields])
     new = new.withColumn("receive_count", F.greatest(F.coalesce("receive_count", F.lit(1)), F.lit(1)) - 1)
     due = pending_before(spark, root, batch_id, before, None if drain else now)
-    waiting = due.select(*MESSAGE_COLUMNS, F.lit(True).alias("waiting"), F.col("due").alias("since"))
-    return waiting.unionByName(new.select(*MESSAGE_COLUMNS, F.lit(False).alias("waiting"), F.lit(now).cast("bigint").alias("since")))
+    read = [f.name for f in READ]
+    waiting = due.select(*MESSAGE_COLUMNS, *read, F.lit(True).alias("waiting"), F.col("due").alias("since"))
+    waiting = waiting.withColumn("payload", F.when(F.col("parsed"), F.coalesce("payload", "body")))
+    new = new.select(*MESSAGE_COLUMNS, F.lit(False).alias("waiting"), F.lit(now).cast("bigint").alias("since"))
+    unread = waiting.where("parsed is null").drop(*read).unionByName(new)
+    return waiting.where("parsed is not null").unionByName(read_messages(spread(unread)))
 
 
 def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, drain, cut) -> None:
     spark = messages.sparkSession
     before, now = _clock(spark, root, batch_id, applied_at, drain)
     queue = _queue(messages, root, batch_id, before, now, drain)
-    decided = decide(queue, responses, applied_at, max_attempts).withColumn("group_id", F.coalesce(S.to_text(F.col("hotel_id")), F.lit("default")))
+    # Matching needs the events twice, so they are written before it.
+    resolved = cut(resolve(queue, applied_at), "resolved")
+    decided = judge(resolved, responses, max_attempts).withColumn("group_id", F.coalesce(S.to_text(F.col("hotel_id")), F.lit("default")))
     # A hotel that still waits keeps its new messages waiting, too.
     later = pending_before(spark, root, batch_id, now).select("group_id", F.col("due").alias("_until")).distinct()
     if not drain:
@@ -244,7 +276,10 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, drain
     positions = M.with_slot(registering).where("slot is not null").select("slot")
     ids = registering.select("unique_event_id").unionByName(slot_table.read(batch_id, positions).select("unique_event_id"))
     log = cut(log_table.read(batch_id, ids), "log")
-    entered = M.new_events(log, _log_rows(registering, applied_at), cut=cut)
+    # Who enters is found on ids and positions; whole rows are only picked out, one per id.
+    fresh = _log_rows(registering, applied_at)
+    first = M.new_events(log, fresh.select("unique_event_id", "chain_code", "stream_offset", "seq"), cut=cut)
+    entered = cut(M.first_arrivals(fresh.join(first.select("unique_event_id", "seq"), ["unique_event_id", "seq"], "left_semi"), ["unique_event_id"], "seq"), "entered")
     known = M.register_events(log, registering, entered)
     flagged = cut(counted(mark_duplicates(known), "flagged"), "flagged")
     handled = flagged.where("not deduplicated")
@@ -293,7 +328,9 @@ def _enrich(messages, responses, root, batch_id, applied_at, max_attempts, drain
     _write_counters(spark, root, batch_id, {k: v for observed in seen.values() for k, v in observed.get.items()})
     # Left in the queue: whatever is not done, and everything behind it in its group.
     left = timed.where("not done").withColumn("receive_count", (F.col("receive_count") + F.col("tried")).cast("int"))
-    left = left.select(*MESSAGE_COLUMNS, "group_id", "due", F.floor(F.col("due") / SLOT).alias("due_slot"))
+    left = left.withColumn("payload", F.nullif("payload", F.col("body")))
+    left = left.withColumn("occurred_at", F.when(F.col("timed"), F.col("occurred_at")))
+    left = left.select(*MESSAGE_COLUMNS, *[f.name for f in READ], "group_id", "due", F.floor(F.col("due") / SLOT).alias("due_slot"))
     left.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("due_slot", "batch_id").parquet(f"{root}/pending")
     _forget(spark, root)
 

@@ -347,3 +347,46 @@ def test_queries_equal_their_sql(spark, sf_dir, name):
     import __spark_entry__ as contract
 
     assert compare(spark, open_duckdb(sf_dir), name, contract.queries()[name], contract.oracle_sql()[name], sf_dir) is None
+
+
+def test_a_batch_from_one_file_is_worked_on_by_all_cores(spark, sf_dir, monkeypatch):
+    from stayflow.streaming import jobs
+
+    path = scratch_path(spark, "onefile")
+    frames = X.frames(spark, sf_dir).where("event_id < 100").selectExpr("frame as body", "event_id as seq")
+    frames.coalesce(1).write.parquet(f"{path}/in")
+    parts, parse = [], jobs.parse_event_v1
+    monkeypatch.setattr(jobs, "parse_event_v1", lambda df, *a: parts.append(df.rdd.getNumPartitions()) or parse(df, *a))
+    stream = spark.readStream.schema(frames.schema).parquet(f"{path}/in")
+    jobs.stream_events(stream, path, f"{path}/cp", received_at=at()).awaitTermination()
+    assert parts == [spark.sparkContext.defaultParallelism] and spark.sparkContext.defaultParallelism > 1
+
+
+def test_a_message_is_parsed_once_however_often_it_is_delivered(spark, sf_dir, monkeypatch):
+    """What waits keeps its event as read; without a time of its own it has that of the delivery."""
+    bodies = X.event_bodies(spark, sf_dir).where("event_id < 60").selectExpr(
+        "cast(event_id as string) as message_id",
+        "case when event_id % 20 = 3 then '[1]' when event_id % 3 = 0 then regexp_replace(body, '\"timestamp\":\"[^\"]*\",', '') else body end as body",
+        "seq",
+        "1 as receive_count",
+    )
+    landed, root = X.landed_responses(spark, sf_dir), scratch_path(spark, "once")
+    read, parse = [], enrichment.read_messages
+    monkeypatch.setattr(enrichment, "read_messages", lambda df: read.append(df.count()) or parse(df))
+    enrichment.enrich_batch(bodies.where("seq < 40"), landed, root, 0, time_of(0))
+    began = spark.range(1).select(F.unix_micros(time_of(0))).first()[0]
+    left = enrichment.pending_before(spark, root, 1, began).collect()
+    assert len(left) > 20 and {r.parsed for r in left} == {True, False}
+    assert any(r.parsed and r.occurred_at is None for r in left) and any(r.occurred_at is not None for r in left)
+    enrichment.enrich_batch(bodies.where("seq >= 40"), landed, root, 1, time_of(1))
+    assert read == [40, 20]
+    enrichment.drain_queue(spark, landed, root, time_of(9))
+    assert read == [40, 20, 0]
+    later = spark.range(1).select(time_of(9)).first()[0]
+    log = {r.unique_event_id: r for r in enrichment.read_event_log(spark, root).collect()}
+    first = {r.message_id for r in left}
+    untimed = [r for i, r in log.items() if i.removeprefix("evt-") in first and int(i.removeprefix("evt-")) % 3 == 0]
+    assert any(r.occurred_at == later for r in untimed)
+    decided = {r.unique_event_id: r for r in enrichment.decide(bodies, landed, time_of(9)).where("parsed").collect()}
+    assert {i for i, r in decided.items() if r.outcome != "RETRY"} == set(log)
+    assert all(log[i].payload == decided[i].payload and log[i].primary_key == decided[i].primary_key for i in log)
